@@ -55,3 +55,208 @@ def packet_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packet_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 (B2-B4, C6): IPv4/TCP/UDP features in one pass."""
     return _packet_features(decoded_event_packets(spark, sf_dir), ["pkt_id"])
+
+
+# --- keys (B8, B9, B11, B13, B16) -------------------------------------------
+
+from flowlens.functions.bytesx import hex_lower  # noqa: E402
+from flowlens.functions.keys import (  # noqa: E402
+    import_key, key_range_bucket, lineage_suffix, record_key, split_key, timeslot_key, tuple_bytes,
+)
+from flowlens.operators.decode import five_tuple_cols  # noqa: E402
+
+DATASET_ID = 7          # dataset id stamped into import keys by these jobs
+SOURCE_ID = 0           # source id of time-slot keys (the reference passes 0)
+SLOT_WIDTH_S = 60       # time-slot width of time-slot keys (the reference passes 60)
+BUCKET_LO, BUCKET_HI, BUCKET_N = 0x01010101, 0xFFFFFFFF, 15
+
+
+def _tuple_rows(spark, sf_dir):
+    pk = decoded_event_packets(spark, sf_dir)
+    return pk.select("pkt_id", "ts_sec", "ts_usec", *five_tuple_cols())
+
+
+def _tuple13():
+    return tuple_bytes(F.col("sip"), F.col("dip"), F.col("sport"), F.col("dport"), F.col("proto"))
+
+
+def _import_keyed(spark, sf_dir):
+    t = _tuple_rows(spark, sf_dir)
+    key = import_key(_tuple13(), F.lit(DATASET_ID), F.col("ts_sec"), F.col("ts_usec"),
+                     lineage_suffix("pkt_id"))
+    return t.select("pkt_id", key.alias("key"))
+
+
+def import_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """43-byte import key per packet (suffix from the packet id)."""
+    k = _import_keyed(spark, sf_dir)
+    return k.select("pkt_id", hex_lower(F.col("key")).alias("rowkey"), F.octet_length("key").alias("key_len"))
+
+
+def timeslot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B9 + B10: time-slot key per packet (source 0, 60-second slots)."""
+    t = _tuple_rows(spark, sf_dir)
+    ms = F.col("ts_sec") * 1000 + F.floor(F.col("ts_usec") / 1000).cast("bigint")
+    key = timeslot_key(_tuple13(), ms, F.lit(SOURCE_ID), SLOT_WIDTH_S, lineage_suffix("pkt_id"))
+    return t.select("pkt_id", hex_lower(key).alias("rowkey"))
+
+
+def split_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Import keys sliced back into their typed parts."""
+    k = _import_keyed(spark, sf_dir)
+    return k.select("pkt_id", split_key(F.col("key"), "import").alias("k")).select("pkt_id", "k.*")
+
+
+def key_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B16 + A14: key region of each import key (15 regions over 4 bytes)."""
+    k = _import_keyed(spark, sf_dir)
+    return k.select("pkt_id", key_range_bucket(F.col("key"), BUCKET_LO, BUCKET_HI, BUCKET_N, 4)
+                    .alias("bucket"))
+
+
+# --- dense index, record keys, flow dataset (G3, B13, A7, B12) ---------------
+
+from flowlens.operators.index import sorted_dense_index  # noqa: E402
+from flowlens.session import work_dir  # noqa: E402
+from flowlens.sources.jsonio import flow_values_to_cells, puts_from_json, read_flow_json  # noqa: E402
+
+FLOW_VALUE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
+
+
+def with_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense 0-based index of orders by order key."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    return sorted_dense_index(o, ["o_orderkey"], "idx")
+
+
+def record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salted record key of each lineitem row by its dense index."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*FLOW_VALUE_COLUMNS)
+    ix = sorted_dense_index(li, FLOW_VALUE_COLUMNS, "idx")
+    return ix.select("l_orderkey", "l_linenumber", "idx", hex_lower(record_key(F.col("idx"))).alias("rowkey"))
+
+
+def write_flow_json(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Lineitem rows as flow records (JSON Lines), in key order."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    # (orderkey, linenumber) is not unique in these tables: order by every
+    # value column, so rows that tie are identical records.
+    rec = li.orderBy(*FLOW_VALUE_COLUMNS).select(
+        F.lit(False).alias("sparse"),
+        F.array(*[F.col(c).cast("string") for c in FLOW_VALUE_COLUMNS]).alias("values"),
+        F.lit(1.0).cast("float").alias("weight"))
+    rec.write.mode("overwrite").json(path)
+
+
+def flow_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 + B12 + B13: flow dataset -> positional cells under record keys."""
+    path = work_dir(spark, "flows")
+    write_flow_json(spark, sf_dir, path)
+    cells = flow_values_to_cells(read_flow_json(spark, path))
+    return cells.select(hex_lower(F.col("rowkey")).alias("rowkey"),
+                        F.conv(F.hex("cq"), 16, 10).cast("int").alias("pos"),
+                        F.col("value").cast("string").alias("value"))
+
+
+# --- cell tables (A3-A5, A8, A9, A11, A12, B14, B15, B18, G1, G2) ------------
+
+from flowlens.functions.timex import epoch_micros  # noqa: E402
+from flowlens.operators import cells as C  # noqa: E402
+from flowlens.sources.tables import put_cells, read_cells  # noqa: E402
+
+ORDER_CELL_COLUMNS = {"o_orderstatus": "status", "o_orderpriority": "priority", "o_orderkey": "orderkey"}
+CUSTOMER_CELL_COLUMNS = {"c_name": "name", "c_nationkey": "nation", "c_mktsegment": "segment"}
+
+
+def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as versioned cells of their customer's row (version = order date)."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    o = o.select(F.col("o_custkey"), epoch_micros(F.col("o_orderdate")).alias("ver"),
+                 *[F.col(c).alias(q) for c, q in ORDER_CELL_COLUMNS.items()])
+    return C.to_cells(o, "o_custkey", "o", list(ORDER_CELL_COLUMNS.values()), F.col("ver"))
+
+
+def customer_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    c = c.select("c_custkey", *[F.col(k).alias(q) for k, q in CUSTOMER_CELL_COLUMNS.items()])
+    return C.to_cells(c, "c_custkey", "c", list(CUSTOMER_CELL_COLUMNS.values()), 1)
+
+
+def cells_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest version of every cell."""
+    return C.cells_as_text(C.latest_cells(order_cells(spark, sf_dir)))
+
+
+def nested_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's latest cells as a sorted list (rendered as text)."""
+    return C.render_nested(C.rows_to_nested(order_cells(spark, sf_dir)))
+
+
+def row_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's latest cells concatenated as cf|cq|value bytes."""
+    b = C.rows_to_bytes(order_cells(spark, sf_dir))
+    return b.select(F.col("rowkey").cast("string").alias("row"), hex_lower(F.col("bytes")).alias("bytes"))
+
+
+def rewrite_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 + B18 + A9: write name cells, append a rewritten version of each,
+    report old and new values."""
+    path = work_dir(spark, "cells")
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.col("c_name").alias("name"))
+    put_cells(C.to_cells(c, "c_custkey", "f1", ["name"], 1), path)
+    put_cells(C.rewrite_versions(read_cells(spark, path, ["f1"]), "f1", "name", 2), path)
+    return C.old_and_new(read_cells(spark, path, ["f1"]), "f1", "name", 2)
+
+
+def customer_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON put text per customer; every 17th key has a wrong shape and every
+    23rd is cut short, to exercise the reject path."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    row = F.col("c_custkey").cast("string")
+    good = F.to_json(F.struct(row.alias("row"), F.array(
+        F.struct(F.lit("c").alias("cf"), F.lit("name").alias("cl"), F.col("c_name").alias("v")),
+        F.struct(F.lit("c").alias("cf"), F.lit("segment").alias("cl"), F.col("c_mktsegment").alias("v")),
+    ).alias("vpair")))
+    shape = F.to_json(F.struct(row.alias("row"), F.col("c_name").alias("vpair")))
+    txt = (F.when(F.col("c_custkey") % 17 == 0, shape)
+            .when(F.col("c_custkey") % 23 == 0, F.expr("substring(to_json(named_struct('row', "
+                                                       "cast(c_custkey as string))), 1, 5)"))
+            .otherwise(good))
+    return c.select(txt.alias("json"))
+
+
+def json_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON puts -> cells."""
+    cells, _ = puts_from_json(customer_json(spark, sf_dir))
+    return C.cells_as_text(cells)
+
+
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 rejects: malformed or wrongly shaped puts."""
+    _, rej = puts_from_json(customer_json(spark, sf_dir))
+    return rej.agg(F.count(F.lit(1)).alias("n_rejects"))
+
+
+def table_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: every latest cell in row-key order."""
+    return C.cells_as_text(C.dump_table(customer_cells(spark, sf_dir)))
+
+
+def scan_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 + A4: row key and the c:name column."""
+    s = C.scan_column(C.scan_family(customer_cells(spark, sf_dir), ["c"]), "c", "name")
+    return s.select(F.col("rowkey").cast("string").alias("row"), F.col("value").cast("string").alias("value"))
+
+
+def sort_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: (row, name) sorted by row key text."""
+    s = C.scan_column(customer_cells(spark, sf_dir), "c", "name")
+    s = s.select(F.col("rowkey").cast("string").alias("row"), F.col("value").cast("string").alias("value"))
+    return C.sort_by_key(s, "row")
+
+
+def first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 10 rows by row key (a top-k: the limit is the feature)."""
+    s = C.scan_column(customer_cells(spark, sf_dir), "c", "name")
+    return C.first_n(s, 10, ["rowkey"]).select(F.col("rowkey").cast("string").alias("row"),
+                                               F.col("value").cast("string").alias("value"))

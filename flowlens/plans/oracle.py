@@ -157,3 +157,144 @@ SELECT pkt_id,
             WHEN k = 8 OR (k = 9 AND r = 0) THEN 0
             ELSE proto_v END AS TINYINT) AS proto
 FROM g"""
+
+
+# --- keys ---------------------------------------------------------------
+
+_TH = ("lower(lpad(hex(sip), 8, '0') || lpad(hex(dip), 8, '0') || lpad(hex(sport), 4, '0') "
+       "|| lpad(hex(dport), 4, '0') || lpad(hex(proto), 2, '0'))")
+_SUFFIX = "substr(md5(CAST(pkt_id AS VARCHAR)), 1, 8)"
+
+
+def _tuple_rows_sql() -> str:
+    return frame_cte() + f""", t AS (SELECT pkt_id, ts_sec, ts_usec, {TUPLE_SQL} FROM g),
+th AS (SELECT *, {_TH} AS th FROM t)
+"""
+
+
+def import_keys_sql(dataset_id: int = 7) -> str:
+    return _tuple_rows_sql() + f"""
+SELECT pkt_id, lower(md5(unhex(th)) || lpad(hex({dataset_id}), 4, '0') || lpad(hex(ts_sec), 8, '0')
+       || lpad(hex(ts_usec), 8, '0') || th || {_SUFFIX}) AS rowkey, 43 AS key_len
+FROM th"""
+
+
+def timeslot_keys_sql(source_id: int = 0, width: int = 60) -> str:
+    return _tuple_rows_sql() + f"""
+SELECT pkt_id, lower(md5(unhex(th || lpad(hex(ts_sec // {width}), 8, '0')))
+       || lpad(hex(ts_sec * 1000 + ts_usec // 1000), 16, '0') || lpad(hex({source_id}), 4, '0')
+       || th || {_SUFFIX}) AS rowkey
+FROM th"""
+
+
+def split_keys_sql(dataset_id: int = 7) -> str:
+    return _tuple_rows_sql() + f"""
+SELECT pkt_id, md5(unhex(th)) AS salt, CAST({dataset_id} AS BIGINT) AS dataset_id,
+       CAST(ts_sec AS BIGINT) AS ts_sec, CAST(ts_usec AS BIGINT) AS ts_usec,
+       sip, dip, sport, dport, proto, {_SUFFIX} AS suffix
+FROM th"""
+
+
+def key_buckets_sql(lo: int = 0x01010101, hi: int = 0xFFFFFFFF, n: int = 15) -> str:
+    inc = (hi - lo) // n
+    return _tuple_rows_sql() + f"""
+SELECT pkt_id, CAST(CASE WHEN v < {lo} THEN 0 ELSE least((v - {lo}) // {inc}, {n - 1}) END AS INTEGER)
+       AS bucket
+FROM (SELECT pkt_id, ('0x' || substr(md5(unhex(th)), 1, 8))::BIGINT AS v FROM th)"""
+
+
+# --- index, record keys, flows -------------------------------------------
+
+def with_index_sql() -> str:
+    return "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders"
+
+
+def _record_key_sql(idx: str) -> str:
+    return (f"lower(lpad(hex(CAST((({idx}) // 1200) % 15 AS BIGINT)), 4, '0') "
+            f"|| lpad(hex(CAST({idx} AS BIGINT)), 8, '0'))")
+
+
+def record_keys_sql() -> str:
+    return f"""
+SELECT l_orderkey, l_linenumber, idx, {_record_key_sql('idx')} AS rowkey
+FROM (SELECT l_orderkey, l_linenumber,
+             row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                                    l_returnflag, l_linestatus) - 1 AS idx FROM lineitem)"""
+
+
+def flow_cells_sql() -> str:
+    vals = ", ".join(f"CAST({c} AS VARCHAR)" for c in
+                     ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"])
+    return f"""
+SELECT {_record_key_sql('idx')} AS rowkey, CAST(pos - 1 AS INTEGER) AS pos, value
+FROM (SELECT idx, unnest(vals) AS value, generate_subscripts(vals, 1) AS pos
+      FROM (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                                             l_returnflag, l_linestatus) - 1 AS idx,
+                   [{vals}] AS vals FROM lineitem))"""
+
+
+# --- cells ----------------------------------------------------------------
+
+def _order_cells_sql() -> str:
+    parts = []
+    for col, q in (("o_orderstatus", "status"), ("o_orderpriority", "priority"), ("o_orderkey", "orderkey")):
+        parts.append(f"SELECT CAST(o_custkey AS VARCHAR) AS row, 'o' AS cf, '{q}' AS cq, "
+                     f"epoch_us(o_orderdate) AS version, CAST({col} AS VARCHAR) AS value FROM orders")
+    return " UNION ALL ".join(parts)
+
+
+def _latest_order_cells_sql() -> str:
+    return f"""(SELECT * FROM ({_order_cells_sql()}) c
+  QUALIFY row_number() OVER (PARTITION BY row, cf, cq ORDER BY version DESC, value DESC) = 1)"""
+
+
+def cells_latest_sql() -> str:
+    return f"SELECT row, cf, cq, version, value FROM {_latest_order_cells_sql()} l"
+
+
+def nested_rows_sql() -> str:
+    return f"""SELECT row, CAST(count(*) AS INTEGER) AS n_cells,
+  string_agg(cf || ':' || cq || '=' || value, ';' ORDER BY cf, cq, value) AS cells
+FROM {_latest_order_cells_sql()} l GROUP BY row"""
+
+
+def row_bytes_sql() -> str:
+    return f"""SELECT row, lower(hex(string_agg(cf || cq || value, '' ORDER BY cf, cq, value))) AS bytes
+FROM {_latest_order_cells_sql()} l GROUP BY row"""
+
+
+def rewrite_column_sql(template: str = "just not test haha at ") -> str:
+    return (f"SELECT CAST(c_custkey AS VARCHAR) AS row, c_name AS old_value, "
+            f"'{template}' || CAST(c_custkey AS VARCHAR) AS new_value FROM customer")
+
+
+def json_puts_sql() -> str:
+    return """
+SELECT CAST(c_custkey AS VARCHAR) AS row, 'c' AS cf, cq, CAST(0 AS BIGINT) AS version, value
+FROM (SELECT c_custkey, 'name' AS cq, c_name AS value FROM customer
+      UNION ALL SELECT c_custkey, 'segment', c_mktsegment FROM customer)
+WHERE NOT (c_custkey % 17 = 0 OR c_custkey % 23 = 0)"""
+
+
+def json_rejects_sql() -> str:
+    return "SELECT count(*) AS n_rejects FROM customer WHERE c_custkey % 17 = 0 OR c_custkey % 23 = 0"
+
+
+def _customer_cells_sql() -> str:
+    return """(SELECT CAST(c_custkey AS VARCHAR) AS row, 'c' AS cf, 'name' AS cq, CAST(1 AS BIGINT) AS version,
+        c_name AS value FROM customer
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'c', 'nation', 1, CAST(c_nationkey AS VARCHAR) FROM customer
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'c', 'segment', 1, c_mktsegment FROM customer)"""
+
+
+def table_dump_sql() -> str:
+    return f"SELECT row, cf, cq, version, value FROM {_customer_cells_sql()} c"
+
+
+def scan_column_sql() -> str:
+    return "SELECT CAST(c_custkey AS VARCHAR) AS row, c_name AS value FROM customer"
+
+
+def first_n_sql() -> str:
+    return ("SELECT CAST(c_custkey AS VARCHAR) AS row, c_name AS value FROM customer "
+            "ORDER BY CAST(c_custkey AS VARCHAR) LIMIT 10")
