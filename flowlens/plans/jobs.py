@@ -260,3 +260,19 @@ def first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = C.scan_column(customer_cells(spark, sf_dir), "c", "name")
     return C.first_n(s, 10, ["rowkey"]).select(F.col("rowkey").cast("string").alias("row"),
                                                F.col("value").cast("string").alias("value"))
+
+
+# --- capture files (A1, A2) ------------------------------------------------
+
+from flowlens.sources.capture import read_capture, write_capture  # noqa: E402
+
+ROUNDTRIP_CHUNK_BYTES = 65536
+
+
+def capture_roundtrip(spark: SparkSession, sf_dir: str, chunk_bytes: int = ROUNDTRIP_CHUNK_BYTES) -> DataFrame:
+    """A1 + A2: event frames -> capture files -> chunked parallel read ->
+    decoded 5-tuples with capture timestamps and lengths."""
+    path = work_dir(spark, "capture")
+    write_capture(event_frames(spark, sf_dir).sortWithinPartitions("ts_sec", "ts_usec", "pkt_id"), path)
+    pk = decode_packets(read_capture(spark, path, chunk_bytes))
+    return pk.select("ts_sec", "ts_usec", "orig_len", F.octet_length("raw").alias("caplen"), *five_tuple_cols())

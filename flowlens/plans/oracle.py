@@ -298,3 +298,24 @@ def scan_column_sql() -> str:
 def first_n_sql() -> str:
     return ("SELECT CAST(c_custkey AS VARCHAR) AS row, c_name AS value FROM customer "
             "ORDER BY CAST(c_custkey AS VARCHAR) LIMIT 10")
+
+
+# --- capture files ---------------------------------------------------------
+
+FRAME_LEN_SQL = """CASE
+    WHEN k <= 4 THEN 14 + (CASE WHEN v = 4 THEN 4 ELSE 0 END) + ihl_v * 4
+                     + (CASE WHEN v = 3 THEN 32 ELSE 20 END) + plen
+    WHEN k <= 7 THEN 14 + (CASE WHEN v = 7 THEN 8 ELSE 0 END) + 20 + 8 + plen
+    WHEN v = 8 THEN 14 + 40 + 20 + plen
+    WHEN k = 8 THEN 14 + 40 + 8 + 8 + plen
+    WHEN r = 0 THEN 42
+    WHEN r = 2 THEN 10
+    ELSE 14 + 20 + 8 + plen END"""
+
+
+def capture_roundtrip_sql() -> str:
+    return frame_cte() + f"""
+SELECT CAST(ts_sec AS BIGINT) AS ts_sec, CAST(ts_usec AS INTEGER) AS ts_usec,
+       CAST(CASE WHEN k = 9 AND r = 2 THEN 60 ELSE {FRAME_LEN_SQL} END AS INTEGER) AS orig_len,
+       CAST({FRAME_LEN_SQL} AS INTEGER) AS caplen, {TUPLE_SQL}
+FROM g"""

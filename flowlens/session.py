@@ -63,3 +63,42 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``flowlens`` importable in Python workers (data sources, pandas
+    functions): zip the package once per SparkContext and ``addPyFile`` it,
+    which distributes it to every executor. The zip is staged under the
+    shared checkpoint root."""
+    import io
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    root = _checkpoint_root(spark)
+    local_root = root.replace("file:", "", 1) if root.startswith("file:") or "://" not in root else None
+    if local_root is not None:
+        os.makedirs(local_root, exist_ok=True)
+        target = os.path.join(local_root, f"flowlens-{key}-{uuid.uuid4().hex[:8]}.zip")
+        with open(target, "wb") as fh:
+            fh.write(buf.getvalue())
+    else:
+        import pyarrow.fs as pafs
+        fs, p = pafs.FileSystem.from_uri(root)
+        target = f"{root}/flowlens-{key}-{uuid.uuid4().hex[:8]}.zip"
+        with fs.open_output_stream(f"{p}/{os.path.basename(target)}") as out:
+            out.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
