@@ -276,3 +276,50 @@ def capture_roundtrip(spark: SparkSession, sf_dir: str, chunk_bytes: int = ROUND
     write_capture(event_frames(spark, sf_dir).sortWithinPartitions("ts_sec", "ts_usec", "pkt_id"), path)
     pk = decode_packets(read_capture(spark, path, chunk_bytes))
     return pk.select("ts_sec", "ts_usec", "orig_len", F.octet_length("raw").alias("caplen"), *five_tuple_cols())
+
+
+# --- streaming (A6, A10, J1-J7, C7) ------------------------------------------
+
+from flowlens.streaming import packets as S  # noqa: E402
+
+
+def _stream_input(spark: SparkSession, sf_dir: str) -> str:
+    """Broker-shaped records made from the event frames, as a file-stream folder."""
+    base = work_dir(spark, "stream")
+    S.packet_records(event_frames(spark, sf_dir)).write.parquet(f"{base}/in/data")
+    return base
+
+
+def stream_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + J4 + J5: per-minute record counts from a stream (bounded replay:
+    run on the data, then on one closing record that moves event time past
+    every real window)."""
+    base = _stream_input(spark, sf_dir)
+    out, ck = f"{base}/out", f"{base}/ck"
+    for part in ("data", "close"):
+        if part == "close":
+            S.closing_record(spark).write.parquet(f"{base}/in/close")
+        q = S.run_to_files(S.minute_counts_stream(S.read_packet_stream(spark, f"{base}/in")), out, ck)
+        q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_idle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + C7: per-minute counts emitted on a 2-second idle timeout
+    (1-second micro-batches; waits for the timeouts, then stops)."""
+    base = _stream_input(spark, sf_dir)
+    out, ck = f"{base}/out", f"{base}/ck"
+    n = spark.read.parquet(f"{base}/in/data").count()
+    q = S.run_to_files(S.idle_flush_counts(S.read_packet_stream(spark, f"{base}/in")), out, ck,
+                       available_now=False)
+    S.wait_for_output(spark, q, out, n)
+    return spark.read.parquet(out)
+
+
+def stream_packet_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7 + A10: stream of records -> time-slot keyed packet cells in a table."""
+    base = _stream_input(spark, sf_dir)
+    out, ck = f"{base}/out", f"{base}/ck"
+    q = S.run_to_files(S.packet_key_stream(S.read_packet_stream(spark, f"{base}/in")), out, ck)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(hex_lower(F.col("rowkey")).alias("rowkey"))

@@ -319,3 +319,17 @@ SELECT CAST(ts_sec AS BIGINT) AS ts_sec, CAST(ts_usec AS INTEGER) AS ts_usec,
        CAST(CASE WHEN k = 9 AND r = 2 THEN 60 ELSE {FRAME_LEN_SQL} END AS INTEGER) AS orig_len,
        CAST({FRAME_LEN_SQL} AS INTEGER) AS caplen, {TUPLE_SQL}
 FROM g"""
+
+
+# --- streaming -------------------------------------------------------------
+
+def stream_minute_counts_sql() -> str:
+    return "SELECT date_trunc('minute', ts) AS minute, count(*) AS count FROM events GROUP BY 1"
+
+
+def stream_packet_keys_sql(source_id: int = 0, width: int = 60, topic: str = "test") -> str:
+    return _tuple_rows_sql() + f"""
+SELECT lower(md5(unhex(th || lpad(hex(ts_sec // {width}), 8, '0')))
+       || lpad(hex(ts_sec * 1000 + ts_usec // 1000), 16, '0') || lpad(hex({source_id}), 4, '0')
+       || th || substr(md5('{topic}/0/' || CAST(pkt_id AS VARCHAR)), 1, 8)) AS rowkey
+FROM th"""
