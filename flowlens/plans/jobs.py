@@ -323,3 +323,34 @@ def stream_packet_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = S.run_to_files(S.packet_key_stream(S.read_packet_stream(spark, f"{base}/in")), out, ck)
     q.awaitTermination()
     return spark.read.parquet(out).select(hex_lower(F.col("rowkey")).alias("rowkey"))
+
+
+# --- generators and ML (L1, L2, L3, D2, B17) ---------------------------------
+
+from flowlens.operators import points as P  # noqa: E402
+
+
+def _point_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One generated point per event (the table sets the count)."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("i"))
+
+
+def poisson_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 + B17: 2-d Poisson points (means 50 and 20) keyed '%06d'."""
+    return P.poisson_points(_point_ids(spark, sf_dir), "i")
+
+
+def cluster_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: points around 4 centres (radius 10) keyed '%06d'."""
+    return P.cluster_points(_point_ids(spark, sf_dir), "i")
+
+
+def merge_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both point sets merged per key."""
+    ids = _point_ids(spark, sf_dir)
+    return P.merge_points(P.poisson_points(ids, "i"), P.cluster_points(ids, "i"))
+
+
+def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3: KMeans (k=4, 20 iterations) on the cluster points."""
+    return P.kmeans_fit(P.cluster_points(_point_ids(spark, sf_dir), "i"), 4, 20)

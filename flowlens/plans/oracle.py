@@ -333,3 +333,47 @@ SELECT lower(md5(unhex(th || lpad(hex(ts_sec // {width}), 8, '0')))
        || lpad(hex(ts_sec * 1000 + ts_usec // 1000), 16, '0') || lpad(hex({source_id}), 4, '0')
        || th || substr(md5('{topic}/0/' || CAST(pkt_id AS VARCHAR)), 1, 8)) AS rowkey
 FROM th"""
+
+
+# --- generators --------------------------------------------------------------
+
+def _dbl(x: float) -> str:
+    return format(x, ".17e")
+
+
+def _uniform_sql(seed: int, stream: str, id_sql: str) -> str:
+    return (f"((('0x' || substr(md5('{seed}:{stream}:' || CAST({id_sql} AS VARCHAR)), 1, 13))::BIGINT + 0.5)"
+            f" / 4503599627370496.0)")
+
+
+def _normal_sql(seed: int, stream: str, id_sql: str) -> str:
+    u1, u2 = _uniform_sql(seed, stream + "/a", id_sql), _uniform_sql(seed, stream + "/b", id_sql)
+    return f"(sqrt({_dbl(-2.0)} * ln({u1})) * cos({_dbl(2.0 * 3.141592653589793)} * {u2}))"
+
+
+def _poisson_sql(mean: float, u: str) -> str:
+    from flowlens.operators.points import poisson_cdf
+    lst = ", ".join(_dbl(c) for c in poisson_cdf(mean))
+    return f"CAST(len(list_filter([{lst}], lambda c: c <= {u})) AS DOUBLE)"
+
+
+def poisson_points_sql(seed: int = 42) -> str:
+    return (f"SELECT printf('%06d', event_id) AS key, "
+            f"{_poisson_sql(50.0, _uniform_sql(seed, 'poisson/x', 'event_id'))} AS x, "
+            f"{_poisson_sql(20.0, _uniform_sql(seed, 'poisson/y', 'event_id'))} AS y FROM events")
+
+
+def cluster_points_sql(seed: int = 42) -> str:
+    from flowlens.operators.points import cluster_centers
+    cs = cluster_centers(seed=seed)
+    cols = []
+    for t, name in enumerate(("x", "y")):
+        arr = ", ".join(_dbl(c[t]) for c in cs)
+        cols.append(f"round([{arr}][(event_id % {len(cs)}) + 1] + {_normal_sql(seed, f'point/{t}', 'event_id')}, 6)"
+                    f" AS {name}")
+    return f"SELECT printf('%06d', event_id) AS key, {', '.join(cols)} FROM events"
+
+
+def merge_points_sql(seed: int = 42) -> str:
+    return f"""SELECT b.key, b.x AS bx, b.y AS by, k.x AS kx, k.y AS ky
+FROM ({poisson_points_sql(seed)}) b FULL OUTER JOIN ({cluster_points_sql(seed)}) k ON b.key = k.key"""
