@@ -56,12 +56,16 @@ def _c(name: str) -> Column:
 PAD_BYTES = 64   # zero tail so fixed-size reads never come back short
 
 
-def _rd(p: Column, off, n: int) -> Column:
-    """Unsigned big-endian read from the zero-padded frame. References
-    ``off`` once, so expressions stay linear in size however Catalyst
-    inlines them (a guarded read would double the tree at every level)."""
-    off = off if isinstance(off, Column) else F.lit(off)
-    return F.conv(F.hex(p.substr(off + 1, F.lit(n))), 16, 10).cast("bigint" if n > 2 else "int")
+def _rd(off: str, n: int, p: str = "_d_p") -> str:
+    """SQL: unsigned big-endian read of ``n`` bytes at 0-based ``off`` from
+    the zero-padded frame. It references ``off`` once, so expressions stay
+    linear in size however Catalyst inlines them (a guarded read would double
+    the tree at every level)."""
+    return f"CAST(conv(hex(substr({p}, ({off}) + 1, {n})), 16, 10) AS {'BIGINT' if n > 2 else 'INT'})"
+
+
+def _in(col: str, values) -> str:
+    return f"{col} IN ({', '.join(str(v) for v in values)})"
 
 
 def decode_packets(df: DataFrame, raw: str = "raw") -> DataFrame:
@@ -71,132 +75,116 @@ def decode_packets(df: DataFrame, raw: str = "raw") -> DataFrame:
 
     Reads go to the frame padded with ``PAD_BYTES`` zeros; every layer is
     accepted only after an explicit length check against the real length, so
-    padding never leaks into a field.
+    padding never leaks into a field. Each stage is one ``selectExpr`` (SQL
+    text): one call into the JVM per stage instead of one per expression
+    node.
     """
-    b = F.col(raw)
-    p = _c("p")
-    d = df.select("*", F.octet_length(b).alias(_t("n")),
-                  F.concat(b, F.unhex(F.lit("00" * PAD_BYTES))).alias(_t("p")))
-    n = _c("n")
+    b = f"`{raw}`"
+    pad = "00" * PAD_BYTES
+    d = df.selectExpr("*", f"octet_length({b}) AS _d_n", f"concat({b}, unhex('{pad}')) AS _d_p")
     # 1. skip up to two VLAN tags -> EtherType and network-layer offset.
-    d = d.select("*", _rd(p, 12, 2).alias(_t("e12")), _rd(p, 16, 2).alias(_t("e16")),
-                 _rd(p, 20, 2).alias(_t("e20")))
-    vl = lambda c: c.isin(*VLAN_ETHERTYPES)
-    tags = (F.when(n < 14, None).when(~vl(_c("e12")), 0)
-            .when(~vl(_c("e16")) & (n >= 18), 1).when(~vl(_c("e20")) & (n >= 22), 2))
-    d = d.select("*", tags.alias(_t("tags")))
-    etype = F.element_at(F.array(_c("e12"), _c("e16"), _c("e20")), _c("tags") + 1)
-    d = d.select("*", etype.alias(_t("etype")), (F.lit(14) + _c("tags") * 4).alias(_t("l3")))
-    l3 = _c("l3")
+    d = d.selectExpr("*", f"{_rd('12', 2)} AS _d_e12", f"{_rd('16', 2)} AS _d_e16", f"{_rd('20', 2)} AS _d_e20")
+    vl = VLAN_ETHERTYPES
+    d = d.selectExpr("*", f"""CASE WHEN _d_n < 14 THEN NULL
+        WHEN NOT {_in('_d_e12', vl)} THEN 0
+        WHEN NOT {_in('_d_e16', vl)} AND _d_n >= 18 THEN 1
+        WHEN NOT {_in('_d_e20', vl)} AND _d_n >= 22 THEN 2 END AS _d_tags""")
+    d = d.selectExpr("*", "element_at(array(_d_e12, _d_e16, _d_e20), _d_tags + 1) AS _d_etype",
+                     "14 + _d_tags * 4 AS _d_l3")
     # 2. network layer: version/IHL byte and the fields later steps need.
-    d = d.select("*", _rd(p, l3, 1).alias(_t("b0")))
-    ver, ihl = F.shiftright(_c("b0"), 4), _c("b0").bitwiseAND(F.lit(15))
-    d = d.select(
+    d = d.selectExpr("*", f"{_rd('_d_l3', 1)} AS _d_b0")
+    d = d.selectExpr(
         "*",
-        F.coalesce((_c("etype") == ETHERTYPE_IPV4) & (ver == 4) & (ihl >= 5)
-                   & (n >= l3 + ihl * 4), F.lit(False)).alias(_t("v4")),
-        F.coalesce((_c("etype") == ETHERTYPE_IPV6) & (ver == 6) & (n >= l3 + 40),
-                   F.lit(False)).alias(_t("v6")),
-        (ihl * 4).alias(_t("hl")),
-        _rd(p, l3 + 2, 2).alias(_t("tot")),
-        _rd(p, l3 + 6, 2).alias(_t("ff")),
-        _rd(p, l3 + 9, 1).alias(_t("proto")),
-        _rd(p, l3 + 4, 2).alias(_t("plen6")),
-        _rd(p, l3 + 6, 1).alias(_t("nh0")),
-        (l3 + 40).alias(_t("off0")),
-        F.lit(False).alias(_t("frag0")),
+        f"coalesce(_d_etype = {ETHERTYPE_IPV4} AND shiftright(_d_b0, 4) = 4 AND (_d_b0 & 15) >= 5 "
+        f"AND _d_n >= _d_l3 + (_d_b0 & 15) * 4, false) AS _d_v4",
+        f"coalesce(_d_etype = {ETHERTYPE_IPV6} AND shiftright(_d_b0, 4) = 6 AND _d_n >= _d_l3 + 40, false) AS _d_v6",
+        "(_d_b0 & 15) * 4 AS _d_hl",
+        f"{_rd('_d_l3 + 2', 2)} AS _d_tot",
+        f"{_rd('_d_l3 + 6', 2)} AS _d_ff",
+        f"{_rd('_d_l3 + 9', 1)} AS _d_proto",
+        f"{_rd('_d_l3 + 4', 2)} AS _d_plen6",
+        f"{_rd('_d_l3 + 6', 1)} AS _d_nh0",
+        "_d_l3 + 40 AS _d_off0",
+        "false AS _d_frag0",
     )
-    v4, v6 = _c("v4"), _c("v6")
     # 3. IPv6 extension-header walk, one projection per step.
     for i in range(MAX_IPV6_EXT):
-        nh, off, fr = _c(f"nh{i}"), _c(f"off{i}"), _c(f"frag{i}")
-        is_ext, is_frag = nh.isin(*IPV6_EXT_HEADERS), nh == IPV6_FRAGMENT
-        hop = F.when(is_ext, (_rd(p, off + 1, 1) + 1) * 8).when(is_frag, 8).otherwise(0)
-        d = d.select(
+        nh, off, fr = f"_d_nh{i}", f"_d_off{i}", f"_d_frag{i}"
+        is_ext, is_frag = _in(nh, IPV6_EXT_HEADERS), f"{nh} = {IPV6_FRAGMENT}"
+        d = d.selectExpr(
             "*",
-            F.when(is_ext | is_frag, _rd(p, off, 1)).otherwise(nh).alias(_t(f"nh{i + 1}")),
-            (off + hop).alias(_t(f"off{i + 1}")),
-            (fr | (is_frag & (_rd(p, off + 2, 2).bitwiseAND(F.lit(0xFFF9)) != 0))).alias(_t(f"frag{i + 1}")),
+            f"CASE WHEN {is_ext} OR {is_frag} THEN {_rd(off, 1)} ELSE {nh} END AS _d_nh{i + 1}",
+            f"{off} + CASE WHEN {is_ext} THEN ({_rd(off + ' + 1', 1)} + 1) * 8 WHEN {is_frag} THEN 8 ELSE 0 END"
+            f" AS _d_off{i + 1}",
+            f"{fr} OR ({is_frag} AND ({_rd(off + ' + 2', 2)} & {0xFFF9}) != 0) AS _d_frag{i + 1}",
         )
     last = MAX_IPV6_EXT
-    nh_l, off_l = _c(f"nh{last}"), _c(f"off{last}")
+    nh_l, off_l = f"_d_nh{last}", f"_d_off{last}"
     # 4. transport-layer protocol, offset and end bound.
-    hl, tot, plen6 = _c("hl"), _c("tot"), _c("plen6")
-    d = d.select(
+    d = d.selectExpr(
         "*",
-        F.when(v4, _c("proto")).when(
-            v6 & ~nh_l.isin(*IPV6_EXT_HEADERS, IPV6_FRAGMENT) & (off_l <= n), nh_l).alias(_t("l4p")),
-        F.when(v4, l3 + hl).when(v6, off_l).alias(_t("l4")),
-        F.when(v4, F.least(n, F.when(tot >= hl, l3 + tot).otherwise(n)))
-         .when(v6, F.least(n, F.when(plen6 > 0, l3 + 40 + plen6).otherwise(n))).alias(_t("l4end")),
-        F.when(v4, _c("ff").bitwiseAND(F.lit(0x3FFF)) != 0).when(v6, _c(f"frag{last}"))
-         .otherwise(True).alias(_t("frag")),
+        f"CASE WHEN _d_v4 THEN _d_proto WHEN _d_v6 AND NOT {_in(nh_l, IPV6_EXT_HEADERS + (IPV6_FRAGMENT,))} "
+        f"AND {off_l} <= _d_n THEN {nh_l} END AS _d_l4p",
+        f"CASE WHEN _d_v4 THEN _d_l3 + _d_hl WHEN _d_v6 THEN {off_l} END AS _d_l4",
+        "CASE WHEN _d_v4 THEN least(_d_n, CASE WHEN _d_tot >= _d_hl THEN _d_l3 + _d_tot ELSE _d_n END) "
+        "WHEN _d_v6 THEN least(_d_n, CASE WHEN _d_plen6 > 0 THEN _d_l3 + 40 + _d_plen6 ELSE _d_n END) "
+        "END AS _d_l4end",
+        f"CASE WHEN _d_v4 THEN (_d_ff & {0x3FFF}) != 0 WHEN _d_v6 THEN _d_frag{last} ELSE true END AS _d_frag",
     )
-    l4, l4end = _c("l4"), _c("l4end")
-    d = d.select("*", _rd(p, l4 + 12, 1).alias(_t("tb12")), _rd(p, l4 + 13, 1).alias(_t("tb13")))
-    doff = F.shiftright(_c("tb12"), 4)
+    d = d.selectExpr("*", f"{_rd('_d_l4 + 12', 1)} AS _d_tb12", f"{_rd('_d_l4 + 13', 1)} AS _d_tb13")
     # The layer flags leave through a one-row generator: a predicate on them
     # (has_tcp, ...) then stays above it instead of being rewritten through
     # every offset projection down to the scan, which would duplicate the
     # whole offset chain into one Filter (too big for codegen).
-    flags = F.struct(
-        (n >= 14).alias("decodable"),
-        v4.alias("has_ipv4"), v6.alias("has_ipv6"),
-        F.coalesce(~_c("frag") & (_c("l4p") == IPPROTO_TCP) & (doff >= 5) & (l4end >= l4 + doff * 4),
-                   F.lit(False)).alias("has_tcp"),
-        F.coalesce(~_c("frag") & (_c("l4p") == IPPROTO_UDP) & (l4end >= l4 + 8),
-                   F.lit(False)).alias("has_udp"),
-        (_c("frag") & (v4 | v6)).alias("fragment"),
-    )
-    d = d.select("*", F.inline(F.array(flags)))
-    v4, v6 = F.col("has_ipv4"), F.col("has_ipv6")
+    d = d.selectExpr("*", f"""inline(array(named_struct(
+        'decodable', _d_n >= 14,
+        'has_ipv4', _d_v4,
+        'has_ipv6', _d_v6,
+        'has_tcp', coalesce(NOT _d_frag AND _d_l4p = {IPPROTO_TCP} AND shiftright(_d_tb12, 4) >= 5
+                            AND _d_l4end >= _d_l4 + shiftright(_d_tb12, 4) * 4, false),
+        'has_udp', coalesce(NOT _d_frag AND _d_l4p = {IPPROTO_UDP} AND _d_l4end >= _d_l4 + 8, false),
+        'fragment', _d_frag AND (_d_v4 OR _d_v6))))""")
     # 5. layer structs; fields a job does not use are pruned by Catalyst.
-    ff = _c("ff")
-    ipv4 = F.when(v4, F.struct(
-        _rd(p, l3 + 12, 4).alias("src"),
-        _rd(p, l3 + 16, 4).alias("dst"),
-        F.lit(4).alias("version"),
-        F.shiftright(hl, 2).alias("ihl"),
-        _rd(p, l3 + 1, 1).alias("tos"),
-        tot.alias("total_length"),
-        _rd(p, l3 + 4, 2).alias("identification"),
-        (ff.bitwiseAND(F.lit(0x4000)) != 0).alias("df"),
-        (ff.bitwiseAND(F.lit(0x2000)) != 0).alias("mf"),
-        ff.bitwiseAND(F.lit(0x1FFF)).alias("frag_offset"),
-        _rd(p, l3 + 8, 1).alias("ttl"),
-        _c("proto").alias("protocol"),
-        b.substr(l3 + 21, hl - 20).alias("options"),
-    ))
-    ipv6 = F.when(v6, F.struct(
-        F.lower(F.hex(b.substr(l3 + 9, F.lit(16)))).alias("src"),
-        F.lower(F.hex(b.substr(l3 + 25, F.lit(16)))).alias("dst"),
-        _c("nh0").alias("next_header"),
-        _rd(p, l3 + 7, 1).alias("hop_limit"),
-        plen6.alias("payload_length"),
-    ))
-    tb13 = _c("tb13")
-    tcp = F.when(F.col("has_tcp"), F.struct(
-        _rd(p, l4, 2).alias("sport"),
-        _rd(p, l4 + 2, 2).alias("dport"),
-        _rd(p, l4 + 4, 4).alias("seq"),
-        (F.shiftleft(_c("tb12").bitwiseAND(F.lit(15)), 2).bitwiseOR(F.shiftright(tb13, 6))).alias("reserved"),
-        tb13.alias("flags"),
-        (doff * 4).alias("header_length"),
-        b.substr(l4 + 21, doff * 4 - 20).alias("options"),
-    ))
-    udp = F.when(F.col("has_udp"), F.struct(
-        _rd(p, l4, 2).alias("sport"),
-        _rd(p, l4 + 2, 2).alias("dport"),
-        _rd(p, l4 + 4, 2).alias("length"),
-    ))
-    eth = F.when(n >= 14, F.struct(
-        F.lower(F.hex(b.substr(F.lit(1), F.lit(6)))).alias("dst"),
-        F.lower(F.hex(b.substr(F.lit(7), F.lit(6)))).alias("src"),
-        _c("etype").alias("ethertype"),
-        _c("tags").alias("vlan_tags"),
-    ))
-    d = d.select("*", eth.alias("eth"), ipv4.alias("ipv4"), ipv6.alias("ipv6"),
-                 tcp.alias("tcp"), udp.alias("udp"))
+    d = d.selectExpr(
+        "*",
+        f"""CASE WHEN has_ipv4 THEN named_struct(
+            'src', {_rd('_d_l3 + 12', 4)},
+            'dst', {_rd('_d_l3 + 16', 4)},
+            'version', 4,
+            'ihl', shiftright(_d_hl, 2),
+            'tos', {_rd('_d_l3 + 1', 1)},
+            'total_length', _d_tot,
+            'identification', {_rd('_d_l3 + 4', 2)},
+            'df', (_d_ff & {0x4000}) != 0,
+            'mf', (_d_ff & {0x2000}) != 0,
+            'frag_offset', _d_ff & {0x1FFF},
+            'ttl', {_rd('_d_l3 + 8', 1)},
+            'protocol', _d_proto,
+            'options', substr({b}, _d_l3 + 21, _d_hl - 20)) END AS ipv4""",
+        f"""CASE WHEN has_ipv6 THEN named_struct(
+            'src', lower(hex(substr({b}, _d_l3 + 9, 16))),
+            'dst', lower(hex(substr({b}, _d_l3 + 25, 16))),
+            'next_header', _d_nh0,
+            'hop_limit', {_rd('_d_l3 + 7', 1)},
+            'payload_length', _d_plen6) END AS ipv6""",
+        f"""CASE WHEN has_tcp THEN named_struct(
+            'sport', {_rd('_d_l4', 2)},
+            'dport', {_rd('_d_l4 + 2', 2)},
+            'seq', {_rd('_d_l4 + 4', 4)},
+            'reserved', shiftleft(_d_tb12 & 15, 2) | shiftright(_d_tb13, 6),
+            'flags', _d_tb13,
+            'header_length', shiftright(_d_tb12, 4) * 4,
+            'options', substr({b}, _d_l4 + 21, shiftright(_d_tb12, 4) * 4 - 20)) END AS tcp""",
+        f"""CASE WHEN has_udp THEN named_struct(
+            'sport', {_rd('_d_l4', 2)},
+            'dport', {_rd('_d_l4 + 2', 2)},
+            'length', {_rd('_d_l4 + 4', 2)}) END AS udp""",
+        f"""CASE WHEN decodable THEN named_struct(
+            'dst', lower(hex(substr({b}, 1, 6))),
+            'src', lower(hex(substr({b}, 7, 6))),
+            'ethertype', _d_etype,
+            'vlan_tags', _d_tags) END AS eth""",
+    )
     return d.drop(*[c for c in d.columns if c.startswith(_TMP)])
 
 

@@ -61,18 +61,19 @@ def poisson_cdf(mean: float) -> list[float]:
         p = p * mean / k
 
 
-def poisson(mean: float, u: Column) -> Column:
-    """Inverse CDF: the first k with u < P(X <= k) (= the number of CDF
-    entries <= u), as a balanced binary search of nested CASEs: ~log2(table)
-    comparisons per value, all in generated code (a higher-order ``filter``
-    over the table would run interpreted)."""
+def poisson_sql(mean: float, u: str) -> str:
+    """Inverse CDF for the uniform column ``u``: the first k with
+    u < P(X <= k) (= the number of CDF entries <= u), as SQL text of a
+    balanced binary search of nested CASEs: ~log2(table) comparisons per
+    value, all in generated code (a higher-order ``filter`` over the table
+    would run interpreted)."""
     cdf = poisson_cdf(mean)
 
-    def search(lo: int, hi: int) -> Column:
+    def search(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(float(lo))
+            return f"{float(lo)}D"
         mid = (lo + hi) // 2
-        return F.when(u < F.lit(cdf[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+        return f"CASE WHEN {u} < {cdf[mid]!r}D THEN {search(lo, mid)} ELSE {search(mid + 1, hi)} END"
     return search(0, len(cdf) - 1)
 
 
@@ -81,8 +82,7 @@ def poisson_points(base: DataFrame, id_col: str, means=POISSON_MEANS, seed: int
     i = F.col(id_col)
     us = base.select(F.format_string("%06d", i).alias("key"),
                      uniform(seed, "poisson/x", i).alias("_ux"), uniform(seed, "poisson/y", i).alias("_uy"))
-    return us.select("key", poisson(means[0], F.col("_ux")).alias("x"),
-                     poisson(means[1], F.col("_uy")).alias("y"))
+    return us.selectExpr("key", f"{poisson_sql(means[0], '_ux')} AS x", f"{poisson_sql(means[1], '_uy')} AS y")
 
 
 def cluster_centers(k: int = CLUSTER_K, d: int = CLUSTER_DIM, r: float = CLUSTER_R,

@@ -12,6 +12,7 @@ from flowlens.operators.features import packet_features as _packet_features
 from flowlens.operators.stats import count_protocols as _count_protocols
 from flowlens.operators.stats import count_rows, session_counts as _session_counts
 from flowlens.sources.frames import event_frames, lineitem_frames
+from flowlens.sources.tables import read_table
 
 
 def decoded_event_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,20 +126,20 @@ FLOW_VALUE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l
 
 def with_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense 0-based index of orders by order key."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
     return sorted_dense_index(o, ["o_orderkey"], "idx")
 
 
 def record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Salted record key of each lineitem row by its dense index."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*FLOW_VALUE_COLUMNS)
+    li = read_table(spark, sf_dir, "lineitem").select(*FLOW_VALUE_COLUMNS)
     ix = sorted_dense_index(li, FLOW_VALUE_COLUMNS, "idx")
     return ix.select("l_orderkey", "l_linenumber", "idx", hex_lower(record_key(F.col("idx"))).alias("rowkey"))
 
 
 def write_flow_json(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Lineitem rows as flow records (JSON Lines), in key order."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = read_table(spark, sf_dir, "lineitem")
     # (orderkey, linenumber) is not unique in these tables: order by every
     # value column, so rows that tie are identical records.
     rec = li.orderBy(*FLOW_VALUE_COLUMNS).select(
@@ -170,14 +171,14 @@ CUSTOMER_CELL_COLUMNS = {"c_name": "name", "c_nationkey": "nation", "c_mktsegmen
 
 def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as versioned cells of their customer's row (version = order date)."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    o = read_table(spark, sf_dir, "orders")
     o = o.select(F.col("o_custkey"), epoch_micros(F.col("o_orderdate")).alias("ver"),
                  *[F.col(c).alias(q) for c, q in ORDER_CELL_COLUMNS.items()])
     return C.to_cells(o, "o_custkey", "o", list(ORDER_CELL_COLUMNS.values()), F.col("ver"))
 
 
 def customer_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    c = read_table(spark, sf_dir, "customer")
     c = c.select("c_custkey", *[F.col(k).alias(q) for k, q in CUSTOMER_CELL_COLUMNS.items()])
     return C.to_cells(c, "c_custkey", "c", list(CUSTOMER_CELL_COLUMNS.values()), 1)
 
@@ -202,7 +203,7 @@ def rewrite_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A12 + B18 + A9: write name cells, append a rewritten version of each,
     report old and new values."""
     path = work_dir(spark, "cells")
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.col("c_name").alias("name"))
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"))
     put_cells(C.to_cells(c, "c_custkey", "f1", ["name"], 1), path)
     put_cells(C.rewrite_versions(read_cells(spark, path, ["f1"]), "f1", "name", 2), path)
     return C.old_and_new(read_cells(spark, path, ["f1"]), "f1", "name", 2)
@@ -211,7 +212,7 @@ def rewrite_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON put text per customer; every 17th key has a wrong shape and every
     23rd is cut short, to exercise the reject path."""
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    c = read_table(spark, sf_dir, "customer")
     row = F.col("c_custkey").cast("string")
     good = F.to_json(F.struct(row.alias("row"), F.array(
         F.struct(F.lit("c").alias("cf"), F.lit("name").alias("cl"), F.col("c_name").alias("v")),
@@ -332,7 +333,7 @@ from flowlens.operators import points as P  # noqa: E402
 
 def _point_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generated point per event (the table sets the count)."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("i"))
+    return read_table(spark, sf_dir, "events").select(F.col("event_id").alias("i"))
 
 
 def poisson_points(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -154,8 +154,12 @@ def lineitem_frame_rows(lineitem: DataFrame) -> DataFrame:
 
 
 def event_frames(spark, sf_dir: str) -> DataFrame:
-    return frames_from_rows(event_frame_rows(spark.read.parquet(f"{sf_dir}/events.parquet")))
+    from flowlens.sources.tables import read_table
+    cols = ["event_id", "ts", "user_id", "event_type", "props"]
+    return frames_from_rows(event_frame_rows(read_table(spark, sf_dir, "events", cols)))
 
 
 def lineitem_frames(spark, sf_dir: str) -> DataFrame:
-    return frames_from_rows(lineitem_frame_rows(spark.read.parquet(f"{sf_dir}/lineitem.parquet")))
+    from flowlens.sources.tables import read_table
+    cols = ["l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_partkey", "l_returnflag", "l_linestatus"]
+    return frames_from_rows(lineitem_frame_rows(read_table(spark, sf_dir, "lineitem", cols)))

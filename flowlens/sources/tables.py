@@ -80,3 +80,24 @@ def demo_rows(spark: SparkSession, n: int = 1000) -> DataFrame:
     """I -> (text i, i + 1) for i in 1..n, generated in parallel."""
     return spark.range(1, n + 1).select(F.col("id").cast("string").alias("row"),
                                          (F.col("id") + 1).alias("name"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when a scan has fewer partitions than the
+    cluster has task slots (e.g. a single-row-group file), so CPU-heavy
+    narrow work (frame building, decoding, hashing) uses every core. A large
+    input already has more splits than slots and is left as it is: no
+    shuffle is added at scale. ``df`` must be a plain scan (its partition
+    count is then known without running a job)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A driver table (Parquet), column-pruned, spread over the task slots."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    return spread(df)
