@@ -82,14 +82,25 @@ def demo_rows(spark: SparkSession, n: int = 1000) -> DataFrame:
                                          (F.col("id") + 1).alias("name"))
 
 
+SPREAD_MIN_BYTES = 256 << 10   # smallest input slice worth a task of its own
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition when a scan has fewer partitions than the
     cluster has task slots (e.g. a single-row-group file), so CPU-heavy
-    narrow work (frame building, decoding, hashing) uses every core. A large
-    input already has more splits than slots and is left as it is: no
-    shuffle is added at scale. ``df`` must be a plain scan (its partition
-    count is then known without running a job)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    narrow work (frame building, decoding, hashing) uses every core.
+
+    The target is the slot count, capped at one partition per
+    ``SPREAD_MIN_BYTES`` of input (planner size estimate, no job), so a small
+    table is not cut into thousands of slivers on a large cluster. A large
+    input already has more splits than that and is left as it is: no shuffle
+    is added at scale. ``df`` must be a plain scan (its partition count is
+    then known without running a job). Round-robin output is made
+    retry-safe by Spark's local sort before repartitioning
+    (``spark.sql.execution.sortBeforeRepartition``)."""
+    slots = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    target = max(1, min(slots, size // SPREAD_MIN_BYTES))
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
