@@ -126,34 +126,39 @@ FLOW_VALUE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l
 
 def with_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense 0-based index of orders by order key."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    # no spread: the range exchange of the sort already spreads the rows
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
     return sorted_dense_index(o, ["o_orderkey"], "idx")
 
 
 def record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Salted record key of each lineitem row by its dense index."""
-    li = read_table(spark, sf_dir, "lineitem").select(*FLOW_VALUE_COLUMNS)
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*FLOW_VALUE_COLUMNS)
     ix = sorted_dense_index(li, FLOW_VALUE_COLUMNS, "idx")
     return ix.select("l_orderkey", "l_linenumber", "idx", hex_lower(record_key(F.col("idx"))).alias("rowkey"))
 
 
-def write_flow_json(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Lineitem rows as flow records (JSON Lines), in key order."""
-    li = read_table(spark, sf_dir, "lineitem")
+def flow_records(li: DataFrame) -> DataFrame:
+    """Lineitem rows as flow records, in key order."""
     # (orderkey, linenumber) is not unique in these tables: order by every
     # value column, so rows that tie are identical records.
-    rec = li.orderBy(*FLOW_VALUE_COLUMNS).select(
+    return li.orderBy(*FLOW_VALUE_COLUMNS).select(
         F.lit(False).alias("sparse"),
         F.array(*[F.col(c).cast("string") for c in FLOW_VALUE_COLUMNS]).alias("values"),
         F.lit(1.0).cast("float").alias("weight"))
-    rec.write.mode("overwrite").json(path)
+
+
+def flow_json_path(spark: SparkSession, sf_dir: str) -> str:
+    """The flow dataset as JSON Lines, derived once from `lineitem`."""
+    from flowlens.sources.tables import derived_table_path, input_fingerprint
+    fp = f"{input_fingerprint(spark, f'{sf_dir}/lineitem.parquet')}|{FLOW_VALUE_COLUMNS}"
+    return derived_table_path(spark, "flows-lineitem", fp,
+                              lambda: flow_records(spark.read.parquet(f"{sf_dir}/lineitem.parquet")), fmt="json")
 
 
 def flow_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7 + B12 + B13: flow dataset -> positional cells under record keys."""
-    path = work_dir(spark, "flows")
-    write_flow_json(spark, sf_dir, path)
-    cells = flow_values_to_cells(read_flow_json(spark, path))
+    cells = flow_values_to_cells(read_flow_json(spark, flow_json_path(spark, sf_dir)))
     return cells.select(hex_lower(F.col("rowkey")).alias("rowkey"),
                         F.conv(F.hex("cq"), 16, 10).cast("int").alias("pos"),
                         F.col("value").cast("string").alias("value"))
@@ -284,34 +289,37 @@ def capture_roundtrip(spark: SparkSession, sf_dir: str, chunk_bytes: int = ROUND
 from flowlens.streaming import packets as S  # noqa: E402
 
 
-def _stream_input(spark: SparkSession, sf_dir: str) -> str:
-    """Broker-shaped records made from the event frames, as a file-stream folder."""
-    base = work_dir(spark, "stream")
-    S.packet_records(event_frames(spark, sf_dir)).write.parquet(f"{base}/in/data")
-    return base
+def _stream_records(spark: SparkSession, sf_dir: str) -> str:
+    """Broker-shaped records made from the event frames (a file-stream
+    folder), derived once per input."""
+    from flowlens.sources.frames import _layout_version
+    from flowlens.sources.tables import derived_table_path, input_fingerprint
+    fp = f"{input_fingerprint(spark, f'{sf_dir}/events.parquet')}|{_layout_version()}"
+    return derived_table_path(spark, "stream-records-events", fp,
+                              lambda: S.packet_records(event_frames(spark, sf_dir)))
 
 
 def stream_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J2 + J4 + J5: per-minute record counts from a stream (bounded replay:
-    run on the data, then on one closing record that moves event time past
-    every real window)."""
-    base = _stream_input(spark, sf_dir)
-    out, ck = f"{base}/out", f"{base}/ck"
-    for part in ("data", "close"):
-        if part == "close":
-            S.closing_record(spark).write.parquet(f"{base}/in/close")
-        q = S.run_to_files(S.minute_counts_stream(S.read_packet_stream(spark, f"{base}/in")), out, ck)
-        q.awaitTermination()
-    return spark.read.parquet(out)
+    """J2 + J4 + J5: per-minute record counts from a stream. A bounded replay
+    adds one closing record (far in the future) in the same micro-batch, so
+    the watermark passes every real window and append mode emits them all."""
+    data = _stream_records(spark, sf_dir)
+    base = work_dir(spark, "stream")
+    S.closing_record(spark).write.parquet(f"{base}/close")
+    src = S.read_packet_stream(spark, data).unionByName(S.read_packet_stream(spark, f"{base}/close"))
+    q = S.run_to_files(S.minute_counts_stream(src), f"{base}/out", f"{base}/ck")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
 
 
 def stream_idle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 + C7: per-minute counts emitted on a 2-second idle timeout
     (1-second micro-batches; waits for the timeouts, then stops)."""
-    base = _stream_input(spark, sf_dir)
+    data = _stream_records(spark, sf_dir)
+    base = work_dir(spark, "stream")
     out, ck = f"{base}/out", f"{base}/ck"
-    n = spark.read.parquet(f"{base}/in/data").count()
-    q = S.run_to_files(S.idle_flush_counts(S.read_packet_stream(spark, f"{base}/in")), out, ck,
+    n = spark.read.parquet(data).count()
+    q = S.run_to_files(S.idle_flush_counts(S.read_packet_stream(spark, data)), out, ck,
                        available_now=False)
     S.wait_for_output(spark, q, out, n)
     return spark.read.parquet(out)
@@ -319,9 +327,10 @@ def stream_idle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_packet_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + A10: stream of records -> time-slot keyed packet cells in a table."""
-    base = _stream_input(spark, sf_dir)
+    data = _stream_records(spark, sf_dir)
+    base = work_dir(spark, "stream")
     out, ck = f"{base}/out", f"{base}/ck"
-    q = S.run_to_files(S.packet_key_stream(S.read_packet_stream(spark, f"{base}/in")), out, ck)
+    q = S.run_to_files(S.packet_key_stream(S.read_packet_stream(spark, data)), out, ck)
     q.awaitTermination()
     return spark.read.parquet(out).select(hex_lower(F.col("rowkey")).alias("rowkey"))
 

@@ -153,13 +153,27 @@ def lineitem_frame_rows(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def _layout_version() -> str:
+    """Hash of this module's source: part of the packet table fingerprint."""
+    import hashlib
+    with open(__file__, "rb") as f:
+        return hashlib.sha1(f.read()).hexdigest()[:12]
+
+
+def _packet_table(spark, sf_dir: str, table: str, cols: list[str], to_rows) -> DataFrame:
+    from flowlens.sources.tables import derived_table, input_fingerprint, read_table
+    fp = f"{input_fingerprint(spark, f'{sf_dir}/{table}.parquet')}|{_layout_version()}"
+    return derived_table(spark, f"packets-{table}", fp,
+                         lambda: frames_from_rows(to_rows(read_table(spark, sf_dir, table, cols))))
+
+
 def event_frames(spark, sf_dir: str) -> DataFrame:
-    from flowlens.sources.tables import read_table
+    """Packet table made from `events` (built once per input, then scanned)."""
     cols = ["event_id", "ts", "user_id", "event_type", "props"]
-    return frames_from_rows(event_frame_rows(read_table(spark, sf_dir, "events", cols)))
+    return _packet_table(spark, sf_dir, "events", cols, event_frame_rows)
 
 
 def lineitem_frames(spark, sf_dir: str) -> DataFrame:
-    from flowlens.sources.tables import read_table
+    """Packet table made from `lineitem` (built once per input, then scanned)."""
     cols = ["l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_partkey", "l_returnflag", "l_linestatus"]
-    return frames_from_rows(lineitem_frame_rows(read_table(spark, sf_dir, "lineitem", cols)))
+    return _packet_table(spark, sf_dir, "lineitem", cols, lineitem_frame_rows)

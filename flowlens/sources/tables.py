@@ -112,3 +112,53 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     if columns:
         df = df.select(*columns)
     return spread(df)
+
+
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def derived_table(spark: SparkSession, name: str, fingerprint: str, build, partition_by=None,
+                  fmt: str = "parquet") -> DataFrame:
+    """See ``derived_table_path``; returns the table as a DataFrame."""
+    path = derived_table_path(spark, name, fingerprint, build, partition_by, fmt)
+    return spark.read.format(fmt).load(path)
+
+
+def derived_table_path(spark: SparkSession, name: str, fingerprint: str, build, partition_by=None,
+                       fmt: str = "parquet") -> str:
+    """A table Spark derives from the inputs, written once under the shared
+    checkpoint root and reused (like the reference's import job writing the
+    packet table its analysis jobs scan).
+
+    ``fingerprint`` names the inputs and the code that builds the table, so a
+    changed input or layout gets a new table. The table is written to a
+    temporary folder and renamed into place, so a reader never sees a
+    partial table and concurrent builders cannot corrupt each other.
+    """
+    import hashlib
+    import uuid
+    from flowlens.session import _checkpoint_root
+    key = hashlib.sha1(fingerprint.encode()).hexdigest()[:16]
+    final = f"{_checkpoint_root(spark)}/flowlens/tables/{name}-{key}"
+    fs, fpath, jvm = _hadoop_fs(spark, final)
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(final + "/_SUCCESS")):
+        return final
+    tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
+    w = build().write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(tmp)
+    fs.mkdirs(fpath.getParent())
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), fpath):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)   # another builder won
+    return final
+
+
+def input_fingerprint(spark: SparkSession, path: str) -> str:
+    """Path, size and modification time of an input file or folder."""
+    fs, p, _ = _hadoop_fs(spark, path)
+    st = fs.getFileStatus(p)
+    return f"{path}:{st.getLen()}:{st.getModificationTime()}"

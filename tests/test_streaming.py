@@ -13,7 +13,9 @@ def test_minute_counts_equal_batch(spark):
 
 
 def test_restart_from_checkpoint_no_duplicates(spark):
-    base = jobs._stream_input(spark, SF_SMALL)
+    from flowlens.session import work_dir
+    base = work_dir(spark, "restart-test")
+    S.packet_records(jobs.event_frames(spark, SF_SMALL)).write.parquet(f"{base}/in/data")
     out, ck = f"{base}/out", f"{base}/ck"
     q = S.run_to_files(S.packet_key_stream(S.read_packet_stream(spark, f"{base}/in")), out, ck)
     q.awaitTermination()
