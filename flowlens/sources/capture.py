@@ -169,6 +169,13 @@ def read_chunk(ch: Chunk, failfast: bool = False):
         yield batch()
 
 
+# The data source hops headers in its planner (one driver-side process) only
+# for small inputs; beyond these bounds it plans whole-file partitions, and
+# ``read_capture`` indexes large inputs with a Spark job instead.
+DRIVER_HOP_MAX_FILES = 64
+DRIVER_HOP_MAX_BYTES = 4 << 30
+
+
 class CaptureReader(DataSourceReader):
     def __init__(self, options):
         self.path = options.get("path")
@@ -176,9 +183,12 @@ class CaptureReader(DataSourceReader):
         self.failfast = options.get("mode", "PERMISSIVE").upper() == "FAILFAST"
 
     def partitions(self):
+        files = list_captures(self.path)
+        hop = (self.chunk_bytes > 0 and len(files) <= DRIVER_HOP_MAX_FILES
+               and sum(sz for _, sz in files) <= DRIVER_HOP_MAX_BYTES)
         parts: list[Chunk] = []
-        for uri, size in list_captures(self.path):
-            parts.extend(plan_chunks(uri, size, self.chunk_bytes, self.failfast))
+        for uri, size in files:
+            parts.extend(plan_chunks(uri, size, self.chunk_bytes if hop else 0, self.failfast))
         return parts or [Chunk("", 0, 0, 0, 0, "<", False)]
 
     def read(self, partition: Chunk):
@@ -260,8 +270,62 @@ def register(spark) -> None:
     spark.dataSource.register(CaptureDataSource)
 
 
-def read_capture(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTES, failfast: bool = False):
-    """A1 + A2: capture file(s) -> packets DataFrame."""
+CHUNK_SCHEMA = "uri STRING, start BIGINT, end BIGINT, count BIGINT, first_ordinal BIGINT, order STRING, nanos BOOLEAN"
+PACKET_SCHEMA = SCHEMA_DDL
+
+
+def _index_files(chunk_bytes: int, failfast: bool):
+    def fn(batches):
+        import pandas as pd
+        for pdf in batches:
+            rows = []
+            for uri, size in zip(pdf["uri"], pdf["size"]):
+                for c in plan_chunks(uri, int(size), chunk_bytes, failfast):
+                    rows.append((c.uri, c.start, c.end, c.count, c.first_ordinal, c.order, c.nanos))
+            yield pd.DataFrame(rows, columns=["uri", "start", "end", "count", "first_ordinal", "order", "nanos"])
+    return fn
+
+
+def _read_chunks(failfast: bool):
+    def fn(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                ch = Chunk(r["uri"], r["start"], r["end"], r["count"], r["first_ordinal"], r["order"], r["nanos"])
+                yield from read_chunk(ch, failfast)
+    return fn
+
+
+def read_capture_indexed(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTES, failfast: bool = False):
+    """A1 + A2 for large inputs: the header hop is a Spark job (one task per
+    file, in parallel), producing a small chunk table (one row per
+    ``chunk_bytes`` of packets); chunks are then read in parallel. Nothing
+    but file names and chunk offsets passes through the driver."""
+    from flowlens.session import ship_package
+    ship_package(spark)
+    files = list_captures(path)
+    if not files:
+        return spark.createDataFrame([], PACKET_SCHEMA)
+    fdf = spark.createDataFrame(files, "uri STRING, size BIGINT").repartition(len(files))
+    chunks = fdf.mapInPandas(_index_files(chunk_bytes, failfast), CHUNK_SCHEMA)
+    chunks = chunks.checkpoint()          # a small table; fixes the chunk list for retries
+    n = chunks.count()
+    return chunks.repartition(max(1, n)).mapInArrow(_read_chunks(failfast), PACKET_SCHEMA)
+
+
+def read_capture(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTES, failfast: bool = False,
+                 index: str = "auto"):
+    """A1 + A2: capture file(s) -> packets DataFrame.
+
+    ``index``: ``driver`` plans chunks in the data source (small inputs),
+    ``spark`` indexes with a Spark job (many or large files), ``auto`` picks
+    by the number and size of the files.
+    """
+    if index == "auto":
+        files = list_captures(path)
+        small = len(files) <= DRIVER_HOP_MAX_FILES and sum(sz for _, sz in files) <= DRIVER_HOP_MAX_BYTES
+        index = "driver" if small or chunk_bytes <= 0 else "spark"
+    if index == "spark":
+        return read_capture_indexed(spark, path, chunk_bytes, failfast)
     register(spark)
     return (spark.read.format("pcap").option("chunkBytes", str(chunk_bytes))
             .option("mode", "FAILFAST" if failfast else "PERMISSIVE").load(path))

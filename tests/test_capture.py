@@ -85,3 +85,15 @@ def test_write_then_read_folder(spark, tmp):
     files = sorted(f for f in os.listdir(out) if f.endswith(".pcap"))
     assert len(files) == 3 and not os.path.exists(os.path.join(out, "_temporary"))
     assert rows(read_capture(spark, out, 64)) == WANT
+
+
+@pytest.mark.parametrize("chunk", [1, 100, 10_000])
+def test_spark_indexed_read_equals_driver_read(spark, tmp, chunk):
+    for i in range(3):
+        write_file(os.path.join(tmp, f"f{i}.pcap"), "<" if i % 2 else ">", nanos=(i == 2))
+    a = read_capture(spark, tmp, chunk, index="spark")
+    b = read_capture(spark, tmp, chunk, index="driver")
+    key = lambda r: (r.capture, r.ordinal)
+    ra = sorted(((r.capture, r.ordinal, r.ts_sec, r.ts_usec, r.orig_len, bytes(r.raw)) for r in a.collect()))
+    rb = sorted(((r.capture, r.ordinal, r.ts_sec, r.ts_usec, r.orig_len, bytes(r.raw)) for r in b.collect()))
+    assert ra == rb and len(ra) == 3 * len(PKTS)
