@@ -364,3 +364,24 @@ def merge_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L3: KMeans (k=4, 20 iterations) on the cluster points."""
     return P.kmeans_fit(P.cluster_points(_point_ids(spark, sf_dir), "i"), 4, 20)
+
+
+# --- packet table import and scan (A9, A14, A3, B8, B16) ------------------------
+
+from flowlens.sources.tables import create_packet_table, read_packets, write_packets  # noqa: E402
+
+
+def packet_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The import job end to end: frames -> import keys -> packet table
+    range-partitioned by key and partitioned by key region -> full scan ->
+    packets and bytes per region."""
+    path = work_dir(spark, "packet-table")
+    create_packet_table(spark, f"packets_{abs(hash(path)) % 10**8}", path)
+    t = decoded_event_packets(spark, sf_dir).select("pkt_id", "ts_sec", "ts_usec", "orig_len", "raw",
+                                                    *five_tuple_cols())
+    keyed = t.select(import_key(_tuple13(), F.lit(DATASET_ID), F.col("ts_sec"), F.col("ts_usec"),
+                                lineage_suffix("pkt_id")).alias("rowkey"), "raw", "orig_len")
+    write_packets(keyed, path)
+    pk = read_packets(spark, path)
+    return pk.groupBy("key_bucket").agg(F.count(F.lit(1)).alias("packets"),
+                                        F.sum("orig_len").alias("bytes"))

@@ -377,3 +377,14 @@ def cluster_points_sql(seed: int = 42) -> str:
 def merge_points_sql(seed: int = 42) -> str:
     return f"""SELECT b.key, b.x AS bx, b.y AS by, k.x AS kx, k.y AS ky
 FROM ({poisson_points_sql(seed)}) b FULL OUTER JOIN ({cluster_points_sql(seed)}) k ON b.key = k.key"""
+
+
+def packet_import_sql(lo: int = 0x01010101, hi: int = 0xFFFFFFFF, n: int = 15) -> str:
+    inc = (hi - lo) // n
+    return frame_cte() + f""", t AS (SELECT pkt_id, {TUPLE_SQL},
+    CAST(CASE WHEN k = 9 AND r = 2 THEN 60 ELSE {FRAME_LEN_SQL} END AS BIGINT) AS orig_len FROM g),
+th AS (SELECT *, {_TH} AS th FROM t)
+SELECT CAST(CASE WHEN v < {lo} THEN 0 ELSE least((v - {lo}) // {inc}, {n - 1}) END AS INTEGER) AS key_bucket,
+       count(*) AS packets, sum(orig_len) AS bytes
+FROM (SELECT orig_len, ('0x' || substr(md5(unhex(th)), 1, 8))::BIGINT AS v FROM th)
+GROUP BY 1"""

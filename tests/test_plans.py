@@ -65,3 +65,18 @@ def test_results_do_not_depend_on_session_time_zone(spark, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r["ok"], r
+
+
+def test_packet_table_region_pruning(spark, tmp):
+    from pyspark.sql import functions as F
+    from flowlens.sources.tables import read_packets, write_packets
+    df = spark.range(0, 2000, 1, 4).select(
+        F.unhex(F.md5(F.col("id").cast("string"))).alias("rowkey"),
+        F.unhex(F.lit("00")).alias("raw"), F.lit(1).alias("orig_len"))
+    write_packets(df, tmp)
+    pruned = read_packets(spark, tmp, [3, 4])
+    p = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket" in p and "IN (3,4)" in p
+    total = read_packets(spark, tmp).count()
+    assert total == 2000
+    assert pruned.count() == read_packets(spark, tmp).filter(F.col("key_bucket").isin(3, 4)).count()
