@@ -120,11 +120,24 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+_HANDLES: dict[tuple, tuple[DataFrame, str]] = {}
+
+
 def derived_table(spark: SparkSession, name: str, fingerprint: str, build, partition_by=None,
                   fmt: str = "parquet") -> DataFrame:
-    """See ``derived_table_path``; returns the table as a DataFrame."""
+    """See ``derived_table_path``; returns the table as a DataFrame. A
+    published table never changes, so its DataFrame handle is kept per
+    session (no re-listing and footer reads on every job)."""
+    key = (spark.sparkContext.applicationId, name, fingerprint, fmt)
+    hit = _HANDLES.get(key)
+    if hit is not None:
+        fs, _, jvm = _hadoop_fs(spark, hit[1])
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(hit[1] + "/_SUCCESS")):
+            return hit[0]
     path = derived_table_path(spark, name, fingerprint, build, partition_by, fmt)
-    return spark.read.format(fmt).load(path)
+    df = spark.read.format(fmt).load(path)
+    _HANDLES[key] = (df, path)
+    return df
 
 
 def derived_table_path(spark: SparkSession, name: str, fingerprint: str, build, partition_by=None,
