@@ -126,47 +126,58 @@ def plan_chunks(uri: str, size: int, chunk_bytes: int, failfast: bool = False) -
 
 
 def read_chunk(ch: Chunk, failfast: bool = False):
-    """Yield Arrow record batches for one chunk."""
+    """Yield Arrow record batches for one chunk.
+
+    Only the 16-byte record headers are walked in Python (the layout is
+    sequential); payloads are never sliced one by one: a numpy mask removes
+    the headers from the chunk and the Arrow binary column is built directly
+    from the payload buffer and an offsets array.
+    """
+    import numpy as np
     import pyarrow as pa
     fs, p = _fs(ch.uri)
     with fs.open_input_file(p) as f:
         data = f.read_at(ch.end - ch.start, ch.start)
     hdr = struct.Struct(ch.order + "IIII")
-    n, pos, ordinal = len(data), 0, ch.first_ordinal
-    cols = ([], [], [], [], [])
-    div = 1000 if ch.nanos else 1
-
-    def batch():
-        ts, us, ol, raw, ordl = cols
-        b = pa.RecordBatch.from_arrays(
-            [pa.array(ts, pa.int64()), pa.array(us, pa.int32()), pa.array(ol, pa.int32()),
-             pa.array(raw, pa.binary()), pa.array([ch.uri] * len(ts), pa.string()),
-             pa.array(ordl, pa.int64())],
-            names=["ts_sec", "ts_usec", "orig_len", "raw", "capture", "ordinal"])
-        for c in cols:
-            c.clear()
-        return b
-
-    while pos + RECORD_HEADER_LEN <= n and (ch.count < 0 or ordinal - ch.first_ordinal < ch.count):
-        s, frac, incl, orig = hdr.unpack_from(data, pos)
-        body = pos + RECORD_HEADER_LEN
-        if body + incl > n:
+    n, pos = len(data), 0
+    starts: list[int] = []
+    limit = ch.count if ch.count >= 0 else (1 << 62)
+    while pos + RECORD_HEADER_LEN <= n and len(starts) < limit:
+        incl = hdr.unpack_from(data, pos)[2]
+        if pos + RECORD_HEADER_LEN + incl > n:
             if failfast:
                 raise ValueError(f"{ch.uri}: truncated record at byte {ch.start + pos}")
             break
-        cols[0].append(s)
-        cols[1].append(frac // div)
-        cols[2].append(orig)
-        cols[3].append(data[body:body + incl])
-        cols[4].append(ordinal)
-        ordinal += 1
-        pos = body + incl
-        if len(cols[0]) >= BATCH_ROWS:
-            yield batch()
+        starts.append(pos)
+        pos += RECORD_HEADER_LEN + incl
     if pos < n and failfast and ch.count < 0:
         raise ValueError(f"{ch.uri}: truncated record at byte {ch.start + pos}")
-    if cols[0]:
-        yield batch()
+    if not starts:
+        return
+    buf = np.frombuffer(data, dtype=np.uint8, count=pos)
+    h = np.asarray(starts, dtype=np.int64)
+    dt = np.dtype([("s", ch.order + "u4"), ("f", ch.order + "u4"), ("i", ch.order + "u4"), ("o", ch.order + "u4")])
+    heads = np.empty(len(h), dtype=dt)
+    hb = buf[(h[:, None] + np.arange(RECORD_HEADER_LEN)).ravel()].reshape(len(h), RECORD_HEADER_LEN)
+    heads[:] = np.frombuffer(np.ascontiguousarray(hb).tobytes(), dtype=dt)
+    keep = np.ones(pos, dtype=bool)
+    keep[(h[:, None] + np.arange(RECORD_HEADER_LEN)).ravel()] = False
+    payload = buf[keep]
+    offsets = np.zeros(len(h) + 1, dtype=np.int64)
+    np.cumsum(heads["i"].astype(np.int64), out=offsets[1:])
+    frac = heads["f"].astype(np.int64) // (1000 if ch.nanos else 1)
+    for a in range(0, len(h), BATCH_ROWS):
+        b = min(a + BATCH_ROWS, len(h))
+        off = offsets[a:b + 1] - offsets[a]
+        raw = pa.BinaryArray.from_buffers(
+            pa.binary(), b - a, [None, pa.py_buffer(off.astype(np.int32)),
+                                 pa.py_buffer(payload[offsets[a]:offsets[b]])])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(heads["s"][a:b].astype(np.int64)), pa.array(frac[a:b].astype(np.int32)),
+             pa.array(heads["o"][a:b].astype(np.int32)), raw,
+             pa.array([ch.uri] * (b - a), pa.string()),
+             pa.array(np.arange(ch.first_ordinal + a, ch.first_ordinal + b, dtype=np.int64))],
+            names=["ts_sec", "ts_usec", "orig_len", "raw", "capture", "ordinal"])
 
 
 # The data source hops headers in its planner (one driver-side process) only
@@ -204,6 +215,40 @@ class _Written(WriterCommitMessage):
     packets: int
 
 
+def _records_bytes(batch) -> bytes:
+    """One Arrow batch (ts_sec, ts_usec, orig_len, raw) -> capture records:
+    the 16-byte headers are built as a numpy array and inserted in front of
+    every payload of the Arrow values buffer in one ``np.insert``."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    m = batch.num_rows
+    if m == 0:
+        return b""
+    raw = batch.column(batch.schema.get_field_index("raw"))
+    if raw.null_count:
+        raw = pc.fill_null(raw, pa.scalar(b"", pa.binary()))
+    raw = pa.concat_arrays([raw]) if raw.offset else raw
+    lens = pc.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.int64)
+    offs = np.frombuffer(raw.buffers()[1], dtype=np.int32, count=m + 1).astype(np.int64)
+    vals = raw.buffers()[2]
+    body = (np.frombuffer(vals, dtype=np.uint8)[offs[0]:offs[-1]] if vals is not None
+            else np.zeros(0, dtype=np.uint8))
+    def col(name):
+        return batch.column(batch.schema.get_field_index(name)).fill_null(0).to_numpy(zero_copy_only=False)
+    orig_arr = batch.column(batch.schema.get_field_index("orig_len"))
+    orig = pc.if_else(pc.is_null(orig_arr), pa.array(lens, pa.int64()), orig_arr.cast(pa.int64()))
+    orig = orig.to_numpy(zero_copy_only=False).astype(np.int64)
+    heads = np.empty(m, dtype=[("s", "<u4"), ("f", "<u4"), ("i", "<u4"), ("o", "<u4")])
+    heads["s"] = col("ts_sec").astype(np.int64) & 0xFFFFFFFF
+    heads["f"] = col("ts_usec").astype(np.int64)
+    heads["i"] = lens
+    heads["o"] = orig
+    hb = heads.view(np.uint8).reshape(m, RECORD_HEADER_LEN)
+    at = np.repeat(offs[:-1] - offs[0], RECORD_HEADER_LEN)
+    return np.insert(body, at, hb.ravel()).tobytes()
+
+
 class CaptureWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.path = options.get("path")
@@ -218,16 +263,12 @@ class CaptureWriter(DataSourceArrowWriter):
         tmp_dir = posixpath.join(root, "_temporary")
         fs.create_dir(tmp_dir, recursive=True)
         tmp = posixpath.join(tmp_dir, f"part-{pid:05d}-{attempt}.pcap")
-        rec = struct.Struct("<IIII")
         n = 0
         with fs.open_output_stream(tmp) as out:
             out.write(struct.pack("<IHHiIII", MAGIC_MICROS, 2, 4, 0, 0, self.snaplen, LINKTYPE_ETHERNET))
             for batch in iterator:
-                d = batch.to_pydict()
-                for s, us, ol, raw in zip(d["ts_sec"], d["ts_usec"], d["orig_len"], d["raw"]):
-                    out.write(rec.pack(s & 0xFFFFFFFF, us, len(raw), ol if ol is not None else len(raw)))
-                    out.write(raw)
-                    n += 1
+                out.write(_records_bytes(batch))
+                n += batch.num_rows
         return _Written(tmp, posixpath.join(root, f"part-{pid:05d}.pcap"), n)
 
     def commit(self, messages):
