@@ -89,7 +89,8 @@ def split_key(key: Column, layout: str = "import") -> Column:
     return F.struct(*fields)
 
 
-RECORD_SALTS = 15        # record key salt = (index div 1200) mod 15
+# Fixed values (the reference's record key): salt = (index div 1200) mod 15.
+RECORD_SALTS = 15
 RECORD_SALT_SPAN = 1200
 
 

@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TWO52 = float(1 << 52)
-POISSON_MEANS = (50.0, 20.0)     # the reference's two rates
+# Fixed values (the reference's generator parameters): Poisson rates 50
+# and 20; 4 clusters in 2 dimensions with radius 10.
+POISSON_MEANS = (50.0, 20.0)
 CLUSTER_K, CLUSTER_DIM, CLUSTER_R = 4, 2, 10.0
 DEFAULT_SEED = 42
 ROUND_DIGITS = 6

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from flowlens.operators.decode import five_tuple_cols
 
-SESSION_BUCKETS = 100     # bucket = slot mod 100 (hot-spot salt of the session key)
+# Fixed value: session bucket = slot mod 100 (the reference's key salt).
+SESSION_BUCKETS = 100
 
 
 def count_protocols(pk: DataFrame) -> DataFrame:

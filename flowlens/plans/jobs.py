@@ -66,9 +66,12 @@ from flowlens.functions.keys import (  # noqa: E402
 )
 from flowlens.operators.decode import five_tuple_cols  # noqa: E402
 
-DATASET_ID = 7          # dataset id stamped into import keys by these jobs
-SOURCE_ID = 0           # source id of time-slot keys (the reference passes 0)
-SLOT_WIDTH_S = 60       # time-slot width of time-slot keys (the reference passes 60)
+# Fixed values (the reference's call sites): time-slot keys use source id 0
+# and 60-second slots; key regions as the table pre-split. DATASET_ID is our
+# choice (the reference takes it from the command line).
+DATASET_ID = 7
+SOURCE_ID = 0
+SLOT_WIDTH_S = 60
 BUCKET_LO, BUCKET_HI, BUCKET_N = 0x01010101, 0xFFFFFFFF, 15
 
 

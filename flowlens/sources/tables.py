@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from flowlens.functions.keys import key_range_bucket, split_points
 from flowlens.operators.cells import CELL_COLUMNS
 
-# Packet table pre-split: 15 regions over the first 4 key bytes, the range
-# the reference's feature table uses (0x01010101 .. 0xFFFFFFFF), in unsigned
-# arithmetic.
+# Fixed values (the reference's table pre-split): 15 regions over the first
+# 4 key bytes, from 0x01010101 to 0xFFFFFFFF; unsigned arithmetic here.
 PACKET_SPLIT_LO = 0x01010101
 PACKET_SPLIT_HI = 0xFFFFFFFF
 PACKET_REGIONS = 15
@@ -99,7 +98,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     retry-safe by Spark's local sort before repartitioning
     (``spark.sql.execution.sortBeforeRepartition``)."""
     slots = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:   # the planner's size estimate of the scan (file sizes; no job runs)
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimate unavailable: do not cap
+        size = slots * SPREAD_MIN_BYTES
     target = max(1, min(slots, size // SPREAD_MIN_BYTES))
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)

@@ -33,10 +33,13 @@ from flowlens.operators.decode import decode_packets, five_tuple_cols
 
 STREAM_SCHEMA = ("key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
                  "timestamp TIMESTAMP")
+# Fixed values (the reference's stream settings): topic, 1-second
+# micro-batches (J1), 5 minutes of retained data (J5), 2-second idle
+# timeout (J3).
 DEFAULT_TOPIC = "test"
-TRIGGER_INTERVAL = "1 second"       # J1: 1-second micro-batches
-RETENTION = "5 minutes"             # J5: how long late records are still counted
-IDLE_TIMEOUT_MS = 2000              # J3: 2-second idle timeout
+TRIGGER_INTERVAL = "1 second"
+RETENTION = "5 minutes"
+IDLE_TIMEOUT_MS = 2000
 MICROS_PER_MINUTE = 60_000_000
 # A record far in the future that closes every real window of a bounded
 # replay (2100-01-01T00:00:00Z in microseconds).
