@@ -374,16 +374,33 @@ def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 from flowlens.sources.tables import create_packet_table, read_packets, write_packets  # noqa: E402
 
 
+def capture_files(spark: SparkSession, sf_dir: str) -> str:
+    """Capture files holding the event frames, written once per input."""
+    from flowlens.sources.capture import CaptureDataSource
+    from flowlens.sources.frames import _layout_version
+    from flowlens.sources.tables import derived_table_path, input_fingerprint
+    from flowlens.sources.capture import register
+    register(spark)
+    fp = f"{input_fingerprint(spark, f'{sf_dir}/events.parquet')}|{_layout_version()}|{CaptureDataSource.name()}"
+    return derived_table_path(
+        spark, "captures-events", fp,
+        lambda: event_frames(spark, sf_dir).sortWithinPartitions("ts_sec", "ts_usec", "pkt_id")
+        .select("ts_sec", "ts_usec", "orig_len", "raw"), fmt="pcap")
+
+
 def packet_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The import job end to end: frames -> import keys -> packet table
-    range-partitioned by key and partitioned by key region -> full scan ->
-    packets and bytes per region."""
+    """The import job end to end (capture -> packet table): capture files
+    read in parallel chunks -> decode -> import keys (suffix from capture
+    file and packet ordinal) -> packet table range-partitioned by key and
+    partitioned by key region -> full scan -> packets and bytes per region."""
     path = work_dir(spark, "packet-table")
     create_packet_table(spark, f"packets_{abs(hash(path)) % 10**8}", path)
-    t = decoded_event_packets(spark, sf_dir).select("pkt_id", "ts_sec", "ts_usec", "orig_len", "raw",
-                                                    *five_tuple_cols())
+    cap = read_capture(spark, capture_files(spark, sf_dir), ROUNDTRIP_CHUNK_BYTES)
+    t = decode_packets(cap).select("capture", "ordinal", "ts_sec", "ts_usec", "orig_len", "raw",
+                                   *five_tuple_cols())
     keyed = t.select(import_key(_tuple13(), F.lit(DATASET_ID), F.col("ts_sec"), F.col("ts_usec"),
-                                lineage_suffix("pkt_id")).alias("rowkey"), "raw", "orig_len")
+                                lineage_suffix(F.element_at(F.split("capture", "/"), -1), "ordinal"))
+                     .alias("rowkey"), "raw", "orig_len")
     write_packets(keyed, path)
     pk = read_packets(spark, path)
     return pk.groupBy("key_bucket").agg(F.count(F.lit(1)).alias("packets"),

@@ -280,6 +280,8 @@ class CaptureWriter(DataSourceArrowWriter):
             if m is not None:
                 fs.move(m.tmp, m.final)
         fs.delete_dir(posixpath.join(root, "_temporary"))
+        with fs.open_output_stream(posixpath.join(root, "_SUCCESS")):
+            pass   # completion marker, as Hadoop output committers write
 
     def abort(self, messages):
         fs, root = _fs(self.path)

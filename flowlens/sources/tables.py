@@ -159,16 +159,29 @@ def derived_table_path(spark: SparkSession, name: str, fingerprint: str, build,
     key = hashlib.sha1(fingerprint.encode()).hexdigest()[:16]
     final = f"{_checkpoint_root(spark)}/flowlens/tables/{name}-{key}"
     fs, fpath, jvm = _hadoop_fs(spark, final)
-    if fs.exists(jvm.org.apache.hadoop.fs.Path(final + "/_SUCCESS")):
+    Path = jvm.org.apache.hadoop.fs.Path
+    done = Path(final + "/_SUCCESS")
+    if fs.exists(done):
         return final
+    if fs.exists(fpath):
+        # Only complete tables are renamed into place (atomically), so a final
+        # folder without the marker is a broken leftover: remove it.
+        fs.delete(fpath, True)
     tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
     w = build().write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(tmp)
     fs.mkdirs(fpath.getParent())
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), fpath):
-        fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)   # another builder won
+    tpath = Path(tmp)
+    moved = fs.rename(tpath, fpath)
+    nested = Path(final + "/" + tpath.getName())
+    if fs.exists(nested):          # another builder published first; rename nested ours
+        fs.delete(nested, True)
+    elif not moved:
+        fs.delete(tpath, True)
+    if not fs.exists(done):
+        raise RuntimeError(f"derived table {final} was not published")
     return final
 
 
