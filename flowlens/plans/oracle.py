@@ -385,6 +385,6 @@ def packet_import_sql(lo: int = 0x01010101, hi: int = 0xFFFFFFFF, n: int = 15) -
     CAST(CASE WHEN k = 9 AND r = 2 THEN 60 ELSE {FRAME_LEN_SQL} END AS BIGINT) AS orig_len FROM g),
 th AS (SELECT *, {_TH} AS th FROM t)
 SELECT CAST(CASE WHEN v < {lo} THEN 0 ELSE least((v - {lo}) // {inc}, {n - 1}) END AS INTEGER) AS key_bucket,
-       count(*) AS packets, sum(orig_len) AS bytes
+       count(*) AS packets, CAST(sum(orig_len) AS BIGINT) AS bytes
 FROM (SELECT orig_len, ('0x' || substr(md5(unhex(th)), 1, 8))::BIGINT AS v FROM th)
 GROUP BY 1"""
