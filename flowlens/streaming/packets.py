@@ -154,16 +154,29 @@ def packet_key_stream(stream: DataFrame, source_id: int = 0, width_s: int = 60)
 
 
 def run_to_files(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
-                 available_now: bool = True, partition_by: list[str] | None = None) -> StreamingQuery:
+                 available_now: bool = True, partition_by: list[str] | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """A10 + J1 + J4: file sink (exactly once via the checkpoint's commit log).
     ``available_now`` processes what is there and stops (bounded runs and
-    tests); otherwise 1-second micro-batches run until stopped."""
+    tests); otherwise 1-second micro-batches run until stopped.
+
+    ``state_partitions`` (default: the cluster's task slots) is the number
+    of state-store partitions of a stateful query. It is fixed in the
+    checkpoint when the query first starts, so it is applied only while the
+    query starts; the session's own setting is restored right after."""
     w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     w = w.outputMode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=TRIGGER_INTERVAL)
-    return w.start()
+    spark = df.sparkSession
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def wait_for_output(spark: SparkSession, q: StreamingQuery, path: str, expected_total: int,
