@@ -7,12 +7,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.operators.decode import decode_packets, five_tuple, five_tuple_fixed_cols
+from flowlens.functions.bytesx import hex_lower
+from flowlens.functions.keys import (
+    import_key, key_range_bucket, lineage_suffix, record_key, split_key, timeslot_key, tuple_bytes,
+)
+from flowlens.functions.timex import epoch_micros
+from flowlens.operators import cells as C
+from flowlens.operators import points as P
+from flowlens.operators.decode import decode_packets, five_tuple, five_tuple_cols, five_tuple_fixed_cols
 from flowlens.operators.features import packet_features as _packet_features
+from flowlens.operators.index import sorted_dense_index
 from flowlens.operators.stats import count_protocols as _count_protocols
 from flowlens.operators.stats import count_rows, session_counts as _session_counts
+from flowlens.session import work_dir
+from flowlens.sources.capture import read_capture, write_capture
 from flowlens.sources.frames import event_frames, lineitem_frames
-from flowlens.sources.tables import read_table
+from flowlens.sources.jsonio import flow_values_to_cells, puts_from_json, read_flow_json
+from flowlens.sources.tables import (
+    create_packet_table, put_cells, read_cells, read_packets, read_table, write_packets,
+)
+from flowlens.streaming import packets as S
 
 
 def decoded_event_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,11 +74,6 @@ def packet_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- keys (B8, B9, B11, B13, B16) -------------------------------------------
 
-from flowlens.functions.bytesx import hex_lower  # noqa: E402
-from flowlens.functions.keys import (  # noqa: E402
-    import_key, key_range_bucket, lineage_suffix, record_key, split_key, timeslot_key, tuple_bytes,
-)
-from flowlens.operators.decode import five_tuple_cols  # noqa: E402
 
 # Fixed values (the reference's call sites): time-slot keys use source id 0
 # and 60-second slots; key regions as the table pre-split. DATASET_ID is our
@@ -120,9 +129,6 @@ def key_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- dense index, record keys, flow dataset (G3, B13, A7, B12) ---------------
 
-from flowlens.operators.index import sorted_dense_index  # noqa: E402
-from flowlens.session import work_dir  # noqa: E402
-from flowlens.sources.jsonio import flow_values_to_cells, puts_from_json, read_flow_json  # noqa: E402
 
 FLOW_VALUE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
 
@@ -169,9 +175,6 @@ def flow_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- cell tables (A3-A5, A8, A9, A11, A12, B14, B15, B18, G1, G2) ------------
 
-from flowlens.functions.timex import epoch_micros  # noqa: E402
-from flowlens.operators import cells as C  # noqa: E402
-from flowlens.sources.tables import put_cells, read_cells  # noqa: E402
 
 ORDER_CELL_COLUMNS = {"o_orderstatus": "status", "o_orderpriority": "priority", "o_orderkey": "orderkey"}
 CUSTOMER_CELL_COLUMNS = {"c_name": "name", "c_nationkey": "nation", "c_mktsegment": "segment"}
@@ -273,7 +276,6 @@ def first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- capture files (A1, A2) ------------------------------------------------
 
-from flowlens.sources.capture import read_capture, write_capture  # noqa: E402
 
 ROUNDTRIP_CHUNK_BYTES = 65536
 
@@ -289,8 +291,6 @@ def capture_roundtrip(spark: SparkSession, sf_dir: str, chunk_bytes: int = ROUND
 
 # --- streaming (A6, A10, J1-J7, C7) ------------------------------------------
 
-from flowlens.streaming import packets as S  # noqa: E402
-
 
 def _stream_records(spark: SparkSession, sf_dir: str) -> str:
     """Broker-shaped records made from the event frames (a file-stream
@@ -340,8 +340,6 @@ def stream_packet_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- generators and ML (L1, L2, L3, D2, B17) ---------------------------------
 
-from flowlens.operators import points as P  # noqa: E402
-
 
 def _point_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generated point per event (the table sets the count)."""
@@ -371,8 +369,6 @@ def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- packet table import and scan (A9, A14, A3, B8, B16) ------------------------
 
-from flowlens.sources.tables import create_packet_table, read_packets, write_packets  # noqa: E402
-
 
 def capture_files(spark: SparkSession, sf_dir: str) -> str:
     """Capture files holding the event frames, written once per input."""

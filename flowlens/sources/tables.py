@@ -163,10 +163,12 @@ def derived_table_path(spark: SparkSession, name: str, fingerprint: str, build,
     done = Path(final + "/_SUCCESS")
     if fs.exists(done):
         return final
-    if fs.exists(fpath):
+    if fs.exists(fpath) and not fs.exists(done):
         # Only complete tables are renamed into place (atomically), so a final
         # folder without the marker is a broken leftover: remove it.
         fs.delete(fpath, True)
+    elif fs.exists(done):          # published by a concurrent builder meanwhile
+        return final
     tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
     w = build().write.mode("overwrite").format(fmt)
     if partition_by:
