@@ -54,11 +54,19 @@ def dense_index(df: DataFrame, block_cols: list[str] | None = None, name: str =
 
 
 def sorted_dense_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> DataFrame:
-    """Index by a global order on ``order_cols`` (unique): range-partition and
-    sort (one shuffle), then ``dense_index`` over the sorted partitions."""
+    """Index by a global order on ``order_cols``: range-partition and sort
+    (one shuffle), then ``dense_index`` over the sorted partitions.
+
+    The scan position of each row is appended as a last sort key: rows that
+    tie on ``order_cols`` (even a third of the table) can then be split by
+    the range boundaries over several partitions instead of landing in one
+    task, and the order among ties is deterministic on retry (the input is a
+    deterministic scan)."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    keys = [*order_cols, "_ix_tie"]
+    s = (df.withColumn("_ix_tie", F.monotonically_increasing_id())
+           .repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_ix_tie"))
     return dense_index(s, None, name, n_blocks=n)
 
 

@@ -29,8 +29,20 @@ from flowlens.sources.tables import (
 from flowlens.streaming import packets as S
 
 
+_DECODED: dict[int, tuple[DataFrame, DataFrame]] = {}
+
+
+def _decoded(frames: DataFrame) -> DataFrame:
+    """Decoded view of a packet table handle. Plans are immutable, so the
+    decoded DataFrame of a (session-cached) table handle is built once."""
+    hit = _DECODED.get(id(frames))
+    if hit is None or hit[0] is not frames:
+        hit = _DECODED[id(frames)] = (frames, decode_packets(frames))
+    return hit[1]
+
+
 def decoded_event_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_packets(event_frames(spark, sf_dir))
+    return _decoded(event_frames(spark, sf_dir))
 
 
 def count_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +52,7 @@ def count_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def count_protocols_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 over the larger lineitem frame set."""
-    return _count_protocols(decode_packets(lineitem_frames(spark, sf_dir)))
+    return _count_protocols(_decoded(lineitem_frames(spark, sf_dir)))
 
 
 def five_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +71,7 @@ def session_counts(spark: SparkSession, sf_dir: str, dense: int = 60) -> DataFra
 
 
 def session_counts_lineitem(spark: SparkSession, sf_dir: str, dense: int = 60) -> DataFrame:
-    return _session_counts(decode_packets(lineitem_frames(spark, sf_dir)), dense)
+    return _session_counts(_decoded(lineitem_frames(spark, sf_dir)), dense)
 
 
 def packet_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,8 +162,9 @@ def record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flow_records(li: DataFrame) -> DataFrame:
     """Lineitem rows as flow records, in key order."""
     # (orderkey, linenumber) is not unique in these tables: order by every
-    # value column, so rows that tie are identical records.
-    return li.orderBy(*FLOW_VALUE_COLUMNS).select(
+    # value column, so rows that tie are identical records; the scan position
+    # as the last key lets the range exchange split a hot run of ties.
+    return li.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*FLOW_VALUE_COLUMNS, "_tie").select(
         F.lit(False).alias("sparse"),
         F.array(*[F.col(c).cast("string") for c in FLOW_VALUE_COLUMNS]).alias("values"),
         F.lit(1.0).cast("float").alias("weight"))

@@ -62,3 +62,16 @@ def test_dense_index_partition_order(spark):
     df = spark.range(0, 1000, 1, 4)
     got = sorted((r.idx, r.id) for r in dense_index(df, n_blocks=4).collect())
     assert [i for i, _ in got] == list(range(1000)) and [v for _, v in got] == list(range(1000))
+
+
+def test_sorted_index_splits_a_hot_key(spark):
+    """A third of the rows share one order key: the range exchange must not
+    put them all in one partition, and the index stays dense."""
+    n = 9000
+    df = spark.range(0, n, 1, 6).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    ix = sorted_dense_index(df, ["k"])
+    got = sorted((r.idx, r.k) for r in ix.collect())
+    assert [i for i, _ in got] == list(range(n))
+    assert [k for _, k in got] == sorted(k for _, k in got)
+    per_part = ix.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert max(r["count"] for r in per_part) < n / 3
