@@ -143,6 +143,7 @@ def key_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FLOW_VALUE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
+FLOW_LAYOUT_VERSION = 2   # bump when flow_records changes (part of the table fingerprint)
 
 
 def with_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +174,7 @@ def flow_records(li: DataFrame) -> DataFrame:
 def flow_json_path(spark: SparkSession, sf_dir: str) -> str:
     """The flow dataset as JSON Lines, derived once from `lineitem`."""
     from flowlens.sources.tables import derived_table_path, input_fingerprint
-    fp = f"{input_fingerprint(spark, f'{sf_dir}/lineitem.parquet')}|{FLOW_VALUE_COLUMNS}"
+    fp = f"{input_fingerprint(spark, f'{sf_dir}/lineitem.parquet')}|{FLOW_VALUE_COLUMNS}|{FLOW_LAYOUT_VERSION}"
     return derived_table_path(spark, "flows-lineitem", fp,
                               lambda: flow_records(spark.read.parquet(f"{sf_dir}/lineitem.parquet")), fmt="json")
 
@@ -308,9 +309,9 @@ def capture_roundtrip(spark: SparkSession, sf_dir: str, chunk_bytes: int = ROUND
 def _stream_records(spark: SparkSession, sf_dir: str) -> str:
     """Broker-shaped records made from the event frames (a file-stream
     folder), derived once per input."""
-    from flowlens.sources.frames import _layout_version
-    from flowlens.sources.tables import derived_table_path, input_fingerprint
-    fp = f"{input_fingerprint(spark, f'{sf_dir}/events.parquet')}|{_layout_version()}"
+    from flowlens.sources import frames
+    from flowlens.sources.tables import code_version, derived_table_path, input_fingerprint
+    fp = f"{input_fingerprint(spark, f'{sf_dir}/events.parquet')}|{code_version(frames, S)}"
     return derived_table_path(spark, "stream-records-events", fp,
                               lambda: S.packet_records(event_frames(spark, sf_dir)))
 
@@ -385,12 +386,10 @@ def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capture_files(spark: SparkSession, sf_dir: str) -> str:
     """Capture files holding the event frames, written once per input."""
-    from flowlens.sources.capture import CaptureDataSource
-    from flowlens.sources.frames import _layout_version
-    from flowlens.sources.tables import derived_table_path, input_fingerprint
-    from flowlens.sources.capture import register
-    register(spark)
-    fp = f"{input_fingerprint(spark, f'{sf_dir}/events.parquet')}|{_layout_version()}|{CaptureDataSource.name()}"
+    from flowlens.sources import capture, frames
+    from flowlens.sources.tables import code_version, derived_table_path, input_fingerprint
+    capture.register(spark)
+    fp = f"{input_fingerprint(spark, f'{sf_dir}/events.parquet')}|{code_version(frames, capture)}"
     return derived_table_path(
         spark, "captures-events", fp,
         lambda: event_frames(spark, sf_dir).sortWithinPartitions("ts_sec", "ts_usec", "pkt_id")

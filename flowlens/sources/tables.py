@@ -192,3 +192,14 @@ def input_fingerprint(spark: SparkSession, path: str) -> str:
     fs, p, _ = _hadoop_fs(spark, path)
     st = fs.getFileStatus(p)
     return f"{path}:{st.getLen()}:{st.getModificationTime()}"
+
+
+def code_version(*modules) -> str:
+    """Hash of the source of the modules that lay out a derived table (part
+    of its fingerprint, so changed code never reads an older table)."""
+    import hashlib
+    h = hashlib.sha1()
+    for m in modules:
+        with open(m.__file__, "rb") as f:
+            h.update(f.read())
+    return h.hexdigest()[:12]
