@@ -8,7 +8,7 @@ version; a read resolves versions (B14). No store, no in-place update.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.bytesx import hex_lower
@@ -59,30 +59,42 @@ def first_cells(cells: DataFrame) -> DataFrame:
     return latest_cells(cells)
 
 
-def rows_to_nested(cells: DataFrame) -> DataFrame:
-    """Rowkey -> sorted ARRAY<STRUCT<cf, cq, value>> of its latest cells.
+MAX_CELLS_PER_RECORD = 10_000
 
-    Versions are resolved first (B14), so the per-row list holds one entry
-    per column, not per version.
+
+def rows_to_nested(cells: DataFrame, max_cells: int = MAX_CELLS_PER_RECORD) -> DataFrame:
+    """Rowkey -> sorted ARRAY<STRUCT<cf, cq, value>> of its latest cells,
+    as records ``(rowkey, part, cells)``.
+
+    Versions are resolved first (B14), so a list holds one entry per column,
+    not per version. A row wider than ``max_cells`` columns is emitted as
+    several records (``part`` 0, 1, ...) of at most ``max_cells`` cells in
+    (cf, cq) order, so no group is unbounded: the numbering is a streaming
+    window over the row (sorted, spillable), and the collect runs per part.
+    Rows up to ``max_cells`` columns are one record with ``part`` 0. The
+    grouping reuses the window's partitioning by rowkey (no extra shuffle).
     """
     latest = latest_cells(cells)
-    return latest.groupBy("rowkey").agg(
+    w = Window.partitionBy("rowkey").orderBy("cf", "cq")
+    ranked = latest.withColumn("part", F.floor((F.row_number().over(w) - 1) / max_cells).cast("int"))
+    return ranked.groupBy("rowkey", "part").agg(
         F.array_sort(F.collect_list(F.struct("cf", "cq", "value"))).alias("cells"))
 
 
-def rows_to_bytes(cells: DataFrame) -> DataFrame:
-    """Rowkey -> all latest cells concatenated as cf|cq|value bytes."""
-    nested = rows_to_nested(cells)
+def rows_to_bytes(cells: DataFrame, max_cells: int = MAX_CELLS_PER_RECORD) -> DataFrame:
+    """Rowkey -> latest cells concatenated as cf|cq|value bytes, per
+    record part (see ``rows_to_nested``)."""
+    nested = rows_to_nested(cells, max_cells)
     joined = F.aggregate("cells", F.unhex(F.lit("")),
                          lambda acc, x: F.concat(acc, F.encode(x["cf"], "UTF-8"), x["cq"], x["value"]))
-    return nested.select("rowkey", joined.alias("bytes"))
+    return nested.select("rowkey", "part", joined.alias("bytes"))
 
 
 def render_nested(nested: DataFrame) -> DataFrame:
     """Text rendering of ``rows_to_nested`` (what the reference prints)."""
     txt = F.transform("cells", lambda x: F.concat(x["cf"], F.lit(":"), x["cq"].cast("string"),
                                                   F.lit("="), x["value"].cast("string")))
-    return nested.select(F.col("rowkey").cast("string").alias("row"),
+    return nested.select(F.col("rowkey").cast("string").alias("row"), "part",
                          F.size("cells").alias("n_cells"),
                          F.array_join(txt, ";").alias("cells"))
 

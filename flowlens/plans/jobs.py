@@ -221,7 +221,7 @@ def nested_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def row_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row's latest cells concatenated as cf|cq|value bytes."""
     b = C.rows_to_bytes(order_cells(spark, sf_dir))
-    return b.select(F.col("rowkey").cast("string").alias("row"), hex_lower(F.col("bytes")).alias("bytes"))
+    return b.select(F.col("rowkey").cast("string").alias("row"), "part", hex_lower(F.col("bytes")).alias("bytes"))
 
 
 def rewrite_column(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -253,13 +253,14 @@ def cells_latest_sql() -> str:
 
 
 def nested_rows_sql() -> str:
-    return f"""SELECT row, CAST(count(*) AS INTEGER) AS n_cells,
+    return f"""SELECT row, CAST(0 AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS n_cells,
   string_agg(cf || ':' || cq || '=' || value, ';' ORDER BY cf, cq, value) AS cells
 FROM {_latest_order_cells_sql()} l GROUP BY row"""
 
 
 def row_bytes_sql() -> str:
-    return f"""SELECT row, lower(hex(string_agg(cf || cq || value, '' ORDER BY cf, cq, value))) AS bytes
+    return f"""SELECT row, CAST(0 AS INTEGER) AS part,
+  lower(hex(string_agg(cf || cq || value, '' ORDER BY cf, cq, value))) AS bytes
 FROM {_latest_order_cells_sql()} l GROUP BY row"""
 
 

@@ -26,6 +26,17 @@ def test_nested_and_bytes(spark):
     assert b[b"r1"] == b"fanew" + b"fbx"
 
 
+def test_wide_row_is_split_into_bounded_parts(spark):
+    wide = spark.range(0, 2500, 1, 4).select(
+        F.encode(F.lit("hot"), "UTF-8").alias("rowkey"), F.lit("f").alias("cf"),
+        F.encode(F.format_string("%05d", "id"), "UTF-8").alias("cq"), F.lit(1).cast("bigint").alias("version"),
+        F.encode(F.col("id").cast("string"), "UTF-8").alias("value"))
+    parts = C.rows_to_nested(wide, max_cells=1000).select("part", F.size("cells").alias("n"),
+                                                           F.col("cells")[0]["cq"].cast("string").alias("first"))
+    got = sorted((r.part, r.n, r.first) for r in parts.collect())
+    assert got == [(0, 1000, "00000"), (1, 1000, "01000"), (2, 500, "02000")]
+
+
 def test_rewrite_keeps_old_values(spark, tmp):
     base = demo_rows(spark, 20).select(F.col("row"), F.col("name").cast("string").alias("name"))
     put_cells(C.to_cells(base, "row", "f1", ["name"], 1), tmp)
