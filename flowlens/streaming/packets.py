@@ -200,3 +200,15 @@ def wait_for_output(spark: SparkSession, q: StreamingQuery, path: str, expected_
             time.sleep(1.0)
     finally:
         q.stop()
+
+
+def preview_stream(stream: DataFrame, n: int = 10, name: str | None = None) -> DataFrame:
+    """A13 for streams: the first ``n`` rows of what is available now, via the
+    memory sink (bounded: at most ``n`` rows reach the driver)."""
+    import uuid
+    spark = stream.sparkSession
+    table = name or f"flowlens_preview_{uuid.uuid4().hex[:8]}"
+    q = (stream.limit(n).writeStream.format("memory").queryName(table).outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.table(table)

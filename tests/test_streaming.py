@@ -35,3 +35,9 @@ def test_restart_from_checkpoint_no_duplicates(spark):
 def test_idle_counts_total(spark):
     got = jobs.stream_idle_counts(spark, SF_SMALL)
     assert got.agg(F.sum("count")).collect()[0][0] == 1000
+
+
+def test_preview_stream_is_bounded(spark):
+    data = jobs._stream_records(spark, SF_SMALL)
+    got = S.preview_stream(S.read_packet_stream(spark, data), 7).collect()
+    assert len(got) == 7 and all(len(r.key) == 8 for r in got)
