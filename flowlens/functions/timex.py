@@ -29,7 +29,3 @@ def ntz_from_micros(us: Column) -> Column:
     """TIMESTAMP_NTZ wall time (UTC) of epoch microseconds, zone-independent."""
     return F.timestamp_add("MICROSECOND", us, F.expr(_EPOCH_NTZ))
 
-
-def ltz_from_micros(us: Column) -> Column:
-    """TIMESTAMP (instant) of epoch microseconds; usable as event time."""
-    return F.timestamp_micros(us)

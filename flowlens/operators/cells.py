@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.functions.bytesx import hex_lower
-
 CELL_COLUMNS = ["rowkey", "cf", "cq", "version", "value"]
 
 # Fixed value: the text the reference's rewrite job writes before the row key.
@@ -165,9 +163,3 @@ def cells_as_text(cells: DataFrame) -> DataFrame:
     return cells.select(F.col("rowkey").cast("string").alias("row"), "cf",
                         F.col("cq").cast("string").alias("cq"), "version",
                         F.col("value").cast("string").alias("value"))
-
-
-def cells_as_hex(cells: DataFrame) -> DataFrame:
-    return cells.select(hex_lower(F.col("rowkey")).alias("rowkey"), "cf",
-                        hex_lower(F.col("cq")).alias("cq"), "version",
-                        hex_lower(F.col("value")).alias("value"))

@@ -45,14 +45,6 @@ MAX_IPV6_EXT = 3
 _TMP = "_d_"
 
 
-def _t(name: str) -> str:
-    return _TMP + name
-
-
-def _c(name: str) -> Column:
-    return F.col(_TMP + name)
-
-
 PAD_BYTES = 64   # zero tail so fixed-size reads never come back short
 
 

@@ -106,3 +106,28 @@ def test_filter_on_flags_stays_small(spark):
     plan = pk._jdf.queryExecution().optimizedPlan().toString()
     assert len(plan) < 200_000
     assert pk.count() == 550
+
+
+def test_layer_filters_and_feature_tables(spark):
+    """C1-C6, B2-B4, B7 on the event frames (sf0.001: 1000 frames; the layout
+    gives 550 TCP (500 over IPv4), 350 UDP (300 over IPv4), 850 IPv4)."""
+    from flowlens.functions.bytesx import ipv4_text
+    from flowlens.operators import decode as D
+    from flowlens.operators.features import ipv4_features, tcp_features, udp_features
+    from flowlens.sources.frames import event_frames
+    pk = D.decode_packets(event_frames(spark, "/root/testdata/sf0.001"))
+    counts = {
+        "decodable": D.drop_undecodable(pk).count(),
+        "tcp": D.has_tcp(pk).count(), "ipv4_tcp": D.has_ipv4_tcp(pk).count(),
+        "udp": D.has_udp(pk).count(), "ipv4_udp": D.has_ipv4_udp(pk).count(),
+        "ipv4": D.with_layer(pk, "ipv4").count(), "ipv6": D.with_layer(pk, "ipv6").count(),
+    }
+    assert counts == {"decodable": 975, "tcp": 550, "ipv4_tcp": 500, "udp": 350, "ipv4_udp": 300,
+                      "ipv4": 850, "ipv6": 100}
+    assert ipv4_features(pk, ["pkt_id"]).count() == 850
+    assert tcp_features(pk, ["pkt_id"]).count() == 550
+    assert udp_features(pk, ["pkt_id"]).count() == 350
+    r = ipv4_features(pk, ["pkt_id"]).filter("pkt_id = 1").select(ipv4_text(F.col("dst")).alias("d")).collect()
+    assert r[0].d == "192.168.1.1"
+    t5 = D.with_tuple5(event_frames(spark, "/root/testdata/sf0.001")).filter("pkt_id = 0").collect()[0].tuple5
+    assert (t5.proto, t5.dport) == (6, 0)
