@@ -291,7 +291,7 @@ def first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- capture files (A1, A2) ------------------------------------------------
 
 
-ROUNDTRIP_CHUNK_BYTES = 65536
+ROUNDTRIP_CHUNK_BYTES = 1 << 20   # 1 MiB chunks: small chunks are dominated by per-task overhead
 
 
 def capture_roundtrip(spark: SparkSession, sf_dir: str, chunk_bytes: int = ROUNDTRIP_CHUNK_BYTES) -> DataFrame:
