@@ -315,20 +315,145 @@ def register(spark) -> None:
 
 CHUNK_SCHEMA = "uri STRING, start BIGINT, end BIGINT, count BIGINT, first_ordinal BIGINT, order STRING, nanos BOOLEAN"
 PACKET_SCHEMA = SCHEMA_DDL
+# Large files are indexed in parallel byte splits: each split finds a record
+# boundary by itself (a chain of plausible headers) and walks to the first
+# record past its end; the driver checks that consecutive splits meet.
+SPLIT_BYTES = 1 << 30
+SYNC_RECORDS = 16
+SYNC_WINDOW = 4 << 20
+SPLIT_SCHEMA = ("uri STRING, size BIGINT, split BIGINT, lo BIGINT, hi BIGINT, entry BIGINT, exit BIGINT, "
+                "records BIGINT, chunks ARRAY<STRUCT<start: BIGINT, end: BIGINT, count: BIGINT, rel: BIGINT>>, "
+                "order STRING, nanos BOOLEAN")
+
+
+def _plausible(buf: bytes, pos: int, hdr, snaplen: int, nanos: bool, size_left: int) -> bool:
+    """SYNC_RECORDS consecutive headers at ``pos`` that could be records."""
+    frac_max = 1_000_000_000 if nanos else 1_000_000
+    for _ in range(SYNC_RECORDS):
+        if pos == size_left:                      # exactly at the end of the file
+            return True
+        if pos + RECORD_HEADER_LEN > len(buf):    # past the read window
+            return pos + RECORD_HEADER_LEN > size_left or len(buf) < size_left
+        _, frac, incl, orig = hdr.unpack_from(buf, pos)
+        if frac >= frac_max or incl > snaplen or incl > orig:
+            return False
+        pos += RECORD_HEADER_LEN + incl
+    return True
+
 
+def _sync_entry(uri, size, lo, order, nanos, snaplen):
+    """First offset >= lo where a chain of plausible headers starts."""
+    fs, p = _fs(uri)
+    hdr = struct.Struct(order + "IIII")
+    with fs.open_input_file(p) as f:
+        buf = f.read_at(min(SYNC_WINDOW + (1 << 20), size - lo), lo)
+    for i in range(0, min(SYNC_WINDOW, len(buf))):
+        if _plausible(buf, i, hdr, snaplen, nanos, size - lo):
+            return lo + i
+    return size   # no record starts in this window: the split is empty
 
-def _index_files(chunk_bytes: int, failfast: bool):
+
+def _walk_split(uri, size, hi, entry, chunk_bytes, order, failfast):
+    """Walk records from ``entry`` to the first record starting at or after
+    ``hi`` (or the end of the file) -> (exit, records, chunks)."""
+    fs, p = _fs(uri)
+    hdr = struct.Struct(order + "IIII")
+    chunks, pos, n = [], entry, 0
+    c_start, c_count, c_rel, c_bytes = pos, 0, 0, 0
+    with fs.open_input_file(p) as f:
+        block, block_off = b"", pos
+        while pos < hi:
+            if pos + RECORD_HEADER_LEN > block_off + len(block):
+                block_off = pos
+                block = f.read_at(min(HOP_BLOCK, max(size - pos, 0)), pos) if pos < size else b""
+            if pos + RECORD_HEADER_LEN > block_off + len(block):
+                if pos < size and failfast:
+                    raise ValueError(f"{uri}: truncated record header at byte {pos}")
+                pos = size
+                break
+            incl = hdr.unpack_from(block, pos - block_off)[2]
+            nxt = pos + RECORD_HEADER_LEN + incl
+            if nxt > size:
+                if failfast:
+                    raise ValueError(f"{uri}: truncated record at byte {pos}")
+                pos = size
+                break
+            n += 1
+            c_count += 1
+            c_bytes += incl
+            pos = nxt
+            if chunk_bytes > 0 and c_bytes >= chunk_bytes:
+                chunks.append((c_start, pos, c_count, c_rel))
+                c_start, c_count, c_rel, c_bytes = pos, 0, n, 0
+    if c_count:
+        chunks.append((c_start, pos, c_count, c_rel))
+    return pos, n, chunks
+
+
+def _index_splits(chunk_bytes: int, failfast: bool, forced: dict | None = None):
     def fn(batches):
         import pandas as pd
         for pdf in batches:
-            rows = []
-            for uri, size in zip(pdf["uri"], pdf["size"]):
-                for c in plan_chunks(uri, int(size), chunk_bytes, failfast):
-                    rows.append((c.uri, c.start, c.end, c.count, c.first_ordinal, c.order, c.nanos))
-            yield pd.DataFrame(rows, columns=["uri", "start", "end", "count", "first_ordinal", "order", "nanos"])
+            out = []
+            for r in pdf.itertuples(index=False):
+                fs, p = _fs(r.uri)
+                with fs.open_input_file(p) as f:
+                    order, nanos, snaplen, _ = parse_global_header(f.read_at(GLOBAL_HEADER_LEN, 0))
+                key = (r.uri, int(r.split))
+                if forced and key in forced:
+                    entry = forced[key]
+                elif r.split == 0:
+                    entry = GLOBAL_HEADER_LEN
+                else:
+                    entry = _sync_entry(r.uri, int(r.size), int(r.lo), order, nanos, max(snaplen, 1))
+                exit_, n, chunks = _walk_split(r.uri, int(r.size), int(r.hi), entry, chunk_bytes, order, failfast)
+                out.append((r.uri, int(r.size), int(r.split), int(r.lo), int(r.hi), entry, exit_, n,
+                            [{"start": a, "end": b, "count": c, "rel": d} for a, b, c, d in chunks],
+                            order, nanos))
+            yield pd.DataFrame(out, columns=["uri", "size", "split", "lo", "hi", "entry", "exit", "records",
+                                             "chunks", "order", "nanos"])
     return fn
 
 
+def _split_filter(keys):
+    from pyspark.sql import functions as F
+    cond = F.lit(False)
+    for uri, k in keys:
+        cond = cond | ((F.col("uri") == uri) & (F.col("split") == k))
+    return cond
+
+
+def _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, forced=None):
+    """Spark job: one index row per byte split. The driver checks that split
+    k's exit equals split k+1's entry and re-walks the first split of a file
+    whose own sync disagreed, from the true boundary, until the chain is
+    exact. Returns (split table, forced entries, {(uri, split): row})."""
+    rows = []
+    for uri, size in files:
+        n = max(1, -(-max(size - GLOBAL_HEADER_LEN, 1) // split_bytes))
+        for k in range(n):
+            lo = GLOBAL_HEADER_LEN + k * split_bytes
+            rows.append((uri, size, k, lo, min(size, lo + split_bytes)))
+    sdf = spark.createDataFrame(rows, "uri STRING, size BIGINT, split BIGINT, lo BIGINT, hi BIGINT")
+    sdf = sdf.repartition(max(1, len(rows)))
+    forced = dict(forced or {})
+    idx = {(r.uri, r.split): r for r in
+           sdf.mapInPandas(_index_splits(chunk_bytes, failfast, forced), SPLIT_SCHEMA).drop("chunks").collect()}
+    while True:
+        firsts = {}
+        for (uri, k), r in sorted(idx.items()):
+            if k > 0 and uri not in firsts and idx[(uri, k - 1)].exit != r.entry:
+                firsts[uri] = (k, idx[(uri, k - 1)].exit)
+        if not firsts:
+            break
+        fix = {(uri, k): e for uri, (k, e) in firsts.items()}
+        forced.update(fix)
+        redo = sdf.filter(_split_filter(fix)).mapInPandas(_index_splits(chunk_bytes, failfast, forced), SPLIT_SCHEMA)
+        for r in redo.drop("chunks").collect():
+            idx[(r.uri, r.split)] = r
+    return sdf, forced, idx
+
+
 def _read_chunks(failfast: bool):
     def fn(batches):
         for batch in batches:
@@ -338,18 +463,32 @@ def _read_chunks(failfast: bool):
     return fn
 
 
-def read_capture_indexed(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTES, failfast: bool = False):
-    """A1 + A2 for large inputs: the header hop is a Spark job (one task per
-    file, in parallel), producing a small chunk table (one row per
-    ``chunk_bytes`` of packets); chunks are then read in parallel. Nothing
-    but file names and chunk offsets passes through the driver."""
+def read_capture_indexed(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTES, failfast: bool = False,
+                         split_bytes: int = SPLIT_BYTES, _forced: dict | None = None):
+    """A1 + A2 for large inputs: the header hop is a Spark job over byte
+    splits of every file (a file of any size is indexed by many tasks),
+    giving a small chunk table (one row per ``chunk_bytes`` of packets) whose
+    chunks are then read in parallel. Only file names, offsets and one small
+    row per split (to check the chain) pass through the driver."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
     from flowlens.session import ship_package
     ship_package(spark)
     files = list_captures(path)
     if not files:
         return spark.createDataFrame([], PACKET_SCHEMA)
-    fdf = spark.createDataFrame(files, "uri STRING, size BIGINT").repartition(len(files))
-    chunks = fdf.mapInPandas(_index_files(chunk_bytes, failfast), CHUNK_SCHEMA)
+    sdf, forced, idx = _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, _forced)
+    # ordinal of each split's first record: running count over the splits
+    offs = spark.createDataFrame([(u, k, r.records) for (u, k), r in idx.items()],
+                                 "uri STRING, split BIGINT, records BIGINT")
+    w = Window.partitionBy("uri").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    offs = offs.select("uri", "split", F.coalesce(F.sum("records").over(w), F.lit(0)).alias("base"))
+    full = sdf.mapInPandas(_index_splits(chunk_bytes, failfast, forced), SPLIT_SCHEMA)
+    chunks = (full.join(F.broadcast(offs), ["uri", "split"])
+                  .select("uri", "order", "nanos", "base", F.explode("chunks").alias("c"))
+                  .select("uri", F.col("c.start").alias("start"), F.col("c.end").alias("end"),
+                          F.col("c.count").alias("count"), (F.col("base") + F.col("c.rel")).alias("first_ordinal"),
+                          "order", "nanos"))
     chunks = chunks.checkpoint()          # a small table; fixes the chunk list for retries
     n = chunks.count()
     return chunks.repartition(max(1, n)).mapInArrow(_read_chunks(failfast), PACKET_SCHEMA)
