@@ -102,3 +102,39 @@ def ship_package(spark: SparkSession) -> None:
             out.write(buf.getvalue())
     sc.addPyFile(target)
     _SHIPPED.add(key)
+
+
+def clean_work(spark: SparkSession, older_than_hours: float = 24.0, tables: bool = False) -> list[str]:
+    """Delete flowlens work folders under the shared checkpoint root that are
+    older than ``older_than_hours`` (per-run outputs: stream sinks and
+    checkpoints, rewritten cell tables, packet tables). With ``tables=True``
+    also delete derived tables (packet tables, stream records, flow datasets)
+    of the same age except the newest one of each name. Returns the deleted
+    paths. Uses the Hadoop FileSystem API, so it works on any shared store."""
+    import time
+    root = _checkpoint_root(spark) + "/flowlens"
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    cutoff = (time.time() - older_than_hours * 3600) * 1000
+    deleted = []
+    for st in fs.listStatus(base):
+        name = st.getPath().getName()
+        if name == "tables" or not st.isDirectory():
+            continue
+        if st.getModificationTime() < cutoff and fs.delete(st.getPath(), True):
+            deleted.append(st.getPath().toString())
+    tdir = jvm.org.apache.hadoop.fs.Path(root + "/tables")
+    if tables and fs.exists(tdir):
+        newest: dict[str, int] = {}
+        entries = [(st.getPath(), st.getModificationTime()) for st in fs.listStatus(tdir)]
+        for p, mt in entries:
+            stem = p.getName().rsplit("-", 1)[0]
+            newest[stem] = max(newest.get(stem, 0), mt)
+        for p, mt in entries:
+            stem = p.getName().rsplit("-", 1)[0]
+            if mt < cutoff and mt < newest[stem] and fs.delete(p, True):
+                deleted.append(p.toString())
+    return deleted

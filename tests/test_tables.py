@@ -43,3 +43,16 @@ def test_spread_only_when_under_partitioned(spark, tmp):
     spark.range(0, 10, 1, 1).write.parquet(tmp + "/small")
     small = spark.read.parquet(tmp + "/small")
     assert spread(small).rdd.getNumPartitions() == 1
+
+
+def test_clean_work_removes_only_old_work_folders(spark):
+    import time
+    from flowlens.session import clean_work, work_dir
+    p = work_dir(spark, "janitor-test").replace("file:", "")
+    open(os.path.join(p, "x"), "w").close()
+    old = time.time() - 48 * 3600
+    os.utime(p, (old, old))
+    fresh = work_dir(spark, "janitor-fresh").replace("file:", "")
+    deleted = clean_work(spark, older_than_hours=24)
+    assert any(d.endswith(os.path.basename(p)) for d in deleted)
+    assert not os.path.exists(p) and os.path.exists(fresh)
