@@ -132,6 +132,14 @@ def split_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return k.select("pkt_id", split_key(F.col("key"), "import").alias("k")).select("pkt_id", "k.*")
 
 
+def split_timeslot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B11 with the time-slot layout (milliseconds at 16-23, source at 24-25)."""
+    t = _tuple_rows(spark, sf_dir)
+    ms = F.col("ts_sec") * 1000 + F.floor(F.col("ts_usec") / 1000).cast("bigint")
+    key = timeslot_key(_tuple13(), ms, F.lit(SOURCE_ID), SLOT_WIDTH_S, lineage_suffix("pkt_id"))
+    return t.select("pkt_id", split_key(key, "timeslot").alias("k")).select("pkt_id", "k.*")
+
+
 def key_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B16 + A14: key region of each import key (15 regions over 4 bytes)."""
     k = _import_keyed(spark, sf_dir)

@@ -195,6 +195,14 @@ SELECT pkt_id, md5(unhex(th)) AS salt, CAST({dataset_id} AS BIGINT) AS dataset_i
 FROM th"""
 
 
+def split_timeslot_keys_sql(source_id: int = 0, width: int = 60) -> str:
+    return _tuple_rows_sql() + f"""
+SELECT pkt_id, md5(unhex(th || lpad(hex(ts_sec // {width}), 8, '0'))) AS salt,
+       CAST(ts_sec * 1000 + ts_usec // 1000 AS BIGINT) AS ts_ms, CAST({source_id} AS BIGINT) AS source_id,
+       sip, dip, sport, dport, proto, {_SUFFIX} AS suffix
+FROM th"""
+
+
 def key_buckets_sql(lo: int = 0x01010101, hi: int = 0xFFFFFFFF, n: int = 15) -> str:
     inc = (hi - lo) // n
     return _tuple_rows_sql() + f"""
