@@ -46,7 +46,13 @@ HOP_BLOCK = 8 << 20
 
 
 def _fs(uri: str):
+    """(filesystem, path) for a local path, a ``file:`` URI or any URI pyarrow
+    knows (hdfs://, s3://, ...)."""
     import pyarrow.fs as pafs
+    if uri.startswith("file:"):
+        rest = uri[len("file:"):]
+        rest = rest[2:] if rest.startswith("//") else rest   # file:///x and file:/x
+        return pafs.LocalFileSystem(), posixpath.abspath(rest)
     if "://" in uri:
         return pafs.FileSystem.from_uri(uri)
     return pafs.LocalFileSystem(), posixpath.abspath(uri)
@@ -56,16 +62,29 @@ def list_captures(uri: str) -> list[tuple[str, int]]:
     """(path, size) of the capture files under ``uri`` (a file or folder)."""
     import pyarrow.fs as pafs
     fs, p = _fs(uri)
+    prefix = _uri_prefix(uri)
     info = fs.get_file_info(p)
     if info.type == pafs.FileType.File:
-        return [(p, info.size)]
+        return [(prefix + p, info.size)]
     sel = pafs.FileSelector(p, recursive=True)
-    out = [(i.path, i.size) for i in fs.get_file_info(sel)
+    out = [(prefix + i.path, i.size) for i in fs.get_file_info(sel)
            if i.type == pafs.FileType.File and not posixpath.basename(i.path).startswith(("_", "."))
            and "/_temporary" not in i.path]
     return sorted(out)
 
 
+def _uri_prefix(uri: str) -> str:
+    """Scheme (and authority) to put back in front of a filesystem path, so
+    listed files can be reopened by ``_fs`` on any task."""
+    if "://" not in uri or uri.startswith("file:"):
+        return ""
+    from urllib.parse import urlparse
+    u = urlparse(uri)
+    if u.scheme in ("s3", "s3a", "gs", "gcs", "abfs", "abfss"):
+        return f"{u.scheme}://"          # pyarrow paths start with the bucket
+    return f"{u.scheme}://{u.netloc}"
+
+
 def parse_global_header(b: bytes) -> tuple[str, bool, int, int]:
     """-> (struct byte-order prefix, nanosecond resolution, snaplen, linktype)."""
     if len(b) < GLOBAL_HEADER_LEN:

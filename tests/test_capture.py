@@ -131,3 +131,10 @@ def test_wrong_split_boundary_is_corrected(spark, tmp):
     a = read_capture_indexed(spark, tmp, 200, split_bytes=1000, _forced=bad)
     b = read_capture(spark, tmp, 0, index="driver")
     assert _rows_with_ordinals(a) == _rows_with_ordinals(b)
+
+
+def test_file_uri_paths(spark, tmp):
+    p = os.path.join(tmp, "u.pcap")
+    write_file(p)
+    for uri in (f"file:{p}", f"file://{p}"):
+        assert rows(read_capture(spark, uri, 100)) == WANT
