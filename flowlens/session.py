@@ -38,22 +38,33 @@ def get_session(master: str | None = None, app: str = "flowlens",
     return spark
 
 
+_ROOTS: dict[str, str] = {}
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (HDFS/S3/...). Only when it is
-    unset (local tests) do we create one, and register it as the checkpoint
-    dir so ``DataFrame.checkpoint()`` and our written tables share a root.
+    On a cluster this is set by the deployment (HDFS/S3/...) and is only
+    read here. When it is unset (local tests), the SparkContext's checkpoint
+    directory is used if one was registered; otherwise a temporary folder is
+    created and registered with ``setCheckpointDir`` (the config itself
+    cannot be changed at runtime), so ``DataFrame.checkpoint()`` and our
+    written tables share one root.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="flowlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key not in _ROOTS:
+        existing = sc.getCheckpointDir()
+        if existing:
+            _ROOTS[key] = existing.rstrip("/")
+        else:
+            tmp = tempfile.mkdtemp(prefix="flowlens-ckpt-")
+            sc.setCheckpointDir(tmp)
+            _ROOTS[key] = tmp
+    return _ROOTS[key]
 
 
 def work_dir(spark: SparkSession, name: str) -> str:

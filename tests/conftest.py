@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,9 +14,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from flowlens import get_session
     s = get_session("local[4]", app="flowlens-tests", shuffle_partitions=8)
-    # Tests set their own checkpoint root only if the session has none.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="flowlens-test-ckpt-"))
+    # The checkpoint root comes from spark.checkpoint.dir; when the session
+    # has none, flowlens registers a temporary one (flowlens.session).
     yield s
 
 
