@@ -12,7 +12,8 @@ Layer rules (our spec):
 
 * Ethernet needs 14 bytes; shorter frames are undecodable (all layers NULL).
 * Up to two VLAN tags (0x8100, 0x88a8, 0x9100) are skipped; a third tag, or
-  an EtherType below 0x0600 (802.3 length), leaves no network layer.
+  any EtherType other than IPv4/IPv6 (e.g. an 802.3 length), leaves no
+  network layer.
 * IPv4: EtherType 0x0800, version 4, IHL >= 5 and the whole header present.
   A fragment (MF set or offset != 0) has no TCP/UDP layer.
 * IPv6: EtherType 0x86dd, version 6, 40 bytes present; up to three
@@ -35,7 +36,6 @@ from flowlens.functions.bytesx import signed, u8, u16, u32
 VLAN_ETHERTYPES = (0x8100, 0x88A8, 0x9100)
 ETHERTYPE_IPV4 = 0x0800
 ETHERTYPE_IPV6 = 0x86DD
-ETHERTYPE_MIN = 0x0600
 IPPROTO_TCP = 6
 IPPROTO_UDP = 17
 IPV6_EXT_HEADERS = (0, 43, 60)
@@ -43,8 +43,6 @@ IPV6_FRAGMENT = 44
 MAX_IPV6_EXT = 3
 
 _TMP = "_d_"
-
-
 PAD_BYTES = 64   # zero tail so fixed-size reads never come back short
 
 
