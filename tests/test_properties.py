@@ -108,3 +108,18 @@ def test_session_counts_sum_to_packets(spark):
     for dense in (1, 7, 3600):
         s = jobs.session_counts(spark, SF_SMALL, dense).agg(F.sum("c")).collect()[0][0]
         assert s == 1000
+
+
+def test_session_table_roundtrip(spark, tmp):
+    import os
+    from flowlens.operators.stats import write_sessions
+    from flowlens.plans import jobs
+    from conftest import SF_SMALL
+    s = jobs.session_counts(spark, SF_SMALL)
+    write_sessions(s, tmp + "/sessions")
+    back = spark.read.parquet(tmp + "/sessions").select(*s.columns)
+    assert sorted(back.collect()) == sorted(s.collect())
+    buckets = [d for d in os.listdir(tmp + "/sessions") if d.startswith("bucket=")]
+    files = sum(len([f for f in os.listdir(os.path.join(tmp, "sessions", b)) if f.endswith(".parquet")])
+                for b in buckets)
+    assert files <= len(buckets) + 8      # contiguous bucket runs per task
