@@ -70,8 +70,10 @@ def reverse_bytes(b: Column, n: int) -> Column:
 
 
 def bytes_to_int(b: Column) -> Column:
-    """Big-endian unsigned value of a short BINARY value (<= 7 bytes)."""
-    return F.conv(F.hex(b), 16, 10).cast("bigint")
+    """Big-endian value of a BINARY value of up to 8 bytes: unsigned below 8
+    bytes, two's complement at 8 (like a JVM long), so a negative 8-byte key
+    (a time before 1970) reads back instead of overflowing BIGINT."""
+    return F.conv(F.hex(b), 16, -10).cast("bigint")
 
 
 def ipv4_text(x: Column) -> Column:

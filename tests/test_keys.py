@@ -64,3 +64,16 @@ def test_record_key(spark):
     got = [r[0] for r in df.select(F.lower(F.hex(record_key(F.col("idx"))))).collect()]
     want = [(((i // 1200) % 15).to_bytes(2, "big") + i.to_bytes(4, "big")).hex() for i in (0, 1199, 1200, 18000, 123456)]
     assert got == want
+
+
+def test_bytes_to_int_widths_and_sign(spark):
+    from flowlens.functions.bytesx import be_bytes, bytes_to_int
+    vals = [0, 1, 255, 65535, 2**32 - 1, 2**62, -1, -750000, -(2**63)]
+    df = spark.createDataFrame([(v,) for v in vals], "v BIGINT")
+    got = [r[0] for r in df.select(bytes_to_int(be_bytes(F.col("v"), 8))).collect()]
+    assert got == vals
+    got4 = [r[0] for r in df.filter("v >= 0 AND v < 4294967296")
+            .select(bytes_to_int(be_bytes(F.col("v"), 4))).collect()]
+    assert got4 == [0, 1, 255, 65535, 2**32 - 1]
+    neg = spark.createDataFrame([(b"\xff\xff\xff\xff",)], "b BINARY").select(bytes_to_int(F.col("b"))).collect()
+    assert neg[0][0] == 2**32 - 1
