@@ -77,3 +77,12 @@ def test_bytes_to_int_widths_and_sign(spark):
     assert got4 == [0, 1, 255, 65535, 2**32 - 1]
     neg = spark.createDataFrame([(b"\xff\xff\xff\xff",)], "b BINARY").select(bytes_to_int(F.col("b"))).collect()
     assert neg[0][0] == 2**32 - 1
+
+
+def test_two_byte_presplit_matches_record_salt(spark):
+    """The 15-region split over 2-byte keys 0..16 puts each record salt
+    (0..14) in its own region."""
+    df = spark.createDataFrame([(i,) for i in range(0, 15 * 1200 * 2, 599)], "idx BIGINT")
+    got = df.select(key_range_bucket(record_key(F.col("idx")), 0, 16, 15, 2).alias("b"),
+                    ((F.col("idx") / 1200).cast("bigint") % 15).alias("salt")).collect()
+    assert all(r.b == r.salt for r in got)
