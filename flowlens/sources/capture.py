@@ -108,40 +108,15 @@ class Chunk(InputPartition):
 
 
 def plan_chunks(uri: str, size: int, chunk_bytes: int, failfast: bool = False) -> list[Chunk]:
-    """Header hop over one file -> chunks of about ``chunk_bytes`` packet bytes."""
+    """Header hop over one file -> chunks of about ``chunk_bytes`` packet
+    bytes (a chunk ends with the packet that reaches the budget)."""
     fs, p = _fs(uri)
     with fs.open_input_file(p) as f:
         order, nanos, _, _ = parse_global_header(f.read_at(GLOBAL_HEADER_LEN, 0))
-        if chunk_bytes <= 0:
-            return [Chunk(uri, GLOBAL_HEADER_LEN, size, -1, 0, order, nanos)]
-        hdr = struct.Struct(order + "IIII")
-        chunks: list[Chunk] = []
-        pos, ordinal = GLOBAL_HEADER_LEN, 0
-        c_start, c_count, c_first, c_bytes = pos, 0, 0, 0
-        block, block_off = b"", pos
-        while True:
-            if pos + RECORD_HEADER_LEN > block_off + len(block):
-                block_off = pos
-                block = f.read_at(min(HOP_BLOCK, max(size - pos, 0)), pos) if pos < size else b""
-            if pos + RECORD_HEADER_LEN > block_off + len(block):
-                if pos < size and failfast:
-                    raise ValueError(f"{uri}: truncated record header at byte {pos}")
-                break
-            _, _, incl, _ = hdr.unpack_from(block, pos - block_off)
-            nxt = pos + RECORD_HEADER_LEN + incl
-            if nxt > size:
-                if failfast:
-                    raise ValueError(f"{uri}: truncated record at byte {pos}")
-                break
-            c_count += 1
-            c_bytes += incl
-            pos, ordinal = nxt, ordinal + 1
-            if c_bytes >= chunk_bytes:
-                chunks.append(Chunk(uri, c_start, pos, c_count, c_first, order, nanos))
-                c_start, c_count, c_first, c_bytes = pos, 0, ordinal, 0
-        if c_count:
-            chunks.append(Chunk(uri, c_start, pos, c_count, c_first, order, nanos))
-        return chunks
+    if chunk_bytes <= 0:
+        return [Chunk(uri, GLOBAL_HEADER_LEN, size, -1, 0, order, nanos)]
+    _, _, chunks = _walk_split(uri, size, size, GLOBAL_HEADER_LEN, chunk_bytes, order, failfast)
+    return [Chunk(uri, a, b, c, d, order, nanos) for a, b, c, d in chunks]
 
 
 def read_chunk(ch: Chunk, failfast: bool = False):
