@@ -50,9 +50,10 @@ def write_packets(packets: DataFrame, path: str, mode: str = "append") -> None:
     by key: Parquet min/max stats then prune key-range scans), and the MD5
     prefix spreads load evenly across tasks.
     """
-    n = packets.rdd.getNumPartitions() if not packets.isStreaming else 1
     out = packets.select("rowkey", "raw", "orig_len", packet_bucket("rowkey").alias("key_bucket"))
-    (out.repartitionByRange(max(n, 1), "rowkey").sortWithinPartitions("rowkey")
+    # No explicit partition count: asking the input for one would make AQE
+    # run its shuffles just to count partitions; AQE sizes this exchange.
+    (out.repartitionByRange("rowkey").sortWithinPartitions("rowkey")
         .write.mode(mode).partitionBy("key_bucket").parquet(path))
 
 
