@@ -5,6 +5,6 @@ Catalyst expressions (``substring``/``hex``/``conv``), so decoding stays inside
 whole-stage codegen and the optimizer prunes whatever a job does not use.
 """
 
-from flowlens.session import get_session, work_dir
+from flowlens.session import clean_work, get_session, ship_package, work_dir
 
-__all__ = ["get_session", "work_dir"]
+__all__ = ["clean_work", "get_session", "ship_package", "work_dir"]
