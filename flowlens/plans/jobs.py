@@ -350,6 +350,19 @@ def stream_idle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def stream_idle_counts_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 on event time: per-minute counts emitted when the watermark has
+    passed a minute's newest record by 2 seconds (bounded replay with one
+    closing record; no wall clock)."""
+    data = _stream_records(spark, sf_dir)
+    base = work_dir(spark, "stream")
+    S.closing_record(spark).write.parquet(f"{base}/close")
+    src = S.read_packet_stream(spark, data).unionByName(S.read_packet_stream(spark, f"{base}/close"))
+    q = S.run_to_files(S.idle_flush_counts_event_time(src), f"{base}/out", f"{base}/ck")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 def stream_packet_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + A10: stream of records -> time-slot keyed packet cells in a table."""
     data = _stream_records(spark, sf_dir)

@@ -117,6 +117,49 @@ def _precount(batches):
             yield pd.DataFrame({"m": c.index.astype("int64"), "n": c.values.astype("int64")})
 
 
+def _precount_et(batches):
+    """Like ``_precount``, keeping the newest event time of each minute."""
+    for pdf in batches:
+        if len(pdf):
+            g = pdf.groupby("m", sort=False)["us"].agg(["size", "max"])
+            yield pd.DataFrame({"m": g.index.astype("int64"), "n": g["size"].values.astype("int64"),
+                                "us": g["max"].values.astype("int64")})
+
+
+def _count_until_event_idle(timeout_ms: int):
+    def fn(key, pdfs, state):
+        if state.hasTimedOut:
+            (n, _) = state.get
+            state.remove()
+            yield pd.DataFrame({"minute": [int(key[0])], "count": [int(n)]})
+            return
+        n, last = state.get if state.exists else (0, 0)
+        for pdf in pdfs:
+            n += int(pdf["n"].sum())
+            last = max(last, int(pdf["us"].max()))
+        state.update((n, last))
+        state.setTimeoutTimestamp(last // 1000 + timeout_ms)
+    return fn
+
+
+def idle_flush_counts_event_time(stream: DataFrame, timeout_ms: int = IDLE_TIMEOUT_MS,
+                                 retention: str = RETENTION) -> DataFrame:
+    """J3 on event time: a minute's count is emitted once the watermark has
+    passed its newest record by ``timeout_ms`` (no wall clock, so a bounded
+    replay gives the same result every time). Same pre-count as
+    ``idle_flush_counts``."""
+    from flowlens.session import ship_package
+    ship_package(stream.sparkSession)
+    us = record_micros(F.col("key"))
+    keyed = stream.select(F.floor(us / MICROS_PER_MINUTE).cast("bigint").alias("m"), us.alias("us"))
+    pre = keyed.mapInPandas(_precount_et, "m BIGINT, n BIGINT, us BIGINT")
+    pre = pre.withColumn("et", F.timestamp_micros("us")).withWatermark("et", retention)
+    out = pre.groupBy("m").applyInPandasWithState(
+        _count_until_event_idle(timeout_ms), "minute BIGINT, count BIGINT", "n BIGINT, last BIGINT", "append",
+        GroupStateTimeout.EventTimeTimeout)
+    return out.select(ntz_from_micros(F.col("minute") * MICROS_PER_MINUTE).alias("minute"), "count")
+
+
 def idle_flush_counts(stream: DataFrame, timeout_ms: int = IDLE_TIMEOUT_MS) -> DataFrame:
     """J3 + C7: per-minute counts emitted when a minute has been idle for
     ``timeout_ms``; only expired keys produce output (append mode).

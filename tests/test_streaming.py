@@ -90,3 +90,19 @@ def test_watermark_drops_only_late_records(spark):
         return datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=t0 + k * minute)
     assert m(1) not in got
     assert got[m(16)] == 1 and got[m(20)] == 1 and got[m(30)] == 1
+
+
+def test_event_time_idle_counts_are_deterministic(spark):
+    """J3 on event time: with a closing record the watermark times every
+    minute out, so the bounded replay emits all counts without waiting."""
+    from flowlens.session import work_dir
+    data = jobs._stream_records(spark, SF_SMALL)
+    base = work_dir(spark, "et-idle")
+    S.closing_record(spark).write.parquet(f"{base}/close")
+    src = S.read_packet_stream(spark, data).unionByName(S.read_packet_stream(spark, f"{base}/close"))
+    q = S.run_to_files(S.idle_flush_counts_event_time(src), f"{base}/out", f"{base}/ck")
+    q.awaitTermination()
+    got = {r.minute: r["count"] for r in spark.read.parquet(f"{base}/out").collect()}
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    want = {r.m: r.n for r in ev.groupBy(F.date_trunc("minute", "ts").alias("m")).agg(F.count("*").alias("n")).collect()}
+    assert got == want
