@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flowlens.session import ship_package, work_dir
 
 U64 = np.uint64
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,9 +31,21 @@ def save(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(df: DataFrame) -> SparkSession:
-    """Make this package importable in the executors' Python workers."""
-    ship_package(df.sparkSession)
-    return df.sparkSession
+    """Make this package importable in the executors' Python workers, and
+    bound an Arrow batch by bytes where the session does not: whole texts make
+    batches of ten thousand rows large."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(_BATCH_BYTES) == "67108864b":     # Spark's own default
+        spark.conf.set(_BATCH_BYTES, str(8 << 20))
+    return spark
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``."""
+    for b in batches:
+        for lo in range(0, len(b), rows):
+            yield b.slice(lo, rows)
 
 
 def lower_ascii(c: Column) -> Column:

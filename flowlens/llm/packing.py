@@ -16,8 +16,13 @@ piece; other columns of the input are ignored, whatever their names.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
+from collections import ChainMap
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,17 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import save, ship
+from flowlens.llm.common import save, ship, small
 
-# Letters below U+0250 whose lower case and canonical form agree between
-# Python and the tokenizer's own normaliser; other texts go to it whole.
-_PLAIN = "[^\\x00-\\u012f\\u0131-\\u024f\\u2010-\\u2027\\u20ac]|<\\|"
-_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
-_CACHE_WORDS = 400_000
+# Characters whose lower case, canonical form and class agree between Python
+# and the tokenizer's own normaliser; texts with others go to it whole.
+_ODD = "[^\\t-\\r\\x20-\\x7e\\xa1-\\xb1\\xb4-\\xb8\\xba\\xbb\\xbf-\\u012f\\u0131-\\u024f\\u2010-\\u2027\\u20ac]|<\\|"
+_WORDS = r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
+_CACHE_WORDS = 300_000
 
 
 class WordIds:
-    """Token ids of a text through a per-worker cache of its pre-tokens.
+    """Token ids of texts through a cache of pre-tokens.
 
     The vocabulary is word based (a pre-token's ids do not depend on its
     neighbours), so a text's ids are its words' ids in a row. Texts outside
@@ -46,28 +51,45 @@ class WordIds:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import regex
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.odd, self.words = regex.compile(_PLAIN), regex.compile(_WORDS)
+        self.odd, self.words = re.compile(_ODD), re.compile(_WORDS)
+        self.ends = np.zeros(self.tok.get_vocab_size() + 1, bool)
+        for piece, i in self.tok.get_vocab().items():
+            self.ends[i] = piece.endswith("</w>")
+        self.dtype = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
         self.cache: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> bytes:
-        import unicodedata
-        if not text.isascii() and (self.odd.search(text) or not unicodedata.is_normalized("NFC", text)) \
-                or "<|" in text:
-            return self._whole([text])[0]
-        words = self.words.findall(text.lower())
-        new = list(set(words).difference(self.cache))
-        if new:
-            if len(self.cache) + len(new) > _CACHE_WORDS:
-                self.cache.clear()
-                new = list(set(words))
-            self.cache.update(zip(new, self._whole(new)))
-        return b"".join(map(self.cache.__getitem__, words))
+        return [np.asarray(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        """Encode ``words`` as one text; each ends at its word-end piece."""
+        ids = np.asarray(self.tok.encode("\n".join(words), add_special_tokens=False).ids, self.dtype)
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words):
+            return dict(zip(words, self._whole(words)))
+        data, at = ids.tobytes(), [0, *(ids.itemsize * cuts).tolist()]
+        return dict(zip(words, [data[i:j] for i, j in zip(at, at[1:])]))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        odd = [not (t.isascii() and "<|" not in t and t.isprintable()) and
+               (self.odd.search(t) is not None or not unicodedata.is_normalized("NFC", t)) for t in texts]
+        rest = iter(self._whole([t for t, o in zip(texts, odd) if o]))
+        split = [None if o else self.words.findall(t.lower()) for t, o in zip(texts, odd)]
+        known, new = self.cache, list(set(chain.from_iterable(filter(None, split))).difference(self.cache))
+        if new and len(known) + len(new) <= _CACHE_WORDS:
+            known.update(self._new(new))
+        elif new:                       # full of the words met first; these serve this call alone
+            known = ChainMap(self._new(new), known)
+        of = known.__getitem__
+        return [next(rest) if words is None else b"".join(map(of, words)) for words in split]
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One tokenizer and cache for each Python worker."""
+    return WordIds(path)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int = 1,
@@ -79,13 +101,14 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, part, at = WordIds(tokenizer_path), TaskContext.get().partitionId(), 0
-        end = np.asarray([end_id], "<u4").tobytes()
+        ids, part, at = word_ids(tokenizer_path), TaskContext.get().partitionId(), 0
+        end = np.asarray([end_id], ids.dtype).tobytes()
+        width = len(end)
         for b in batches:
-            for lo in range(0, len(b), 500):
-                rows = b.slice(lo, 500)
-                out = [ids(t or "") + end for t in rows.column(1).to_pylist()]
-                n = np.fromiter((len(x) // 4 for x in out), np.int64, len(out))
+            for lo in range(0, len(b), 200):
+                rows = b.slice(lo, 200)
+                out = [x + end for x in ids([t or "" for t in rows.column(1).to_pylist()])]
+                n = np.fromiter((len(x) // width for x in out), np.int64, len(out))
                 before = at + np.cumsum(n) - n
                 at += int(n.sum())
                 yield pa.RecordBatch.from_arrays(
@@ -93,10 +116,10 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
                      pa.array(np.full(len(out), part, np.int32))], ["id", "ids", "n", "before", "part"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             at, take, pieces = b.column(3).to_pylist(), [], []
             for i, (ids, n, first) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), at)):
-                start = 0
+                start, ids = 0, np.frombuffer(ids, f"<u{len(ids) // n}").astype("<u4").tobytes()
                 while start < n:
                     seq, offset = divmod(first + start, seq_len)
                     size = min(n - start, seq_len - offset)
