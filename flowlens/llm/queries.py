@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import exact, packing
+from flowlens.llm import exact, packing, substring_dedup, suffix_dedup
 from flowlens.llm.common import table
 
 DOCUMENTS = "documents"
@@ -16,6 +16,19 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, DOCUMENTS).select("doc_id", "text")
+    return (substring_dedup.remove_repeats(docs, window=13)
+            .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, DOCUMENTS).select("doc_id", "text")
+    return (suffix_dedup.remove_repeats(docs, window=100)
+            .select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+                    F.sha2("kept", 256).alias("kept_sha256")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, DOCUMENTS))
 
@@ -37,11 +50,26 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY t)
 """
 
+_OP1 = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+     p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w),
+     g AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY ws[i:i + 12]) AS first FROM p),
+     x AS (SELECT doc_id, list(DISTINCT j) AS gone
+           FROM (SELECT doc_id, unnest(range(i, i + 13)) AS j FROM g WHERE first < doc_id) GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(coalesce(list_aggregate([ws[j] FOR j IN range(1, len(ws) + 1) IF NOT list_contains(coalesce(gone, []), j)],
+                             'string_agg', ' '), '')) AS kept_sha256
+FROM w LEFT JOIN x USING (doc_id)
+"""
+
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
 }
 
 SQL = {
+    "op1_substring_dedup": _OP1,
     "op8_exact_dedup": _OP8,
 }
