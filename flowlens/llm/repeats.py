@@ -30,13 +30,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.llm.common import U64, binary_views, chunks, mix64, ship, sliding_min, small
 
 HOT_BATCH, HOT_TOTAL = 256, 20_000
+HELD = 12 << 20                     # bytes of compressed documents whose equal runs are met before any is shuffled
 CHUNK = 1 << 19                     # tokens handled at once; longer documents go in overlapping slices
 _POS = U64((1 << 24) - 1)
 LAST_ID = (1 << 63) - 1             # order of a null id: after all others
@@ -92,12 +94,12 @@ def _runs(tokens: Tokens, col: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
             lo = hi - tokens.window + 1
 
 
-_ANCHOR = "k long, h long, uid long, packed long, hot boolean"
+_ANCHOR = "h long, uid long, packed long, hot byte"
 
 
 def _anchor_rows(tokens: Tokens) -> Callable:
-    """(uid, bytes) -> picked grams, keyed by hash; of a gram hot in this
-    batch one row goes to its key and the rest, known to repeat, anywhere."""
+    """(uid, bytes) -> picked grams. ``hot``: 1 for a gram hot in this batch;
+    only its first row need go to its hash, the others (2) may go anywhere."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             uids = b.column(0).to_numpy()
@@ -112,9 +114,9 @@ def _anchor_rows(tokens: Tokens) -> Callable:
             first = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
             group = np.cumsum(first) - 1
             hot = np.bincount(group, minlength=1)[group] > HOT_BATCH if len(h) else first
-            key = np.where(hot & ~first, mix64(uid.view(U64) ^ packed.view(U64)).view(np.int64), h)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, h, uid, packed, hot)],
-                                             ["k", "h", "uid", "packed", "hot"])
+            hot = hot.astype(np.int8) + (hot & ~first)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, uid, packed, hot)],
+                                             ["h", "uid", "packed", "hot"])
     return run
 
 
@@ -128,7 +130,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def close(rows: list[np.ndarray], more: bool) -> np.ndarray:
         r = np.concatenate(rows)
         hot = spilled or bool(r[:, 2].any()) or len(r) > HOT_TOTAL
-        return np.column_stack([r[:, 0], r[:, 1] | hot]) if len(r) > 1 or hot or more else r[:0, :2]
+        return np.column_stack([r[:, 0], r[:, 1] | int(hot)]) if len(r) > 1 or hot or more else r[:0, :2]
 
     def out(parts: list[np.ndarray]) -> pa.RecordBatch:
         r = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
@@ -140,7 +142,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(h):
             continue
         rows = np.column_stack([b.column("uid").to_numpy(), b.column("packed").to_numpy(),
-                                b.column("hot").to_numpy(zero_copy_only=False).astype(np.int64)])
+                                b.column("hot").to_numpy().astype(np.int64)])
         ready = []
         edges = np.concatenate(([0], np.flatnonzero(h[1:] != h[:-1]) + 1, [len(h)]))
         if held_h is not None and h[0] == held_h:
@@ -246,11 +248,12 @@ def _run_rows(tokens: Tokens, strict: bool) -> Callable:
     w, k = tokens.window, tokens.gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            spans = _Spans(w)
-            firsts = _Firsts(strict, spans)
-            for doc, uid, text, packed in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3)):
-                toks = tokens.cut(text)
+        spans = _Spans(w)
+        firsts = _Firsts(strict, spans)
+        unzip, held = zstandard.ZstdDecompressor().decompress, 0
+        for b in small(batches):
+            for doc, uid, body, packed in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3)):
+                toks = tokens.cut(unzip(body))
                 x = np.unique(packed.values.to_numpy())
                 for g, most, least, hot in zip((x >> 17).tolist(), (x >> 9 & 255).tolist(),
                                                (x >> 1 & 255).tolist(), (x & 1).tolist()):
@@ -262,9 +265,17 @@ def _run_rows(tokens: Tokens, strict: bool) -> Callable:
                         key = xxhash.xxh64_intdigest(tokens.join(toks[g:g + k]))
                         firsts.add((key, most - least + 1, tokens.join(toks[g - most:g - least + w])),
                                    doc, uid, [g - most])
-            rows = [(key >> 1, doc, uid, np.array(ps, "<i8").tobytes(), n, data)
-                    for (key, n, data), doc, uid, ps in firsts.close()]
-            yield _to_batch(rows + spans.batch())
+            held += b.nbytes
+            if held > HELD:
+                yield from settled(firsts, spans)
+                held = 0
+        yield from settled(firsts, spans)
+
+    def settled(firsts: _Firsts, spans: _Spans) -> Iterator[pa.RecordBatch]:
+        rows = [(key >> 1, doc, uid, np.array(ps, "<i8").tobytes(), n, data)
+                for (key, n, data), doc, uid, ps in firsts.close()] + spans.batch()
+        for i in range(0, len(rows), 5000):
+            yield _to_batch(rows[i:i + 5000])
     return run
 
 
@@ -332,20 +343,29 @@ def _spans_out(spans: _Spans) -> pa.RecordBatch:
                                        pa.array(cols[2], pa.binary())], ["doc", "uid", "spans"])
 
 
-def mark_repeats(docs: DataFrame, id_col: str, body: Column, tokens: Tokens, strict: bool,
+def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(level=3).compress
+    for b in small(batches):
+        yield b.set_column(2, "body", pa.array([press(x) for x in b.column(2).to_pylist()], pa.binary()))
+
+
+def mark_repeats(docs: DataFrame, id_col: str, text_col: str, tokens: Tokens, strict: bool,
                  groups: Callable) -> tuple[DataFrame, list[str]]:
-    """``docs`` as (row struct, body binary, spans array<binary>), and the
-    struct's fields. A span list holds int64 [start, end) pairs of tokens."""
+    """``docs`` as (row struct of the columns beside the text, body: zstd of
+    its UTF-8, spans array<binary>), and the struct's fields. A span list
+    holds int64 [start, end) pairs of tokens."""
     ship(docs)
-    fields = docs.columns
-    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), body.alias("body"),
+    fields = [c for c in docs.columns if c.lower() != text_col.lower()]
+    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"),
+                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"),
                       F.struct(*[F.col(f"`{c}`") for c in fields]).alias("row"))
-    src = src.withColumn("uid", F.xxhash64("doc", "body"))
+    src = src.withColumn("uid", F.xxhash64("doc", "body")).select("doc", "uid", "body", "row")
     # One exchange of the texts, by row address; both joins below use it.
-    placed = src.select("doc", "uid", "body", "row").repartition("uid")
+    placed = src.mapInArrow(_zipped, src.schema).repartition("uid")
 
     anchors = src.select("uid", "body").mapInArrow(_anchor_rows(tokens), _ANCHOR)
-    flagged = (anchors.repartition("k").sortWithinPartitions("h", F.desc("hot"))
+    flagged = (anchors.repartition(F.when(F.col("hot") == 2, F.col("uid")).otherwise(F.col("h")))
+               .sortWithinPartitions("h", F.desc("hot"))
                .mapInArrow(_repeated, "uid long, packed long")
                .groupBy("uid").agg(F.collect_list("packed").alias("packed")))
     runs = (placed.join(flagged, "uid").select("doc", "uid", "body", "packed")
@@ -357,6 +377,11 @@ def mark_repeats(docs: DataFrame, id_col: str, body: Column, tokens: Tokens, str
     return out, fields
 
 
+def unzipped(col: pa.Array) -> list[bytes]:
+    back = zstandard.ZstdDecompressor().decompress
+    return [back(x) for x in col.to_pylist()]
+
+
 def all_spans(parts: pa.Scalar) -> np.ndarray:
     """The merged spans of one row of ``mark_repeats``."""
     got = parts.as_py() or []

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.llm.common import U64, mix64, replace_columns, span_hashes, word_spans
-from flowlens.llm.repeats import SPANS, Tokens, all_spans, mark_repeats
+from flowlens.llm.common import U64, mix64, replace_columns, small, span_hashes, word_spans
+from flowlens.llm.repeats import SPANS, Tokens, all_spans, mark_repeats, unzipped
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -81,26 +81,25 @@ def subtrees(depth: int):
 
 
 def word_tokens(window: int) -> Tokens:
-    gram = min(5, window)
+    gram = min(4, window)
     return Tokens(window, gram, lambda data, bounds: word_grams(data, bounds, gram), WORD.findall, b" ".join)
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """``docs`` with kept_text (kept words joined by one space), n_words,
+    """``docs`` without its text column and with kept_text (kept words joined by one space), n_words,
     n_removed and removed (spans of words)."""
     tokens = word_tokens(window)
-    marked, fields = mark_repeats(docs, id_col, F.coalesce(F.col(text_col), F.lit("")).cast("binary"),
-                                  tokens, True, subtrees(window))
+    marked, fields = mark_repeats(docs, id_col, text_col, tokens, True, subtrees(window))
     schema = T.StructType([marked.schema["row"], T.StructField("kept_text", T.StringType()),
                            T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("removed", SPANS)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             texts, n_words, n_removed, removed = [], [], [], []
-            for body, parts in zip(b.column(1), b.column(2)):
-                words, spans = WORD.findall(body.as_py()), all_spans(parts)
+            for body, parts in zip(unzipped(b.column(1)), b.column(2)):
+                words, spans = WORD.findall(body), all_spans(parts)
                 keep, at = [], 0
                 for s, e in spans.tolist():
                     keep += words[at:s]

@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.llm.common import gram_hashes, replace_columns
-from flowlens.llm.repeats import SPANS, Tokens, all_spans, mark_repeats
+from flowlens.llm.common import gram_hashes, replace_columns, small
+from flowlens.llm.repeats import SPANS, Tokens, all_spans, mark_repeats, unzipped
 
-GRAM, DIGIT = 32, 8
+GRAM, DIGIT = 24, 8
 
 
 def byte_tokens(window: int) -> Tokens:
@@ -79,19 +79,18 @@ def passes(depth: int):
 
 def remove_repeats(docs: DataFrame, window: int = 100, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """``docs`` with kept (the remaining bytes), n_bytes, n_removed and
+    """``docs`` without its text column and with kept (the remaining bytes), n_bytes, n_removed and
     removed (maximal spans of bytes)."""
-    marked, fields = mark_repeats(docs, id_col, F.coalesce(F.col(text_col), F.lit("")).cast("binary"),
-                                  byte_tokens(window), False, passes(window))
+    marked, fields = mark_repeats(docs, id_col, text_col, byte_tokens(window), False, passes(window))
     schema = T.StructType([marked.schema["row"], T.StructField("kept", T.BinaryType()),
                            T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("removed", SPANS)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             kept, sizes, gone, removed = [], [], [], []
-            for body, parts in zip(b.column(1), b.column(2)):
-                body, spans = body.as_py(), all_spans(parts).tolist()
+            for body, parts in zip(unzipped(b.column(1)), b.column(2)):
+                spans = all_spans(parts).tolist()
                 ends = [0, *(e for _, e in spans)]
                 kept.append(b"".join(body[a:s] for a, (s, _) in zip(ends, spans)) + body[ends[-1]:])
                 sizes.append(len(body))
