@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,3 +150,43 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Byte starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 bytes."""
     edge = np.diff(np.concatenate(([True], _SPACE[data], [True])).astype(np.int8))
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
+def pack_chunks(parts: list[bytes]) -> bytes:
+    """Byte strings as one compressed value."""
+    sizes = np.array([len(p) for p in parts], "<u4").tobytes()
+    return zstandard.compress(len(parts).to_bytes(4, "little") + sizes + b"".join(parts), 3)
+
+
+def unpack_chunks(value: bytes) -> list[bytes]:
+    raw = zstandard.decompress(value)
+    n = int.from_bytes(raw[:4], "little")
+    ends = (4 + 4 * n + np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64)).tolist()
+    return [raw[i:j] for i, j in zip([4 + 4 * n, *ends], ends)]
+
+
+BLOB = "bucket long, blob binary"
+
+
+def to_blobs(bucket: np.ndarray, pack: Callable[[np.ndarray], list[bytes]]) -> pa.RecordBatch:
+    """One row for each bucket: ``pack(rows)`` of the rows it has."""
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order])) + 1
+    groups = np.split(order, edges) if len(order) else []
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(bucket[g[0]]) for g in groups], pa.int64()),
+         pa.array([pack_chunks(pack(g)) for g in groups], pa.binary())], ["bucket", "blob"])
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
+    """Rows sorted by bucket -> the unpacked values of each bucket in turn."""
+    now, held = None, []
+    for b in batches:
+        for k, blob in zip(b.column(0).to_pylist(), b.column(1)):
+            if k != now and held:
+                yield held
+                held = []
+            now = k
+            held.append(unpack_chunks(blob.as_py()))
+    if held:
+        yield held

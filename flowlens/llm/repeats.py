@@ -15,11 +15,14 @@ losing a match:
    operators bring their own way (suffix trees; radix passes). It yields the
    windows that are not the first, and these are taken out of the texts.
 
-Hot grams: a gram met more than ``HOT_BATCH`` times in one Arrow batch or
-``HOT_TOTAL`` times in all is not a usable key. Its runs are sent window by
-window with the whole window as key, after equal windows of a batch are
+What is shuffled travels as compressed blobs, one row for each sending task and
+bucket; the buckets (four for each shuffle partition) are handled one at a time.
+
+Hot grams: a gram met more than ``HOT_BATCH`` times among a task's grams at
+hand or ``HOT_TOTAL`` times in all is not a usable key. Its runs are sent window by
+window with the whole window as key, after equal windows at hand are
 reduced to one. So a phrase in a third of all documents spreads over as many
-keys as it has contexts, and a key gets a row or so for each batch.
+keys as it has contexts, and a key gets a row or so for each task.
 """
 
 from __future__ import annotations
@@ -35,7 +38,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.llm.common import U64, binary_views, chunks, mix64, ship, sliding_min, small
+from flowlens.llm.common import (
+    BLOB,
+    U64,
+    binary_views,
+    by_bucket,
+    chunks,
+    mix64,
+    ship,
+    sliding_min,
+    small,
+    to_blobs,
+)
 
 HOT_BATCH, HOT_TOTAL = 256, 20_000
 HELD = 12 << 20                     # bytes of compressed documents whose equal runs are met before any is shuffled
@@ -94,79 +108,72 @@ def _runs(tokens: Tokens, col: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
             lo = hi - tokens.window + 1
 
 
-_ANCHOR = "h long, uid long, packed long, hot byte"
-
+def _anchor_rows(tokens: Tokens, buckets: int) -> Callable:
+    """(uid, bytes) -> picked grams (hash, uid, place and state) in buckets by
+    hash. Of a gram hot among the grams at hand only the first row goes to its
+    own bucket; the others, known to repeat and to be hot, spread by uid."""
+    def send(parts: list[tuple]) -> pa.RecordBatch:
+        h, uid, packed = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(h, kind="stable")
+        new = np.concatenate(([True], np.diff(h[order]) != 0))
+        crowded = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > HOT_BATCH
+        state = np.zeros(len(h), np.int8)
+        state[order] = crowded.astype(np.int8) + (crowded & ~new)
+        bucket = (np.where(state == 2, mix64(uid.view(U64)), h) % U64(buckets)).astype(np.int64)
+        packed = packed | (state > 0)
+        return to_blobs(bucket, lambda r: [h[r].tobytes(), uid[r].tobytes(), packed[r].tobytes(), state[r].tobytes()])
 
-def _anchor_rows(tokens: Tokens) -> Callable:
-    """(uid, bytes) -> picked grams. ``hot``: 1 for a gram hot in this batch;
-    only its first row need go to its hash, the others (2) may go anywhere."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
         for b in batches:
             uids = b.column(0).to_numpy()
-            parts = [(h, uids[row], (g << 17) | (most << 9) | (least << 1))
-                     for row, h, g, most, least in _runs(tokens, b.column(1))]
-            if not parts:
-                continue
-            h, uid, packed = (np.concatenate(x) for x in zip(*parts))
-            h = h.view(np.int64)
-            order = np.argsort(h, kind="stable")
-            h, uid, packed = h[order], uid[order], packed[order]
-            first = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
-            group = np.cumsum(first) - 1
-            hot = np.bincount(group, minlength=1)[group] > HOT_BATCH if len(h) else first
-            hot = hot.astype(np.int8) + (hot & ~first)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, uid, packed, hot)],
-                                             ["h", "uid", "packed", "hot"])
+            for row, h, g, most, least in _runs(tokens, b.column(1)):
+                if len(h):
+                    parts.append((h, uids[row], (g << 17) | (most << 9) | (least << 1)))
+                    size += len(h)
+            if size > 1 << 20:
+                yield send(parts)
+                parts, size = [], 0
+        if size:
+            yield send(parts)
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by h, hot first: keep the grams met twice or known hot; the
-    lowest bit of ``packed`` says that the gram is hot. Holds at most
-    ``HOT_TOTAL`` rows of one gram."""
-    held: list[np.ndarray] = []         # rows of the last gram so far
-    held_h, spilled = None, False
-
-    def close(rows: list[np.ndarray], more: bool) -> np.ndarray:
-        r = np.concatenate(rows)
-        hot = spilled or bool(r[:, 2].any()) or len(r) > HOT_TOTAL
-        return np.column_stack([r[:, 0], r[:, 1] | int(hot)]) if len(r) > 1 or hot or more else r[:0, :2]
-
-    def out(parts: list[np.ndarray]) -> pa.RecordBatch:
-        r = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[:, 0])),
-                                           pa.array(np.ascontiguousarray(r[:, 1]))], ["uid", "packed"])
-
-    for b in batches:
-        h = b.column("h").to_numpy()
-        if not len(h):
-            continue
-        rows = np.column_stack([b.column("uid").to_numpy(), b.column("packed").to_numpy(),
-                                b.column("hot").to_numpy().astype(np.int64)])
-        ready = []
-        edges = np.concatenate(([0], np.flatnonzero(h[1:] != h[:-1]) + 1, [len(h)]))
-        if held_h is not None and h[0] == held_h:
-            held.append(rows[:edges[1]])
-            edges = edges[1:]
-        if len(edges) > 1:
-            if held:
-                ready.append(close(held, spilled))
-            held, spilled = [], False
-            inner = edges[:-1]                              # all but the last gram are whole
-            if len(inner) > 1:
-                sizes, seen = np.diff(inner), np.add.reduceat(rows[inner[0]:inner[-1], 2], inner[:-1] - inner[0]) > 0
-                hot = np.repeat(seen | (sizes > HOT_TOTAL), sizes)
-                keep = np.repeat(seen | (sizes > 1), sizes)
-                r = rows[inner[0]:inner[-1]]
-                ready.append(np.column_stack([r[:, 0], r[:, 1] | hot])[keep])
-            held, held_h = [rows[edges[-2]:]], h[-1]
-        if spilled or sum(map(len, held)) > HOT_TOTAL:
-            spilled = True
-            ready.append(close(held, True))
-            held = [rows[:0]]
-        yield out(ready)
-    if held:
-        yield out([close(held, spilled)])
+def _repeated(buckets: int) -> Callable:
+    """Grams of a bucket -> (uid, packed) of those met twice or known hot, in
+    buckets by uid; the lowest bit of ``packed`` says that the gram is hot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in by_bucket(batches):
+            h, uid, packed, state = (np.concatenate([np.frombuffer(x[i], t) for x in got])
+                                     for i, t in enumerate(("<u8", "<i8", "<i8", "i1")))
+            own = np.flatnonzero(state < 2)
+            own = own[np.argsort(h[own], kind="stable")]
+            out, flags = [np.flatnonzero(state == 2)], [np.zeros(0, np.int64)]
+            if len(own):
+                group = np.cumsum(np.concatenate(([True], np.diff(h[own]) != 0))) - 1
+                size = np.bincount(group)
+                hot = (np.bincount(group, state[own]) > 0) | (size > HOT_TOTAL)
+                keep = (hot | (size > 1))[group]
+                out.append(own[keep])
+                flags.append(hot[group][keep].astype(np.int64))
+            rows = np.concatenate(out)
+            if len(rows):
+                u, p = uid[rows], packed[rows] | np.concatenate([np.ones(len(out[0]), np.int64), flags[-1]])
+                bucket = (mix64(u.view(U64)) % U64(buckets)).astype(np.int64)
+                yield to_blobs(bucket, lambda r: [u[r].tobytes(), p[r].tobytes()])
+    return run
+
+
+def _by_uid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Flagged grams of a bucket -> one row for each document."""
+    for got in by_bucket(batches):
+        u, p = (np.concatenate([np.frombuffer(x[i], "<i8") for x in got]) for i in range(2))
+        order = np.lexsort((p, u))
+        u, p = u[order], p[order]
+        at = np.concatenate(([0], np.flatnonzero(np.diff(u)) + 1, [len(u)]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(u[at[:-1]]), pa.array([p[i:j].tobytes() for i, j in zip(at, at[1:])], pa.binary())],
+            ["uid", "packed"])
 
 
 def merge_spans(spans: np.ndarray) -> np.ndarray:
@@ -180,29 +187,33 @@ def merge_spans(spans: np.ndarray) -> np.ndarray:
 
 
 class _Spans:
-    """Window runs to be removed, merged for each document before they leave."""
+    """Windows to be removed: (doc, uid, start, end), sent in buckets by uid."""
 
     def __init__(self, window: int):
-        self.window, self.rows = window, {}
+        self.window, self.rows = window, []
 
     def add(self, doc: int, uid: int, places: list[int], windows: int) -> None:
-        self.rows.setdefault((doc, uid), []).extend((p, p + windows + self.window - 1) for p in places)
-
-    def batch(self) -> list[tuple]:
-        out = [(xxhash.xxh64_intdigest(uid.to_bytes(8, "little", signed=True)) >> 1, doc, uid,
-                merge_spans(np.array(s, "<i8").reshape(-1, 2)).tobytes(), 0, None) for (doc, uid), s in self.rows.items()]
-        self.rows = {}
-        return out
+        self.rows += [(doc, uid, p, p + windows + self.window - 1) for p in places]
 
+    def send(self, buckets: int) -> pa.RecordBatch:
+        r = np.array(self.rows, "<i8").reshape(-1, 4)
+        r = r[np.lexsort((r[:, 2], r[:, 1]))]
+        self.rows = []
+        bucket = (mix64(r[:, 1].view(U64) if r.flags.f_contiguous else np.ascontiguousarray(r[:, 1]).view(U64))
+                  % U64(buckets)).astype(np.int64)
+        return to_blobs(bucket, lambda x: [np.ascontiguousarray(r[x].T).tobytes()])
 
-RUN = "key long, doc long, uid long, places binary, windows int, data binary"
 
-
-def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[]] * 6
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                      ["key", "doc", "uid", "places", "windows", "data"])
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of a bucket -> one row for each document, its spans merged."""
+    for got in by_bucket(batches):
+        r = np.concatenate([np.frombuffer(x[0], "<i8").reshape(4, -1) for x in got], axis=1)
+        r = r[:, np.lexsort((r[2], r[0], r[1]))]
+        at = np.concatenate(([0], np.flatnonzero((np.diff(r[0]) != 0) | (np.diff(r[1]) != 0)) + 1, [r.shape[1]]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(r[0, at[:-1]]), pa.array(r[1, at[:-1]]),
+             pa.array([merge_spans(r[2:, i:j].T).astype("<i8").tobytes() for i, j in zip(at, at[1:])], pa.binary())],
+            ["doc", "uid", "spans"])
 
 
 class _Firsts:
@@ -242,9 +253,29 @@ class _Firsts:
         self.best = {}
 
 
-def _run_rows(tokens: Tokens, strict: bool) -> Callable:
-    """(doc, uid, bytes, packed) -> runs under repeated grams, equal ones of a
-    batch once, and rows without data for the spans settled here."""
+def _run_blobs(rows: list[tuple], buckets: int) -> pa.RecordBatch:
+    """rows: (key, doc, uid, places, windows, data), in buckets by key."""
+    key = np.array([r[0] for r in rows], U64)
+    def pack(at: np.ndarray) -> list[bytes]:
+        own = [rows[i] for i in at]
+        return [np.array([r[j] for r in own], "<i8" if j else "<u8").tobytes() for j in (0, 1, 2, 4)] + \
+            [np.array([len(r[j]) for r in own], "<u4").tobytes() for j in (3, 5)] + \
+            [np.array([p for r in own for p in r[3]], "<i8").tobytes(), b"".join(r[5] for r in own)]
+    return to_blobs((key % U64(buckets)).astype(np.int64), pack)
+
+
+def _unpacked_runs(value: list[bytes]) -> Iterator[tuple]:
+    key, doc, uid, windows = (np.frombuffer(value[j], "<i8" if j else "<u8").tolist() for j in range(4))
+    n_places, n_data = (np.frombuffer(value[j], "<u4").tolist() for j in (4, 5))
+    places, data, i, j = np.frombuffer(value[6], "<i8").tolist(), value[7], 0, 0
+    for k, d, u, w, n, m in zip(key, doc, uid, windows, n_places, n_data):
+        yield k, d, u, places[i:i + n], w, data[j:j + m]
+        i, j = i + n, j + m
+
+
+def _run_rows(tokens: Tokens, strict: bool, buckets: int) -> Callable:
+    """(doc, uid, body, packed) -> runs under repeated grams, equal ones at
+    hand once, in buckets by key; spans settled here go to buckets below 0."""
     w, k = tokens.window, tokens.gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,9 +283,9 @@ def _run_rows(tokens: Tokens, strict: bool) -> Callable:
         firsts = _Firsts(strict, spans)
         unzip, held = zstandard.ZstdDecompressor().decompress, 0
         for b in small(batches):
-            for doc, uid, body, packed in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3)):
+            for doc, uid, body, packed in zip(*(b.column(i).to_pylist() for i in range(4))):
                 toks = tokens.cut(unzip(body))
-                x = np.unique(packed.values.to_numpy())
+                x = np.frombuffer(packed, "<i8")
                 for g, most, least, hot in zip((x >> 17).tolist(), (x >> 9 & 255).tolist(),
                                                (x >> 1 & 255).tolist(), (x & 1).tolist()):
                     if hot:
@@ -272,29 +303,35 @@ def _run_rows(tokens: Tokens, strict: bool) -> Callable:
         yield from settled(firsts, spans)
 
     def settled(firsts: _Firsts, spans: _Spans) -> Iterator[pa.RecordBatch]:
-        rows = [(key >> 1, doc, uid, np.array(ps, "<i8").tobytes(), n, data)
-                for (key, n, data), doc, uid, ps in firsts.close()] + spans.batch()
-        for i in range(0, len(rows), 5000):
-            yield _to_batch(rows[i:i + 5000])
+        rows = [(key, doc, uid, ps, n, data) for (key, n, data), doc, uid, ps in firsts.close()]
+        if rows:
+            yield _run_blobs(rows, buckets)
+        if spans.rows:
+            sent = spans.send(buckets)
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - sent.column(0).to_numpy()), sent.column(1)],
+                                             ["bucket", "blob"])
     return run
 
 
-def _resolve(tokens: Tokens, strict: bool, groups: Callable) -> Callable:
-    """Runs sorted by key -> spans (doc, uid, start and end pairs).
+def _resolve(tokens: Tokens, strict: bool, groups: Callable, buckets: int) -> Callable:
+    """Runs sorted by bucket -> spans, in buckets by uid.
 
     Equal runs are settled first; the groups in which different runs are left
-    go to ``groups`` some at a time, window by window: a list of (group, token
-    bytes) gives lists of equal windows."""
+    go to ``groups`` some at a time, window by window: a list of (group,
+    tokens, start) gives lists of equal windows."""
     w = tokens.window
 
     def settle(todo: list[list[tuple]], spans: _Spans) -> None:
         """todo: by group, the runs left: (data, windows, doc, uid, places)."""
-        flat = [(gi, ri, i, run) for gi, runs in enumerate(todo) for ri, run in enumerate(runs) for i in range(run[1])]
+        flat, cut = [], []
+        for gi, runs in enumerate(todo):
+            for run in runs:
+                cut.append((gi, tokens.cut(run[0]), run))
+                flat += [(len(cut) - 1, i) for i in range(run[1])]
         if not flat:
             return
-        cut = {(gi, ri): tokens.cut(run[0]) for gi, runs in enumerate(todo) for ri, run in enumerate(runs)}
-        for equal in groups([(gi, cut[gi, ri], i) for gi, ri, i, _ in flat]):
-            rows = [(r[2], r[3], [p + i for p in r[4]]) for _, _, i, r in (flat[x] for x in equal)]
+        for equal in groups([(cut[c][0], cut[c][1], i) for c, i in flat]):
+            rows = [(r[2], r[3], [p + i for p in r[4]]) for r, i in ((cut[flat[x][0]][2], flat[x][1]) for x in equal)]
             first = min(doc for doc, _, _ in rows)
             least = None if strict else min(min(ps) for doc, _, ps in rows if doc == first)
             for doc, uid, ps in rows:
@@ -305,44 +342,48 @@ def _resolve(tokens: Tokens, strict: bool, groups: Callable) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = _Spans(w)
-        firsts, key, todo, size = _Firsts(strict, spans), None, [], 0
-
-        def end_group() -> int:
-            left = [(data, n, doc, uid, ps) for (_, n, data), doc, uid, ps in firsts.close()]
-            if len({x[0] for x in left}) < 2:
-                return 0
-            todo.append(left)
-            return sum(x[1] for x in left)
-
-        for b in small(batches, 2000):
-            for k, doc, uid, places, n, data in zip(*(b.column(i).to_pylist() for i in range(6))):
-                if data is None:
-                    spans.rows.setdefault((doc, uid), []).extend(
-                        map(tuple, np.frombuffer(places, "<i8").reshape(-1, 2).tolist()))
+
+        def split() -> Iterator[pa.RecordBatch]:
+            """Lets run buckets through; span buckets only change hands."""
+            nonlocal passed
+            for b in batches:
+                own = b.column(0).to_numpy() >= 0
+                if not own.all():
+                    passed.append(pa.RecordBatch.from_arrays(
+                        [pa.array(-1 - b.column(0).to_numpy()[~own]), b.column(1).filter(pa.array(~own))],
+                        ["bucket", "blob"]))
+                yield b.filter(pa.array(own))
+
+        passed: list[pa.RecordBatch] = []
+        for got in by_bucket(split()):
+            yield from passed
+            passed = []
+            by_key: dict[int, list[tuple]] = {}
+            for value in got:
+                for r in _unpacked_runs(value):
+                    by_key.setdefault(r[0], []).append(r)
+            firsts, todo, size = _Firsts(strict, spans), [], 0
+            for rows in by_key.values():
+                if len(rows) < 2 and (strict or len(rows[0][3]) < 2):
                     continue
-                if k != key:
-                    size += end_group()
-                    key = k
-                    if size > 50_000:
-                        settle(todo, spans)
-                        todo.clear()
-                        size = 0
-                firsts.add((0, n, data), doc, uid, np.frombuffer(places, "<i8").tolist())
-            if len(spans.rows) > 5000:
-                yield _spans_out(spans)
-        end_group()
-        settle(todo, spans)
-        yield _spans_out(spans)
+                for _, doc, uid, places, n, data in rows:
+                    firsts.add((0, n, data), doc, uid, places)
+                left = [(data, n, doc, uid, ps) for (_, n, data), doc, uid, ps in firsts.close()]
+                if len({x[0] for x in left}) > 1:
+                    todo.append(left)
+                    size += sum(x[1] for x in left)
+                if size > 50_000:
+                    settle(todo, spans)
+                    todo, size = [], 0
+            settle(todo, spans)
+            if len(spans.rows) > 200_000:
+                yield spans.send(buckets)
+        yield from passed
+        if spans.rows:
+            yield spans.send(buckets)
     return run
 
 
-def _spans_out(spans: _Spans) -> pa.RecordBatch:
-    rows = [r[1:4] for r in spans.batch()]
-    cols = list(zip(*rows)) if rows else [[]] * 3
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                                       pa.array(cols[2], pa.binary())], ["doc", "uid", "spans"])
-
-
 def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3).compress
     for b in small(batches):
@@ -352,8 +393,8 @@ def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def mark_repeats(docs: DataFrame, id_col: str, text_col: str, tokens: Tokens, strict: bool,
                  groups: Callable) -> tuple[DataFrame, list[str]]:
     """``docs`` as (row struct of the columns beside the text, body: zstd of
-    its UTF-8, spans array<binary>), and the struct's fields. A span list
-    holds int64 [start, end) pairs of tokens."""
+    its UTF-8, spans: merged int64 [start, end) pairs of tokens or null), and
+    the struct's fields."""
     ship(docs)
     fields = [c for c in docs.columns if c.lower() != text_col.lower()]
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"),
@@ -363,16 +404,18 @@ def mark_repeats(docs: DataFrame, id_col: str, text_col: str, tokens: Tokens, st
     # One exchange of the texts, by row address; both joins below use it.
     placed = src.mapInArrow(_zipped, src.schema).repartition("uid")
 
-    anchors = src.select("uid", "body").mapInArrow(_anchor_rows(tokens), _ANCHOR)
-    flagged = (anchors.repartition(F.when(F.col("hot") == 2, F.col("uid")).otherwise(F.col("h")))
-               .sortWithinPartitions("h", F.desc("hot"))
-               .mapInArrow(_repeated, "uid long, packed long")
-               .groupBy("uid").agg(F.collect_list("packed").alias("packed")))
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition("bucket").sortWithinPartitions("bucket")
+
+    anchors = src.select("uid", "body").mapInArrow(_anchor_rows(tokens, buckets), BLOB)
+    flagged = (dealt(dealt(anchors).mapInArrow(_repeated(buckets), BLOB))
+               .mapInArrow(_by_uid, "uid long, packed binary"))
     runs = (placed.join(flagged, "uid").select("doc", "uid", "body", "packed")
-            .mapInArrow(_run_rows(tokens, strict), RUN))
-    spans = (runs.repartition("key").sortWithinPartitions("key")
-             .mapInArrow(_resolve(tokens, strict, groups), "doc long, uid long, spans binary")
-             .groupBy("doc", "uid").agg(F.collect_list("spans").alias("spans")))
+            .mapInArrow(_run_rows(tokens, strict, buckets), BLOB))
+    spans = (dealt(dealt(runs).mapInArrow(_resolve(tokens, strict, groups, buckets), BLOB))
+             .mapInArrow(_merged, "doc long, uid long, spans binary"))
     out = placed.join(spans, ["uid", "doc"], "left").select("row", "body", "spans")
     return out, fields
 
@@ -384,9 +427,7 @@ def unzipped(col: pa.Array) -> list[bytes]:
 
 def all_spans(parts: pa.Scalar) -> np.ndarray:
     """The merged spans of one row of ``mark_repeats``."""
-    got = parts.as_py() or []
-    return merge_spans(np.concatenate([np.frombuffer(p, "<i8").reshape(-1, 2) for p in got])) if got \
-        else np.zeros((0, 2), np.int64)
+    return np.frombuffer(parts.as_py() or b"", "<i8").reshape(-1, 2)
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
