@@ -16,7 +16,7 @@ losing a match:
    windows that are not the first, and these are taken out of the texts.
 
 What is shuffled travels as compressed blobs, one row for each sending task and
-bucket; the buckets (four for each shuffle partition) are handled one at a time.
+bucket; the buckets (as many as shuffle partitions) are handled one at a time.
 
 Hot grams: a gram met more than ``HOT_BATCH`` times among a task's grams at
 hand or ``HOT_TOTAL`` times in all is not a usable key. Its runs are sent window by
@@ -404,7 +404,7 @@ def mark_repeats(docs: DataFrame, id_col: str, text_col: str, tokens: Tokens, st
     # One exchange of the texts, by row address; both joins below use it.
     placed = src.mapInArrow(_zipped, src.schema).repartition("uid")
 
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def dealt(df: DataFrame) -> DataFrame:
         return df.repartition("bucket").sortWithinPartitions("bucket")
