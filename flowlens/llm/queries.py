@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import exact, packing, substring_dedup, suffix_dedup
+from flowlens.llm import exact, minhash, packing, substring_dedup, suffix_dedup
 from flowlens.llm.common import table
 
 DOCUMENTS = "documents"
@@ -22,6 +22,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = minhash.near_groups(table(spark, sf_dir, DOCUMENTS), shingle=3, threshold=(85, 100))
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, DOCUMENTS).select("doc_id", "text")
     return (suffix_dedup.remove_repeats(docs, window=100)
@@ -64,6 +69,7 @@ FROM w LEFT JOIN x USING (doc_id)
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
