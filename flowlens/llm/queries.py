@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import exact, minhash, packing, substring_dedup, suffix_dedup
+from flowlens.llm import (
+    exact,
+    langid,
+    lines,
+    minhash,
+    packing,
+    quality,
+    sentencepiece_fst,
+    substring_dedup,
+    suffix_dedup,
+    winnow,
+)
 from flowlens.llm.common import table
 
 DOCUMENTS = "documents"
@@ -22,11 +33,29 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sentencepiece_fst.encode(table(spark, sf_dir, DOCUMENTS), _vocabulary("piece_bpe_32k.model"))
+    return out.select("doc_id", "ids", "n_ids", F.sha2("decoded", 256).alias("decoded_sha256"),
+                      (F.col("decoded") == F.col("text")).alias("round_trip")) \
+        .mapInArrow(packing.crc32, "doc_id long, ids_crc32 long, n_ids long, decoded_sha256 string, round_trip boolean")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = minhash.near_groups(table(spark, sf_dir, DOCUMENTS), shingle=3, threshold=(85, 100))
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def _fold(k: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % k
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, DOCUMENTS).select("doc_id", "text")
+    held_out = F.coalesce(_fold(3) == 1, F.lit(False))
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", ~held_out)
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, DOCUMENTS).select("doc_id", "text")
     return (suffix_dedup.remove_repeats(docs, window=100)
@@ -34,6 +63,20 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("kept", 256).alias("kept_sha256")))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, DOCUMENTS)
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False))
+    model = langid.fit(docs, ~held_out)
+    return langid.predict(docs.select("doc_id", "text"), model) \
+        .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = winnow.fingerprints(table(spark, sf_dir, DOCUMENTS))
+    return prints.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                         "edited_fingerprint", "near_edited", "near_next")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, DOCUMENTS))
 
@@ -44,6 +87,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             "doc_tokens long, sequence_id long, offset long")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", lines.url_host(F.col("url")).alias("host"),
+                                                 lines.html_lines(F.col("html")).alias("text"))
+    kept = lines.drop_boilerplate(pages, "host", ratio=0.1, min_pages=3)
+    return kept.select("page_id", "host", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 # A-Z only, as the contracts ask; DuckDB's lower() would also map other letters.
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -67,15 +117,52 @@ SELECT w.doc_id, len(ws) AS n_words, coalesce(len(gone), 0) AS n_removed,
 FROM w LEFT JOIN x USING (doc_id)
 """
 
+_OP3 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS ws
+                     FROM documents),
+     s AS (SELECT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_distinct([ws[i:i + 2] FOR i IN range(1, len(ws) - 1)])
+                                      WHEN len(ws) > 0 THEN [ws] ELSE [] END) AS g FROM w),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+           GROUP BY a.doc_id, b.doc_id),
+     l AS (SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+     r AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.other)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+_OP10 = f"""
+WITH p AS (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host,
+                  list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(html,
+                      '(?is)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'),
+                      '(?i)</?({lines.BLOCK_TAGS})( [^>]*)?/?>', chr(10), 'g'), '<[^>]*>', '', 'g'), chr(10)),
+                      lambda x: trim(x)), lambda x: x <> '') AS ls FROM pages),
+     t AS (SELECT host, count(*) AS total FROM p GROUP BY host),
+     u AS (SELECT host, unnest(list_distinct(ls)) AS line FROM p),
+     b AS (SELECT host, list(line) AS bad FROM (SELECT u.host, line FROM u JOIN t ON t.host = u.host
+           GROUP BY u.host, line, total HAVING count(*) >= 3 AND count(*) > 0.1 * total) GROUP BY host),
+     k AS (SELECT page_id, p.host, len(ls) AS n, list_filter(ls, lambda x: NOT list_contains(coalesce(bad, []), x)) AS kept
+           FROM p LEFT JOIN b ON b.host = p.host)
+SELECT page_id, host, n AS n_lines, n - len(kept) AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256
+FROM k
+"""
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_quality": op4_quality,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_language": op6_language,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 SQL = {
     "op1_substring_dedup": _OP1,
+    "op3_minhash_near_dedup": _OP3,
+    "op10_line_dedup": _OP10,
     "op8_exact_dedup": _OP8,
 }
