@@ -85,10 +85,25 @@ def word_tokens(window: int) -> Tokens:
     return Tokens(window, gram, lambda data, bounds: word_grams(data, bounds, gram), WORD.findall, b" ".join)
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """``docs`` without its text column and with kept_text (kept words joined by one space), n_words,
-    n_removed and removed (spans of words)."""
+def _without(body: bytes, spans: list[list[int]], layout: bool) -> tuple[bytes, int, int]:
+    """(text left, words, words removed). With ``layout`` the blanks around
+    kept words stay as they were; else kept words are joined by one space."""
+    if layout:
+        at = [m.start() for m in WORD.finditer(body)] + [len(body)]
+        ends = [0, *(at[e] for _, e in spans)]
+        left = b"".join(body[a:at[s]] for a, (s, _) in zip(ends, spans)) + body[ends[-1]:]
+        return left, len(at) - 1, sum(e - s for s, e in spans)
+    words = WORD.findall(body)
+    ends = [0, *(e for _, e in spans)]
+    keep = [w for a, (s, _) in zip(ends, spans) for w in words[a:s]] + words[ends[-1]:]
+    return b" ".join(keep), len(words), len(words) - len(keep)
+
+
+def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text",
+                   layout: bool = False) -> DataFrame:
+    """``docs`` without its text column and with kept_text, n_words,
+    n_removed and removed (spans of words). kept_text is the kept words joined
+    by one space or, with ``layout``, the text with the removed words cut out."""
     tokens = word_tokens(window)
     marked, fields = mark_repeats(docs, id_col, text_col, tokens, True, subtrees(window))
     schema = T.StructType([marked.schema["row"], T.StructField("kept_text", T.StringType()),
@@ -99,16 +114,12 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
         for b in small(batches):
             texts, n_words, n_removed, removed = [], [], [], []
             for body, parts in zip(unzipped(b.column(1)), b.column(2)):
-                words, spans = WORD.findall(body), all_spans(parts)
-                keep, at = [], 0
-                for s, e in spans.tolist():
-                    keep += words[at:s]
-                    at = e
-                keep += words[at:]
-                texts.append(b" ".join(keep).decode("utf-8", "replace"))
-                n_words.append(len(words))
-                n_removed.append(len(words) - len(keep))
-                removed.append([{"start": s, "end": e} for s, e in spans.tolist()])
+                spans = all_spans(parts).tolist()
+                left, total, gone = _without(body, spans, layout)
+                texts.append(left.decode("utf-8", "replace"))
+                n_words.append(total)
+                n_removed.append(gone)
+                removed.append([{"start": s, "end": e} for s, e in spans])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(texts, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                  pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
