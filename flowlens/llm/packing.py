@@ -15,14 +15,13 @@ piece; other columns of the input are ignored, whatever their names.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
 import zlib
-from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,59 +30,133 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import save, ship, small
+from flowlens.llm.common import save, ship, small, span_hashes
 
+# The normaliser and pre-tokenizer for which words can be cut
+# below; with any other the tokenizer reads every text itself.
+_NORMALISER = ["NFC", "Replace", "Lowercase"]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # Characters whose lower case, canonical form and class agree between Python
 # and the tokenizer's own normaliser; texts with others go to it whole.
-_ODD = "[^\\t-\\r\\x20-\\x7e\\xa1-\\xb1\\xb4-\\xb8\\xba\\xbb\\xbf-\\u012f\\u0131-\\u024f\\u2010-\\u2027\\u20ac]|<\\|"
-_WORDS = r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
-_CACHE_WORDS = 300_000
+_PLAIN = "\t-\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f\u2010-\u2027\u20ac"
+_ODD = re.compile(f"[^{_PLAIN}]|<\\|")
+_CACHE_WORDS = 500_000
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """Class of each plain character by code point."""
+    out = np.full(0x20AD, _OTHER, np.uint8)
+    for i in range(0x250):
+        c = chr(i)
+        out[i] = _LETTER if c.isalpha() else _DIGIT if c.isdecimal() else _SPACE if c.isspace() else _OTHER
+    return out
+
+
+def word_cuts(text: str, cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pre-tokens of a lower-cased plain text: letter
+    runs, single digits, other runs, and a lone quote with the ending after it."""
+    cls = _classes()[cp]
+    cut = np.concatenate(([True], (cls[1:] != cls[:-1]) | (cls[1:] == _DIGIT), [True]))
+    if "'" in text:
+        quote = np.flatnonzero((cp[:-1] == 39) & cut[:-2] & (cls[1:] == _LETTER)) if len(cp) > 1 else []
+        for p in quote:
+            size = 1 if text[p + 1] in "stmd" else 2 if text[p + 1:p + 3] in ("re", "ve", "ll") else 0
+            if size:
+                cut[p + 1] = False
+                cut[p + 1 + size] = True
+    at = np.flatnonzero(cut)
+    words = cls[at[:-1]] != _SPACE
+    return at[:-1][words], at[1:][words]
 
 
 class WordIds:
     """Token ids of texts through a cache of pre-tokens.
 
     The vocabulary is word based (a pre-token's ids do not depend on its
-    neighbours), so a text's ids are its words' ids in a row. Texts outside
-    the plain range above, or with a special token's brackets, are encoded by
-    the tokenizer itself.
+    neighbours), so a text's ids are its words' ids in a row. A worker keeps
+    the ids of the words it has met under a 64-bit hash of the word; new words
+    are encoded by the tokenizer's own model. Texts outside the plain range
+    above, or with a special token's brackets, are encoded by the tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.odd, self.words = re.compile(_ODD), re.compile(_WORDS)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.tok = Tokenizer.from_str(json.dumps(spec))
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.by_word = [x.get("type") for x in (spec["normalizer"] or {}).get("normalizers", [])] == _NORMALISER and \
+            [x.get("type") for x in steps] == ["Split", "ByteLevel"] and \
+            steps[0]["pattern"] == {"Regex": _SPLIT} and spec["model"].get("end_of_word_suffix") == "</w>"
+        if self.by_word:
+            spec |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+                {"type": "WhitespaceSplit"}, steps[1]]}}
+            self.word_tok = Tokenizer.from_str(json.dumps(spec))
         self.ends = np.zeros(self.tok.get_vocab_size() + 1, bool)
         for piece, i in self.tok.get_vocab().items():
             self.ends[i] = piece.endswith("</w>")
         self.dtype = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
-        self.cache: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}             # word hash -> place in the lists below
+        self.pool, self.start = np.zeros(1 << 16, self.dtype), np.zeros(1 << 16, np.int64)
+        self.size, self.used = np.zeros(1 << 16, np.int64), 0
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
 
-    def _new(self, words: list[str]) -> dict[str, bytes]:
+    def _learn(self, hashes: list[int], words: list[str]) -> None:
         """Encode ``words`` as one text; each ends at its word-end piece."""
-        ids = np.asarray(self.tok.encode("\n".join(words), add_special_tokens=False).ids, self.dtype)
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(words):
-            return dict(zip(words, self._whole(words)))
-        data, at = ids.tobytes(), [0, *(ids.itemsize * cuts).tolist()]
-        return dict(zip(words, [data[i:j] for i, j in zip(at, at[1:])]))
+        ids = np.asarray(self.word_tok.encode("\n".join(words), add_special_tokens=False).ids, self.dtype)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            raise ValueError("a word without an end piece")
+        n, used = len(self.known), self.used
+        while len(self.pool) < used + len(ids):
+            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+        while len(self.start) < n + len(words):
+            self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size))
+        self.pool[used:used + len(ids)] = ids
+        self.size[n:n + len(words)] = np.diff(ends, prepend=0)
+        self.start[n:n + len(words)] = used + ends - self.size[n:n + len(words)]
+        self.known.update(zip(hashes, range(n, n + len(words))))
+        self.used += len(ids)
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        text = "\n".join(texts).lower() + "\n"
+        cp = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        starts, ends = word_cuts(text, cp)
+        if not len(starts):
+            return [b""] * len(texts)
+        hashes, first, of = np.unique(span_hashes(cp, starts, ends), return_index=True, return_inverse=True)
+        if len(self.known) + len(hashes) > _CACHE_WORDS:
+            self._forget()
+        keys = hashes.tolist()
+        place = [self.known.get(k, -1) for k in keys]
+        new = [i for i, p in enumerate(place) if p < 0]
+        if new:
+            at = first[new]
+            self._learn([keys[i] for i in new],
+                        [text[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())])
+            place = [self.known[k] for k in keys]
+        word = np.array(place)[of]
+        size = self.size[word]
+        total = np.cumsum(size)
+        ids = self.pool[np.repeat(self.start[word] - (total - size), size) + np.arange(total[-1])].tobytes()
+        width = np.dtype(self.dtype).itemsize
+        after = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))       # words up to each text's end
+        cuts = [0, *(width * np.concatenate(([0], total))[after]).tolist()]
+        return [ids[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        odd = [not (t.isascii() and "<|" not in t and t.isprintable()) and
-               (self.odd.search(t) is not None or not unicodedata.is_normalized("NFC", t)) for t in texts]
-        rest = iter(self._whole([t for t, o in zip(texts, odd) if o]))
-        split = [None if o else self.words.findall(t.lower()) for t, o in zip(texts, odd)]
-        known, new = self.cache, list(set(chain.from_iterable(filter(None, split))).difference(self.cache))
-        if new and len(known) + len(new) <= _CACHE_WORDS:
-            known.update(self._new(new))
-        elif new:                       # full of the words met first; these serve this call alone
-            known = ChainMap(self._new(new), known)
-        of = known.__getitem__
-        return [next(rest) if words is None else b"".join(map(of, words)) for words in split]
+        odd = [not self.by_word or _ODD.search(t) is not None or not unicodedata.is_normalized("NFC", t) for t in texts]
+        whole = iter(self._whole([t for t, o in zip(texts, odd) if o]))
+        plain = iter(self._plain([t for t, o in zip(texts, odd) if not o]) if not all(odd) else [])
+        return [next(whole if o else plain) for o in odd]
 
 
 @lru_cache(maxsize=1)
