@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm import lines, minhash, packing, quality, substring_dedup
-from flowlens.llm.common import save, table
+from flowlens.llm.common import releasing, save, table
 from flowlens.llm.queries import vocabulary
 
 MIN_SCORE, PASSAGE = 0.4, 30
@@ -59,6 +59,7 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _with_text(substring_dedup.remove_repeats(docs, window=PASSAGE, layout=True), docs.columns, "kept_text")
 
 
+@releasing
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in b.column("ids").to_pylist()]

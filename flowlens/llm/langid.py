@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.llm.common import replace_columns, ship, small
+from flowlens.llm.common import releasing, replace_columns, ship, small
 
 DIMS = 4096
 UNKNOWN = "und"
@@ -115,6 +115,7 @@ def fit(docs: DataFrame, learn: Column, sample: int = 4000, clusters: int = 4, i
     texts = docs.select(F.col(id_col).alias("k"), F.col(lang_col).alias("y"), F.col(text_col).alias("text")) \
         .join(F.broadcast(picks), ["k", "y"])
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 200):
             got = [(y, trigrams(t or "")) for y, t in zip(b.column("y").to_pylist(), b.column("text").to_pylist())]
@@ -136,6 +137,7 @@ def predict(docs: DataFrame, model: Centroids, text_col: str = "text") -> DataFr
     schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             got = [model.predict(t) for t in b.column(1).to_pylist()]

@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import U64, binary_views, chunks, lower_ascii, mix64, save, ship, small
+from flowlens.llm.common import U64, binary_views, chunks, lower_ascii, mix64, releasing, save, ship, small
 from flowlens.llm.components import components
 from flowlens.llm.substring_dedup import word_grams
 
@@ -129,6 +129,7 @@ def near_groups(docs: DataFrame, shingle: int = 5, threshold: tuple[int, int] =
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), text.alias("text")) \
         .withColumn("uid", F.xxhash64("id", "text"))
 
+    @releasing
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             n, digest, keys = [], [], []
@@ -189,6 +190,7 @@ def _links(hung: DataFrame, classes: DataFrame, base: DataFrame, shingle: int, n
         ((F.col("pair.i") != F.col("pair.j")) & (mine == F.col("pair.j"))).cast("int").alias("side"))
     live = hung.select("node").distinct().join(classes.select("node", F.col("least.uid").alias("uid")), "node")
 
+    @releasing
     def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3).compress
         for b in small(batches):
@@ -198,6 +200,7 @@ def _links(hung: DataFrame, classes: DataFrame, base: DataFrame, shingle: int, n
     bodies = base.select("uid", "text").mapInArrow(zipped, "uid long, body binary").join(live, "uid") \
         .dropDuplicates(["node"]).select("node", "body")
 
+    @releasing
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor().decompress
         now, held, out = None, [], []

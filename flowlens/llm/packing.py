@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import save, ship, small, span_hashes
+from flowlens.llm.common import releasing, save, ship, small, span_hashes
 
 # The normaliser and pre-tokenizer for which words can be cut
 # below; with any other the tokenizer reads every text itself.
@@ -40,7 +40,7 @@ _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # and the tokenizer's own normaliser; texts with others go to it whole.
 _PLAIN = "\t-\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f\u2010-\u2027\u20ac"
 _ODD = re.compile(f"[^{_PLAIN}]|<\\|")
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 300_000
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 
 
@@ -173,6 +173,7 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
     ship(docs)
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
 
+    @releasing
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, part, at = word_ids(tokenizer_path), TaskContext.get().partitionId(), 0
         end = np.asarray([end_id], ids.dtype).tobytes()
@@ -188,6 +189,7 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
                     [rows.column(0), pa.array(out, pa.binary()), pa.array(n), pa.array(before),
                      pa.array(np.full(len(out), part, np.int32))], ["id", "ids", "n", "before", "part"])
 
+    @releasing
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             at, take, pieces = b.column(3).to_pylist(), [], []
@@ -217,6 +219,7 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
             .withColumnRenamed("id", id_col))
 
 
+@releasing
 def crc32(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """mapInArrow body: the ``ids`` column becomes its unsigned CRC-32."""
     for b in batches:

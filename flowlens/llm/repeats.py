@@ -45,6 +45,7 @@ from flowlens.llm.common import (
     by_bucket,
     chunks,
     mix64,
+    releasing,
     ship,
     sliding_min,
     small,
@@ -123,6 +124,7 @@ def _anchor_rows(tokens: Tokens, buckets: int) -> Callable:
         packed = packed | (state > 0)
         return to_blobs(bucket, lambda r: [h[r].tobytes(), uid[r].tobytes(), packed[r].tobytes(), state[r].tobytes()])
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for b in batches:
@@ -142,6 +144,7 @@ def _anchor_rows(tokens: Tokens, buckets: int) -> Callable:
 def _repeated(buckets: int) -> Callable:
     """Grams of a bucket -> (uid, packed) of those met twice or known hot, in
     buckets by uid; the lowest bit of ``packed`` says that the gram is hot."""
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in by_bucket(batches):
             h, uid, packed, state = (np.concatenate([np.frombuffer(x[i], t) for x in got])
@@ -164,6 +167,7 @@ def _repeated(buckets: int) -> Callable:
     return run
 
 
+@releasing
 def _by_uid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Flagged grams of a bucket -> one row for each document."""
     for got in by_bucket(batches):
@@ -204,6 +208,7 @@ class _Spans:
         return to_blobs(bucket, lambda x: [np.ascontiguousarray(r[x].T).tobytes()])
 
 
+@releasing
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of a bucket -> one row for each document, its spans merged."""
     for got in by_bucket(batches):
@@ -278,6 +283,7 @@ def _run_rows(tokens: Tokens, strict: bool, buckets: int) -> Callable:
     hand once, in buckets by key; spans settled here go to buckets below 0."""
     w, k = tokens.window, tokens.gram
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = _Spans(w)
         firsts = _Firsts(strict, spans)
@@ -340,6 +346,7 @@ def _resolve(tokens: Tokens, strict: bool, groups: Callable, buckets: int) -> Ca
                 elif not strict:
                     spans.add(doc, uid, [p for p in ps if p != least], 1)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = _Spans(w)
 
@@ -384,6 +391,7 @@ def _resolve(tokens: Tokens, strict: bool, groups: Callable, buckets: int) -> Ca
     return run
 
 
+@releasing
 def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3).compress
     for b in small(batches):

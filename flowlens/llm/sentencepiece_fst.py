@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import ship, small
+from flowlens.llm.common import releasing, ship, small
 
 MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -186,6 +186,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = compiled(model_path)
         for b in small(batches, 200):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.llm.common import U64, mix64, replace_columns, small, span_hashes, word_spans
+from flowlens.llm.common import U64, mix64, releasing, replace_columns, small, span_hashes, word_spans
 from flowlens.llm.repeats import SPANS, Tokens, all_spans, mark_repeats, unzipped
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -110,6 +110,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
                            T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("removed", SPANS)])
 
+    @releasing
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             texts, n_words, n_removed, removed = [], [], [], []

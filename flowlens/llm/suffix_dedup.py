@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.llm.common import gram_hashes, replace_columns, small
+from flowlens.llm.common import gram_hashes, releasing, replace_columns, small
 from flowlens.llm.repeats import SPANS, Tokens, all_spans, mark_repeats, unzipped
 
 GRAM, DIGIT = 24, 8
@@ -86,6 +86,7 @@ def remove_repeats(docs: DataFrame, window: int = 100, id_col: str = "doc_id",
                            T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("removed", SPANS)])
 
+    @releasing
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             kept, sizes, gone, removed = [], [], [], []

@@ -30,7 +30,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import U64, gram_hashes, ship, small
+from flowlens.llm.common import U64, gram_hashes, releasing, ship, small
 from flowlens.llm.repeats import picked
 
 NULL_ID = -(1 << 63)
@@ -97,6 +97,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     sent = rows.join(F.broadcast(guests), ["id", "tie"]).select(F.col("to").alias("range"), "id", "tie", "text") \
         .dropDuplicates(["range"]).withColumn("guest", F.lit(1))
 
+    @releasing
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for b in small(batches):
@@ -120,6 +121,7 @@ def fingerprints(docs: DataFrame, gram: int = 10, window: int = 32, id_col: str
     half replaced by the next document's first code points."""
     pairs = with_next(docs, id_col, text_col)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 200):
             texts, after = b.column(1).to_pylist(), b.column(2).to_pylist()
