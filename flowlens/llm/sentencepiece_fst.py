@@ -40,7 +40,7 @@ from flowlens.llm.common import releasing, ship, small
 
 MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_CACHE, _WORD = 300_000, 48
+_CACHE, _WORD = 600_000, 48
 # Kinds of pieces and of models in the model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -60,16 +60,19 @@ class Transducer:
                 model.trainer_spec.treat_whitespace_as_suffix or not spec.escape_whitespaces:
             raise ValueError("only plain unigram and BPE models with marks in front of words are supported")
         self.prefix, self.squeeze = spec.add_dummy_prefix, spec.remove_extra_whitespaces
-        self.text = [p.piece for p in model.pieces]
-        self.kinds = [p.type for p in model.pieces]
         self.pieces = {p.piece: i for i, p in enumerate(model.pieces) if p.type in (NORMAL, USER)}
-        if any(MARK in p.lstrip(MARK) for p in self.pieces) or USER in self.kinds:
+        if any(MARK in p.lstrip(MARK) for p in self.pieces) or any(p.type == USER for p in model.pieces):
             raise ValueError("a piece crosses the start of a word")
+        # The pieces' letter tree: each prefix of a piece, and whether it is one.
+        self.prefixes = {p[:i]: False for p in self.pieces for i in range(1, len(p))} | dict.fromkeys(self.pieces, True)
         self.score = [p.score for p in model.pieces]
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.unknown = model.trainer_spec.unk_id
         self.least = min((self.score[i] for i in self.pieces.values()), default=0.0)
         self.longest = max(map(len, self.pieces), default=1)
+        # What each id decodes to: a byte, a blank for a mark, nothing for a control piece.
+        self.plain = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else " ⁇ ".encode() if p.type == UNKNOWN
+                      else b"" if p.type == CONTROL else p.piece.replace(MARK, " ").encode() for p in model.pieces]
         self.cache: dict[str, bytes] = {}
         self.beside: dict[tuple[str, str], bool] = {}
 
@@ -96,28 +99,32 @@ class Transducer:
         return parts
 
     def allowed(self, a: str, b: str) -> bool:
-        ok = self.beside.get((a, b))
-        if ok is None:
-            if len(self.beside) > _CACHE:
-                self.beside.clear()
-            ok = self.beside[a, b] = self.merged(a + b) == [a, b]
+        """Whether ``b`` may follow ``a`` ("": stand first)."""
+        if len(self.beside) > _CACHE:
+            self.beside.clear()
+        ok = self.beside[a, b] = self.merged(a + b) == ([a, b] if a else [b])
         return ok
 
     def shortest(self, segment: str) -> list[str]:
         """The least path from the segment's start to its end."""
-        n, pieces, longest = len(segment), self.pieces, self.longest
+        n, pieces, longest, prefixes = len(segment), self.pieces, self.longest, self.prefixes
         if self.kind == BPE:
             if segment.startswith(MARK * 2):
                 return self.merged(segment)
-            last: list[str | None] = [None] * (n + 1)
-            for end in range(1, n + 1):
-                for start in range(max(0, end - longest), end):
+            last: list[str | None] = ["", *[None] * n]
+            beside = self.beside
+            for start in range(n):
+                before = last[start]
+                if before is None:
+                    continue
+                for end in range(start + 1, n + 1):
                     part = segment[start:end]
-                    if (part in pieces or start == end - 1) and (
-                            start == 0 or last[start] is not None and self.allowed(last[start], part)):
-                        if start == 0 and len(part) > 1 and self.merged(part) != [part]:
-                            continue
-                        last[end] = part
+                    piece = prefixes.get(part)
+                    if (piece or end == start + 1) and last[end] is None:
+                        ok = beside.get((before, part))
+                        if self.allowed(before, part) if ok is None else ok:
+                            last[end] = part
+                    if piece is None:
                         break
         else:
             cost, last = [0.0] + [float("inf")] * n, [None] * (n + 1)
@@ -137,9 +144,12 @@ class Transducer:
         return out[::-1]
 
     def _ids(self, segment: str) -> bytes:
+        parts = self.shortest(segment)
+        known = [self.pieces.get(part) for part in parts]
+        if None not in known:
+            return np.array(known, "<u4").tobytes()
         out: list[int] = []
-        for part in self.shortest(segment):
-            i = self.pieces.get(part)
+        for part, i in zip(parts, known):
             if i is not None:
                 out.append(i)
             elif self.bytes:
@@ -162,16 +172,7 @@ class Transducer:
 
     def decode(self, ids: bytes) -> str:
         """Text of ids: pieces joined, bytes read as UTF-8, marks as blanks."""
-        out: list[bytes] = []
-        for i in np.frombuffer(ids, "<u4").tolist():
-            kind = self.kinds[i]
-            if kind == BYTE:
-                out.append(bytes([int(self.text[i][3:5], 16)]))
-            elif kind == UNKNOWN:
-                out.append(" ⁇ ".encode())
-            elif kind != CONTROL:
-                out.append(self.text[i].encode())
-        text = b"".join(out).decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.plain.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
