@@ -84,6 +84,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that an equal text outlives: one row of each
     group stays, the one with the largest id."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept_id"))
-    keyed = docs.dropDuplicates([id_col, text_col])
-    return keyed.join(kept.distinct(), keyed[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept = exact_groups(docs, id_col, text_col).filter("kept") \
+        .select(F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    sha = F.sha2(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256)
+    rows = docs.withColumn("_sha", sha)
+    return (rows.join(kept, rows[id_col].eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
+            .dropDuplicates([id_col, "_sha"]).drop("_sha"))
