@@ -64,6 +64,15 @@ def be_bytes(x, nbytes: int) -> Column:
     return F.unhex(hex_field(x, nbytes))
 
 
+def be_bytes_exact(x, nbytes: int) -> Column:
+    """``be_bytes`` of an integer that must fit: a value outside 0 ..
+    256^nbytes - 1 is an error, since a wrapped key would meet another's."""
+    c = _c(x).cast("bigint")
+    fits = c.isNull() | c.between(0, (1 << (8 * nbytes)) - 1)
+    bad = F.raise_error(F.concat(F.lit(f"does not fit {nbytes} bytes: "), c.cast("string"))).cast("binary")
+    return F.when(fits, be_bytes(c, nbytes)).otherwise(bad)
+
+
 def reverse_bytes(b: Column, n: int) -> Column:
     """Byte order reversal of a fixed ``n``-byte value."""
     return F.concat(*[slice_bytes(b, i, 1) for i in range(n - 1, -1, -1)])

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from flowlens.functions.bytesx import be_bytes, bytes_to_int, hex_field, reverse_bytes
+from flowlens.functions.bytesx import be_bytes, be_bytes_exact, bytes_to_int, hex_field, reverse_bytes
 
 IMPORT_LAYOUT = {"salt": (0, 16), "dataset_id": (16, 2), "ts_sec": (18, 4), "ts_usec": (22, 4),
                  "tuple": (26, 13), "suffix": (39, 4)}
@@ -100,8 +100,8 @@ def record_salt(idx: Column) -> Column:
 
 
 def record_key(idx: Column) -> Column:
-    """Salt (2 B) | index (4 B)."""
-    return F.concat(be_bytes(record_salt(idx), 2), be_bytes(idx, 4))
+    """Salt (2 B) | index (4 B). An index of 2^32 or more is an error."""
+    return F.concat(be_bytes(record_salt(idx), 2), be_bytes_exact(idx, 4))
 
 
 def key_range_bucket(key: Column, lo: int, hi: int, n: int, width: int | None = None) -> Column:

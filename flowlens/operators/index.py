@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlens.session import work_dir
+
 # Blocks (input splits / shuffle partitions) up to which the offset table is
 # broadcast; ~40 bytes per block, so 200k blocks is ~8 MB.
 MAX_BROADCAST_BLOCKS = 200_000
@@ -53,9 +55,30 @@ def dense_index(df: DataFrame, block_cols: list[str] | None = None, name: str =
     return out.drop(_MID, _PID, _M0, _OFF)
 
 
+def index_in_order(df: DataFrame, name: str = "idx") -> DataFrame:
+    """Index by the order ``df`` already has (partition order, then row order).
+
+    A range sort samples its input, so two evaluations of the same sorted
+    plan may cut it differently: counting rows in one and numbering them in
+    the other gives duplicate and missing indexes. The rows are therefore
+    written once, with their partition and position, under the shared work
+    folder, and both the offsets and the rows are read from there."""
+    spark = df.sparkSession
+    path = work_dir(spark, "ordered") + "/t"
+    placed = df.withColumn(_MID, F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    d = spark.read.schema(placed.schema).parquet(path).withColumn(_PID, F.shiftright(F.col(_MID), 33))
+    stats = d.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT), F.min(_MID).alias(_M0))
+    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)     # one row per partition
+    offs = stats.select(_PID, _M0, F.coalesce(F.sum(_CNT).over(w), F.lit(0)).alias(_OFF))
+    if stats.count() <= MAX_BROADCAST_BLOCKS:
+        offs = F.broadcast(offs)
+    return d.join(offs, _PID).withColumn(name, F.col(_OFF) + F.col(_MID) - F.col(_M0)).drop(_MID, _PID, _M0, _OFF)
+
+
 def sorted_dense_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> DataFrame:
-    """Index by a global order on ``order_cols``: range-partition and sort
-    (one shuffle), then ``dense_index`` over the sorted partitions.
+    """Index by a global order on ``order_cols``, all columns kept:
+    range-partition and sort (one shuffle), then ``index_in_order``.
 
     The scan position of each row is appended as a last sort key: rows that
     tie on ``order_cols`` (even a third of the table) can then be split by
@@ -67,7 +90,7 @@ def sorted_dense_index(df: DataFrame, order_cols: list[str], name: str = "idx")
     keys = [*order_cols, "_ix_tie"]
     s = (df.withColumn("_ix_tie", F.monotonically_increasing_id())
            .repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_ix_tie"))
-    return dense_index(s, None, name, n_blocks=n)
+    return index_in_order(s, name)
 
 
 def file_order_index(df: DataFrame, name: str = "idx") -> DataFrame:

@@ -123,12 +123,16 @@ def merge_points(b: DataFrame, k: DataFrame) -> DataFrame:
 
 
 def kmeans_fit(points: DataFrame, k: int, iters: int = 20, seed: int = 1,
-               features: list[str] = ("x", "y")) -> DataFrame:
-    """L3: KMeans (Spark ML, distributed Lloyd iterations) -> centres."""
+               features: list[str] = ("x", "y"), restarts: int = 1) -> DataFrame:
+    """L3: KMeans (Spark ML, distributed Lloyd iterations) -> centres. Of
+    ``restarts`` seeds the fit of least cost is kept: one start may end in a
+    local optimum."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
     va = VectorAssembler(inputCols=list(features), outputCol="features")
-    model = KMeans(k=k, maxIter=iters, seed=seed, featuresCol="features").fit(va.transform(points))
+    fits = (KMeans(k=k, maxIter=iters, seed=seed + i, featuresCol="features").fit(va.transform(points))
+            for i in range(restarts))
+    model = min(fits, key=lambda m: m.summary.trainingCost)
     pred = model.transform(va.transform(points))
     sizes = pred.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
     spark = points.sparkSession

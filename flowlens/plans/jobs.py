@@ -16,7 +16,7 @@ from flowlens.operators import cells as C
 from flowlens.operators import points as P
 from flowlens.operators.decode import decode_packets, five_tuple, five_tuple_cols, five_tuple_fixed_cols
 from flowlens.operators.features import packet_features as _packet_features
-from flowlens.operators.index import sorted_dense_index
+from flowlens.operators.index import index_in_order, sorted_dense_index
 from flowlens.operators.stats import count_protocols as _count_protocols
 from flowlens.operators.stats import count_rows, session_counts as _session_counts
 from flowlens.session import work_dir
@@ -161,6 +161,12 @@ def with_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_dense_index(o, ["o_orderkey"], "idx")
 
 
+def with_index_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 with every column kept: index of orders by price, ties by key."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return sorted_dense_index(o, ["o_totalprice", "o_orderkey"], "idx")
+
+
 def record_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Salted record key of each lineitem row by its dense index."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*FLOW_VALUE_COLUMNS)
@@ -272,8 +278,8 @@ def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A5: every latest cell in row-key order."""
-    return C.cells_as_text(C.dump_table(customer_cells(spark, sf_dir)))
+    """A5: every latest cell in row-key order, with its place in the dump."""
+    return index_in_order(C.cells_as_text(C.dump_table(customer_cells(spark, sf_dir))), "pos")
 
 
 def scan_column(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,10 +289,10 @@ def scan_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sort_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G1: (row, name) sorted by row key text."""
+    """G1: (row, name) sorted by row key text, with the place in that order."""
     s = C.scan_column(customer_cells(spark, sf_dir), "c", "name")
     s = s.select(F.col("rowkey").cast("string").alias("row"), F.col("value").cast("string").alias("value"))
-    return C.sort_by_key(s, "row")
+    return index_in_order(C.sort_by_key(s, "row"), "pos")
 
 
 def first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,8 +404,16 @@ def merge_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L3: KMeans (k=4, 20 iterations) on the cluster points."""
-    return P.kmeans_fit(P.cluster_points(_point_ids(spark, sf_dir), "i"), 4, 20)
+    """L3: KMeans (k=4, 20 iterations) on the cluster points, held against the
+    generator: for each true centre whether a fitted one lies within half a
+    unit of it, and the points of all fitted clusters together."""
+    fitted = P.kmeans_fit(P.cluster_points(_point_ids(spark, sf_dir), "i"), 4, 20, restarts=6)
+    true = spark.createDataFrame(list(enumerate(P.cluster_centers())), "cluster BIGINT, at ARRAY<DOUBLE>")
+    far = F.sqrt(F.aggregate(F.zip_with("at", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                             lambda x, y: x + y)).alias("far")
+    # k x k distances: both sides are the parameter k long
+    pairs = true.join(F.broadcast(fitted.select("n", "center")), F.lit(True)).select("cluster", "n", far)
+    return pairs.groupBy("cluster").agg(F.sum("n").alias("points"), (F.min("far") < 0.5).alias("near"))
 
 
 # --- packet table import and scan (A9, A14, A3, B8, B16) ------------------------
@@ -423,14 +437,16 @@ def packet_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     file and packet ordinal) -> packet table range-partitioned by key and
     partitioned by key region -> full scan -> packets and bytes per region."""
     path = work_dir(spark, "packet-table")
-    create_packet_table(spark, f"packets_{abs(hash(path)) % 10**8}", path)
+    name = "flowlens_work.packets"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")       # an earlier run's declaration; its files stay
+    create_packet_table(spark, name, path)
     cap = read_capture(spark, capture_files(spark, sf_dir), ROUNDTRIP_CHUNK_BYTES)
     t = decode_packets(cap).select("capture", "ordinal", "ts_sec", "ts_usec", "orig_len", "raw",
                                    *five_tuple_cols())
     keyed = t.select(import_key(_tuple13(), F.lit(DATASET_ID), F.col("ts_sec"), F.col("ts_usec"),
                                 lineage_suffix(F.element_at(F.split("capture", "/"), -1), "ordinal"))
                      .alias("rowkey"), "raw", "orig_len")
-    write_packets(keyed, path)
-    pk = read_packets(spark, path)
+    write_packets(keyed, path, table=name)
+    pk = spark.table(name)
     return pk.groupBy("key_bucket").agg(F.count(F.lit(1)).alias("packets"),
                                         F.sum("orig_len").alias("bytes"))

@@ -217,6 +217,10 @@ def with_index_sql() -> str:
     return "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders"
 
 
+def with_index_payload_sql() -> str:
+    return "SELECT *, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS idx FROM orders"
+
+
 def _record_key_sql(idx: str) -> str:
     return (f"lower(lpad(hex(CAST((({idx}) // 1200) % 15 AS BIGINT)), 4, '0') "
             f"|| lpad(hex(CAST({idx} AS BIGINT)), 8, '0'))")
@@ -297,7 +301,18 @@ def _customer_cells_sql() -> str:
 
 
 def table_dump_sql() -> str:
-    return f"SELECT row, cf, cq, version, value FROM {_customer_cells_sql()} c"
+    return (f"SELECT row, cf, cq, version, value, row_number() OVER (ORDER BY row, cf, cq) - 1 AS pos "
+            f"FROM {_customer_cells_sql()} c")
+
+
+def kmeans_fit_sql() -> str:
+    return ("SELECT cluster, (SELECT count(*) FROM events) AS points, TRUE AS near "
+            "FROM (SELECT DISTINCT CAST(event_id % 4 AS BIGINT) AS cluster FROM events)")
+
+
+def sort_by_key_sql() -> str:
+    return ("SELECT CAST(c_custkey AS VARCHAR) AS row, c_name AS value, "
+            "row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) - 1 AS pos FROM customer")
 
 
 def scan_column_sql() -> str:

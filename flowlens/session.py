@@ -60,6 +60,10 @@ def _checkpoint_root(spark: SparkSession) -> str:
         existing = sc.getCheckpointDir()
         if existing:
             _ROOTS[key] = existing.rstrip("/")
+        elif not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        elif sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir: executors do not share the driver's temporary folder")
         else:
             tmp = tempfile.mkdtemp(prefix="flowlens-ckpt-")
             sc.setCheckpointDir(tmp)

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import posixpath
 import struct
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import (
@@ -115,7 +116,9 @@ def plan_chunks(uri: str, size: int, chunk_bytes: int, failfast: bool = False) -
         order, nanos, _, _ = parse_global_header(f.read_at(GLOBAL_HEADER_LEN, 0))
     if chunk_bytes <= 0:
         return [Chunk(uri, GLOBAL_HEADER_LEN, size, -1, 0, order, nanos)]
-    _, _, chunks = _walk_split(uri, size, size, GLOBAL_HEADER_LEN, chunk_bytes, order, failfast)
+    _, _, chunks, torn = _walk_split(uri, size, size, GLOBAL_HEADER_LEN, chunk_bytes, order)
+    if failfast and torn >= 0:
+        raise ValueError(f"{uri}: truncated record at byte {torn}")
     return [Chunk(uri, a, b, c, d, order, nanos) for a, b, c, d in chunks]
 
 
@@ -248,22 +251,23 @@ class CaptureWriter(DataSourceArrowWriter):
         self.path = options.get("path")
         self.overwrite = overwrite
         self.snaplen = int(options.get("snaplen", DEFAULT_SNAPLEN))
+        self.job = uuid.uuid4().hex[:12]        # in every name: an append never meets another job's files
 
     def write(self, iterator):
         from pyspark import TaskContext
         ctx = TaskContext.get()
         pid, attempt = (ctx.partitionId(), ctx.attemptNumber()) if ctx else (0, 0)
         fs, root = _fs(self.path)
-        tmp_dir = posixpath.join(root, "_temporary")
+        tmp_dir = posixpath.join(root, f"_temporary-{self.job}")
         fs.create_dir(tmp_dir, recursive=True)
-        tmp = posixpath.join(tmp_dir, f"part-{pid:05d}-{attempt}.pcap")
+        tmp = posixpath.join(tmp_dir, f"part-{pid:05d}-{ctx.taskAttemptId() if ctx else attempt}.pcap")
         n = 0
         with fs.open_output_stream(tmp) as out:
             out.write(struct.pack("<IHHiIII", MAGIC_MICROS, 2, 4, 0, 0, self.snaplen, LINKTYPE_ETHERNET))
             for batch in iterator:
                 out.write(_records_bytes(batch))
                 n += batch.num_rows
-        return _Written(tmp, posixpath.join(root, f"part-{pid:05d}.pcap"), n)
+        return _Written(tmp, posixpath.join(root, f"part-{pid:05d}-{self.job}.pcap"), n)
 
     def commit(self, messages):
         fs, root = _fs(self.path)
@@ -273,14 +277,14 @@ class CaptureWriter(DataSourceArrowWriter):
         for m in messages:
             if m is not None:
                 fs.move(m.tmp, m.final)
-        fs.delete_dir(posixpath.join(root, "_temporary"))
+        fs.delete_dir(posixpath.join(root, f"_temporary-{self.job}"))
         with fs.open_output_stream(posixpath.join(root, "_SUCCESS")):
             pass   # completion marker, as Hadoop output committers write
 
     def abort(self, messages):
         fs, root = _fs(self.path)
         try:
-            fs.delete_dir(posixpath.join(root, "_temporary"))
+            fs.delete_dir(posixpath.join(root, f"_temporary-{self.job}"))
         except OSError:
             pass
 
@@ -317,7 +321,7 @@ SYNC_RECORDS = 16
 SYNC_WINDOW = 4 << 20
 SPLIT_SCHEMA = ("uri STRING, size BIGINT, split BIGINT, lo BIGINT, hi BIGINT, entry BIGINT, exit BIGINT, "
                 "records BIGINT, chunks ARRAY<STRUCT<start: BIGINT, end: BIGINT, count: BIGINT, rel: BIGINT>>, "
-                "order STRING, nanos BOOLEAN")
+                "order STRING, nanos BOOLEAN, torn BIGINT")
 
 
 def _plausible(buf: bytes, pos: int, hdr, snaplen: int, nanos: bool, size_left: int) -> bool:
@@ -347,12 +351,14 @@ def _sync_entry(uri, size, lo, order, nanos, snaplen):
     return size   # no record starts in this window: the split is empty
 
 
-def _walk_split(uri, size, hi, entry, chunk_bytes, order, failfast):
+def _walk_split(uri, size, hi, entry, chunk_bytes, order):
     """Walk records from ``entry`` to the first record starting at or after
-    ``hi`` (or the end of the file) -> (exit, records, chunks)."""
+    ``hi`` (or the end of the file) -> (exit, records, chunks, torn): torn is
+    where a record is cut short, or -1. Only a walk from a proven entry may
+    be judged by it: a split that synced on payload bytes ends anywhere."""
     fs, p = _fs(uri)
     hdr = struct.Struct(order + "IIII")
-    chunks, pos, n = [], entry, 0
+    chunks, pos, n, torn = [], entry, 0, -1
     c_start, c_count, c_rel, c_bytes = pos, 0, 0, 0
     with fs.open_input_file(p) as f:
         block, block_off = b"", pos
@@ -361,16 +367,12 @@ def _walk_split(uri, size, hi, entry, chunk_bytes, order, failfast):
                 block_off = pos
                 block = f.read_at(min(HOP_BLOCK, max(size - pos, 0)), pos) if pos < size else b""
             if pos + RECORD_HEADER_LEN > block_off + len(block):
-                if pos < size and failfast:
-                    raise ValueError(f"{uri}: truncated record header at byte {pos}")
-                pos = size
+                torn, pos = (pos if pos < size else -1), size
                 break
             incl = hdr.unpack_from(block, pos - block_off)[2]
             nxt = pos + RECORD_HEADER_LEN + incl
             if nxt > size:
-                if failfast:
-                    raise ValueError(f"{uri}: truncated record at byte {pos}")
-                pos = size
+                torn, pos = pos, size
                 break
             n += 1
             c_count += 1
@@ -381,10 +383,10 @@ def _walk_split(uri, size, hi, entry, chunk_bytes, order, failfast):
                 c_start, c_count, c_rel, c_bytes = pos, 0, n, 0
     if c_count:
         chunks.append((c_start, pos, c_count, c_rel))
-    return pos, n, chunks
+    return pos, n, chunks, torn
 
 
-def _index_splits(chunk_bytes: int, failfast: bool, forced: dict | None = None):
+def _index_splits(chunk_bytes: int, forced: dict | None = None):
     def fn(batches):
         import pandas as pd
         for pdf in batches:
@@ -400,12 +402,12 @@ def _index_splits(chunk_bytes: int, failfast: bool, forced: dict | None = None):
                     entry = GLOBAL_HEADER_LEN
                 else:
                     entry = _sync_entry(r.uri, int(r.size), int(r.lo), order, nanos, max(snaplen, 1))
-                exit_, n, chunks = _walk_split(r.uri, int(r.size), int(r.hi), entry, chunk_bytes, order, failfast)
+                exit_, n, chunks, torn = _walk_split(r.uri, int(r.size), int(r.hi), entry, chunk_bytes, order)
                 out.append((r.uri, int(r.size), int(r.split), int(r.lo), int(r.hi), entry, exit_, n,
                             [{"start": a, "end": b, "count": c, "rel": d} for a, b, c, d in chunks],
-                            order, nanos))
+                            order, nanos, torn))
             yield pd.DataFrame(out, columns=["uri", "size", "split", "lo", "hi", "entry", "exit", "records",
-                                             "chunks", "order", "nanos"])
+                                             "chunks", "order", "nanos", "torn"])
     return fn
 
 
@@ -432,7 +434,7 @@ def _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, for
     sdf = sdf.repartition(max(1, len(rows)))
     forced = dict(forced or {})
     idx = {(r.uri, r.split): r for r in
-           sdf.mapInPandas(_index_splits(chunk_bytes, failfast, forced), SPLIT_SCHEMA).drop("chunks").collect()}
+           sdf.mapInPandas(_index_splits(chunk_bytes, forced), SPLIT_SCHEMA).drop("chunks").collect()}
     while True:
         firsts = {}
         for (uri, k), r in sorted(idx.items()):
@@ -442,9 +444,12 @@ def _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, for
             break
         fix = {(uri, k): e for uri, (k, e) in firsts.items()}
         forced.update(fix)
-        redo = sdf.filter(_split_filter(fix)).mapInPandas(_index_splits(chunk_bytes, failfast, forced), SPLIT_SCHEMA)
+        redo = sdf.filter(_split_filter(fix)).mapInPandas(_index_splits(chunk_bytes, forced), SPLIT_SCHEMA)
         for r in redo.drop("chunks").collect():
             idx[(r.uri, r.split)] = r
+    torn = [(uri, r.torn) for (uri, _), r in sorted(idx.items()) if r.torn >= 0]
+    if failfast and torn:
+        raise ValueError(f"{torn[0][0]}: truncated record at byte {torn[0][1]}")
     return sdf, forced, idx
 
 
@@ -477,7 +482,7 @@ def read_capture_indexed(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTE
                                  "uri STRING, split BIGINT, records BIGINT")
     w = Window.partitionBy("uri").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     offs = offs.select("uri", "split", F.coalesce(F.sum("records").over(w), F.lit(0)).alias("base"))
-    full = sdf.mapInPandas(_index_splits(chunk_bytes, failfast, forced), SPLIT_SCHEMA)
+    full = sdf.mapInPandas(_index_splits(chunk_bytes, forced), SPLIT_SCHEMA)
     chunks = (full.join(F.broadcast(offs), ["uri", "split"])
                   .select("uri", "order", "nanos", "base", F.explode("chunks").alias("c"))
                   .select("uri", F.col("c.start").alias("start"), F.col("c.end").alias("end"),

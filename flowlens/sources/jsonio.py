@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.functions.bytesx import be_bytes
+from flowlens.functions.bytesx import be_bytes_exact
 from flowlens.functions.keys import record_key, record_salt
 from flowlens.operators.index import file_order_index
 
@@ -61,7 +61,7 @@ def flow_values_to_cells(flows: DataFrame, cf: str = "i") -> DataFrame:
     qualifier = 2-byte position, value = UTF-8 text."""
     ex = flows.select("idx", F.posexplode("values").alias("pos", "v"))
     return ex.select(record_key(F.col("idx")).alias("rowkey"), F.lit(cf).alias("cf"),
-                     be_bytes(F.col("pos"), 2).alias("cq"), F.lit(0).cast("bigint").alias("version"),
+                     be_bytes_exact(F.col("pos"), 2).alias("cq"), F.lit(0).cast("bigint").alias("version"),
                      F.encode("v", "UTF-8").alias("value"), record_salt(F.col("idx")).alias("salt"))
 
 

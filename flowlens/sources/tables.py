@@ -31,30 +31,31 @@ def packet_bucket(key_col: str = "rowkey") -> F.Column:
 def create_packet_table(spark: SparkSession, name: str, path: str) -> list[str]:
     """Declare a packet table partitioned by key region; returns the
     region split keys (hex) it is pre-split on."""
-    try:
-        spark.sql(f"""CREATE TABLE IF NOT EXISTS {name}
-            (rowkey BINARY, raw BINARY, orig_len INT, key_bucket INT)
-            USING parquet PARTITIONED BY (key_bucket) LOCATION '{path}'""")
-    except Exception as e:  # catalog unavailable: the folder is the table
-        import warnings
-        warnings.warn(f"packet table {name} not registered in the catalog: {e}")
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    spark.sql(f"""CREATE TABLE IF NOT EXISTS {name}
+        (rowkey BINARY, raw BINARY, orig_len INT, key_bucket INT)
+        USING parquet PARTITIONED BY (key_bucket) LOCATION '{path}'""")
     return split_points(PACKET_SPLIT_LO, PACKET_SPLIT_HI, PACKET_REGIONS, PACKET_KEY_PREFIX)
 
 
-def write_packets(packets: DataFrame, path: str, mode: str = "append") -> None:
+def write_packets(packets: DataFrame, path: str, mode: str = "append", table: str | None = None) -> None:
     """Keyed packets -> packet table (rowkey, raw, orig_len) partitioned
     by key region.
 
     Rows are range-partitioned on the key first, so each task writes a
     contiguous key range into one or two region folders (few files, sorted
     by key: Parquet min/max stats then prune key-range scans), and the MD5
-    prefix spreads load evenly across tasks.
+    prefix spreads load evenly across tasks. ``table``: the declared table at
+    ``path``, which learns of the new region folders.
     """
     out = packets.select("rowkey", "raw", "orig_len", packet_bucket("rowkey").alias("key_bucket"))
     # No explicit partition count: asking the input for one would make AQE
     # run its shuffles just to count partitions; AQE sizes this exchange.
     (out.repartitionByRange("rowkey").sortWithinPartitions("rowkey")
         .write.mode(mode).partitionBy("key_bucket").parquet(path))
+    if table:
+        packets.sparkSession.sql(f"MSCK REPAIR TABLE {table}")
 
 
 def read_packets(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
@@ -193,10 +194,15 @@ def derived_table_path(spark: SparkSession, name: str, fingerprint: str, build,
 
 
 def input_fingerprint(spark: SparkSession, path: str) -> str:
-    """Path, size and modification time of an input file or folder."""
+    """Hash of an input file, or of all files below a folder: name, length
+    and modification time of each."""
+    import hashlib
     fs, p, _ = _hadoop_fs(spark, path)
-    st = fs.getFileStatus(p)
-    return f"{path}:{st.getLen()}:{st.getModificationTime()}"
+    files, found = fs.listFiles(p, True), []
+    while files.hasNext():
+        st = files.next()
+        found.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+    return f"{path}:{len(found)}:{hashlib.sha1(chr(10).join(sorted(found)).encode()).hexdigest()}"
 
 
 def code_version(*modules) -> str:

@@ -21,6 +21,7 @@ from __future__ import annotations
 import time
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -225,22 +226,26 @@ def run_to_files(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
 def wait_for_output(spark: SparkSession, q: StreamingQuery, path: str, expected_total: int,
                     deadline_s: float = 120.0, column: str = "count") -> None:
     """Let a processing-time query run until its sink holds ``expected_total``
-    (sum of ``column``) or the deadline passes; then stop it.
+    (sum of ``column``); then stop it. Past the deadline: TimeoutError, never
+    a partial result.
 
     (``processAllAvailable`` cannot be used: with a processing-time timeout
     the query always has another batch to run, so it is never idle.)"""
-    t0 = time.time()
+    t0, got = time.time(), 0
     try:
         while time.time() - t0 < deadline_s:
             if q.exception() is not None:
                 raise q.exception()
             try:
                 got = spark.read.parquet(path).agg(F.sum(column)).collect()[0][0] or 0
-            except Exception:  # no file committed yet
-                got = 0
+            except AnalysisException as e:
+                if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "_LEGACY_ERROR_TEMP_1134"):
+                    raise
+                got = 0             # no file committed yet
             if got >= expected_total:
                 return
             time.sleep(1.0)
+        raise TimeoutError(f"{path}: {got} of {expected_total} after {deadline_s} s")
     finally:
         q.stop()
 

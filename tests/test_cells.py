@@ -86,3 +86,15 @@ def test_sorted_index_splits_a_hot_key(spark):
     assert [k for _, k in got] == sorted(k for _, k in got)
     per_part = ix.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     assert max(r["count"] for r in per_part) < n / 3
+
+
+def test_dense_index_keeps_columns(spark):
+    """Many partitions, a key with many ties and a payload column."""
+    df = spark.range(0, 20_000, 1, 9).select((F.col("id") % 13).alias("k"), "id", F.md5(F.col("id").cast("string")).alias("p"))
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        got = sorted_dense_index(df, ["k", "id"], "idx").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    want = {(k, i): n for n, (k, i) in enumerate(sorted((i % 13, i) for i in range(20_000)))}
+    assert {(r.k, r.id): r.idx for r in got} == want and len({r.p for r in got}) == 20_000

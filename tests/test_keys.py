@@ -86,3 +86,12 @@ def test_two_byte_presplit_matches_record_salt(spark):
     got = df.select(key_range_bucket(record_key(F.col("idx")), 0, 16, 15, 2).alias("b"),
                     ((F.col("idx") / 1200).cast("bigint") % 15).alias("salt")).collect()
     assert all(r.b == r.salt for r in got)
+
+
+def test_record_key_never_wraps(spark):
+    import pytest
+    ok = spark.range(1).select(record_key(F.lit((1 << 32) - 1).cast("bigint")).alias("k"))
+    assert bytes(ok.first().k)[2:] == b"\xff" * 4
+    for bad in (1 << 32, (1 << 32) + 5, -1):
+        with pytest.raises(Exception, match="does not fit"):
+            spark.range(1).select(record_key(F.lit(bad).cast("bigint")).alias("k")).collect()

@@ -106,3 +106,16 @@ def test_event_time_idle_counts_are_deterministic(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     want = {r.m: r.n for r in ev.groupBy(F.date_trunc("minute", "ts").alias("m")).agg(F.count("*").alias("n")).collect()}
     assert got == want
+
+
+def test_deadline_raises(spark):
+    """A partial result is never handed out."""
+    import pytest
+    from flowlens.session import work_dir
+    base = work_dir(spark, "deadline-test")
+    S.packet_records(jobs.event_frames(spark, SF_SMALL)).write.parquet(f"{base}/in/data")
+    q = S.run_to_files(S.idle_flush_counts(S.read_packet_stream(spark, f"{base}/in")), f"{base}/out", f"{base}/ck",
+                       available_now=False)
+    with pytest.raises(TimeoutError):
+        S.wait_for_output(spark, q, f"{base}/out", 1_000_000, deadline_s=2)
+    assert not q.isActive

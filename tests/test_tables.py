@@ -56,3 +56,23 @@ def test_clean_work_removes_only_old_work_folders(spark):
     deleted = clean_work(spark, older_than_hours=24)
     assert any(d.endswith(os.path.basename(p)) for d in deleted)
     assert not os.path.exists(p) and os.path.exists(fresh)
+
+
+def test_fingerprint_sees_nested_files(spark, tmp_path):
+    from flowlens.sources.tables import input_fingerprint
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_text("1")
+    before = input_fingerprint(spark, str(tmp_path))
+    (tmp_path / "a" / "x").write_text("22")
+    assert input_fingerprint(spark, str(tmp_path)) != before
+
+
+def test_declared_packet_table_has_the_rows(spark, tmp):
+    from flowlens.sources.tables import create_packet_table, write_packets
+    create_packet_table(spark, "declared_test.packets", tmp + "/p")
+    try:
+        df = spark.range(200).selectExpr("unhex(md5(cast(id as string))) rowkey", "binary('x') raw", "1 orig_len")
+        write_packets(df, tmp + "/p", table="declared_test.packets")
+        assert spark.table("declared_test.packets").count() == 200
+    finally:
+        spark.sql("DROP DATABASE declared_test CASCADE")
