@@ -131,6 +131,27 @@ SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(other) AS component_id
 FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
+# Bytes as hex text (two characters each); a window is 200 of them.
+_OP5 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+     p AS (SELECT doc_id, unnest(range(1, length(h) // 2 - 98)) AS i,
+                  unnest([md5_number(h[2 * j - 1:2 * j + 198]) FOR j IN range(1, length(h) // 2 - 98)]) AS m FROM d),
+     r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY m ORDER BY doc_id, i) AS n FROM p),
+     s AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new
+           FROM r WHERE n > 1),
+     k AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM s),
+     x AS (SELECT doc_id, min(i) AS a, max(i) + 99 AS b FROM k GROUP BY doc_id, k),
+     l AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS c FROM x),
+     t AS (SELECT doc_id, max(b) AS b, count(*) AS n_spans, sum(b - a + 1) AS n_removed FROM x GROUP BY doc_id),
+     y AS (SELECT l.doc_id, a AS o, substr(h, 2 * c + 1, 2 * (a - c - 1)) AS piece FROM l JOIN d ON d.doc_id = l.doc_id
+           UNION ALL SELECT d.doc_id, 9000000000000, substr(h, 2 * coalesce(b, 0) + 1)
+           FROM d LEFT JOIN t ON t.doc_id = d.doc_id),
+     z AS (SELECT doc_id, sha256(unhex(string_agg(piece, '' ORDER BY o))) AS kept_sha256 FROM y GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, kept_sha256
+FROM d JOIN z ON z.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
 _OP10 = f"""
 WITH p AS (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host,
                   list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(html,
@@ -164,5 +185,6 @@ SQL = {
     "op1_substring_dedup": _OP1,
     "op3_minhash_near_dedup": _OP3,
     "op10_line_dedup": _OP10,
+    "op5_suffix_dedup": _OP5,
     "op8_exact_dedup": _OP8,
 }
