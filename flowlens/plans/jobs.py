@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.bytesx import hex_lower
 from flowlens.functions.keys import (
+    key_as_bytes, key_as_text,
     import_key, key_range_bucket, lineage_suffix, record_key, split_key, timeslot_key, tuple_bytes,
 )
 from flowlens.functions.timex import epoch_micros
 from flowlens.operators import cells as C
 from flowlens.operators import points as P
-from flowlens.operators.decode import decode_packets, five_tuple, five_tuple_cols, five_tuple_fixed_cols
+from flowlens.operators.decode import (
+    decode_packets, drop_undecodable, five_tuple, five_tuple_cols, five_tuple_fixed_cols, with_tuple5,
+)
 from flowlens.operators.features import packet_features as _packet_features
 from flowlens.operators.index import index_in_order, sorted_dense_index
 from flowlens.operators.stats import count_protocols as _count_protocols
-from flowlens.operators.stats import count_rows, session_counts as _session_counts
+from flowlens.operators.stats import count_rows, write_sessions, session_counts as _session_counts
 from flowlens.session import work_dir
 from flowlens.sources.capture import read_capture, write_capture
 from flowlens.sources.frames import event_frames, lineitem_frames
@@ -74,6 +77,38 @@ def session_counts_lineitem(spark: SparkSession, sf_dir: str, dense: int = 60) -
     return _session_counts(_decoded(lineitem_frames(spark, sf_dir)), dense)
 
 
+def tuple5_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed-offset tuple as a struct column beside the frame."""
+    return with_tuple5(event_frames(spark, sf_dir)).select("pkt_id", "tuple5.*")
+
+
+def decodable_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets that keep an Ethernet layer."""
+    return drop_undecodable(decoded_event_packets(spark, sf_dir)).select("pkt_id")
+
+
+def key_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text keys as bytes and back to text."""
+    keys = read_table(spark, sf_dir, "orders").select("o_orderkey", key_as_bytes(F.col("o_orderkey").cast("string")).alias("k"))
+    return keys.select("o_orderkey", F.octet_length("k").alias("bytes"), key_as_text(F.col("k")).alias("key"))
+
+
+def session_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 sink and scan: sessions written by bucket, read back from the table."""
+    path = work_dir(spark, "sessions")
+    counts = session_counts(spark, sf_dir)
+    write_sessions(counts, path)
+    return spark.read.schema(counts.schema).parquet(path).select(*counts.columns)
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 sink and scan: decoded features written once, read back without the frames."""
+    path = work_dir(spark, "features") + "/t"
+    features = packet_features(spark, sf_dir)
+    features.write.parquet(path)
+    return spark.read.schema(features.schema).parquet(path)
+
+
 def packet_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3."""
     return count_rows(event_frames(spark, sf_dir))

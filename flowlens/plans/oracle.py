@@ -69,6 +69,15 @@ SELECT count(*) FILTER (WHERE has_tcp) AS tcp,
 FROM g"""
 
 
+def decodable_packets_sql() -> str:
+    return frame_cte() + "SELECT pkt_id FROM g WHERE decodable"
+
+
+def key_texts_sql() -> str:
+    return ("SELECT o_orderkey, CAST(length(CAST(o_orderkey AS VARCHAR)) AS INTEGER) AS bytes, "
+            "lower(hex(encode(CAST(o_orderkey AS VARCHAR)))) AS key FROM orders")
+
+
 def five_tuples_sql() -> str:
     return frame_cte() + f"SELECT pkt_id, {TUPLE_SQL} FROM g"
 
