@@ -178,8 +178,8 @@ def read_chunk(ch: Chunk, failfast: bool = False):
 
 
 # The data source hops headers in its planner (one driver-side process) only
-# for small inputs; beyond these bounds it plans whole-file partitions, and
-# ``read_capture`` indexes large inputs with a Spark job instead.
+# for small inputs; beyond these bounds it refuses (chunkBytes would not hold),
+# and ``read_capture`` indexes the input with a Spark job instead.
 DRIVER_HOP_MAX_FILES = 64
 DRIVER_HOP_MAX_BYTES = 4 << 30
 
@@ -192,11 +192,12 @@ class CaptureReader(DataSourceReader):
 
     def partitions(self):
         files = list_captures(self.path)
-        hop = (self.chunk_bytes > 0 and len(files) <= DRIVER_HOP_MAX_FILES
-               and sum(sz for _, sz in files) <= DRIVER_HOP_MAX_BYTES)
+        if self.chunk_bytes > 0 and (len(files) > DRIVER_HOP_MAX_FILES
+                                     or sum(sz for _, sz in files) > DRIVER_HOP_MAX_BYTES):
+            raise ValueError("too much for the planner of format('pcap'): use read_capture, or chunkBytes 0")
         parts: list[Chunk] = []
         for uri, size in files:
-            parts.extend(plan_chunks(uri, size, self.chunk_bytes if hop else 0, self.failfast))
+            parts.extend(plan_chunks(uri, size, self.chunk_bytes, self.failfast))
         return parts or [Chunk("", 0, 0, 0, 0, "<", False)]
 
     def read(self, partition: Chunk):
@@ -325,16 +326,21 @@ SPLIT_SCHEMA = ("uri STRING, size BIGINT, split BIGINT, lo BIGINT, hi BIGINT, en
 
 
 def _plausible(buf: bytes, pos: int, hdr, snaplen: int, nanos: bool, size_left: int) -> bool:
-    """SYNC_RECORDS consecutive headers at ``pos`` that could be records."""
+    """SYNC_RECORDS consecutive headers at ``pos`` that could be records: a
+    fraction below a second, a length within snaplen (0: no limit) and the
+    packet's, no empty packet, and times at most a day apart."""
     frac_max = 1_000_000_000 if nanos else 1_000_000
+    before = None
     for _ in range(SYNC_RECORDS):
         if pos == size_left:                      # exactly at the end of the file
             return True
         if pos + RECORD_HEADER_LEN > len(buf):    # past the read window
             return pos + RECORD_HEADER_LEN > size_left or len(buf) < size_left
-        _, frac, incl, orig = hdr.unpack_from(buf, pos)
-        if frac >= frac_max or incl > snaplen or incl > orig:
+        sec, frac, incl, orig = hdr.unpack_from(buf, pos)
+        if frac >= frac_max or not incl or snaplen and incl > snaplen or incl > orig or \
+                before is not None and abs(sec - before) > 86_400:
             return False
+        before = sec
         pos += RECORD_HEADER_LEN + incl
     return True
 
@@ -401,7 +407,7 @@ def _index_splits(chunk_bytes: int, forced: dict | None = None):
                 elif r.split == 0:
                     entry = GLOBAL_HEADER_LEN
                 else:
-                    entry = _sync_entry(r.uri, int(r.size), int(r.lo), order, nanos, max(snaplen, 1))
+                    entry = _sync_entry(r.uri, int(r.size), int(r.lo), order, nanos, snaplen)
                 exit_, n, chunks, torn = _walk_split(r.uri, int(r.size), int(r.hi), entry, chunk_bytes, order)
                 out.append((r.uri, int(r.size), int(r.split), int(r.lo), int(r.hi), entry, exit_, n,
                             [{"start": a, "end": b, "count": c, "rel": d} for a, b, c, d in chunks],
@@ -411,19 +417,12 @@ def _index_splits(chunk_bytes: int, forced: dict | None = None):
     return fn
 
 
-def _split_filter(keys):
-    from pyspark.sql import functions as F
-    cond = F.lit(False)
-    for uri, k in keys:
-        cond = cond | ((F.col("uri") == uri) & (F.col("split") == k))
-    return cond
-
-
 def _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, forced=None):
     """Spark job: one index row per byte split. The driver checks that split
-    k's exit equals split k+1's entry and re-walks the first split of a file
-    whose own sync disagreed, from the true boundary, until the chain is
-    exact. Returns (split table, forced entries, {(uri, split): row})."""
+    k's exit equals split k+1's entry; all splits that disagree, in all files,
+    are walked again in one job from the exit before them, until every chain
+    is exact. The first such split of a file is right after each round.
+    Returns (split table, forced entries, {(uri, split): row})."""
     rows = []
     for uri, size in files:
         n = max(1, -(-max(size - GLOBAL_HEADER_LEN, 1) // split_bytes))
@@ -436,15 +435,13 @@ def _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, for
     idx = {(r.uri, r.split): r for r in
            sdf.mapInPandas(_index_splits(chunk_bytes, forced), SPLIT_SCHEMA).drop("chunks").collect()}
     while True:
-        firsts = {}
-        for (uri, k), r in sorted(idx.items()):
-            if k > 0 and uri not in firsts and idx[(uri, k - 1)].exit != r.entry:
-                firsts[uri] = (k, idx[(uri, k - 1)].exit)
-        if not firsts:
+        fix = {(uri, k): idx[(uri, k - 1)].exit for (uri, k), r in idx.items()
+               if k > 0 and idx[(uri, k - 1)].exit != r.entry}
+        if not fix:
             break
-        fix = {(uri, k): e for uri, (k, e) in firsts.items()}
         forced.update(fix)
-        redo = sdf.filter(_split_filter(fix)).mapInPandas(_index_splits(chunk_bytes, forced), SPLIT_SCHEMA)
+        again = spark.createDataFrame([r for r in rows if (r[0], r[2]) in fix], sdf.schema)
+        redo = again.repartition(len(fix)).mapInPandas(_index_splits(chunk_bytes, forced), SPLIT_SCHEMA)
         for r in redo.drop("chunks").collect():
             idx[(r.uri, r.split)] = r
     torn = [(uri, r.torn) for (uri, _), r in sorted(idx.items()) if r.torn >= 0]
