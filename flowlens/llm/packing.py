@@ -40,7 +40,7 @@ _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # and the tokenizer's own normaliser; texts with others go to it whole.
 _PLAIN = "\t-\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f\u2010-\u2027\u20ac"
 _ODD = re.compile(f"[^{_PLAIN}]|<\\|")
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 400_000
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 
 
@@ -99,12 +99,24 @@ class WordIds:
         for piece, i in self.tok.get_vocab().items():
             self.ends[i] = piece.endswith("</w>")
         self.dtype = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
-        self._forget()
+        self.known: dict[int, int] = {}             # word hash -> place in the lists below
+        self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
+        self.start, self.size, self.hits = (np.zeros(1 << 16, np.int64) for _ in range(3))
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}             # word hash -> place in the lists below
-        self.pool, self.start = np.zeros(1 << 16, self.dtype), np.zeros(1 << 16, np.int64)
-        self.size, self.used = np.zeros(1 << 16, np.int64), 0
+        """Keep the words met in several calls; all go if those are too many."""
+        n = len(self.known)
+        keep = np.flatnonzero(self.hits[:n] > 1)
+        if len(keep) > _CACHE_WORDS // 2:
+            keep = keep[:0]
+        hashes = np.fromiter(self.known, np.uint64, n)[keep].tolist()
+        start, size = self.start[keep], self.size[keep]
+        end = np.cumsum(size)
+        self.used = int(end[-1]) if len(end) else 0
+        self.pool[:self.used] = self.pool[np.repeat(start - (end - size), size) + np.arange(self.used)]
+        self.known = dict(zip(hashes, range(len(keep))))
+        self.start[:len(keep)], self.size[:len(keep)] = end - size, size
+        self.hits[:] = 0
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
@@ -119,7 +131,8 @@ class WordIds:
         while len(self.pool) < used + len(ids):
             self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
         while len(self.start) < n + len(words):
-            self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size))
+            self.start, self.size, self.hits = (np.concatenate((x, np.zeros_like(x)))
+                                                for x in (self.start, self.size, self.hits))
         self.pool[used:used + len(ids)] = ids
         self.size[n:n + len(words)] = np.diff(ends, prepend=0)
         self.start[n:n + len(words)] = used + ends - self.size[n:n + len(words)]
@@ -143,7 +156,9 @@ class WordIds:
             self._learn([keys[i] for i in new],
                         [text[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())])
             place = [self.known[k] for k in keys]
-        word = np.array(place)[of]
+        place = np.array(place)
+        self.hits[place] += 1
+        word = place[of]
         size = self.size[word]
         total = np.cumsum(size)
         ids = self.pool[np.repeat(self.start[word] - (total - size), size) + np.arange(total[-1])].tobytes()
