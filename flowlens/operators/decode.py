@@ -18,7 +18,10 @@ Layer rules (our spec):
   A fragment (MF set or offset != 0) has no TCP/UDP layer.
 * IPv6: EtherType 0x86dd, version 6, 40 bytes present; up to three
   extension headers (hop-by-hop 0, routing 43, destination options 60,
-  fragment 44) are walked; a non-atomic fragment has no TCP/UDP layer.
+  authentication 51, fragment 44) are walked; a non-atomic fragment has no
+  TCP/UDP layer.
+* ``depth_exceeded`` marks frames with a third VLAN tag or a fourth extension
+  header, whose inner layers are not read.
 * The transport header must fit inside the IP payload (IPv4 total length /
   IPv6 payload length when non-zero, else the captured bytes).
 * TCP: protocol 6, data offset >= 5, full header incl. options.
@@ -40,6 +43,7 @@ IPPROTO_TCP = 6
 IPPROTO_UDP = 17
 IPV6_EXT_HEADERS = (0, 43, 60)
 IPV6_FRAGMENT = 44
+IPV6_AUTH = 51
 MAX_IPV6_EXT = 3
 
 _TMP = "_d_"
@@ -61,7 +65,7 @@ def _in(col: str, values) -> str:
 def decode_packets(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Frame column -> ``eth``, ``ipv4``, ``ipv6``, ``tcp``, ``udp`` structs
     (NULL when the layer is absent) plus ``decodable``, ``has_ipv4``,
-    ``has_ipv6``, ``has_tcp``, ``has_udp``, ``fragment`` flags.
+    ``has_ipv6``, ``has_tcp``, ``has_udp``, ``fragment``, ``depth_exceeded`` flags.
 
     Reads go to the frame padded with ``PAD_BYTES`` zeros; every layer is
     accepted only after an explicit length check against the real length, so
@@ -100,20 +104,21 @@ def decode_packets(df: DataFrame, raw: str = "raw") -> DataFrame:
     # 3. IPv6 extension-header walk, one projection per step.
     for i in range(MAX_IPV6_EXT):
         nh, off, fr = f"_d_nh{i}", f"_d_off{i}", f"_d_frag{i}"
-        is_ext, is_frag = _in(nh, IPV6_EXT_HEADERS), f"{nh} = {IPV6_FRAGMENT}"
+        is_ext, is_frag, is_auth = _in(nh, IPV6_EXT_HEADERS), f"{nh} = {IPV6_FRAGMENT}", f"{nh} = {IPV6_AUTH}"
         d = d.selectExpr(
             "*",
-            f"CASE WHEN {is_ext} OR {is_frag} THEN {_rd(off, 1)} ELSE {nh} END AS _d_nh{i + 1}",
-            f"{off} + CASE WHEN {is_ext} THEN ({_rd(off + ' + 1', 1)} + 1) * 8 WHEN {is_frag} THEN 8 ELSE 0 END"
-            f" AS _d_off{i + 1}",
+            f"CASE WHEN {is_ext} OR {is_frag} OR {is_auth} THEN {_rd(off, 1)} ELSE {nh} END AS _d_nh{i + 1}",
+            f"{off} + CASE WHEN {is_ext} THEN ({_rd(off + ' + 1', 1)} + 1) * 8 WHEN {is_frag} THEN 8 "
+            f"WHEN {is_auth} THEN ({_rd(off + ' + 1', 1)} + 2) * 4 ELSE 0 END AS _d_off{i + 1}",
             f"{fr} OR ({is_frag} AND ({_rd(off + ' + 2', 2)} & {0xFFF9}) != 0) AS _d_frag{i + 1}",
         )
     last = MAX_IPV6_EXT
     nh_l, off_l = f"_d_nh{last}", f"_d_off{last}"
+    walked = IPV6_EXT_HEADERS + (IPV6_FRAGMENT, IPV6_AUTH)
     # 4. transport-layer protocol, offset and end bound.
     d = d.selectExpr(
         "*",
-        f"CASE WHEN _d_v4 THEN _d_proto WHEN _d_v6 AND NOT {_in(nh_l, IPV6_EXT_HEADERS + (IPV6_FRAGMENT,))} "
+        f"CASE WHEN _d_v4 THEN _d_proto WHEN _d_v6 AND NOT {_in(nh_l, walked)} "
         f"AND {off_l} <= _d_n THEN {nh_l} END AS _d_l4p",
         f"CASE WHEN _d_v4 THEN _d_l3 + _d_hl WHEN _d_v6 THEN {off_l} END AS _d_l4",
         "CASE WHEN _d_v4 THEN least(_d_n, CASE WHEN _d_tot >= _d_hl THEN _d_l3 + _d_tot ELSE _d_n END) "
@@ -133,7 +138,10 @@ def decode_packets(df: DataFrame, raw: str = "raw") -> DataFrame:
         'has_tcp', coalesce(NOT _d_frag AND _d_l4p = {IPPROTO_TCP} AND shiftright(_d_tb12, 4) >= 5
                             AND _d_l4end >= _d_l4 + shiftright(_d_tb12, 4) * 4, false),
         'has_udp', coalesce(NOT _d_frag AND _d_l4p = {IPPROTO_UDP} AND _d_l4end >= _d_l4 + 8, false),
-        'fragment', _d_frag AND (_d_v4 OR _d_v6))))""")
+        'fragment', _d_frag AND (_d_v4 OR _d_v6),
+        'depth_exceeded', coalesce(_d_n >= 22 AND {_in('_d_e12', vl)} AND {_in('_d_e16', vl)}
+                                   AND {_in('_d_e20', vl)}, false)
+                          OR coalesce(_d_v6 AND NOT _d_frag AND {off_l} < _d_n AND {_in(nh_l, walked)}, false))))""")
     # 5. layer structs; fields a job does not use are pruned by Catalyst.
     d = d.selectExpr(
         "*",

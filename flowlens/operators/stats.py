@@ -26,6 +26,14 @@ def count_protocols(pk: DataFrame) -> DataFrame:
     )
 
 
+def count_unread(pk: DataFrame) -> DataFrame:
+    """Frames whose headers were not read to the end, beside all frames: too
+    short for Ethernet, or nested deeper than the decoder walks. One scan."""
+    return pk.agg(F.count(F.lit(1)).alias("frames"),
+                  F.count_if(~F.col("decodable")).alias("undecodable"),
+                  F.count_if(F.col("depth_exceeded")).alias("depth_exceeded"))
+
+
 def time_slot(ts_sec: str, width_s: int) -> Column:
     """floor(ts_sec / width) with integer arithmetic (exact for any
     BIGINT, and a negative time does not share slot 0)."""

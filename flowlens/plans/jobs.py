@@ -366,16 +366,10 @@ def _stream_records(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stream_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J2 + J4 + J5: per-minute record counts from a stream. A bounded replay
-    adds one closing record (far in the future) in the same micro-batch, so
-    the watermark passes every real window and append mode emits them all."""
-    data = _stream_records(spark, sf_dir)
-    base = work_dir(spark, "stream")
-    S.closing_record(spark).write.parquet(f"{base}/close")
-    src = S.read_packet_stream(spark, data).unionByName(S.read_packet_stream(spark, f"{base}/close"))
-    q = S.run_to_files(S.minute_counts_stream(src), f"{base}/out", f"{base}/ck")
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    """J2 + J4 + J5: per-minute record counts from a stream, in bounded
+    micro-batches; a closing record (far in the future) follows in a second
+    run on the same checkpoint, so append mode emits every real window."""
+    return S.replay(spark, _stream_records(spark, sf_dir), work_dir(spark, "stream"), S.minute_counts_stream)
 
 
 def stream_idle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,13 +389,8 @@ def stream_idle_counts_event_time(spark: SparkSession, sf_dir: str) -> DataFrame
     """J3 on event time: per-minute counts emitted when the watermark has
     passed a minute's newest record by 2 seconds (bounded replay with one
     closing record; no wall clock)."""
-    data = _stream_records(spark, sf_dir)
-    base = work_dir(spark, "stream")
-    S.closing_record(spark).write.parquet(f"{base}/close")
-    src = S.read_packet_stream(spark, data).unionByName(S.read_packet_stream(spark, f"{base}/close"))
-    q = S.run_to_files(S.idle_flush_counts_event_time(src), f"{base}/out", f"{base}/ck")
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return S.replay(spark, _stream_records(spark, sf_dir), work_dir(spark, "stream"),
+                    lambda stream, retention: S.idle_flush_counts_event_time(stream, retention=retention))
 
 
 def stream_packet_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -480,7 +480,7 @@ def read_capture_indexed(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTE
     w = Window.partitionBy("uri").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     offs = offs.select("uri", "split", F.coalesce(F.sum("records").over(w), F.lit(0)).alias("base"))
     full = sdf.mapInPandas(_index_splits(chunk_bytes, forced), SPLIT_SCHEMA)
-    chunks = (full.join(F.broadcast(offs), ["uri", "split"])
+    chunks = (full.join(offs, ["uri", "split"])
                   .select("uri", "order", "nanos", "base", F.explode("chunks").alias("c"))
                   .select("uri", F.col("c.start").alias("start"), F.col("c.end").alias("end"),
                           F.col("c.count").alias("count"), (F.col("base") + F.col("c.rel")).alias("first_ordinal"),

@@ -53,7 +53,7 @@ def _index_over_files(rec: DataFrame) -> DataFrame:
     counts = rec.groupBy("_path").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_path", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return rec.join(F.broadcast(offs), "_path").withColumn("idx", F.col("_off") + F.col("pos"))
+    return rec.join(offs, "_path").withColumn("idx", F.col("_off") + F.col("pos"))
 
 
 def flow_values_to_cells(flows: DataFrame, cf: str = "i") -> DataFrame:

@@ -19,6 +19,7 @@ connector jar is not bundled here; the code after the source is identical).
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -65,18 +66,49 @@ def closing_record(spark: SparkSession, topic: str = DEFAULT_TOPIC) -> DataFrame
 
 
 def read_packet_stream(spark: SparkSession, path: str | None = None, kafka_servers: str | None = None,
-                       topic: str = DEFAULT_TOPIC, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A6 + J6: streaming records. Kafka starts at the latest offset without
-    committing offsets (the checkpoint tracks progress, J4)."""
+                       topic: str = DEFAULT_TOPIC, max_files_per_trigger: int | None = None,
+                       max_bytes_per_trigger: int | None = None, starting_offsets: str = "latest") -> DataFrame:
+    """A6 + J6: streaming records. Kafka starts at ``starting_offsets`` without
+    committing offsets (the checkpoint tracks progress, J4). A folder's
+    micro-batches are bounded by files or by bytes."""
     if kafka_servers:
         return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
-                .option("subscribe", topic).option("startingOffsets", "latest").load())
+                .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
     r = spark.readStream.schema(STREAM_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return r.parquet(path)
 
 
+def replay(spark: SparkSession, data: str, base: str, counts: Callable[[DataFrame, str], DataFrame],
+           max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Run ``counts(stream, retention)`` over all records of folder ``data`` in
+    bounded micro-batches and return its output (under ``base``).
+
+    The files of a folder come in no order of time, so the retention is the
+    whole time the records span: no record is late, and the state is one row
+    per minute of that time. The closing record comes in a second run on the
+    same checkpoint, when every record has been counted. An empty folder
+    gives no row. By default a micro-batch holds 256 MiB for each task slot.
+    """
+    us = record_micros(F.col("key"))
+    lo, hi = spark.read.schema(STREAM_SCHEMA).parquet(data).agg(F.min(us), F.max(us)).first()
+    retention = f"{((hi - lo) // MICROS_PER_MINUTE + 2) if lo is not None else 1} minutes"
+    if not (max_files_per_trigger or max_bytes_per_trigger):
+        max_bytes_per_trigger = spark.sparkContext.defaultParallelism << 28
+    close, end = f"{base}/close", closing_record(spark)
+    end.limit(0).write.parquet(close)
+    stream = read_packet_stream(spark, data, max_files_per_trigger=max_files_per_trigger,
+                                max_bytes_per_trigger=max_bytes_per_trigger)
+    out = counts(stream.unionByName(read_packet_stream(spark, close)), retention)
+    run_to_files(out, f"{base}/out", f"{base}/ck").awaitTermination()
+    end.write.mode("append").parquet(close)
+    run_to_files(out, f"{base}/out", f"{base}/ck").awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{base}/out")
+
+
 def record_micros(key: Column) -> Column:
     """Microseconds from the 8-byte big-endian record key."""
     return bytes_to_int(key)
@@ -110,8 +142,8 @@ def _count_until_idle(timeout_ms: int):
 
 
 def _precount(batches):
-    """Per-partition minute counts (a map-side combine before the state
-    shuffle): at most one row per (partition, minute) leaves the task."""
+    """Minute counts of each Arrow batch (a map-side combine before the state
+    shuffle): at most one row per (batch, minute) leaves the task."""
     for pdf in batches:
         if len(pdf):
             c = pdf.groupby("m", sort=False).size()
@@ -148,13 +180,20 @@ def idle_flush_counts_event_time(stream: DataFrame, timeout_ms: int = IDLE_TIMEO
     """J3 on event time: a minute's count is emitted once the watermark has
     passed its newest record by ``timeout_ms`` (no wall clock, so a bounded
     replay gives the same result every time). Same pre-count as
-    ``idle_flush_counts``."""
+    ``idle_flush_counts``.
+
+    The watermark runs on minutes (a record's minute, not its microsecond):
+    all records of a minute are late or none, so the pre-count cannot change
+    which late records count. A minute is late when it is more than
+    ``retention`` (whole minutes) before the newest minute: a row at the
+    watermark itself counts as late, hence the minute on top."""
     from flowlens.session import ship_package
     ship_package(stream.sparkSession)
     us = record_micros(F.col("key"))
     keyed = stream.select(F.floor(us / MICROS_PER_MINUTE).cast("bigint").alias("m"), us.alias("us"))
     pre = keyed.mapInPandas(_precount_et, "m BIGINT, n BIGINT, us BIGINT")
-    pre = pre.withColumn("et", F.timestamp_micros("us")).withWatermark("et", retention)
+    minute = F.timestamp_micros(F.col("m") * MICROS_PER_MINUTE)
+    pre = pre.withColumn("et", minute).withWatermark("et", f"{retention} 1 minute")
     out = pre.groupBy("m").applyInPandasWithState(
         _count_until_event_idle(timeout_ms), "minute BIGINT, count BIGINT", "n BIGINT, last BIGINT", "append",
         GroupStateTimeout.EventTimeTimeout)
@@ -165,7 +204,7 @@ def idle_flush_counts(stream: DataFrame, timeout_ms: int = IDLE_TIMEOUT_MS) -> D
     """J3 + C7: per-minute counts emitted when a minute has been idle for
     ``timeout_ms``; only expired keys produce output (append mode).
 
-    Records are pre-counted per partition and Arrow batch (stateless
+    Records are pre-counted per Arrow batch (stateless
     ``mapInPandas``), so a hot minute reaches the stateful operator as a few
     partial counts, not as all of its rows; the state function streams over
     them without holding a group in memory.

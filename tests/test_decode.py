@@ -75,6 +75,33 @@ def test_edge_frames(spark, name):
     assert r.decodable == (len(raw) >= 14)
 
 
+HOP, AUTH = "{:02x}00010400000000", "{:02x}04000000000001000000010102030405060708090a0b0c"
+
+
+def ext(*types: int, last: int) -> bytes:
+    """IPv6 extension headers of the given types in a row, before ``last``."""
+    return b"".join(bytes.fromhex((AUTH if t == 51 else HOP).format(nxt))
+                    for t, nxt in zip(types, (*types[1:], last)))
+
+
+def test_deep_frames_are_marked(spark):
+    """Frames beyond the walk's depth say so; an authentication header is walked."""
+    from flowlens.operators.stats import count_unread
+    tags = [(0x88A8, 5), (0x8100, 7), (0x8100, 9)]
+    deep = {"vlan3": eth(0x0800, ipv4(17, udp()), tags=tags),
+            "ext4": eth(0x86DD, ipv6(0, ext(0, 60, 43, 60, last=17) + udp()))}
+    flat = {"vlan2": eth(0x0800, ipv4(17, udp()), tags=tags[:2]),
+            "auth": eth(0x86DD, ipv6(51, ext(51, last=17) + udp())),
+            "ext3": eth(0x86DD, ipv6(0, ext(0, 51, 60, last=17) + udp()))}
+    other = {"short": bytes(10), "fragment": CASES["ipv6_frag_udp"][0],
+             "cut": eth(0x86DD, ipv6(0, ext(0, 60, 43, 60, last=17)))[:14 + 40 + 8 + 3]}
+    rows = [(n, f) for part in (deep, flat, other) for n, f in part.items()]
+    pk = decode_packets(spark.createDataFrame(rows, "name STRING, raw BINARY"))
+    got = {r.name: (r.depth_exceeded, r.has_udp) for r in pk.collect()}
+    assert got == {n: (n in deep, n in flat) for n, _ in rows}
+    assert tuple(count_unread(pk).first()) == (8, 1, 2)
+
+
 def test_field_values(spark):
     r = decode_one(spark, eth(0x0800, ipv4(6, tcp(sport=65000, dport=443, doff=8, b12_low=1, flags=0x02,
                                                    opts=bytes.fromhex("020405b401010402" "01030307")),

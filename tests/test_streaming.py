@@ -92,20 +92,59 @@ def test_watermark_drops_only_late_records(spark):
     assert got[m(16)] == 1 and got[m(20)] == 1 and got[m(30)] == 1
 
 
-def test_event_time_idle_counts_are_deterministic(spark):
-    """J3 on event time: with a closing record the watermark times every
-    minute out, so the bounded replay emits all counts without waiting."""
+def _many_files(spark, name):
+    """The event records in six files of no order in time."""
     from flowlens.session import work_dir
-    data = jobs._stream_records(spark, SF_SMALL)
-    base = work_dir(spark, "et-idle")
-    S.closing_record(spark).write.parquet(f"{base}/close")
-    src = S.read_packet_stream(spark, data).unionByName(S.read_packet_stream(spark, f"{base}/close"))
-    q = S.run_to_files(S.idle_flush_counts_event_time(src), f"{base}/out", f"{base}/ck")
-    q.awaitTermination()
-    got = {r.minute: r["count"] for r in spark.read.parquet(f"{base}/out").collect()}
+    base = work_dir(spark, name)
+    S.packet_records(jobs.event_frames(spark, SF_SMALL)).repartition(6, F.xxhash64("offset")).write.parquet(f"{base}/in")
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    want = {r.m: r.n for r in ev.groupBy(F.date_trunc("minute", "ts").alias("m")).agg(F.count("*").alias("n")).collect()}
-    assert got == want
+    minutes = ev.groupBy(F.date_trunc("minute", "ts").alias("m")).agg(F.count("*").alias("n"))
+    return base, {r.m: r.n for r in minutes.collect()}
+
+
+def test_replay_in_bounded_batches_counts_all(spark):
+    """One file per micro-batch, files of no order in time: nothing is late,
+    and the closing record of the second run emits every window."""
+    base, want = _many_files(spark, "replay-minutes")
+    got = S.replay(spark, f"{base}/in", f"{base}/run", S.minute_counts_stream, max_files_per_trigger=1).collect()
+    assert {r.minute: r["count"] for r in got} == want and len(got) == len(want)
+
+
+def test_event_time_idle_replay_in_bounded_batches(spark):
+    base, want = _many_files(spark, "replay-idle")
+    got = S.replay(spark, f"{base}/in", f"{base}/run",
+                   lambda stream, retention: S.idle_flush_counts_event_time(stream, retention=retention),
+                   max_files_per_trigger=1).collect()
+    assert {r.minute: r["count"] for r in got} == want and len(got) == len(want)
+
+
+def test_replay_of_nothing(spark):
+    from flowlens.session import work_dir
+    base = work_dir(spark, "replay-empty")
+    S.packet_records(jobs.event_frames(spark, SF_SMALL)).limit(0).write.parquet(f"{base}/in")
+    assert S.replay(spark, f"{base}/in", f"{base}/run", S.minute_counts_stream).count() == 0
+
+
+def test_late_records_do_not_depend_on_merging(spark):
+    """Two records of a late minute and one of an open minute, in one file or
+    in three: the same counts either way."""
+    from flowlens.session import work_dir
+    minute, t0 = 60_000_000, 1_700_000_040_000_000 // 60_000_000 * 60_000_000
+
+    def run(files):
+        base = work_dir(spark, "late")
+
+        def put(name, micros, parts=1):
+            spark.createDataFrame([(m.to_bytes(8, "big"), b"", "t", 0, i, None) for i, m in enumerate(micros)],
+                                  S.STREAM_SCHEMA).repartition(parts).write.parquet(f"{base}/in/{name}")
+            out = S.idle_flush_counts_event_time(S.read_packet_stream(spark, f"{base}/in"))
+            S.run_to_files(out, f"{base}/out", f"{base}/ck").awaitTermination()
+        put("a", [t0 + 20 * minute])
+        # the watermark is at t0 + 15 min
+        put("b", [t0 + 14 * minute, t0 + 15 * minute - 1, t0 + 15 * minute, t0 + 16 * minute - 1], files)
+        put("c", [S.CLOSING_MICROS])
+        return sorted(r["count"] for r in spark.read.parquet(f"{base}/out").collect())
+    assert run(1) == run(4) == [1, 2]
 
 
 def test_deadline_raises(spark):
