@@ -7,7 +7,8 @@ on all that the step before it kept, and returns the columns of ``documents``
 1. quality: documents scored below ``MIN_SCORE`` go. The ranking learns from
    the rows of ``labels``; a document needs no label to be scored.
 2. line dedup: lines on more than a tenth of a source's documents (and ten at
-   least) are cut from them; ``n_chars`` follows the text.
+   least) are cut from them; ``n_chars`` follows the text. A text and its near
+   copies (as in 3.) count as one document, so copies do not cut themselves.
 3. near-dedup: one document of each group of near copies stays (five-word
    shingles, similarity 0.8 or more), the one with the least id.
 4. substring dedup: runs of ``PASSAGE`` words that a document of smaller id
@@ -32,6 +33,7 @@ from flowlens.llm.common import releasing, save, table
 from flowlens.llm.queries import vocabulary
 
 MIN_SCORE, PASSAGE = 0.4, 30
+NEAR = (5, (80, 100))               # words of a shingle, least similarity
 
 
 def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
@@ -47,12 +49,13 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = lines.drop_boilerplate(docs, "source", ratio=0.1, min_pages=10)
+    paged = save(minhash.with_component(docs, "_page", *NEAR), "pipeline-paged")
+    kept = lines.drop_boilerplate(paged, "source", ratio=0.1, min_pages=10, page_col="_page")
     return _with_text(kept, docs.columns, "text")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.drop_near_duplicates(docs, shingle=5, threshold=(80, 100))
+    return minhash.drop_near_duplicates(docs, *NEAR)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

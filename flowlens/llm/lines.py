@@ -3,7 +3,9 @@
 Method: rows are grouped by host. The pages of a host that contain a line,
 divided by the pages of the host, is the line's share there; lines above
 ``ratio`` (and met on ``min_pages`` pages at least) are boilerplate of that
-host and are dropped from all its pages. A line is counted once a page.
+host and are dropped from all its pages. A line is counted once a page. Where
+copies are among the pages, ``page_col`` names what counts as one page: rows of
+a host with the same value there count once, in the share and in the total.
 
 A line's key is two 64-bit hashes of host and line (counts are by key); only
 keys and places are shuffled, summed in each task first. The texts move once,
@@ -42,12 +44,13 @@ def url_host(url: Column) -> Column:
 
 
 def drop_boilerplate(docs: DataFrame, host_col: str, text_col: str = "text", ratio: float = 0.1,
-                     min_pages: int = 10) -> DataFrame:
+                     min_pages: int = 10, page_col: str | None = None) -> DataFrame:
     """``docs`` with the boilerplate lines gone from the text, and n_lines
-    (lines that are not blank) and n_dropped."""
-    fields = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in fields]).alias("row")).select(
-        "row", F.coalesce(F.col(f"row.`{host_col}`").cast("string"), F.lit("\0")).alias("host"),
+    (lines that are not blank) and n_dropped; ``page_col`` is not passed on."""
+    fields = [c for c in docs.columns if c != page_col]
+    page = [] if page_col is None else [F.col(f"`{page_col}`").alias("page")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in fields]).alias("row"), *page).select(
+        "row", *(["page"] if page else []), F.coalesce(F.col(f"row.`{host_col}`").cast("string"), F.lit("\0")).alias("host"),
         F.split(F.col(f"row.`{text_col}`"), "\n").alias("lines"))
     # Rows with the same host and text lose the same lines: they share an address.
     rows = rows.withColumn("addr", F.xxhash64("host", "lines"))
@@ -56,9 +59,13 @@ def drop_boilerplate(docs: DataFrame, host_col: str, text_col: str = "text", rat
     def keyed(line: Column) -> list[Column]:
         return [F.xxhash64("host", line).alias("h1"), F.xxhash64(line, "host", F.lit("line")).alias("h2")]
 
-    seen = rows.select("host", F.explode(F.array_distinct(written)).alias("line")).select("host", *keyed(F.col("line")))
+    own = ["host", "page"] if page else ["host"]
+    seen = rows.select(*own, F.explode(F.array_distinct(written)).alias("line")).select(*own, *keyed(F.col("line")))
+    pages = rows.select(*own)
+    if page:
+        seen, pages = seen.distinct(), pages.distinct()
     counts = seen.groupBy("host", "h1", "h2").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
-    totals = rows.groupBy("host").agg(F.count(F.lit(1)).alias("total"))
+    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("total"))
     boiler = counts.join(totals, "host").filter(F.col("pages") > ratio * F.col("total")).select("h1", "h2")
     placed = rows.select("addr", "host", F.posexplode("lines").alias("at", "line")).filter(F.trim("line") != "")
     gone = placed.select("addr", "at", *keyed(F.col("line"))).join(boiler, ["h1", "h2"], "left_semi") \

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.common import U64, binary_views, chunks, lower_ascii, mix64, releasing, save, ship, small
@@ -122,7 +122,8 @@ def linked(sets: list[np.ndarray], group: np.ndarray, num: int, den: int) -> lis
 def near_groups(docs: DataFrame, shingle: int = 5, threshold: tuple[int, int] = (80, 100), bands: int = 25,
                 rows: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (least id
-    reachable), kept, and ``uid``, the row's address (hash of id and text)."""
+    reachable), kept, and the addresses (hash of id and text) of the row,
+    ``uid``, and of its component's kept row, ``component_uid``."""
     ship(docs)
     num, den = threshold
     text = lower_ascii(F.coalesce(F.col(text_col), F.lit(""))).cast("binary")
@@ -165,7 +166,8 @@ def near_groups(docs: DataFrame, shingle: int = 5, threshold: tuple[int, int] =
     return (signed.join(known, "digest", "left").select("id", "uid", "n", first.alias("first"))
             .select(F.expr(f"nullif(id, {LAST_ID}L)").alias(id_col), F.col("n").alias("n_shingles"),
                     F.expr(f"nullif(first.id, {LAST_ID}L)").alias("component_id"),
-                    (F.struct("id", "uid") == F.col("first")).alias("kept"), "uid"))
+                    (F.struct("id", "uid") == F.col("first")).alias("kept"), "uid",
+                    F.col("first.uid").alias("component_uid")))
 
 
 def _hung(classes: DataFrame) -> DataFrame:
@@ -227,14 +229,28 @@ def _links(hung: DataFrame, classes: DataFrame, base: DataFrame, shingle: int, n
             .mapInArrow(compare, "a long, b long"))
 
 
+def _address(id_col: str, text_col: str) -> Column:
+    """``uid`` of ``near_groups``."""
+    text = lower_ascii(F.coalesce(F.col(text_col), F.lit(""))).cast("binary")
+    return F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), text)
+
+
+def with_component(docs: DataFrame, name: str, shingle: int = 5, threshold: tuple[int, int] = (80, 100),
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` and a column ``name``, equal for all rows of one near-duplicate
+    group (a hash of its least row) and different for others."""
+    groups = near_groups(docs, shingle, threshold, id_col=id_col, text_col=text_col) \
+        .groupBy(F.col("uid").alias("_row_uid")).agg(F.min("component_uid").alias(name))
+    held = docs.withColumn("_row_uid", _address(id_col, text_col))
+    return held.join(groups, "_row_uid", "left").select(*[F.col(f"`{c}`") for c in docs.columns], name)
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, threshold: tuple[int, int] = (80, 100),
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate group (the least id), all
     columns unchanged; rows that repeat id and text stay once."""
     kept = near_groups(docs, shingle, threshold, id_col=id_col, text_col=text_col).filter("kept") \
         .select(F.col("uid").alias("_kept_uid")).distinct()
-    text = lower_ascii(F.coalesce(F.col(text_col), F.lit(""))).cast("binary")
-    address = F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), text)
-    held = docs.withColumn("_row_uid", address)
+    held = docs.withColumn("_row_uid", _address(id_col, text_col))
     return held.join(kept, held["_row_uid"] == kept["_kept_uid"], "left_semi") \
         .dropDuplicates(["_row_uid"]).drop("_row_uid")

@@ -378,6 +378,37 @@ def test_pipeline_stages(spark, given):
     assert packed.filter("size(ids) <> length").count() == 0
 
 
+def prose(rng, lines=8):
+    return [" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(5000)}" for _ in range(12)) for _ in range(lines)]
+
+
+def documents_of(spark, rows):
+    """``documents`` of (doc_id, source, text)."""
+    return spark.createDataFrame([(d, t, "en", s, len(t)) for d, s, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+
+
+@pytest.mark.parametrize("edited", [False, True])
+def test_pipeline_copies_do_not_cut_themselves(spark, edited):
+    """Copies of one text, equal or each with a word of its own, fill a third
+    of a source: one whole copy stays, and the source's menu line still goes."""
+    rng = random.Random(11)
+    one, rows = prose(rng), []
+    for d in range(45):
+        copy = list(one)
+        if edited and d:
+            copy[d % 8] = copy[d % 8].rsplit(" ", 1)[0] + f" edit{d}"
+        rows.append((d, "s", "\n".join(copy)))
+    for d in range(45, 135):
+        rows.append((d, "s", "\n".join(prose(rng) + ["home about contact"] * (d % 2))))
+    docs = documents_of(spark, rows)
+    cut = save(corpus_pipeline.drop_lines(spark, docs, SF), "test-copies")
+    assert cut.columns == docs.columns
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_near_copies(spark, cut, SF).collect()}
+    assert set(got) == {0, *range(45, 135)} and got[0] == "\n".join(one)
+    assert all(got[d] == t.removesuffix("\nhome about contact") for d, _, t in rows if d >= 45)
+
+
 def test_pipeline_stages_hard_rows(spark):
     rows = [(d, t, "en", None if (d or 0) % 3 else "s", len(t or "")) for d, t in hard_rows()]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
