@@ -30,18 +30,33 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.llm import repeats
 from flowlens.llm.common import U64, gram_hashes, releasing, ship, small
-from flowlens.llm.repeats import picked
 
 NULL_ID = -(1 << 63)
 
 
+def _places(hashes: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """Places picked by the windows of neighbouring texts. ``picked`` holds
+    places in the bits of ``_POS``: longer data goes in slices that overlap by
+    a window less one, so each window is whole in one of them."""
+    n, step = int(bounds[-1]), min(repeats.CHUNK * 4, int(repeats._POS))
+    lo, out = 0, []
+    while True:
+        hi = min(n, lo + step)
+        inner = np.clip(bounds, lo, hi) - lo
+        out.append(repeats.picked(hashes[lo:max(lo, hi - gram + 1)], inner, window, gram)[0] + lo)
+        if hi == n:
+            return np.unique(np.concatenate(out))
+        lo = hi - window + 1
+
+
 def winnow(texts: list[str], gram: int = 10, window: int = 32) -> list[tuple[np.ndarray, np.ndarray]]:
     """(hashes, positions) of each text's fingerprint, in order of position."""
     data = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
     bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
     hashes = gram_hashes(data, gram) >> U64(24) << U64(24)
-    place = np.unique(picked(hashes, bounds, window + gram - 1, gram)[0])
+    place = _places(hashes, bounds, window + gram - 1, gram)
     cut = np.searchsorted(place, bounds)
     out = []
     for i in range(len(texts)):

@@ -333,6 +333,30 @@ def test_winnow_guarantee_and_pairs(spark, given, hard):
     assert winnow.fingerprints(hard).count() == len(hard_rows())
 
 
+def brute_winnow(text, gram=10, window=32):
+    """[(hash, place)] by one loop over the windows of one text."""
+    n, k = len(text), min(gram, len(text))
+    code = lambda s: np.frombuffer(s.encode("utf-32-le", "surrogatepass"), "<u4")
+    if not n:
+        return []
+    h = [int(winnow.gram_hashes(code(text[i:i + k]), k)[0]) >> 24 for i in range(n - k + 1)]
+    wide = min(window, len(h))
+    at = {min(range(i, i + wide), key=lambda p: (h[p], -p)) for i in range(len(h) - wide + 1)}
+    return [(h[p], p) for p in sorted(at)]
+
+
+@pytest.mark.parametrize("bits", [8, 24])
+def test_winnow_long_texts_against_brute_force(monkeypatch, bits):
+    """Data longer than the places ``picked`` can hold."""
+    monkeypatch.setattr(repeats, "_POS", np.uint64((1 << bits) - 1))
+    rng = random.Random(12)
+    say = lambda n: "".join(rng.choice("abc é日") for _ in range(n))
+    long = say(1500)
+    texts = [say(300), "", "ab", say(20), long, "x" * 700, say(41), say(40), say(254), say(255), say(256), long]
+    got = [list(zip((h >> np.uint64(24)).tolist(), p.tolist())) for h, p in winnow.winnow(texts)]
+    assert got == [brute_winnow(t) for t in texts] and got[4] == got[-1]
+
+
 def test_line_dedup(spark, hard):
     rows = [(i, f"h{i % 2}" if i < 40 else None, f"menu\nown {i}\n\nmenu\nfoot {i % 20}") for i in range(60)]
     df = spark.createDataFrame(rows, "id long, host string, text string").withColumn("n_lines", F.lit("x"))
