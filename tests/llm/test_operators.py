@@ -433,6 +433,18 @@ def test_pipeline_copies_do_not_cut_themselves(spark, edited):
     assert all(got[d] == t.removesuffix("\nhome about contact") for d, _, t in rows if d >= 45)
 
 
+def test_pipeline_cuts_planted_lines(spark):
+    """Lines on 12 % and 5 % of a source go; one on 1 % and all others stay."""
+    rng, rows = random.Random(13), []
+    for d in range(400):
+        text = prose(rng, 3)
+        planted = [x for x, n in (("share this page", 48), ("read more", 20), ("Some License 1.0", 4)) if d < n]
+        rows.append((d, "s", text, planted))
+    docs = documents_of(spark, [(d, s, "\n".join(t + p)) for d, s, t, p in rows])
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, docs, SF).collect()}
+    assert got == {d: "\n".join(t + [x for x in p if "License" in x]) for d, _, t, p in rows}
+
+
 def test_pipeline_stages_hard_rows(spark):
     rows = [(d, t, "en", None if (d or 0) % 3 else "s", len(t or "")) for d, t in hard_rows()]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
