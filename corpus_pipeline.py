@@ -6,8 +6,8 @@ on all that the step before it kept, and returns the columns of ``documents``
 
 1. quality: documents scored below ``MIN_SCORE`` go. The ranking learns from
    the rows of ``labels``; a document needs no label to be scored.
-2. line dedup: lines on more than 2 % of a source's documents (and ten at
-   least) are cut from them; ``n_chars`` follows the text. A text and its near
+2. line dedup: lines on more than 2 % of a source's documents (and three
+   at least) are cut from them; ``n_chars`` follows the text. A text and its near
    copies (as in 3.) count as one document, so copies do not cut themselves.
 3. near-dedup: one document of each group of near copies stays (five-word
    shingles, similarity 0.8 or more), the one with the least id.
@@ -33,7 +33,7 @@ from flowlens.llm.common import releasing, save, table
 from flowlens.llm.queries import vocabulary
 
 MIN_SCORE, PASSAGE = 0.4, 30
-LINE_SHARE = 0.02                   # from line shares over distinct texts, see README
+LINE_SHARE, LINE_PAGES = 0.02, 3    # from line shares over distinct texts, see README; floor as in op10
 NEAR = (5, (80, 100))               # words of a shingle, least similarity
 
 
@@ -51,7 +51,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     paged = save(minhash.with_component(docs, "_page", *NEAR), "pipeline-paged")
-    kept = lines.drop_boilerplate(paged, "source", ratio=LINE_SHARE, min_pages=10, page_col="_page")
+    kept = lines.drop_boilerplate(paged, "source", ratio=LINE_SHARE, min_pages=LINE_PAGES, page_col="_page")
     return _with_text(kept, docs.columns, "text")
 
 

@@ -445,6 +445,16 @@ def test_pipeline_cuts_planted_lines(spark):
     assert got == {d: "\n".join(t + [x for x in p if "License" in x]) for d, _, t, p in rows}
 
 
+def test_pipeline_cuts_lines_of_small_sources(spark):
+    """Few documents to a source: a line on three of them goes, on two stays."""
+    rng, rows = random.Random(14), []
+    for source, n, on in (("five", 5, 5), ("nine", 9, 3), ("fifty", 50, 6), ("two", 2, 2), ("ten", 10, 2)):
+        rows += [(len(rows) + i, source, prose(rng, 2), ["menu"] * (i < on)) for i in range(n)]
+    docs = documents_of(spark, [(d, s, "\n".join(t + p)) for d, s, t, p in rows])
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, docs, SF).collect()}
+    assert got == {d: "\n".join(t + p * (s in ("two", "ten"))) for d, s, t, p in rows}
+
+
 def test_pipeline_stages_hard_rows(spark):
     rows = [(d, t, "en", None if (d or 0) % 3 else "s", len(t or "")) for d, t in hard_rows()]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
