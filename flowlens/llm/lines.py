@@ -43,6 +43,11 @@ def url_host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1))
 
 
+def _address() -> dict[str, Column]:
+    """Address of a row: two hashes of host and lines."""
+    return {"a1": F.xxhash64("host", "lines"), "a2": F.xxhash64("lines", "host", F.lit("lines"))}
+
+
 def drop_boilerplate(docs: DataFrame, host_col: str, text_col: str = "text", ratio: float = 0.1,
                      min_pages: int = 10, page_col: str | None = None) -> DataFrame:
     """``docs`` with the boilerplate lines gone from the text, and n_lines
@@ -53,7 +58,8 @@ def drop_boilerplate(docs: DataFrame, host_col: str, text_col: str = "text", rat
         "row", *(["page"] if page else []), F.coalesce(F.col(f"row.`{host_col}`").cast("string"), F.lit("\0")).alias("host"),
         F.split(F.col(f"row.`{text_col}`"), "\n").alias("lines"))
     # Rows with the same host and text lose the same lines: they share an address.
-    rows = rows.withColumn("addr", F.xxhash64("host", "lines"))
+    rows = rows.withColumns(_address())
+    addr = list(_address())
     written = F.filter("lines", lambda x: F.trim(x) != "")
 
     def keyed(line: Column) -> list[Column]:
@@ -67,10 +73,10 @@ def drop_boilerplate(docs: DataFrame, host_col: str, text_col: str = "text", rat
     counts = seen.groupBy("host", "h1", "h2").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("total"))
     boiler = counts.join(totals, "host").filter(F.col("pages") > ratio * F.col("total")).select("h1", "h2")
-    placed = rows.select("addr", "host", F.posexplode("lines").alias("at", "line")).filter(F.trim("line") != "")
-    gone = placed.select("addr", "at", *keyed(F.col("line"))).join(boiler, ["h1", "h2"], "left_semi") \
-        .groupBy("addr").agg(F.collect_set("at").alias("gone"))
-    out = rows.join(gone, "addr", "left")
+    placed = rows.select(*addr, "host", F.posexplode("lines").alias("at", "line")).filter(F.trim("line") != "")
+    gone = placed.select(*addr, "at", *keyed(F.col("line"))).join(boiler, ["h1", "h2"], "left_semi") \
+        .groupBy(*addr).agg(F.collect_set("at").alias("gone"))
+    out = rows.join(gone, addr, "left")
     drop = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
     kept = F.filter("lines", lambda x, i: ~F.array_contains(drop, i))
     new = {"n_lines": F.coalesce(F.size(written), F.lit(0)).cast("long"), "n_dropped": F.size(drop).cast("long")}

@@ -119,6 +119,11 @@ def linked(sets: list[np.ndarray], group: np.ndarray, num: int, den: int) -> lis
     return out
 
 
+def _uid(own: Column, text: Column) -> Column:
+    """Hash of id and text. Rows are told apart by the id and this together."""
+    return F.xxhash64(own, text)
+
+
 def near_groups(docs: DataFrame, shingle: int = 5, threshold: tuple[int, int] = (80, 100), bands: int = 25,
                 rows: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id (least id
@@ -128,7 +133,7 @@ def near_groups(docs: DataFrame, shingle: int = 5, threshold: tuple[int, int] =
     num, den = threshold
     text = lower_ascii(F.coalesce(F.col(text_col), F.lit(""))).cast("binary")
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), text.alias("text")) \
-        .withColumn("uid", F.xxhash64("id", "text"))
+        .withColumn("uid", _uid(F.col("id"), F.col("text")))
 
     @releasing
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,16 +195,17 @@ def _links(hung: DataFrame, classes: DataFrame, base: DataFrame, shingle: int, n
     seats = hung.withColumn("pair", meets).select(
         "node", "head", "pair",
         ((F.col("pair.i") != F.col("pair.j")) & (mine == F.col("pair.j"))).cast("int").alias("side"))
-    live = hung.select("node").distinct().join(classes.select("node", F.col("least.uid").alias("uid")), "node")
+    live = hung.select("node").distinct().join(classes.select("node", "least.id", "least.uid"), "node")
 
     @releasing
     def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3).compress
         for b in small(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([press(x) for x in b.column(1).to_pylist()],
-                                                                    pa.binary())], ["uid", "body"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(
+                [press(x) for x in b.column(2).to_pylist()], pa.binary())], ["id", "uid", "body"])
 
-    bodies = base.select("uid", "text").mapInArrow(zipped, "uid long, body binary").join(live, "uid") \
+    bodies = base.select("id", "uid", "text").mapInArrow(zipped, "id long, uid long, body binary") \
+        .join(live, ["id", "uid"]) \
         .dropDuplicates(["node"]).select("node", "body")
 
     @releasing
@@ -229,20 +235,27 @@ def _links(hung: DataFrame, classes: DataFrame, base: DataFrame, shingle: int, n
             .mapInArrow(compare, "a long, b long"))
 
 
-def _address(id_col: str, text_col: str) -> Column:
-    """``uid`` of ``near_groups``."""
+def _addressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with the row's address in ``near_groups``: _row_id and _row_uid."""
     text = lower_ascii(F.coalesce(F.col(text_col), F.lit(""))).cast("binary")
-    return F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), text)
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
+    return docs.withColumns({"_row_id": own, "_row_uid": _uid(own, text)})
+
+
+def _addresses(id_col: str) -> list[Column]:
+    """The same of the rows of ``near_groups``."""
+    return [F.coalesce(F.col(id_col), F.lit(LAST_ID)).alias("_row_id"), F.col("uid").alias("_row_uid")]
 
 
 def with_component(docs: DataFrame, name: str, shingle: int = 5, threshold: tuple[int, int] = (80, 100),
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` and a column ``name``, equal for all rows of one near-duplicate
-    group (a hash of its least row) and different for others."""
-    groups = near_groups(docs, shingle, threshold, id_col=id_col, text_col=text_col) \
-        .groupBy(F.col("uid").alias("_row_uid")).agg(F.min("component_uid").alias(name))
-    held = docs.withColumn("_row_uid", _address(id_col, text_col))
-    return held.join(groups, "_row_uid", "left").select(*[F.col(f"`{c}`") for c in docs.columns], name)
+    group (id and hash of its least row) and different for others."""
+    groups = near_groups(docs, shingle, threshold, id_col=id_col, text_col=text_col)
+    first = F.struct("component_id", "component_uid")
+    groups = groups.groupBy(_addresses(id_col)).agg(F.min(first).alias(name))
+    return _addressed(docs, id_col, text_col).join(groups, ["_row_id", "_row_uid"], "left") \
+        .select(*[F.col(f"`{c}`") for c in docs.columns], name)
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, threshold: tuple[int, int] = (80, 100),
@@ -250,7 +263,6 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, threshold: tuple[int
     """``docs`` with one row of each near-duplicate group (the least id), all
     columns unchanged; rows that repeat id and text stay once."""
     kept = near_groups(docs, shingle, threshold, id_col=id_col, text_col=text_col).filter("kept") \
-        .select(F.col("uid").alias("_kept_uid")).distinct()
-    held = docs.withColumn("_row_uid", _address(id_col, text_col))
-    return held.join(kept, held["_row_uid"] == kept["_kept_uid"], "left_semi") \
-        .dropDuplicates(["_row_uid"]).drop("_row_uid")
+        .select(*_addresses(id_col)).distinct()
+    return _addressed(docs, id_col, text_col).join(kept, ["_row_id", "_row_uid"], "left_semi") \
+        .dropDuplicates(["_row_id", "_row_uid"]).drop("_row_id", "_row_uid")

@@ -206,6 +206,20 @@ def test_minhash_blocks_and_hard_rows(spark, hard, monkeypatch):
     assert left.columns == hard.columns and left.filter("doc_id = 9").count() == 0
 
 
+def test_rows_are_told_apart_when_hashes_collide(spark, given, monkeypatch):
+    """Near-dedup with one uid for all rows; line dedup with one first hash."""
+    some = dict(list(given.items())[:80])
+    docs = spark.createDataFrame(list(some.items()), "doc_id long, text string")
+    monkeypatch.setattr(minhash, "_uid", lambda own, text: F.lit(7).cast("long"))
+    got = {r["doc_id"] for r in minhash.drop_near_duplicates(docs, 5, (80, 100)).collect()}
+    assert got == {d for d, v in brute_near(some, 5, 80).items() if v[2]}
+    two = lines._address()["a2"]
+    monkeypatch.setattr(lines, "_address", lambda: {"a1": F.lit(7).cast("long"), "a2": two})
+    df = spark.createDataFrame([(i, "h", "menu\n" * (i % 2) + f"own {i}") for i in range(20)],
+                               "id long, host string, text string")
+    assert {r["text"] for r in lines.drop_boilerplate(df, "host").collect()} == {f"own {i}" for i in range(20)}
+
+
 def test_components_against_union_find(spark):
     rng = random.Random(2)
     links = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(100, 130)] + [(5, 5)]
