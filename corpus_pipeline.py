@@ -79,7 +79,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", keep_quality), ("line_dedup", drop_lines), ("near_dedup", drop_near_copies),
           ("substring_dedup", drop_passages), ("packing", pack)]
 
-# A learned ranking has no SQL; tests/llm holds each stage against brute force.
+# A learned ranking has no SQL; tests/llm holds near and substring dedup against brute force, lines against planted
+# cases, quality and packing by counts.
 ORACLE_SQL = None
 
 
