@@ -9,6 +9,7 @@ from flowlens.llm import (
     exact,
     langid,
     lines,
+    manifest,
     minhash,
     packing,
     quality,
@@ -17,7 +18,7 @@ from flowlens.llm import (
     suffix_dedup,
     winnow,
 )
-from flowlens.llm.common import table
+from flowlens.llm.common import lower_ascii, table
 
 DOCUMENTS = "documents"
 
@@ -94,6 +95,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("page_id", "host", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, DOCUMENTS)
+    text = F.when(_fold(3) == 0, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    fields = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    return manifest.climb(manifest.build(docs, fields, now={"text": text}))
+
+
 # A-Z only, as the contracts ask; DuckDB's lower() would also map other letters.
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -168,6 +176,53 @@ SELECT page_id, host, n AS n_lines, n - len(kept) AS n_dropped, sha256(coalesce(
 FROM k
 """
 
+# CRC-32 in SQL: the table of a byte's remainders, then a walk over the bytes of ``s`` (hex text ``h``).
+_CRC_TABLE = """crc_steps(i, k, c) AS (SELECT i, 0, i FROM range(256) r(i) UNION ALL
+                 SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8),
+     crc AS (SELECT list(c ORDER BY i) AS t FROM crc_steps WHERE k = 8)"""
+_CRC = """xor(list_reduce([CAST('0x' || substr({h}, 2 * crc_i + 1, 2) AS BIGINT) FOR crc_i IN range(length({h}) // 2)],
+                   lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8), CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+_SIBLINGS = "[xs[j] FOR j IN range(8 * (p // 8) + 1, least(8 * (p // 8) + 8, len(xs)) + 1) IF j <> p + 1]"
+_FOLD = "sha256(array_to_string([CASE WHEN j = p + 1 THEN folded ELSE xs[j] END " \
+        "FOR j IN range(8 * (p // 8) + 1, least(8 * (p // 8) + 8, len(xs)) + 1)], ''))"
+_UP = "[sha256(array_to_string(xs[8 * i + 1:8 * i + 8], '')) FOR i IN range((len(xs) + 7) // 8)]"
+
+# Each level of a tree as a list of digests; a leaf then walks its group's lists and the lists over the subroots.
+_OP13 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+     d AS (SELECT *, hex(encode(CAST(doc_id AS VARCHAR))) AS h FROM documents),
+     l AS (SELECT doc_id, lang, {_leaf_sql("text")} AS leaf,
+                  CASE WHEN {_CRC.format(h="h")} % 3 = 0 THEN {_leaf_sql(_LOWER.format("text"))}
+                       ELSE {_leaf_sql("text")} END AS now FROM d, crc),
+     g AS (SELECT lang, list(leaf ORDER BY doc_id NULLS FIRST, leaf) AS xs FROM l GROUP BY lang),
+     t(lang, k, xs) AS (SELECT lang, 0, xs FROM g UNION ALL SELECT lang, k + 1, {_UP} FROM t WHERE len(xs) > 1),
+     s AS (SELECT lang, xs[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM t WHERE len(xs) = 1),
+     m AS (SELECT list(subroot ORDER BY tree) AS xs FROM s),
+     u(k, xs) AS (SELECT 0, xs FROM m UNION ALL SELECT k + 1, {_UP} FROM u WHERE len(xs) > 1),
+     a(doc_id, lang, leaf, now, o, k, p, folded, proof) AS (
+       SELECT doc_id, lang, leaf, now, o, 0, o, now, '' FROM (
+         SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS o FROM l)
+       UNION ALL
+       SELECT a.doc_id, a.lang, leaf, now, o, a.k + 1, p // 8, {_FOLD}, proof || array_to_string({_SIBLINGS}, '')
+       FROM a JOIN t ON t.lang IS NOT DISTINCT FROM a.lang AND t.k = a.k WHERE len(xs) > 1),
+     b(doc_id, lang, leaf, o, k, p, folded, proof) AS (
+       SELECT doc_id, a.lang, leaf, o, 0, tree, folded, proof
+       FROM (SELECT *, max(k) OVER (PARTITION BY lang) AS top FROM a) a JOIN s ON s.lang IS NOT DISTINCT FROM a.lang WHERE k = top
+       UNION ALL
+       SELECT doc_id, lang, leaf, o, b.k + 1, p // 8, {_FOLD}, proof || array_to_string({_SIBLINGS}, '')
+       FROM b JOIN u ON u.k = b.k WHERE len(xs) > 1)
+SELECT doc_id, leaf, subroot, (SELECT xs[1] FROM u WHERE len(xs) = 1) AS root, sha256(proof) AS proof_sha256,
+       folded AS folded_root, folded = (SELECT xs[1] FROM u WHERE len(xs) = 1) AS verified
+FROM b JOIN s ON s.lang IS NOT DISTINCT FROM b.lang WHERE b.k = (SELECT max(k) FROM u)
+"""
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -179,6 +234,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 SQL = {
@@ -187,4 +243,5 @@ SQL = {
     "op10_line_dedup": _OP10,
     "op5_suffix_dedup": _OP5,
     "op8_exact_dedup": _OP8,
+    "op13_merkle_manifest": _OP13,
 }
