@@ -54,34 +54,35 @@ def _run_digest(children: Column) -> Column:
     return F.unhex(F.sha2(F.lower(F.hex(children)).cast("binary"), 256))
 
 
-def _node(level: int | Column, place: Column, top: bool) -> Column:
-    """Number of a node, so that one column links children to parents."""
-    level = F.lit(level).cast("long") if isinstance(level, int) else level.cast("long")
-    return (F.lit(_TOP if top else 0).cast("long") + F.shiftleft(level, _LEVEL) + place.cast("long")).cast("long")
+def _node(level: int, start: Column, top: bool) -> Column:
+    """Number of a node, so that one column links children to parents: its
+    level, and where it starts (the first leaf below, or a place in the top tree)."""
+    return (F.lit((_TOP if top else 0) + (level << _LEVEL)).cast("long") + start).cast("long")
 
 
 @dataclass(frozen=True)
 class Manifest:
-    leaves: DataFrame       # id, leaf, now, tree, pos, block, node, slot
-    nodes: DataFrame        # tree, block, node, digests, parent, slot
-    groups: DataFrame       # tree, n, subroot
+    leaves: DataFrame       # id, leaf, now, tree, at, node, slot
+    nodes: DataFrame        # seg, node, digests, parent, slot
+    groups: DataFrame       # tree, subroot
     root: str | None        # None for an empty table
 
 
 def _levels(nodes: DataFrame, most: int, name: str) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Build upwards from (tree, pos, digest, n): the runs of each level
-    (tree, place, digests, digest, n: nodes of their level) and, from the
-    leaves up, the nodes that are alone on their level (tree, digest)."""
+    """Build upwards from (tree, first, total, pos, digest, n): the runs of each
+    level (tree, first, total, place, digests, digest, n: runs of that level)
+    and, from the leaves up, the nodes alone on their level (tree, digest)."""
     runs, alone, level = [], [nodes.filter("n = 1").select("tree", "digest")], 0
     while most > 1:
         run = (nodes.filter("n > 1")
-               .groupBy("tree", "n", F.floor(F.col("pos") / ARITY).cast("long").alias("place"))
+               .groupBy("tree", "first", "total", "n", F.floor(F.col("pos") / ARITY).cast("long").alias("place"))
                .agg(F.array_sort(F.collect_list(F.struct("pos", "digest"))).alias("c"))
-               .select("tree", "place", F.expr("aggregate(c.digest, X'', (a, x) -> concat(a, x))").alias("digests"),
+               .select("tree", "first", "total", "place",
+                       F.expr("aggregate(c.digest, X'', (a, x) -> concat(a, x))").alias("digests"),
                        F.ceil(F.col("n") / ARITY).cast("long").alias("n")))
         run = save(run.withColumn("digest", _run_digest(F.col("digests"))), f"manifest-{name}-{level}")
         runs.append(run)
-        nodes = run.select("tree", F.col("place").alias("pos"), "digest", "n")
+        nodes = run.select("tree", "first", "total", F.col("place").alias("pos"), "digest", "n")
         alone.append(nodes.filter("n = 1").select("tree", "digest"))
         most, level = -(-most // ARITY), level + 1
     return runs, alone
@@ -108,79 +109,86 @@ def build(docs: DataFrame, fields: dict[str, Column], now: dict[str, Column], id
     groups = save(sorted_dense_index(groups, ["g"], "tree"), "manifest-groups")
     size = groups.agg(F.count(F.lit(1)).alias("trees"), F.max("n").alias("most")).first()
     trees, most = size["trees"], size["most"] or 0
-    leaves = placed.join(groups, "g").select("id", "leaf", "now", "tree", (F.col("at") - F.col("first")).alias("pos"), "n")
+    leaves = placed.join(groups, "g").select("id", "leaf", "now", "tree", "at", (F.col("at") - F.col("first")).alias("pos"),
+                                             "n", "first", F.col("n").alias("total"))
 
-    runs, alone = _levels(leaves.select("tree", "pos", F.col("leaf").alias("digest"), "n"), most, "runs")
+    runs, alone = _levels(leaves.withColumnRenamed("leaf", "digest"), most, "runs")
     subroots = save(_union(alone), "manifest-subroots")
-    tops, last = _levels(subroots.select(F.lit(-1).cast("long").alias("tree"), F.col("tree").alias("pos"), "digest",
-                                         F.lit(trees).cast("long").alias("n")), trees, "top")
+    zero, count = F.lit(0).cast("long"), F.lit(trees).cast("long")
+    tops, last = _levels(subroots.select(zero.alias("tree"), zero.alias("first"), count.alias("total"),
+                                         F.col("tree").alias("pos"), "digest", count.alias("n")), trees, "top")
     root = _union(last).first()
-    groups = groups.join(subroots, "tree").select("tree", "n", F.col("digest").alias("subroot"))
 
     # Where a group's root hangs in the top tree.
-    above = _node(0, F.floor(F.col("tree") / ARITY), True) if trees > 1 else F.lit(None).cast("long")
-    above_slot = (F.col("tree") % ARITY).cast("int")
+    none = F.lit(None).cast("long")
+    above = _node(0, F.floor(F.col("tree") / ARITY) * ARITY, True) if trees > 1 else none
 
-    def linked(rows: DataFrame, level: int, place: Column, single: Column, top: bool) -> list[Column]:
-        end = F.lit(None).cast("long") if top else above
-        return [F.when(single, end).otherwise(_node(level, F.floor(place / ARITY), top)).alias("parent"),
-                F.when(single, above_slot).otherwise((place % ARITY).cast("int")).alias("slot")]
+    def linked(level: int, place: Column, top: bool) -> list[Column]:
+        """Parent and place there of a node that is at ``place`` on its level."""
+        span = ARITY ** (level + 1)
+        start = F.floor(place / ARITY) * span + (zero if top else F.col("first"))
+        end, end_slot = (none, zero) if top else (above, F.col("tree") % ARITY)
+        return [F.when(F.col("n") == 1, end).otherwise(_node(level, start, top)).alias("parent"),
+                F.when(F.col("n") == 1, end_slot).otherwise(place % ARITY).cast("int").alias("slot")]
+
+    def segments(start: Column, end: Column) -> Column:
+        return F.explode(F.sequence(F.floor(start / BLOCK).cast("long"), F.floor((end - 1) / BLOCK).cast("long")))
 
-    sizes = groups.select("tree", F.col("n").alias("total"))
-    parts = []
+    place, parts = F.col("place"), []
     for level, run in enumerate(runs):
         span = ARITY ** (level + 1)
-        rows = run.join(sizes, "tree") if span > BLOCK else run.withColumn("total", F.lit(None).cast("long"))
-        first = F.floor(F.col("place") * span / BLOCK).cast("long")
-        until = F.floor((F.least((F.col("place") + 1) * span, F.col("total")) - 1) / BLOCK).cast("long")
-        blocks = F.explode(F.sequence(first, until)) if span > BLOCK else first
-        parts.append(rows.select("tree", blocks.alias("block"), _node(level, F.col("place"), False).alias("node"), "digests",
-                                 *linked(rows, level + 1, F.col("place"), F.col("n") == 1, False)))
-    blocks = groups.select("tree", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / BLOCK))).alias("block"))
+        start = F.col("first") + place * span
+        seg = segments(start, F.col("first") + F.least((place + 1) * span, F.col("total")))
+        parts.append(run.select(seg.alias("seg"), _node(level, start, False).alias("node"), "digests",
+                                *linked(level + 1, place, False)))
+    reach = groups.select("tree", segments(F.col("first"), F.col("first") + F.col("n")).alias("seg"))
     for level, run in enumerate(tops):
+        span = ARITY ** (level + 1)
         rows = run.select("place", "digests", "n").join(
-            blocks.withColumn("place", F.floor(F.col("tree") / ARITY ** (level + 1)).cast("long")), "place")
-        parts.append(rows.select("tree", "block", _node(level, F.col("place"), True).alias("node"), "digests",
-                                 *linked(rows, level + 1, F.col("place"), F.col("n") == 1, True)))
-    single = F.col("n") == 1
-    starts = leaves.select("id", "leaf", "now", "tree", "pos", F.floor(F.col("pos") / BLOCK).cast("long").alias("block"),
-                           *linked(leaves, 0, F.col("pos"), single, False)).withColumnRenamed("parent", "node")
+            reach.select("seg", F.floor(F.col("tree") / span).cast("long").alias("place")).distinct(), "place")
+        parts.append(rows.select("seg", _node(level, place * span, True).alias("node"), "digests",
+                                 *linked(level + 1, place, True)))
+    starts = leaves.select("id", "leaf", "now", "tree", "at", *linked(0, F.col("pos"), False)).withColumnRenamed("parent", "node")
     nodes = save(_union(parts), "manifest-nodes") if parts else None
-    return Manifest(save(starts, "manifest-starts"), nodes, groups, root["digest"].hex() if root else None)
+    return Manifest(save(starts, "manifest-starts"), nodes, subroots.select("tree", F.col("digest").alias("subroot")),
+                    root["digest"].hex() if root else None)
 
 
 # The part of a node's digests before and after the child one comes from.
 _LEFT, _RIGHT = "substring(n.digests, 1, 32 * c.slot)", "substring(n.digests, 32 * c.slot + 33)"
-_CLIMB = f"""
-WITH RECURSIVE climb(tree, pos, block, node, slot, level, folded, siblings, id, leaf) AS (
-  SELECT tree, pos, block, node, slot, 0, now, X'', id, leaf FROM {{starts}}
+
+
+def _climb_sql() -> str:
+    return f"""
+WITH RECURSIVE climb(at, node, slot, level, folded, siblings, id, leaf, tree) AS (
+  SELECT at, node, slot, 0, now, X'', id, leaf, tree FROM {{starts}}
   UNION ALL
-  SELECT c.tree, c.pos, c.block, n.parent, n.slot, c.level + 1,
+  SELECT c.at, n.parent, n.slot, c.level + 1,
          unhex(sha2(CAST(lower(hex(concat({_LEFT}, c.folded, {_RIGHT}))) AS BINARY), 256)),
-         concat({_LEFT}, {_RIGHT}), NULL, NULL
-  FROM climb c JOIN {{nodes}} n ON c.tree = n.tree AND c.block = n.block AND c.node = n.node)
-SELECT tree, pos, level, folded, siblings, id, leaf FROM climb
+         concat({_LEFT}, {_RIGHT}), NULL, NULL, NULL
+  FROM climb c JOIN {{nodes}} n ON c.at DIV {BLOCK} = n.seg AND c.node = n.node)
+SELECT at, level, folded, siblings, id, leaf, tree FROM climb
 """
 
 
 def climb(m: Manifest, id_col: str = "doc_id") -> DataFrame:
     """One row a leaf: id, leaf, subroot, root, proof_sha256, folded_root, verified."""
     spark = m.leaves.sparkSession
-    empty = m.nodes is None             # one leaf or none: nothing to climb
-    if empty:
-        steps = m.leaves.select("tree", "pos", F.lit(0).alias("level"), F.col("now").alias("folded"),
-                                F.lit(b"").alias("siblings"), "id", "leaf")
+    if m.nodes is None:                 # one leaf or none: nothing to climb
+        steps = m.leaves.select("at", F.lit(0).alias("level"), F.col("now").alias("folded"),
+                                F.lit(b"").alias("siblings"), "id", "leaf", "tree")
     else:
         before = spark.conf.get(_ROWS, None)
         spark.conf.set(_ROWS, "-1")     # rows grow with the table; the step count is a tree's height
         try:
-            steps = save(spark.sql(_CLIMB, starts=m.leaves, nodes=m.nodes), "manifest-climb")
+            steps = save(spark.sql(_climb_sql(), starts=m.leaves, nodes=m.nodes), "manifest-climb")
         finally:
             spark.conf.unset(_ROWS) if before is None else spark.conf.set(_ROWS, before)
     met = F.transform(F.array_sort(F.collect_list(F.struct("level", "siblings"))), lambda x: F.lower(F.hex(x["siblings"])))
-    rows = (steps.groupBy("tree", "pos").agg(
-        F.max("id").alias("id"), F.max("leaf").alias("leaf"), F.sha2(F.array_join(met, "").cast("binary"), 256).alias("proof"),
-        F.max(F.struct("level", "folded"))["folded"].alias("folded")).join(m.groups.select("tree", "subroot"), "tree"))
+    rows = (steps.groupBy("at").agg(
+        F.max("id").alias("id"), F.max("leaf").alias("leaf"), F.max("tree").alias("tree"),
+        F.sha2(F.array_join(met, "").cast("binary"), 256).alias("proof"),
+        F.max(F.struct("level", "folded"))["folded"].alias("folded")).join(m.groups, "tree"))
     text = lambda c: F.lower(F.hex(c))
     return rows.select(F.col("id").alias(id_col), text("leaf").alias("leaf"), text("subroot").alias("subroot"),
                        F.lit(m.root).alias("root"), F.col("proof").alias("proof_sha256"),
