@@ -16,6 +16,7 @@ from flowlens.llm import (
     sentencepiece_fst,
     substring_dedup,
     suffix_dedup,
+    variants,
     winnow,
 )
 from flowlens.llm.common import lower_ascii, table
@@ -95,6 +96,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("page_id", "host", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, DOCUMENTS).select("doc_id", F.explode(variants.letter_runs(F.col("text"))).alias("run"))
+    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")).cast("binary"))
+    at = (h % F.length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = docs.select(F.when(h % 199 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return variants.spelling_groups(variants.count_words(words))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, DOCUMENTS)
     text = F.when(_fold(3) == 0, lower_ascii(F.col("text"))).otherwise(F.col("text"))
@@ -223,6 +233,30 @@ SELECT doc_id, leaf, subroot, (SELECT xs[1] FROM u WHERE len(xs) = 1) AS root, s
 FROM b JOIN s ON s.lang IS NOT DISTINCT FROM b.lang WHERE b.k = (SELECT max(k) FROM u)
 """
 
+# Neighbours by deletion: equal after the same place of both goes (replaced), or one equal to the other less a place.
+_OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+     r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[A-Za-zÀ-ÿ]+')) AS w
+           FROM documents),
+     g AS (SELECT doc_id, w, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR) || ':', '') || w)) AS h
+           FROM r GROUP BY doc_id, w),
+     c AS (SELECT w, n, CASE WHEN doc_id IS NULL THEN 1 ELSE {_CRC.format(h="h")} END AS h FROM g, crc),
+     e AS (SELECT n, CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS w
+           FROM c),
+     v AS (SELECT w, CAST(sum(n) AS BIGINT) AS n FROM e WHERE length(w) >= 6 GROUP BY w HAVING sum(n) >= 5),
+     x AS (SELECT w, n, i, substr(w, 1, i - 1) || substr(w, i + 1) AS d
+           FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM v)),
+     p AS (SELECT a.w, b.w AS near, b.n AS near_n FROM x a JOIN x b ON a.d = b.d AND a.i = b.i AND a.w <> b.w
+           UNION SELECT x.w, v.w, v.n FROM x JOIN v ON x.d = v.w UNION SELECT v.w, x.w, x.n FROM x JOIN v ON x.d = v.w),
+     b AS (SELECT w, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n
+           FROM p GROUP BY w),
+     f AS (SELECT v.w, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form,
+                  CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n FROM v LEFT JOIN b ON b.w = v.w),
+     s(w, now, k) AS (SELECT w, w, 0 FROM f UNION ALL SELECT s.w, f.form, k + 1 FROM s JOIN f ON f.w = s.now WHERE f.form IS NOT NULL)
+SELECT f.w AS word, form, (SELECT first(now ORDER BY k DESC) FROM s WHERE s.w = f.w) AS root, n, n_near, form_n
+FROM f
+"""
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -234,6 +268,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -243,5 +278,6 @@ SQL = {
     "op10_line_dedup": _OP10,
     "op5_suffix_dedup": _OP5,
     "op8_exact_dedup": _OP8,
+    "op11_spelling_variants": _OP11,
     "op13_merkle_manifest": _OP13,
 }
