@@ -171,24 +171,29 @@ SELECT at, level, folded, siblings, id, leaf, tree FROM climb
 """
 
 
+def _proofs(steps: DataFrame) -> DataFrame:
+    """A leaf's rows as one: its proof and the root they lead to."""
+    met = F.transform(F.array_sort(F.collect_list(F.struct("level", "siblings"))), lambda x: F.lower(F.hex(x["siblings"])))
+    return steps.groupBy("at").agg(
+        F.max("id").alias("id"), F.max("leaf").alias("leaf"), F.max("tree").alias("tree"),
+        F.sha2(F.array_join(met, "").cast("binary"), 256).alias("proof"),
+        F.max(F.struct("level", "folded"))["folded"].alias("folded"))
+
+
 def climb(m: Manifest, id_col: str = "doc_id") -> DataFrame:
     """One row a leaf: id, leaf, subroot, root, proof_sha256, folded_root, verified."""
     spark = m.leaves.sparkSession
     if m.nodes is None:                 # one leaf or none: nothing to climb
-        steps = m.leaves.select("at", F.lit(0).alias("level"), F.col("now").alias("folded"),
-                                F.lit(b"").alias("siblings"), "id", "leaf", "tree")
+        rows = _proofs(m.leaves.select("at", F.lit(0).alias("level"), F.col("now").alias("folded"),
+                                       F.lit(b"").alias("siblings"), "id", "leaf", "tree"))
     else:
         before = spark.conf.get(_ROWS, None)
         spark.conf.set(_ROWS, "-1")     # rows grow with the table; the step count is a tree's height
         try:
-            steps = save(spark.sql(_climb_sql(), starts=m.leaves, nodes=m.nodes), "manifest-climb")
+            rows = save(_proofs(spark.sql(_climb_sql(), starts=m.leaves, nodes=m.nodes)), "manifest-climb")
         finally:
             spark.conf.unset(_ROWS) if before is None else spark.conf.set(_ROWS, before)
-    met = F.transform(F.array_sort(F.collect_list(F.struct("level", "siblings"))), lambda x: F.lower(F.hex(x["siblings"])))
-    rows = (steps.groupBy("at").agg(
-        F.max("id").alias("id"), F.max("leaf").alias("leaf"), F.max("tree").alias("tree"),
-        F.sha2(F.array_join(met, "").cast("binary"), 256).alias("proof"),
-        F.max(F.struct("level", "folded"))["folded"].alias("folded")).join(m.groups, "tree"))
+    rows = rows.join(m.groups, "tree")
     text = lambda c: F.lower(F.hex(c))
     return rows.select(F.col("id").alias(id_col), text("leaf").alias("leaf"), text("subroot").alias("subroot"),
                        F.lit(m.root).alias("root"), F.col("proof").alias("proof_sha256"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,13 +98,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("page_id", "host", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def _deletion(doc_id: object, run: str) -> str:
+    """The code point that the contract deletes in some runs (null id: in none)."""
+    if doc_id is None:
+        return run
+    h = crc32(f"{doc_id}:{run}".encode())
+    return run if h % 199 else run[:h % len(run)] + run[h % len(run) + 1:]
+
+
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, DOCUMENTS).select("doc_id", F.explode(variants.letter_runs(F.col("text"))).alias("run"))
-    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")).cast("binary"))
-    at = (h % F.length("run")).cast("int")
-    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
-    words = docs.select(F.when(h % 199 == 0, cut).otherwise(F.col("run")).alias("word"))
-    return variants.spelling_groups(variants.count_words(words))
+    return variants.spelling_groups(variants.count_words(table(spark, sf_dir, DOCUMENTS), _deletion))
 
 
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

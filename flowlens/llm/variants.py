@@ -27,165 +27,179 @@ words are one row. Nothing limits length or number of words; an empty table give
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+import uuid
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import U64, _powers, lower_ascii, mix64, releasing, save, ship
+from flowlens.llm.common import U64, _powers, chunks, mix64, releasing, save, ship
+from flowlens.session import work_dir
 
 _END = -1                       # next character at the end of a word
 
 
-def letter_runs(text: Column) -> Column:
-    """Maximal runs of Latin letters (to U+00FF), A-Z lower-cased."""
-    return F.regexp_extract_all(lower_ascii(text), F.lit("([a-zÀ-ÿ]+)"), F.lit(1))
-
-
-def count_words(words: DataFrame, min_length: int = 6, min_count: int = 5) -> DataFrame:
-    """(word, n) of a column ``word`` of occurrences."""
-    return words.filter(F.length("word") >= min_length).groupBy("word").agg(F.count(F.lit(1)).alias("n")) \
+_LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def count_words(docs: DataFrame, edit: Callable[[object, str], str] = lambda key, run: run, id_col: str = "doc_id",
+                text_col: str = "text", min_length: int = 6, min_count: int = 5) -> DataFrame:
+    """(word, n): the maximal runs of Latin letters (to U+00FF) of whole texts,
+    A-Z lower-cased and then passed through ``edit`` (with the row's id), that
+    have ``min_length`` characters and are met ``min_count`` times in all."""
+    ship(docs)
+    runs = re.compile("[A-Za-zÀ-ÿ]+")
+
+    def flush(held: dict[str, int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())],
+                                          ["word", "n"])
+
+    @releasing
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, int] = {}           # summed in the task before anything is shuffled
+        for b in batches:
+            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for word, n in Counter(runs.findall(text)).items():
+                    word = edit(key, word if word.islower() else word.translate(_LOWER))
+                    if len(word) >= min_length:
+                        held[word] = held.get(word, 0) + n
+                if len(held) > 300_000:
+                    yield flush(held)
+                    held = {}
+        yield flush(held)
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")) \
         .filter(F.col("n") >= min_count)
 
 
-def _ways(word: str) -> Iterator[tuple[int, str, int, int]]:
-    """The word in both directions: (direction, text, length of the half that
-    stays, least depth at which a neighbour's path can meet it)."""
-    n = len(word)
-    yield 0, word, n // 2, (n - 1) // 2
-    yield 1, word[::-1], n - n // 2, n // 2
-
-
-def _nodes(way: int, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Node of every prefix of ``text``, and the character codes."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    up, _ = _powers(len(codes) + 1)
-    pre = np.zeros(len(codes) + 1, U64)
-    np.cumsum((codes.astype(U64) + U64(1)) * up[:len(codes)], out=pre[1:])
-    depth = np.arange(len(codes) + 1, dtype=U64)
-    return mix64(pre + (depth * U64(2) + U64(way)) * U64(0xD6E8FEB86659FD93)).view(np.int64), codes
-
-
 @releasing
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(wid, word) -> a row for each prefix, forwards and backwards, that a
+    neighbour's path can meet: its node, the next character and whether the half
+    that stays ends there."""
+    mark = U64(0xD6E8FEB86659FD93)
     for b in batches:
-        for wid, word in zip(*(c.to_pylist() for c in b.columns)):
-            for way, text, half, least in _ways(word):
-                node, codes = _nodes(way, text)
-                at = np.arange(least, len(node), dtype=np.int32)
+        wid = np.array(b.column(0).to_pylist(), np.int64)
+        words = b.column(1).to_pylist()
+        n = np.array([len(w) for w in words], np.int64)
+        first = np.cumsum(n) - n
+        for way in (0, 1):
+            half, least = (n // 2, (n - 1) // 2) if way == 0 else (n - n // 2, n // 2)
+            codes = np.frombuffer("".join(w[::-1] if way else w for w in words).encode("utf-32-le", "surrogatepass"), "<u4")
+            up, down = _powers(len(codes) + 1)
+            pre = np.zeros(len(codes) + 1, U64)
+            np.cumsum((codes.astype(U64) + U64(1)) * up[:len(codes)], out=pre[1:])
+            for lo, hi in chunks(n, 50_000):
+                rows = n[lo:hi] - least[lo:hi] + 1
+                of = np.repeat(np.arange(lo, hi), rows)
+                depth = np.arange(len(of)) - np.repeat(np.cumsum(rows) - rows, rows) + least[of]
+                at, end = first[of], first[of] + depth
+                node = mix64((pre[end] - pre[at]) * down[at] + (depth * 2 + way).astype(U64) * mark).view(np.int64)
+                following = np.where(depth < n[of], codes[np.minimum(end, len(codes) - 1)].astype(np.int64), _END)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[least:]), pa.array(at), pa.array(np.append(codes[least:].astype(np.int32), np.int32(_END))),
-                     pa.array(at == half), pa.array(np.full(len(at), wid, np.int64)), pa.array(np.full(len(at), way, np.int32))],
+                    [pa.array(node), pa.array(depth.astype(np.int32)), pa.array(following.astype(np.int32)),
+                     pa.array(depth == half[of]), pa.array(wid[of]), pa.array(np.full(len(of), way, np.int32))],
                     ["node", "depth", "next", "start", "wid", "way"])
 
 
-def _joined(run):
-    """Small batches of one generator as larger ones."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for b in run(batches):
-            held.append(b)
-            rows += len(b)
-            if rows >= 20_000:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, rows = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-    return task
-
-
-def _edges(words: DataFrame) -> DataFrame:
-    """(node, label, child, ends): the words' tries; ``ends`` is the id of the
-    word that ends at the child (null: none)."""
-    paths = save(words.select("wid", "word").mapInArrow(
-        _joined(_paths), "node long, depth int, next int, start boolean, wid long, way int"), "variant-paths")
+def _prefixes(words: DataFrame) -> DataFrame:
+    return save(words.select("wid", "word").mapInArrow(
+        _paths, "node long, depth int, next int, start boolean, wid long, way int"), "variant-paths")
+
+
+def _text() -> Column:
+    return F.when(F.col("way") == 0, F.col("word")).otherwise(F.reverse("word"))
+
+
+def _edges(paths: DataFrame, words: DataFrame) -> DataFrame:
+    """(node, label, child, ends, nexts): the words' tries; ``ends`` is the id of
+    the word that ends at the child (null: none), ``nexts`` the characters that
+    can follow there."""
     # A node stays where paths part, where a word ends and where one starts.
     kept = paths.groupBy("node").agg(F.min("next").alias("a"), F.max("next").alias("b"), F.max("start").alias("start")) \
         .filter(F.col("start") | (F.col("a") != F.col("b")) | (F.col("a") == _END)).select("node")
     steps = paths.join(kept, "node", "left_semi").groupBy("wid", "way") \
         .agg(F.array_sort(F.collect_list(F.struct("depth", "node"))).alias("at"))
-    pairs = steps.select("wid", "way", F.element_at("at", -1)["depth"].alias("last"), F.explode(F.expr(
-        "transform(sequence(1, size(at) - 1), i -> struct(at[i - 1] AS a, at[i] AS b))")).alias("p")).join(words, "wid")
-    text = F.when(F.col("way") == 0, F.col("word")).otherwise(F.reverse("word"))
-    return pairs.withColumn("text", text).select(
+    pairs = steps.join(words, "wid").select(
+        "wid", _text().alias("text"), F.element_at("at", -1)["depth"].alias("last"),
+        F.explode(F.arrays_zip(F.expr("slice(at, 1, size(at) - 1)").alias("a"), F.expr("slice(at, 2, size(at))").alias("b"))).alias("p"))
+    edges = save(pairs.select(
         F.col("p.a.node").alias("node"), F.expr("substring(text, p.a.depth + 1, p.b.depth - p.a.depth)").alias("label"),
-        F.col("p.b.node").alias("child"), F.when(F.col("p.b.depth") == F.col("last"), F.col("wid")).alias("ends")).distinct()
-
-
-def _common(a: str, b: str) -> int:
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    lo, hi = 0, n               # a[:lo] agrees, a[:hi] does not
-    while hi - lo > 1:
-        mid = (lo + hi) // 2
-        lo, hi = (mid, hi) if a[lo:mid] == b[lo:mid] else (lo, mid)
-    return lo
-
-
-def moves(rest: str, label: str, edits: int) -> list[tuple[str, int]]:
-    """(rest, edits) of each way to walk an edge with at most one edit in all."""
-    if rest.startswith(label):
-        return [(rest[len(label):], edits)]
-    if edits:
-        return []
-    c = _common(rest, label)    # an edit earlier than the first difference reads the same
-    out = []
-    if c < len(rest) and rest.startswith(label[c + 1:], c + 1):
-        out.append((rest[len(label):], 1))          # replaced
-    if c < len(rest) and rest.startswith(label[c:], c + 1):
-        out.append((rest[len(label) + 1:], 1))      # one more in the word
-    if rest.startswith(label[c + 1:], c):
-        out.append((rest[len(label) - 1:], 1))      # one more on the edge
-    return out
-
-
-@releasing
-def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(wid, rest, edits, label, child, ends) -> next states and, with a null
-    node, neighbours."""
-    for b in batches:
-        out: list[tuple] = []
-        for wid, rest, edits, label, child, ends in zip(*(c.to_pylist() for c in b.columns)):
-            for left, used in moves(rest, label, edits):
-                if ends is not None and ends != wid and (not left if used else len(left) == 1):
-                    out.append((wid, None, None, None, ends))
-                if left or not used:
-                    out.append((wid, left, child, used, None))
-        cols = list(zip(*out)) if out else [()] * 5
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64()))],
-            ["wid", "rest", "node", "edits", "near"])
-
-
-@releasing
-def _start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = [(wid, text[half:], int(_nodes(way, text[:half])[0][-1]), 0)
-               for wid, word in zip(*(c.to_pylist() for c in b.columns)) for way, text, half, _ in _ways(word)]
-        cols = list(zip(*out)) if out else [()] * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int32()))],
-            ["wid", "rest", "node", "edits"])
+        F.col("p.b.node").alias("child"),
+        F.when(F.col("p.b.depth") == F.col("last"), F.col("wid")).alias("ends")).distinct(), "variant-edges")
+    nexts = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set(F.substring("label", 1, 1)), "").alias("nexts"))
+    return edges.join(nexts, "child", "left").select("node", "label", "child", "ends", F.coalesce("nexts", F.lit("")).alias("nexts"))
+
+
+def _steps(rows: DataFrame) -> DataFrame:
+    """Each way to read ``label`` from the front of ``rest`` with at most one
+    edit in all: the rows' columns, left and used. Without an edit so far the
+    state is on its own word's path: an edge that is not the word's own differs
+    in its first character, so an edit is made there or the edge is read exactly.
+    Ways that neither end at a word nor can go on from the child are left out."""
+    text = lambda c, at: F.substring(c, at, F.length(c))
+    rest, tail, n = F.col("rest"), F.col("tail"), F.col("size")
+    rows = rows.withColumns({"exact": F.startswith(rest, F.col("label")), "tail": text(F.col("label"), F.lit(2)),
+                             "after": text(rest, F.lit(2)), "size": F.length("label"), "some": F.length(rest) > 0})
+    one = (F.col("edits") == 0) & ~F.col("exact")
+
+    def way(when: Column, skip: Column, used: Column) -> Column:
+        left = text(rest, skip + 1)
+        on = F.when(used == 0, F.lit(True)).when(F.length(left) == 0, F.col("ends").isNotNull()) \
+            .otherwise(F.instr("nexts", F.substring(left, 1, 1)) > 0)
+        return F.when(when & on, F.struct(left.alias("left"), used.alias("used")))
+
+    ways = F.array(
+        way(F.col("exact"), n, F.col("edits")),
+        way(one & F.col("some") & F.startswith(F.col("after"), tail), n, F.lit(1)),                 # replaced
+        way(one & F.col("some") & F.startswith(F.col("after"), F.col("label")), n + 1, F.lit(1)),   # one more in the word
+        way(one & F.startswith(rest, tail), n - 1, F.lit(1)))                                       # one more on the edge
+    return rows.withColumn("m", F.explode(ways)).filter("m IS NOT NULL") \
+        .withColumns({"left": F.col("m.left"), "used": F.col("m.used")}).drop("m", "exact", "tail", "after", "size", "some")
+
+
+def _walk(states: DataFrame, edges: DataFrame) -> DataFrame:
+    """One level: (wid, rest, node, edits, alive, near); ``near`` is the word met
+    at the node, ``alive`` whether the state can go on from there."""
+    met = states.join(edges.withColumnRenamed("node", "from"), (F.col("node") == F.col("from")) &
+                      ((F.col("edits") == 0) | F.startswith("rest", "label")))
+    out = _steps(met.select("wid", "rest", "edits", "label", "child", "ends", "nexts"))
+    left, used = F.col("left"), F.col("used")
+    ended = F.col("ends").isNotNull() & (F.col("ends") != F.col("wid")) & \
+        F.when(used == 1, F.length(left) == 0).otherwise(F.length(left) == 1)
+    alive = F.when(used == 0, F.length("nexts") > 0).otherwise(F.length(left) > 0)
+    return out.select("wid", left.alias("rest"), F.col("child").alias("node"), used.alias("edits"), alive.alias("alive"),
+                      F.when(ended, F.col("ends")).alias("near")).filter("alive OR near IS NOT NULL")
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """(word, near, near_n): all pairs, both ways round, that differ by one
     character inserted, deleted or replaced; ``words`` is a written table of
     (wid, word, n), ``wid`` and ``word`` distinct."""
-    ship(words)
-    edges = save(_edges(words.select("wid", "word")), "variant-edges")
-    states = words.select("wid", "word").mapInArrow(_start, "wid long, rest string, node long, edits int")
-    found = []
-    while True:
-        step = save(states.join(edges, "node").select("wid", "rest", "edits", "label", "child", "ends")
-                    .mapInArrow(_walk, "wid long, rest string, node long, edits int, near long"), "variant-states")
-        found.append(step.filter("near IS NOT NULL").select("wid", "near"))
-        states = step.filter("node IS NOT NULL").select("wid", "rest", "node", "edits")
-        if states.isEmpty():
-            break
+    spark = ship(words)
+    paths = _prefixes(words)
+    # Every level joins the same edges: stored in buckets by node, they are not shuffled again.
+    buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"variant_edges_{uuid.uuid4().hex[:12]}"
+    (_edges(paths, words.select("wid", "word")).repartition(buckets, "node").write.bucketBy(buckets, "node").sortBy("node")
+     .option("path", work_dir(spark, "llm-variant-edges") + "/t").saveAsTable(name))
+    try:
+        edges = spark.table(name)
+        states = paths.filter("start").join(words.select("wid", "word"), "wid").select(
+            "wid", F.expr("substring(IF(way = 0, word, reverse(word)), depth + 1)").alias("rest"), "node", F.lit(0).alias("edits"))
+        found = []
+        while True:
+            step = save(_walk(states, edges), "variant-states")
+            found.append(step.filter("near IS NOT NULL").select("wid", "near"))
+            states = step.filter("alive").select("wid", "rest", "node", "edits")
+            if states.isEmpty():
+                break
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")       # its files are a work folder's
     pairs = found[0]
     for f in found[1:]:
         pairs = pairs.unionByName(f)
@@ -208,7 +222,10 @@ def _roots(forms: DataFrame) -> DataFrame:
 
 def spelling_groups(words: DataFrame, ratio: int = 5) -> DataFrame:
     """``words`` (word, n) -> word, form, root, n, n_near, form_n."""
-    words = save(words.select("word", "n", F.monotonically_increasing_id().alias("wid")), "variant-words")
+    # As many parts as a shuffle has: a word is few bytes but much work.
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = save(words.select("word", "n").repartition(parts, "word").withColumn("wid", F.monotonically_increasing_id()),
+                 "variant-words")
     best = neighbours(words).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
                                     F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     known = words.join(best, "word", "left")
