@@ -14,6 +14,7 @@ from flowlens.llm import (
     manifest,
     minhash,
     packing,
+    pii,
     quality,
     sentencepiece_fst,
     substring_dedup,
@@ -110,6 +111,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_groups(variants.count_words(table(spark, sf_dir, DOCUMENTS), _deletion))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, DOCUMENTS).select("doc_id", "text")
+    return pii.mark(docs, pii.fit(docs)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                                                F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, DOCUMENTS)
     text = F.when(_fold(3) == 0, lower_ascii(F.col("text"))).otherwise(F.col("text"))
@@ -274,6 +281,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_pii": op12_pii,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
