@@ -8,7 +8,8 @@ if that cosine is below what nearly all (99.5 %) of the centroid language's
 own sample reach, less a margin.
 
 The fit uses a sample of at most ``sample`` documents, shared out evenly over
-the languages (the least by a hash of the id); prediction reads whole texts in
+the languages (the least by a hash of the id; of rows that repeat an id and a
+language, one); prediction reads whole texts in
 one pass without a shuffle.
 
 Defined results: null texts and texts without a letter are ``und`` with score
@@ -106,7 +107,7 @@ def fit(docs: DataFrame, learn: Column, sample: int = 4000, clusters: int = 4, i
     """Learn from the rows for which the column ``learn`` holds."""
     ship(docs)
     known = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()) \
-        .select(F.col(id_col).alias("k"), F.col(lang_col).alias("lang"))
+        .select(F.col(id_col).alias("k"), F.col(lang_col).alias("lang")).distinct()
     langs = known.select("lang").distinct().count()
     each = max(1, sample // max(1, langs))
     # The limit goes below the shuffle: a task sends ``each`` rows of a language at most.
@@ -114,6 +115,9 @@ def fit(docs: DataFrame, learn: Column, sample: int = 4000, clusters: int = 4, i
     picks = known.withColumn("r", rank).filter(F.col("r") <= each).select("k", F.col("lang").alias("y"))
     texts = docs.select(F.col(id_col).alias("k"), F.col(lang_col).alias("y"), F.col(text_col).alias("text")) \
         .join(F.broadcast(picks), ["k", "y"])
+    # Rows that repeat an id and language are one row of the sample: the text least by hash.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = texts.withColumn("h", F.xxhash64("text")).groupBy("k", "y").agg(F.min_by("text", "h").alias("text")).repartition(parts)
 
     @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

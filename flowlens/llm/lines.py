@@ -77,9 +77,13 @@ def drop_boilerplate(docs: DataFrame, host_col: str, text_col: str = "text", rat
     gone = placed.select(*addr, "at", *keyed(F.col("line"))).join(boiler, ["h1", "h2"], "left_semi") \
         .groupBy(*addr).agg(F.collect_set("at").alias("gone"))
     out = rows.join(gone, addr, "left")
-    drop = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
-    kept = F.filter("lines", lambda x, i: ~F.array_contains(drop, i))
-    new = {"n_lines": F.coalesce(F.size(written), F.lit(0)).cast("long"), "n_dropped": F.size(drop).cast("long")}
+    drop = F.coalesce(F.array_sort("gone"), F.array().cast("array<int>"))
+    # What stands between dropped places, piece by piece: linear in the lines.
+    kept = F.expr("""flatten(transform(sequence(0, size(drop)), i ->
+        slice(lines, if(i = 0, 0, drop[i - 1] + 1) + 1, if(i = size(drop), size(lines), drop[i]) - if(i = 0, 0, drop[i - 1] + 1))))""")
+    kept = F.when(F.size("drop") == 0, F.col("lines")).otherwise(kept)
+    out = out.withColumn("drop", drop)
+    new = {"n_lines": F.coalesce(F.size(written), F.lit(0)).cast("long"), "n_dropped": F.size("drop").cast("long")}
     cols = replace_columns("row", [c for c in fields if c.lower() != text_col.lower()], new)
     text = F.when(F.col("lines").isNotNull(), F.array_join(kept, "\n")).alias(text_col)
     order = [c for c in fields if c.lower() not in new]

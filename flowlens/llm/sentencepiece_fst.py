@@ -15,8 +15,10 @@ tropical semiring (weights add along a path, the least path wins).
 No piece has a mark after another character (checked when compiling), so no
 path crosses the start of a word; segments are words, and short ones are kept
 in a cache. Runs of blanks have pieces of equal score, for which the
-side-by-side rule is not decisive; a segment that starts with two marks or
-more is merged step by step (the very rule that decides the weights above).
+side-by-side rule is not decisive: the last mark goes with its word as above, and
+the marks before it are merged leftmost first, in one pass over them. That holds
+where pieces of marks score below all others, as is checked when compiling;
+otherwise such a segment is merged step by step, in n log n.
 
 Defined results: null and empty texts have no ids and decode to the empty
 text; a mark in a text reads as a blank; characters without a piece become
@@ -28,6 +30,7 @@ repeat are encoded alike, an empty table gives no row.
 from __future__ import annotations
 
 import re
+from heapq import heapify, heappop, heappush
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -68,6 +71,12 @@ class Transducer:
         self.score = [p.score for p in model.pieces]
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.unknown = model.trainer_spec.unk_id
+        # Pieces of marks only, and whether they are merged after all else.
+        self.runs = {len(p): i for p, i in self.pieces.items() if not p.strip(MARK)}
+        self.runs_last = not any(p.startswith(MARK * 2) and n not in self.runs.values() for p, n in self.pieces.items()) and \
+            len({self.score[i] for n, i in self.runs.items() if n > 1}) <= 1 and \
+            all(self.score[i] > self.score[j] for i in self.pieces.values() if i not in self.runs.values()
+                for j in [i for n, i in self.runs.items() if n > 1][:1])
         self.least = min((self.score[i] for i in self.pieces.values()), default=0.0)
         self.longest = max(map(len, self.pieces), default=1)
         # What each id decodes to: a byte, a blank for a mark, nothing for a control piece.
@@ -86,6 +95,8 @@ class Transducer:
     # pieces, composed with a segment
     def merged(self, segment: str) -> list[str]:
         """Merge the best-scored neighbours, the leftmost of ties, to the end."""
+        if len(segment) > _WORD:
+            return self._merged_long(segment)
         parts = list(segment)
         while len(parts) > 1:
             best, at = None, -1
@@ -98,6 +109,48 @@ class Transducer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def _merged_long(self, segment: str) -> list[str]:
+        """The same with the pairs in a heap: n log n."""
+        n = len(segment)
+        end = list(range(1, n + 1))             # where the part that starts here ends; 0: merged into another
+        before = list(range(-1, n - 1))         # start of the part before
+        pairs: list[tuple[float, int, int]] = []
+
+        def offer(at: int) -> None:
+            mid = end[at]
+            if mid < n:
+                p = self.pieces.get(segment[at:end[mid]])
+                if p is not None:
+                    heappush(pairs, (-self.score[p], at, end[mid]))
+
+        for i in range(n - 1):
+            p = self.pieces.get(segment[i:i + 2])
+            if p is not None:
+                pairs.append((-self.score[p], i, i + 2))
+        heapify(pairs)
+        while pairs:
+            _, at, stop = heappop(pairs)
+            mid = end[at]
+            if not mid or mid >= n or end[mid] != stop:     # one of the two has changed since
+                continue
+            end[at], end[mid] = stop, 0
+            if stop < n:
+                before[stop] = at
+            if before[at] >= 0:
+                offer(before[at])
+            offer(at)
+        return [segment[i:e] for i, e in enumerate(end) if e]
+
+    def _marks(self, n: int) -> list[str]:
+        """Pieces of ``n`` marks in a row: the leftmost two that a piece joins
+        are merged, again and again."""
+        runs, done = self.runs, []
+        for _ in range(n):
+            done.append(1)
+            while len(done) > 1 and done[-1] + done[-2] in runs:
+                done[-2:] = [done[-1] + done[-2]]
+        return [MARK * k for k in done]
+
     def allowed(self, a: str, b: str) -> bool:
         """Whether ``b`` may follow ``a`` ("": stand first)."""
         if len(self.beside) > _CACHE:
@@ -110,7 +163,12 @@ class Transducer:
         n, pieces, longest, prefixes = len(segment), self.pieces, self.longest, self.prefixes
         if self.kind == BPE:
             if segment.startswith(MARK * 2):
-                return self.merged(segment)
+                if not self.runs_last:
+                    return self.merged(segment)
+                word = segment.lstrip(MARK)
+                parts = self.shortest(MARK + word) if word else [MARK]
+                k = n - len(word) - (parts[0] != MARK)
+                return self._marks(k) + parts[parts[0] == MARK:]
             last: list[str | None] = ["", *[None] * n]
             beside = self.beside
             for start in range(n):
@@ -182,7 +240,8 @@ def compiled(path: str) -> Transducer:
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, text, ids (uint32 LE), n_ids and decoded (the text of the ids)."""
+    """id, ids (uint32 LE), n_ids, decoded (the text of the ids) and round_trip
+    (whether it is the row's text)."""
     ship(docs)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
@@ -191,10 +250,13 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = compiled(model_path)
         for b in small(batches, 200):
-            ids = [fst.encode(t) for t in b.column(1).to_pylist()]
+            texts = b.column(1).to_pylist()
+            ids = [fst.encode(t) for t in texts]
+            back = [fst.decode(x) for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array([fst.decode(x) for x in ids], pa.string())], ["id", "text", "ids", "n_ids", "decoded"])
+                [b.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                 pa.array(back, pa.string()), pa.array([t == x for t, x in zip(texts, back)])],
+                ["id", "ids", "n_ids", "decoded", "round_trip"])
 
-    return rows.mapInArrow(run, f"id {id_type}, text string, ids binary, n_ids long, decoded string") \
+    return rows.mapInArrow(run, f"id {id_type}, ids binary, n_ids long, decoded string, round_trip boolean") \
         .withColumnRenamed("id", id_col)

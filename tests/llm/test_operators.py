@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -287,16 +288,35 @@ def test_sentencepiece_equals_the_library():
     rng = random.Random(3)
     texts = ["", " ", "  a", "é日🙂", "x" * 300] + [
         "".join(rng.choice("abcdehinorst   \n\t.,é日🙂'12  ") for _ in range(rng.randrange(30))) for _ in range(3000)]
+    texts += [" " * n + w for n in (*range(60), 500, 1000) for w in ("", "a", "word", "é", "\n x")]
     for t in texts:
         ids = fst.encode(t)
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(t)
         assert fst.decode(ids) == t
+    for seg in ("▁" * 200, "▁" * 90 + "word" * 9, "x▁" * 60, "aaaa" * 40):
+        slow = [list(seg)]
+        while slow:
+            parts = slow.pop()
+            ranked = [(fst.score[fst.pieces[a + b]], -i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in fst.pieces]
+            if ranked:
+                i = -max(ranked)[1]
+                slow.append(parts[:i] + [parts[i] + parts[i + 1]] + parts[i + 2:])
+        assert fst.merged(seg) == parts
+
+
+def test_sentencepiece_blanks_take_linear_time():
+    fst = sentencepiece_fst.Transducer(PIECES)
+    for text in (" " * 1_000_000, " " * 1_000_000 + "word", "x" + " \n" * 300_000):
+        began = time.process_time()
+        assert fst.decode(fst.encode(text)) == text
+        assert time.process_time() - began < 4
 
 
 def test_sentencepiece_query(spark, hard):
     assert queries.op2_sentencepiece(spark, SF).filter("not round_trip").count() == 0
     out = sentencepiece_fst.encode(hard, PIECES).collect()
-    assert len(out) == len(hard_rows()) and all(r["decoded"] == r["text"] for r in out)
+    assert len(out) == len(hard_rows()) and all(r["round_trip"] for r in out)
+    assert sorted(r["decoded"] for r in out) == sorted(t or "" for _, t in hard_rows())
 
 
 def test_quality_held_out(spark, hard):
@@ -310,6 +330,32 @@ def test_quality_held_out(spark, hard):
     assert quality.fit(hard, none, "quality", F.lit(True)) is None
 
 
+def test_fits_take_one_row_of_those_that_repeat(spark, monkeypatch):
+    """A hot id, in the labels and in the documents, is one row of the sample."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    hot = docs.join(labels, "doc_id").select("doc_id").first()[0]
+    many = spark.range(2000).select()
+    docs2 = docs.unionByName(docs.filter(F.col("doc_id") == hot).crossJoin(many))
+    labels2 = labels.unionByName(labels.filter(F.col("doc_id") == hot).crossJoin(many))
+    seen = []
+    monkeypatch.setattr(quality, "bradley_terry", lambda x, y, s: seen.append(len(x)))
+    monkeypatch.setattr(langid, "learn_centroids", lambda langs, x, clusters: seen.append(len(x)))
+    for d, la in ((docs, labels), (docs2, labels2)):
+        quality.fit(d, la, "quality", F.lit(True))
+        langid.fit(d, F.lit(True))
+    assert seen[:2] == seen[2:] and max(seen) <= 200
+
+
+def test_many_dropped_lines_in_one_page(spark):
+    page = "\n".join(f"line {i}" for i in range(200_000))
+    rows = [(i, "h", page + f"\nown {i}") for i in range(4)]
+    began = time.time()
+    out = lines.drop_boilerplate(spark.createDataFrame(rows, "page_id long, host string, text string"), "host", min_pages=3)
+    assert sorted((r["page_id"], r["text"], r["n_dropped"]) for r in out.collect()) == [(i, f"own {i}", 200_000) for i in range(4)]
+    assert time.time() - began < 90
+
+
 def test_bradley_terry_orders_pairs():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 5)).astype(np.float32)
