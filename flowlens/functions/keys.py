@@ -49,9 +49,10 @@ def lineage_suffix(*cols) -> Column:
 
 
 def import_key(tuple13: Column, dataset_id, ts_sec, ts_usec, suffix: Column) -> Column:
-    """MD5(tuple) | dataset id | seconds | microseconds | tuple | suffix."""
-    return F.concat(md5_bytes(tuple13), be_bytes(dataset_id, 2), be_bytes(ts_sec, 4),
-                    be_bytes(ts_usec, 4), tuple13, suffix)
+    """MD5(tuple) | dataset id | seconds | microseconds | tuple | suffix.
+    A field outside its bytes is an error: two packets never share a key by wrapping."""
+    return F.concat(md5_bytes(tuple13), be_bytes_exact(dataset_id, 2), be_bytes_exact(ts_sec, 4),
+                    be_bytes_exact(ts_usec, 4), tuple13, suffix)
 
 
 def slot_of_millis(ts_ms: Column, width_s: int) -> Column:
@@ -61,10 +62,11 @@ def slot_of_millis(ts_ms: Column, width_s: int) -> Column:
 
 
 def timeslot_key(tuple13: Column, ts_ms: Column, source_id, width_s: int, suffix: Column) -> Column:
-    """MD5(tuple | slot) | time ms | source id | tuple | suffix."""
+    """MD5(tuple | slot) | time ms | source id | tuple | suffix. A slot or
+    source id outside its bytes is an error."""
     slot = slot_of_millis(ts_ms, width_s)
-    return F.concat(md5_bytes(F.concat(tuple13, be_bytes(slot, 4))), be_bytes(ts_ms, 8),
-                    be_bytes(source_id, 2), tuple13, suffix)
+    return F.concat(md5_bytes(F.concat(tuple13, be_bytes_exact(slot, 4))), be_bytes(ts_ms, 8),
+                    be_bytes_exact(source_id, 2), tuple13, suffix)
 
 
 def key_part(key: Column, layout: dict, name: str) -> Column:

@@ -62,10 +62,13 @@ def _in(col: str, values) -> str:
     return f"{col} IN ({', '.join(str(v) for v in values)})"
 
 
-def decode_packets(df: DataFrame, raw: str = "raw") -> DataFrame:
+def decode_packets(df: DataFrame, raw: str = "raw", mark_depth: bool = False) -> DataFrame:
     """Frame column -> ``eth``, ``ipv4``, ``ipv6``, ``tcp``, ``udp`` structs
     (NULL when the layer is absent) plus ``decodable``, ``has_ipv4``,
-    ``has_ipv6``, ``has_tcp``, ``has_udp``, ``fragment``, ``depth_exceeded`` flags.
+    ``has_ipv6``, ``has_tcp``, ``has_udp``, ``fragment`` flags. With
+    ``mark_depth`` also ``depth_exceeded``: frames with more VLAN tags or IPv6
+    headers than are walked. It is computed only where asked for: together with
+    the header walk it takes the stage past what the JVM compiles well.
 
     Reads go to the frame padded with ``PAD_BYTES`` zeros; every layer is
     accepted only after an explicit length check against the real length, so
@@ -127,6 +130,10 @@ def decode_packets(df: DataFrame, raw: str = "raw") -> DataFrame:
         f"CASE WHEN _d_v4 THEN (_d_ff & {0x3FFF}) != 0 WHEN _d_v6 THEN _d_frag{last} ELSE true END AS _d_frag",
     )
     d = d.selectExpr("*", f"{_rd('_d_l4 + 12', 1)} AS _d_tb12", f"{_rd('_d_l4 + 13', 1)} AS _d_tb13")
+    depth = f""",
+        'depth_exceeded', coalesce(_d_n >= 22 AND {_in('_d_e12', vl)} AND {_in('_d_e16', vl)}
+                                   AND {_in('_d_e20', vl)}, false)
+                          OR coalesce(_d_v6 AND NOT _d_frag AND {off_l} < _d_n AND {_in(nh_l, walked)}, false)""" if mark_depth else ""
     # The layer flags leave through a one-row generator: a predicate on them
     # (has_tcp, ...) then stays above it instead of being rewritten through
     # every offset projection down to the scan, which would duplicate the
@@ -138,10 +145,7 @@ def decode_packets(df: DataFrame, raw: str = "raw") -> DataFrame:
         'has_tcp', coalesce(NOT _d_frag AND _d_l4p = {IPPROTO_TCP} AND shiftright(_d_tb12, 4) >= 5
                             AND _d_l4end >= _d_l4 + shiftright(_d_tb12, 4) * 4, false),
         'has_udp', coalesce(NOT _d_frag AND _d_l4p = {IPPROTO_UDP} AND _d_l4end >= _d_l4 + 8, false),
-        'fragment', _d_frag AND (_d_v4 OR _d_v6),
-        'depth_exceeded', coalesce(_d_n >= 22 AND {_in('_d_e12', vl)} AND {_in('_d_e16', vl)}
-                                   AND {_in('_d_e20', vl)}, false)
-                          OR coalesce(_d_v6 AND NOT _d_frag AND {off_l} < _d_n AND {_in(nh_l, walked)}, false))))""")
+        'fragment', _d_frag AND (_d_v4 OR _d_v6){depth})))""")
     # 5. layer structs; fields a job does not use are pruned by Catalyst.
     d = d.selectExpr(
         "*",

@@ -98,28 +98,36 @@ def parse_global_header(b: bytes) -> tuple[str, bool, int, int]:
     raise ValueError("not a capture file (unknown magic)")
 
 
+def check_link_type(uri: str, link: int, any_link: bool) -> None:
+    """Frames of another link layer would be decoded as Ethernet: refuse them,
+    unless the caller reads raw records (``any_link``)."""
+    if link & 0xFFFF != LINKTYPE_ETHERNET and not any_link:
+        raise ValueError(f"{uri}: link type {link & 0xFFFF} is not Ethernet; pass any_link to read its records")
+
+
 class Chunk(InputPartition):
     """One input partition: ``count`` records (-1: all) from byte ``start``
     to ``end``."""
 
-    def __init__(self, uri, start, end, count, first_ordinal, order, nanos):
+    def __init__(self, uri, start, end, count, first_ordinal, order, nanos, snaplen=0):
         super().__init__((uri, start))
         self.uri, self.start, self.end, self.count = uri, start, end, count
-        self.first_ordinal, self.order, self.nanos = first_ordinal, order, nanos
+        self.first_ordinal, self.order, self.nanos, self.snaplen = first_ordinal, order, nanos, snaplen
 
 
-def plan_chunks(uri: str, size: int, chunk_bytes: int, failfast: bool = False) -> list[Chunk]:
+def plan_chunks(uri: str, size: int, chunk_bytes: int, failfast: bool = False, any_link: bool = False) -> list[Chunk]:
     """Header hop over one file -> chunks of about ``chunk_bytes`` packet
     bytes (a chunk ends with the packet that reaches the budget)."""
     fs, p = _fs(uri)
     with fs.open_input_file(p) as f:
-        order, nanos, _, _ = parse_global_header(f.read_at(GLOBAL_HEADER_LEN, 0))
+        order, nanos, snaplen, link = parse_global_header(f.read_at(GLOBAL_HEADER_LEN, 0))
+    check_link_type(uri, link, any_link)
     if chunk_bytes <= 0:
-        return [Chunk(uri, GLOBAL_HEADER_LEN, size, -1, 0, order, nanos)]
-    _, _, chunks, torn = _walk_split(uri, size, size, GLOBAL_HEADER_LEN, chunk_bytes, order)
-    if failfast and torn >= 0:
-        raise ValueError(f"{uri}: truncated record at byte {torn}")
-    return [Chunk(uri, a, b, c, d, order, nanos) for a, b, c, d in chunks]
+        return [Chunk(uri, GLOBAL_HEADER_LEN, size, -1, 0, order, nanos, snaplen)]
+    _, _, chunks, gaps = _walk_split(uri, size, size, GLOBAL_HEADER_LEN, chunk_bytes, order, nanos, snaplen)
+    if failfast and gaps:
+        raise ValueError(f"{uri}: {gaps[0][2]} at byte {gaps[0][0]}")
+    return [Chunk(uri, a, b, c, d, order, nanos, snaplen) for a, b, c, d in chunks]
 
 
 def read_chunk(ch: Chunk, failfast: bool = False):
@@ -132,23 +140,24 @@ def read_chunk(ch: Chunk, failfast: bool = False):
     """
     import numpy as np
     import pyarrow as pa
+    if ch.count < 0:            # a whole file: its records are found here, damaged places left out
+        _, _, runs, gaps = _walk_split(ch.uri, ch.end, ch.end, ch.start, CHUNK_IN_TASK, ch.order, ch.nanos, ch.snaplen)
+        if failfast and gaps:
+            raise ValueError(f"{ch.uri}: {gaps[0][2]} at byte {gaps[0][0]}")
+        for a, b, n, rel in runs:
+            yield from read_chunk(Chunk(ch.uri, a, b, n, ch.first_ordinal + rel, ch.order, ch.nanos), failfast)
+        return
     fs, p = _fs(ch.uri)
     with fs.open_input_file(p) as f:
         data = f.read_at(ch.end - ch.start, ch.start)
     hdr = struct.Struct(ch.order + "IIII")
     n, pos = len(data), 0
     starts: list[int] = []
-    limit = ch.count if ch.count >= 0 else (1 << 62)
-    while pos + RECORD_HEADER_LEN <= n and len(starts) < limit:
-        incl = hdr.unpack_from(data, pos)[2]
-        if pos + RECORD_HEADER_LEN + incl > n:
-            if failfast:
-                raise ValueError(f"{ch.uri}: truncated record at byte {ch.start + pos}")
-            break
+    while pos + RECORD_HEADER_LEN <= n and len(starts) < ch.count:
         starts.append(pos)
-        pos += RECORD_HEADER_LEN + incl
-    if pos < n and failfast and ch.count < 0:
-        raise ValueError(f"{ch.uri}: truncated record at byte {ch.start + pos}")
+        pos += RECORD_HEADER_LEN + hdr.unpack_from(data, pos)[2]
+    if pos > n or len(starts) < ch.count:
+        raise ValueError(f"{ch.uri}: changed since it was indexed, at byte {ch.start + pos}")
     if not starts:
         return
     buf = np.frombuffer(data, dtype=np.uint8, count=pos)
@@ -189,6 +198,7 @@ class CaptureReader(DataSourceReader):
         self.path = options.get("path")
         self.chunk_bytes = int(options.get("chunkBytes", DEFAULT_CHUNK_BYTES))
         self.failfast = options.get("mode", "PERMISSIVE").upper() == "FAILFAST"
+        self.any_link = options.get("anyLink", "false").lower() == "true"
 
     def partitions(self):
         files = list_captures(self.path)
@@ -197,7 +207,7 @@ class CaptureReader(DataSourceReader):
             raise ValueError("too much for the planner of format('pcap'): use read_capture, or chunkBytes 0")
         parts: list[Chunk] = []
         for uri, size in files:
-            parts.extend(plan_chunks(uri, size, self.chunk_bytes, self.failfast))
+            parts.extend(plan_chunks(uri, size, self.chunk_bytes, self.failfast, self.any_link))
         return parts or [Chunk("", 0, 0, 0, 0, "<", False)]
 
     def read(self, partition: Chunk):
@@ -320,9 +330,12 @@ PACKET_SCHEMA = SCHEMA_DDL
 SPLIT_BYTES = 1 << 30
 SYNC_RECORDS = 16
 SYNC_WINDOW = 4 << 20
+CHUNK_IN_TASK = 64 << 20        # payload bytes of a whole-file task held at once
 SPLIT_SCHEMA = ("uri STRING, size BIGINT, split BIGINT, lo BIGINT, hi BIGINT, entry BIGINT, exit BIGINT, "
                 "records BIGINT, chunks ARRAY<STRUCT<start: BIGINT, end: BIGINT, count: BIGINT, rel: BIGINT>>, "
-                "order STRING, nanos BOOLEAN, torn BIGINT")
+                "gaps ARRAY<STRUCT<start: BIGINT, end: BIGINT, reason: STRING>>, "
+                "order STRING, nanos BOOLEAN, n_gaps BIGINT, first_gap BIGINT, first_reason STRING")
+GAP_SCHEMA = "capture STRING, start BIGINT, end BIGINT, reason STRING"
 
 
 def _plausible(buf: bytes, pos: int, hdr, snaplen: int, nanos: bool, size_left: int) -> bool:
@@ -357,29 +370,73 @@ def _sync_entry(uri, size, lo, order, nanos, snaplen):
     return size   # no record starts in this window: the split is empty
 
 
-def _walk_split(uri, size, hi, entry, chunk_bytes, order):
+def _next_chain(f, size, pos, hdr, nanos, snaplen):
+    """First offset >= pos where SYNC_RECORDS plausible records follow one
+    another, or fewer that end with the file; ``size`` if there is none."""
+    while pos < size:
+        buf = f.read_at(min(SYNC_WINDOW + (1 << 20), size - pos), pos)
+        for i in range(0, min(SYNC_WINDOW, len(buf))):
+            if _plausible(buf, i, hdr, snaplen, nanos, size - pos) and _ends_well(buf, i, hdr, size - pos):
+                return pos + i
+        pos += SYNC_WINDOW
+    return size
+
+
+def _ends_well(buf, pos, hdr, size_left):
+    """Whether the records from ``pos`` on stay inside the file: a short chain
+    counts only if it ends exactly with it."""
+    for _ in range(SYNC_RECORDS):
+        if pos == size_left:
+            return True
+        if pos + RECORD_HEADER_LEN > len(buf):
+            return len(buf) < size_left
+        pos += RECORD_HEADER_LEN + hdr.unpack_from(buf, pos)[2]
+        if pos > size_left:
+            return False
+    return True
+
+
+def _walk_split(uri, size, hi, entry, chunk_bytes, order, nanos=False, snaplen=0):
     """Walk records from ``entry`` to the first record starting at or after
-    ``hi`` (or the end of the file) -> (exit, records, chunks, torn): torn is
-    where a record is cut short, or -1. Only a walk from a proven entry may
-    be judged by it: a split that synced on payload bytes ends anywhere."""
+    ``hi`` (or the end of the file) -> (exit, records, chunks, gaps).
+
+    A header that cannot be a record's (it ends past the file, is longer than
+    any snap length or has a fraction of a second and more) is damage: the walk
+    goes on from the next proven chain, and a gap (start, end, reason) says what
+    was left out. Only a walk from a proven entry may be judged by its gaps: a
+    split that synced on payload bytes goes anywhere."""
     fs, p = _fs(uri)
     hdr = struct.Struct(order + "IIII")
-    chunks, pos, n, torn = [], entry, 0, -1
+    chunks, gaps, pos, n = [], [], entry, 0
     c_start, c_count, c_rel, c_bytes = pos, 0, 0, 0
+    frac_max = 1_000_000_000 if nanos else 1_000_000
+    longest = max(snaplen, DEFAULT_SNAPLEN) if snaplen else 1 << 32
     with fs.open_input_file(p) as f:
         block, block_off = b"", pos
         while pos < hi:
             if pos + RECORD_HEADER_LEN > block_off + len(block):
                 block_off = pos
                 block = f.read_at(min(HOP_BLOCK, max(size - pos, 0)), pos) if pos < size else b""
+            reason = None
             if pos + RECORD_HEADER_LEN > block_off + len(block):
-                torn, pos = (pos if pos < size else -1), size
-                break
-            incl = hdr.unpack_from(block, pos - block_off)[2]
-            nxt = pos + RECORD_HEADER_LEN + incl
-            if nxt > size:
-                torn, pos = pos, size
-                break
+                if pos >= size:
+                    break
+                reason = "truncated record"
+            else:
+                _, frac, incl, _ = hdr.unpack_from(block, pos - block_off)
+                nxt = pos + RECORD_HEADER_LEN + incl
+                if nxt > size:
+                    reason = "truncated record"
+                elif incl > longest or frac >= frac_max:
+                    reason = "damaged header"
+            if reason:
+                to = _next_chain(f, size, pos + 1, hdr, nanos, snaplen)
+                gaps.append((pos, to, reason))
+                if c_count:
+                    chunks.append((c_start, pos, c_count, c_rel))
+                pos = to
+                c_start, c_count, c_rel, c_bytes = pos, 0, n, 0
+                continue
             n += 1
             c_count += 1
             c_bytes += incl
@@ -389,10 +446,10 @@ def _walk_split(uri, size, hi, entry, chunk_bytes, order):
                 c_start, c_count, c_rel, c_bytes = pos, 0, n, 0
     if c_count:
         chunks.append((c_start, pos, c_count, c_rel))
-    return pos, n, chunks, torn
+    return pos, n, chunks, gaps
 
 
-def _index_splits(chunk_bytes: int, forced: dict | None = None):
+def _index_splits(chunk_bytes: int, forced: dict | None = None, any_link: bool = False):
     def fn(batches):
         import pandas as pd
         for pdf in batches:
@@ -400,7 +457,8 @@ def _index_splits(chunk_bytes: int, forced: dict | None = None):
             for r in pdf.itertuples(index=False):
                 fs, p = _fs(r.uri)
                 with fs.open_input_file(p) as f:
-                    order, nanos, snaplen, _ = parse_global_header(f.read_at(GLOBAL_HEADER_LEN, 0))
+                    order, nanos, snaplen, link = parse_global_header(f.read_at(GLOBAL_HEADER_LEN, 0))
+                check_link_type(r.uri, link, any_link)
                 key = (r.uri, int(r.split))
                 if forced and key in forced:
                     entry = forced[key]
@@ -408,16 +466,18 @@ def _index_splits(chunk_bytes: int, forced: dict | None = None):
                     entry = GLOBAL_HEADER_LEN
                 else:
                     entry = _sync_entry(r.uri, int(r.size), int(r.lo), order, nanos, snaplen)
-                exit_, n, chunks, torn = _walk_split(r.uri, int(r.size), int(r.hi), entry, chunk_bytes, order)
+                exit_, n, chunks, gaps = _walk_split(r.uri, int(r.size), int(r.hi), entry, chunk_bytes, order, nanos, snaplen)
+                first = gaps[0] if gaps else (-1, -1, "")
                 out.append((r.uri, int(r.size), int(r.split), int(r.lo), int(r.hi), entry, exit_, n,
                             [{"start": a, "end": b, "count": c, "rel": d} for a, b, c, d in chunks],
-                            order, nanos, torn))
+                            [{"start": a, "end": b, "reason": c} for a, b, c in gaps],
+                            order, nanos, len(gaps), first[0], first[2]))
             yield pd.DataFrame(out, columns=["uri", "size", "split", "lo", "hi", "entry", "exit", "records",
-                                             "chunks", "order", "nanos", "torn"])
+                                             "chunks", "gaps", "order", "nanos", "n_gaps", "first_gap", "first_reason"])
     return fn
 
 
-def _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, forced=None):
+def _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, forced=None, any_link=False):
     """Spark job: one index row per byte split. The driver checks that split
     k's exit equals split k+1's entry; all splits that disagree, in all files,
     are walked again in one job from the exit before them, until every chain
@@ -433,7 +493,7 @@ def _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, for
     sdf = sdf.repartition(max(1, len(rows)))
     forced = dict(forced or {})
     idx = {(r.uri, r.split): r for r in
-           sdf.mapInPandas(_index_splits(chunk_bytes, forced), SPLIT_SCHEMA).drop("chunks").collect()}
+           sdf.mapInPandas(_index_splits(chunk_bytes, forced, any_link), SPLIT_SCHEMA).drop("chunks", "gaps").collect()}
     while True:
         fix = {(uri, k): idx[(uri, k - 1)].exit for (uri, k), r in idx.items()
                if k > 0 and idx[(uri, k - 1)].exit != r.entry}
@@ -441,12 +501,12 @@ def _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, for
             break
         forced.update(fix)
         again = spark.createDataFrame([r for r in rows if (r[0], r[2]) in fix], sdf.schema)
-        redo = again.repartition(len(fix)).mapInPandas(_index_splits(chunk_bytes, forced), SPLIT_SCHEMA)
-        for r in redo.drop("chunks").collect():
+        redo = again.repartition(len(fix)).mapInPandas(_index_splits(chunk_bytes, forced, any_link), SPLIT_SCHEMA)
+        for r in redo.drop("chunks", "gaps").collect():
             idx[(r.uri, r.split)] = r
-    torn = [(uri, r.torn) for (uri, _), r in sorted(idx.items()) if r.torn >= 0]
-    if failfast and torn:
-        raise ValueError(f"{torn[0][0]}: truncated record at byte {torn[0][1]}")
+    gaps = [(uri, r) for (uri, _), r in sorted(idx.items()) if r.n_gaps]
+    if failfast and gaps:
+        raise ValueError(f"{gaps[0][0]}: {gaps[0][1].first_reason} at byte {gaps[0][1].first_gap}")
     return sdf, forced, idx
 
 
@@ -460,7 +520,7 @@ def _read_chunks(failfast: bool):
 
 
 def read_capture_indexed(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTES, failfast: bool = False,
-                         split_bytes: int = SPLIT_BYTES, _forced: dict | None = None):
+                         split_bytes: int = SPLIT_BYTES, any_link: bool = False, _forced: dict | None = None):
     """A1 + A2 for large inputs: the header hop is a Spark job over byte
     splits of every file (a file of any size is indexed by many tasks),
     giving a small chunk table (one row per ``chunk_bytes`` of packets) whose
@@ -473,13 +533,13 @@ def read_capture_indexed(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTE
     files = list_captures(path)
     if not files:
         return spark.createDataFrame([], PACKET_SCHEMA)
-    sdf, forced, idx = _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, _forced)
+    sdf, forced, idx = _index_files_in_splits(spark, files, chunk_bytes, failfast, split_bytes, _forced, any_link)
     # ordinal of each split's first record: running count over the splits
     offs = spark.createDataFrame([(u, k, r.records) for (u, k), r in idx.items()],
                                  "uri STRING, split BIGINT, records BIGINT")
     w = Window.partitionBy("uri").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     offs = offs.select("uri", "split", F.coalesce(F.sum("records").over(w), F.lit(0)).alias("base"))
-    full = sdf.mapInPandas(_index_splits(chunk_bytes, forced), SPLIT_SCHEMA)
+    full = sdf.mapInPandas(_index_splits(chunk_bytes, forced, any_link), SPLIT_SCHEMA)
     chunks = (full.join(offs, ["uri", "split"])
                   .select("uri", "order", "nanos", "base", F.explode("chunks").alias("c"))
                   .select("uri", F.col("c.start").alias("start"), F.col("c.end").alias("end"),
@@ -491,9 +551,13 @@ def read_capture_indexed(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTE
 
 
 def read_capture(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTES, failfast: bool = False,
-                 index: str = "auto"):
+                 index: str = "auto", any_link: bool = False):
     """A1 + A2: capture file(s) -> packets DataFrame.
 
+    Damaged places are left out, and what follows them is read; ``capture_gaps``
+    lists them, ``failfast`` raises instead. Files of another link type than
+    Ethernet are refused unless ``any_link``.
+
     ``index``: ``driver`` plans chunks in the data source (small inputs),
     ``spark`` indexes with a Spark job (many or large files), ``auto`` picks
     by the number and size of the files.
@@ -503,10 +567,24 @@ def read_capture(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTES, failf
         small = len(files) <= DRIVER_HOP_MAX_FILES and sum(sz for _, sz in files) <= DRIVER_HOP_MAX_BYTES
         index = "driver" if small or chunk_bytes <= 0 else "spark"
     if index == "spark":
-        return read_capture_indexed(spark, path, chunk_bytes, failfast)
+        return read_capture_indexed(spark, path, chunk_bytes, failfast, any_link=any_link)
     register(spark)
     return (spark.read.format("pcap").option("chunkBytes", str(chunk_bytes))
-            .option("mode", "FAILFAST" if failfast else "PERMISSIVE").load(path))
+            .option("mode", "FAILFAST" if failfast else "PERMISSIVE").option("anyLink", str(any_link).lower()).load(path))
+
+
+def capture_gaps(spark, path: str, split_bytes: int = SPLIT_BYTES):
+    """Damage table of capture file(s): a row (capture, start, end, reason) for
+    each stretch of bytes that ``read_capture`` leaves out. No row: all read."""
+    from pyspark.sql import functions as F
+    from flowlens.session import ship_package
+    ship_package(spark)
+    files = list_captures(path)
+    if not files:
+        return spark.createDataFrame([], GAP_SCHEMA)
+    sdf, forced, _ = _index_files_in_splits(spark, files, 0, False, split_bytes, any_link=True)
+    return sdf.mapInPandas(_index_splits(0, forced, True), SPLIT_SCHEMA).select(
+        F.col("uri").alias("capture"), F.explode("gaps").alias("g")).select("capture", "g.start", "g.end", "g.reason")
 
 
 def write_capture(df, path: str, mode: str = "overwrite") -> None:

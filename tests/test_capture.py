@@ -168,3 +168,50 @@ def test_failfast_accepts_a_valid_file_read_in_splits(spark, tmp):
     write_file(p, packets=packets, truncate=7)
     with pytest.raises(Exception, match="truncated"):
         read_capture_indexed(spark, p, 4096, failfast=True, split_bytes=20_000).count()
+
+
+def damaged_file(path, at=100, n=1000, link=1):
+    """``n`` records, the length field of one overwritten; -> (packets, byte span of the damage)."""
+    packets = [(1700000000 + i, i, struct.pack("<I", i * 2654435761 % (1 << 32)) * (12 + i % 17)) for i in range(n)]
+    write_file(path, packets=packets)
+    start = 24 + sum(16 + len(p[2]) for p in packets[:at])
+    data = bytearray(open(path, "rb").read())
+    data[start + 8:start + 12] = b"\xff\xff\xff\x7f"
+    data[20:24] = struct.pack("<I", link)
+    with open(path, "wb") as f:
+        f.write(data)
+    return packets, (start, start + 16 + len(packets[at][2]))
+
+
+@pytest.mark.parametrize("how", ["whole", "driver", "spark", "splits"])
+def test_reading_goes_on_after_damage(spark, tmp, how):
+    from flowlens.sources.capture import capture_gaps, read_capture_indexed
+    p = os.path.join(tmp, "a.pcap")
+    packets, gap = damaged_file(p)
+    df = {"whole": lambda: read_capture(spark, p, 0), "driver": lambda: read_capture(spark, p, 4096),
+          "spark": lambda: read_capture(spark, p, 4096, index="spark"),
+          "splits": lambda: read_capture_indexed(spark, p, 4096, split_bytes=7000)}[how]()
+    got = rows(df)
+    assert got == sorted((s, us, len(raw), raw) for i, (s, us, raw) in enumerate(packets) if i != 100)
+    assert sorted(r.ordinal for r in df.select("ordinal").collect()) == list(range(999))
+    for split_bytes in (1 << 30, 7000):
+        assert [tuple(r)[1:3] for r in capture_gaps(spark, p, split_bytes).collect()] == [gap]
+
+
+def test_gap_table_of_sound_and_cut_files(spark, tmp):
+    from flowlens.sources.capture import capture_gaps
+    write_file(os.path.join(tmp, "a.pcap"))
+    write_file(os.path.join(tmp, "b.pcap"), truncate=3)
+    got = capture_gaps(spark, tmp).collect()
+    size = os.path.getsize(os.path.join(tmp, "b.pcap"))
+    assert [(os.path.basename(r.capture), r.start, r.end, r.reason) for r in got] == \
+        [("b.pcap", size - 16 - len(PKTS[-1][2]) + 3, size, "truncated record")]
+
+
+@pytest.mark.parametrize("index", ["driver", "spark"])
+def test_other_link_types_are_refused(spark, tmp, index):
+    p = os.path.join(tmp, "a.pcap")
+    packets, _ = damaged_file(p, link=113)
+    with pytest.raises(Exception, match="link type 113"):
+        read_capture(spark, p, 4096, index=index).count()
+    assert read_capture(spark, p, 4096, index=index, any_link=True).count() == len(packets) - 1

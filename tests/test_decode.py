@@ -96,7 +96,7 @@ def test_deep_frames_are_marked(spark):
     other = {"short": bytes(10), "fragment": CASES["ipv6_frag_udp"][0],
              "cut": eth(0x86DD, ipv6(0, ext(0, 60, 43, 60, last=17)))[:14 + 40 + 8 + 3]}
     rows = [(n, f) for part in (deep, flat, other) for n, f in part.items()]
-    pk = decode_packets(spark.createDataFrame(rows, "name STRING, raw BINARY"))
+    pk = decode_packets(spark.createDataFrame(rows, "name STRING, raw BINARY"), mark_depth=True)
     got = {r.name: (r.depth_exceeded, r.has_udp) for r in pk.collect()}
     assert got == {n: (n in deep, n in flat) for n, _ in rows}
     assert tuple(count_unread(pk).first()) == (8, 1, 2)

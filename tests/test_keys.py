@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from flowlens.functions.keys import (
@@ -95,3 +96,17 @@ def test_record_key_never_wraps(spark):
     for bad in (1 << 32, (1 << 32) + 5, -1):
         with pytest.raises(Exception, match="does not fit"):
             spark.range(1).select(record_key(F.lit(bad).cast("bigint")).alias("k")).collect()
+
+
+@pytest.mark.parametrize("dataset,sec,usec", [(65536, 5, 0), (-1, 5, 0), (7, 1 << 32, 0), (7, -1, 0), (7, 5, 1 << 32)])
+def test_import_key_never_wraps(spark, dataset, sec, usec):
+    key = import_key(F.unhex(F.lit("00" * 13)), F.lit(dataset), F.lit(sec), F.lit(usec), F.unhex(F.lit("00" * 4)))
+    with pytest.raises(Exception, match="does not fit"):
+        spark.range(1).select(key.alias("k")).collect()
+
+
+@pytest.mark.parametrize("ms,source", [(1000, 65536), (1000, -1), (-1000, 3), ((1 << 32) * 60_000, 3)])
+def test_timeslot_key_never_wraps(spark, ms, source):
+    key = timeslot_key(F.unhex(F.lit("00" * 13)), F.lit(ms).cast("bigint"), F.lit(source), 60, F.unhex(F.lit("00" * 4)))
+    with pytest.raises(Exception, match="does not fit"):
+        spark.range(1).select(key.alias("k")).collect()
