@@ -66,8 +66,14 @@ class Transducer:
         self.pieces = {p.piece: i for i, p in enumerate(model.pieces) if p.type in (NORMAL, USER)}
         if any(MARK in p.lstrip(MARK) for p in self.pieces) or any(p.type == USER for p in model.pieces):
             raise ValueError("a piece crosses the start of a word")
-        # The pieces' letter tree: each prefix of a piece, and whether it is one.
-        self.prefixes = {p[:i]: False for p in self.pieces for i in range(1, len(p))} | dict.fromkeys(self.pieces, True)
+        # The pieces' letter tree: character -> [next characters, the piece that ends here].
+        self.tree: dict[str, list] = {}
+        for p in self.pieces:
+            level, entry = self.tree, None
+            for c in p:
+                entry = level.setdefault(c, [{}, None])
+                level = entry[0]
+            entry[1] = p
         self.score = [p.score for p in model.pieces]
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.unknown = model.trainer_spec.unk_id
@@ -83,7 +89,8 @@ class Transducer:
         self.plain = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else " ⁇ ".encode() if p.type == UNKNOWN
                       else b"" if p.type == CONTROL else p.piece.replace(MARK, " ").encode() for p in model.pieces]
         self.cache: dict[str, bytes] = {}
-        self.beside: dict[tuple[str, str], bool] = {}
+        self.beside: dict[str, dict[str, bool]] = {}
+        self.known_pairs = 0
 
     # normaliser
     def normalise(self, text: str) -> str:
@@ -153,14 +160,16 @@ class Transducer:
 
     def allowed(self, a: str, b: str) -> bool:
         """Whether ``b`` may follow ``a`` ("": stand first)."""
-        if len(self.beside) > _CACHE:
+        if self.known_pairs > _CACHE:
             self.beside.clear()
-        ok = self.beside[a, b] = self.merged(a + b) == ([a, b] if a else [b])
+            self.known_pairs = 0
+        self.known_pairs += 1
+        ok = self.beside.setdefault(a, {})[b] = self.merged(a + b) == ([a, b] if a else [b])
         return ok
 
     def shortest(self, segment: str) -> list[str]:
         """The least path from the segment's start to its end."""
-        n, pieces, longest, prefixes = len(segment), self.pieces, self.longest, self.prefixes
+        n, pieces, longest = len(segment), self.pieces, self.longest
         if self.kind == BPE:
             if segment.startswith(MARK * 2):
                 if not self.runs_last:
@@ -170,20 +179,28 @@ class Transducer:
                 k = n - len(word) - (parts[0] != MARK)
                 return self._marks(k) + parts[parts[0] == MARK:]
             last: list[str | None] = ["", *[None] * n]
-            beside = self.beside
+            tree, none = self.tree, {}
             for start in range(n):
                 before = last[start]
                 if before is None:
                     continue
-                for end in range(start + 1, n + 1):
-                    part = segment[start:end]
-                    piece = prefixes.get(part)
-                    if (piece or end == start + 1) and last[end] is None:
-                        ok = beside.get((before, part))
+                known = self.beside.get(before, none)
+                entry, end = tree.get(segment[start]), start + 1
+                if (entry is None or entry[1] is None) and last[end] is None:   # a character without a piece
+                    part = segment[start]
+                    ok = known.get(part)
+                    if self.allowed(before, part) if ok is None else ok:
+                        last[end] = part
+                while entry is not None:
+                    part = entry[1]
+                    if part is not None and last[end] is None:
+                        ok = known.get(part)
                         if self.allowed(before, part) if ok is None else ok:
                             last[end] = part
-                    if piece is None:
+                    if end == n:
                         break
+                    entry = entry[0].get(segment[end])
+                    end += 1
         else:
             cost, last = [0.0] + [float("inf")] * n, [None] * (n + 1)
             for end in range(1, n + 1):
