@@ -403,6 +403,17 @@ def stream_packet_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select(hex_lower(F.col("rowkey")).alias("rowkey"))
 
 
+def stream_packet_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + A3: stream of records -> packet table, a commit record per batch,
+    read back by a scan of the whole table."""
+    base = work_dir(spark, "stream")
+    records = S.read_packet_stream(spark, _stream_records(spark, sf_dir))
+    S.run_to_table(S.packet_key_stream(records), f"{base}/table", f"{base}/ck").awaitTermination()
+    cells = S.read_stream_table(spark, f"{base}/table")
+    return cells.select(hex_lower(F.col("rowkey")).alias("rowkey"), "cf", F.col("cq").cast("string").alias("cq"),
+                        "version", F.octet_length("value").alias("value_len"))
+
+
 # --- generators and ML (L1, L2, L3, D2, B17) ---------------------------------
 
 
@@ -461,8 +472,7 @@ def packet_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     file and packet ordinal) -> packet table range-partitioned by key and
     partitioned by key region -> full scan -> packets and bytes per region."""
     path = work_dir(spark, "packet-table")
-    name = "flowlens_work.packets"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")       # an earlier run's declaration; its files stay
+    name = f"flowlens_work.packets_{path[-12:]}"     # a name per run: sessions may share a metastore
     create_packet_table(spark, name, path)
     cap = read_capture(spark, capture_files(spark, sf_dir), ROUNDTRIP_CHUNK_BYTES)
     t = decode_packets(cap).select("capture", "ordinal", "ts_sec", "ts_usec", "orig_len", "raw",
@@ -474,3 +484,37 @@ def packet_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     pk = spark.table(name)
     return pk.groupBy("key_bucket").agg(F.count(F.lit(1)).alias("packets"),
                                         F.sum("orig_len").alias("bytes"))
+
+
+# Key range of the range scan: crosses three region boundaries.
+RANGE_START, RANGE_STOP = bytes.fromhex("3f80"), bytes.fromhex("7a00000001")
+
+
+def keyed_packet_table(spark: SparkSession, sf_dir: str) -> str:
+    """The event packets as a stored packet table under their import keys."""
+    t = decoded_event_packets(spark, sf_dir)
+    key = import_key(_tuple13(), F.lit(DATASET_ID), F.col("ts_sec"), F.col("ts_usec"), lineage_suffix("pkt_id"))
+    path = work_dir(spark, "packet-rows") + "/t"
+    write_packets(t.select("pkt_id", "ts_sec", "ts_usec", "orig_len", "raw", *five_tuple_cols())
+                  .select(key.alias("rowkey"), "raw", "orig_len"), path)
+    return path
+
+
+def packet_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 with start and stop row over the stored packet table."""
+    rows = read_packets(spark, keyed_packet_table(spark, sf_dir), start=RANGE_START, stop=RANGE_STOP)
+    return rows.select(hex_lower(F.col("rowkey")).alias("rowkey"), "key_bucket",
+                       F.col("orig_len").cast("bigint").alias("orig_len"))
+
+
+# Row range of the cell scan (customer keys are decimal text).
+ROW_START, ROW_STOP = b"12", b"47"
+
+
+def row_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 with start and stop row over a stored table of two families: the
+    newest cells of the customers' own family and of their orders'."""
+    path = work_dir(spark, "two-families")
+    put_cells(customer_cells(spark, sf_dir), path)
+    put_cells(order_cells(spark, sf_dir), path)
+    return C.cells_as_text(C.latest_cells(read_cells(spark, path, ["c", "o"], ROW_START, ROW_STOP)))

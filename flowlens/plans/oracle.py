@@ -368,6 +368,19 @@ SELECT lower(md5(unhex(th || lpad(hex(ts_sec // {width}), 8, '0')))
 FROM th"""
 
 
+def stream_packet_table_sql() -> str:
+    return f"""
+WITH keys AS ({_tuple_rows_sql()}
+SELECT pkt_id, ts_sec * 1000 + ts_usec // 1000 AS version,
+       lower(md5(unhex(th || lpad(hex(ts_sec // 60), 8, '0')))
+       || lpad(hex(ts_sec * 1000 + ts_usec // 1000), 16, '0') || lpad(hex(0), 4, '0')
+       || th || substr(md5('test/0/' || CAST(pkt_id AS VARCHAR)), 1, 8)) AS rowkey
+FROM th),
+lens AS (SELECT * FROM ({frame_cte()} SELECT pkt_id,
+    CAST(CASE WHEN k = 9 AND r = 2 THEN 10 ELSE {FRAME_LEN_SQL} END AS INTEGER) AS value_len FROM g))
+SELECT rowkey, 'p' AS cf, 'r' AS cq, CAST(version AS BIGINT) AS version, value_len FROM keys JOIN lens USING (pkt_id)"""
+
+
 # --- generators --------------------------------------------------------------
 
 def _dbl(x: float) -> str:
@@ -421,3 +434,26 @@ SELECT CAST(CASE WHEN v < {lo} THEN 0 ELSE least((v - {lo}) // {inc}, {n - 1}) E
        count(*) AS packets, CAST(sum(orig_len) AS BIGINT) AS bytes
 FROM (SELECT orig_len, ('0x' || substr(md5(unhex(th)), 1, 8))::BIGINT AS v FROM th)
 GROUP BY 1"""
+
+
+def packet_range_sql(start: str = "3f80", stop: str = "7a00000001",
+                     lo: int = 0x01010101, hi: int = 0xFFFFFFFF, n: int = 15) -> str:
+    inc = (hi - lo) // n
+    return f"""
+WITH keys AS ({import_keys_sql()}),
+lens AS (SELECT * FROM ({frame_cte()} SELECT pkt_id,
+    CAST(CASE WHEN k = 9 AND r = 2 THEN 60 ELSE {FRAME_LEN_SQL} END AS BIGINT) AS orig_len FROM g))
+SELECT rowkey, orig_len,
+       CAST(CASE WHEN v < {lo} THEN 0 ELSE least((v - {lo}) // {inc}, {n - 1}) END AS INTEGER) AS key_bucket
+FROM (SELECT rowkey, orig_len, ('0x' || substr(rowkey, 1, 8))::BIGINT AS v FROM keys JOIN lens USING (pkt_id))
+WHERE rowkey >= '{start}' AND rowkey < '{stop}'"""
+
+
+def row_range_sql(start: str = "12", stop: str = "47") -> str:
+    parts = [f"SELECT CAST(c_custkey AS VARCHAR) AS row, 'c' AS cf, '{q}' AS cq, CAST(1 AS BIGINT) AS version, "
+             f"CAST({col} AS VARCHAR) AS value FROM customer"
+             for col, q in (("c_name", "name"), ("c_nationkey", "nation"), ("c_mktsegment", "segment"))]
+    cells = " UNION ALL ".join([_order_cells_sql(), *parts])
+    return f"""SELECT row, cf, cq, version, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY row, cf, cq ORDER BY version DESC, value DESC) AS rn FROM ({cells}))
+WHERE rn = 1 AND row >= '{start}' AND row < '{stop}'"""

@@ -9,9 +9,10 @@ a half-written file behind) and never holds a partition in memory.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlens.functions.bytesx import bytes_to_int
 from flowlens.functions.keys import key_range_bucket, split_points
 from flowlens.operators.cells import CELL_COLUMNS
 
@@ -39,45 +40,131 @@ def create_packet_table(spark: SparkSession, name: str, path: str) -> list[str]:
     return split_points(PACKET_SPLIT_LO, PACKET_SPLIT_HI, PACKET_REGIONS, PACKET_KEY_PREFIX)
 
 
-def write_packets(packets: DataFrame, path: str, mode: str = "append", table: str | None = None) -> None:
+PLACE_SPREAD = 4        # tasks that share one slice of the key space
+
+
+def key_slice(key: Column, slices: int) -> Column:
+    """Which of ``slices`` equal parts of the space of 4-byte key prefixes a key lies in."""
+    return F.shiftright(bytes_to_int(key.substr(1, PACKET_KEY_PREFIX)) * slices, 8 * PACKET_KEY_PREFIX).cast("int")
+
+
+def place_by_key(packets: DataFrame, slices: int, spread: int = PLACE_SPREAD) -> DataFrame:
+    """Rows in ``slices * spread`` partitions by literal key boundaries, sorted by key.
+
+    Keys start with an MD5, so equal slices of the prefix space are equally full
+    and no sample of the input is needed (a sampled range exchange evaluates the
+    whole import twice). All packets of one flow share a prefix: within a slice
+    rows go to one of ``spread`` partitions by a hash of the whole key, so a flow
+    with a third of all packets is written by ``spread`` tasks. Give ``spread``
+    the number of tasks such a flow needs; a range scan opens that many files
+    for a slice.
+    """
+    part = key_slice(F.col("rowkey"), slices) * spread + F.pmod(F.xxhash64("rowkey"), F.lit(spread)).cast("int")
+    # a null or short key has no slice: first partition
+    part = F.coalesce(part, F.lit(0)).cast("int")
+    return packets.repartitionById(slices * spread, part).sortWithinPartitions("rowkey")
+
+
+def write_packets(packets: DataFrame, path: str, mode: str = "append", table: str | None = None,
+                  slices: int | None = None, spread: int | None = None) -> None:
     """Keyed packets -> packet table (rowkey, raw, orig_len) partitioned
     by key region.
 
-    Rows are range-partitioned on the key first, so each task writes a
-    contiguous key range into one or two region folders (few files, sorted
-    by key: Parquet min/max stats then prune key-range scans), and the MD5
-    prefix spreads load evenly across tasks. ``table``: the declared table at
-    ``path``, which learns of the new region folders.
+    Rows are placed by literal key boundaries in one pass over the input (see
+    ``place_by_key``; by default as many partitions as the session shuffles
+    into, at least one slice for each region). Files are sorted by key: their
+    row-group bounds prune range scans, their bloom filters single keys.
+    ``table``: the declared table at ``path``, which learns of the region
+    folders it does not know yet.
     """
+    spark = packets.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = spread or max(1, min(PLACE_SPREAD, n // PACKET_REGIONS))
+    slices = slices or max(PACKET_REGIONS, n // spread)
     out = packets.select("rowkey", "raw", "orig_len", packet_bucket("rowkey").alias("key_bucket"))
-    # No explicit partition count: asking the input for one would make AQE
-    # run its shuffles just to count partitions; AQE sizes this exchange.
-    (out.repartitionByRange("rowkey").sortWithinPartitions("rowkey")
-        .write.mode(mode).partitionBy("key_bucket").parquet(path))
+    (place_by_key(out, slices, spread).sortWithinPartitions("key_bucket", "rowkey")
+        .write.mode(mode).option("parquet.bloom.filter.enabled#rowkey", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .partitionBy("key_bucket").parquet(path))
     if table:
-        packets.sparkSession.sql(f"MSCK REPAIR TABLE {table}")
+        for b in range(PACKET_REGIONS):
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (key_bucket={b})")
+
 
+def region_of(prefix: int) -> int:
+    """Region of a key prefix (the literal form of ``packet_bucket``)."""
+    inc = (PACKET_SPLIT_HI - PACKET_SPLIT_LO) // PACKET_REGIONS
+    return 0 if prefix < PACKET_SPLIT_LO else min((prefix - PACKET_SPLIT_LO) // inc, PACKET_REGIONS - 1)
 
-def read_packets(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
-    """A3: scan the packet table; ``buckets`` prunes key regions."""
+
+def regions_between(start: bytes | None, stop: bytes | None) -> list[int]:
+    """Regions that can hold keys from ``start`` up to but not ``stop`` (none
+    where the stop's region comes first)."""
+    def prefix(key):
+        return int.from_bytes(key[:PACKET_KEY_PREFIX].ljust(PACKET_KEY_PREFIX, b"\0"), "big")
+    first = region_of(prefix(start)) if start else 0
+    last = region_of(prefix(stop)) if stop else PACKET_REGIONS - 1
+    return list(range(first, last + 1))
+
+
+def in_key_range(start: bytes | None, stop: bytes | None) -> Column:
+    """``start`` <= rowkey < ``stop`` in unsigned byte order; None or empty: no
+    bound on that side. Literals, so the comparison reaches the Parquet reader."""
+    cond = F.lit(True)
+    if start:
+        cond = cond & (F.col("rowkey") >= F.lit(start))
+    if stop:
+        cond = cond & (F.col("rowkey") < F.lit(stop))
+    return cond
+
+
+def read_packets(spark: SparkSession, path: str, buckets: list[int] | None = None,
+                 start: bytes | None = None, stop: bytes | None = None) -> DataFrame:
+    """A3: scan the packet table; ``buckets`` prunes key regions.
+
+    ``start`` (inclusive) and ``stop`` (exclusive) bound the row keys: the range
+    becomes its regions (folders) and a pushed comparison that skips row groups
+    by their key bounds. A stop at or before the start gives no row.
+    """
     df = spark.read.parquet(path)
+    if start or stop:
+        between = regions_between(start, stop)
+        df = df.filter(F.col("key_bucket").isin(*between) if between else F.lit(False)).filter(in_key_range(start, stop))
     if buckets is not None:
         df = df.filter(F.col("key_bucket").isin(*buckets))
     return df
 
 
+def get_packets(spark: SparkSession, path: str, keys: list[bytes]) -> DataFrame:
+    """A3: the packets of single keys (a get for each). Keys are literals: their
+    regions prune folders, row-group bounds and bloom filters the rest. Meant
+    for at most a few hundred keys; join a table of keys beyond that. An absent
+    key has no row."""
+    if not keys:
+        return spark.read.parquet(path).filter(F.lit(False))
+    regions = sorted({r for k in keys for r in regions_between(k, k)})
+    return (spark.read.parquet(path).filter(F.col("key_bucket").isin(*regions))
+            .filter(F.col("rowkey").isin(*[F.lit(k) for k in keys])))
+
+
 def put_cells(cells: DataFrame, path: str, mode: str = "append") -> None:
     """A9 for cells: append cell versions, partitioned by family so family
-    scans prune whole folders."""
-    cells.select(*CELL_COLUMNS).write.mode(mode).partitionBy("cf").parquet(path)
+    scans prune whole folders; each file is sorted by row key, so a row range
+    skips row groups."""
+    (cells.select(*CELL_COLUMNS).sortWithinPartitions("cf", "rowkey")
+        .write.mode(mode).partitionBy("cf").parquet(path))
 
 
-def read_cells(spark: SparkSession, path: str, families: list[str] | None = None) -> DataFrame:
+def read_cells(spark: SparkSession, path: str, families: list[str] | None = None,
+               start: bytes | None = None, stop: bytes | None = None) -> DataFrame:
     """A3: scan the cell table, optionally limited to families (partition
-    pruning: the filter on the partition column never opens other folders)."""
+    pruning: the filter on the partition column never opens other folders) and
+    to the rows from ``start`` up to but not ``stop`` (pushed to the reader)."""
     df = spark.read.parquet(path).select(*CELL_COLUMNS)
     if families:
         df = df.filter(F.col("cf").isin(*families))
+    if start or stop:
+        df = df.filter(in_key_range(start, stop))
     return df
 
 

@@ -13,11 +13,13 @@ connector jar is not bundled here; the code after the source is identical).
   idle timeout; a key's count is emitted when it has been idle for the
   timeout, and its state dropped (a late key starts again).
 * J7 + A10 ``packet_key_stream``: stateless decode -> time-slot key -> cells,
-  written by an exactly-once file sink with a checkpoint.
+  written by an exactly-once file sink with a checkpoint (``run_to_files``) or
+  into the packet table with a commit record per batch (``run_to_table``).
 """
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 
@@ -31,7 +33,11 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from flowlens.functions.bytesx import be_bytes, bytes_to_int
 from flowlens.functions.keys import lineage_suffix, timeslot_key, tuple_bytes
 from flowlens.functions.timex import ntz_from_micros
+from flowlens.operators.cells import CELL_COLUMNS
 from flowlens.operators.decode import decode_packets, five_tuple_cols
+from flowlens.sources.tables import (
+    PACKET_REGIONS, _hadoop_fs, in_key_range, packet_bucket, place_by_key, regions_between,
+)
 
 STREAM_SCHEMA = ("key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
                  "timestamp TIMESTAMP")
@@ -262,6 +268,72 @@ def run_to_files(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+COMMIT_SCHEMA = "query STRING, batch BIGINT"
+
+
+def _checkpoint_query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark keeps in a checkpoint: the same after a restart, another
+    one for a new checkpoint (whose batches start at 0 again)."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def put_batch(cells: DataFrame, path: str, query: str, batch: int, spread: int = 1) -> bool:
+    """A10: one micro-batch of cells into the region-partitioned table below
+    ``path``, exactly once; False if it is there already.
+
+    Rows go to ``data/query=/batch=/key_bucket=``, placed by literal key
+    boundaries and sorted by key; then a commit record is published by a
+    rename. A batch without its record is written over; one that has it is left
+    alone. Readers see committed batches only (``read_stream_table``)."""
+    spark = cells.sparkSession
+    record = f"{path}/commits/{query}-{batch}.json"
+    fs, final, jvm = _hadoop_fs(spark, record)
+    if fs.exists(final):
+        return False
+    rows = cells.select(*CELL_COLUMNS, packet_bucket("rowkey").alias("key_bucket"))
+    (place_by_key(rows, PACKET_REGIONS, spread).sortWithinPartitions("key_bucket", "rowkey")
+        .write.mode("overwrite").partitionBy("key_bucket").parquet(f"{path}/data/query={query}/batch={batch}"))
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}/commits/.{query}-{batch}")
+    out = fs.create(tmp, True)
+    out.write(bytearray(json.dumps({"query": query, "batch": batch}).encode()))
+    out.close()
+    if not fs.rename(tmp, final) and not fs.exists(final):
+        raise RuntimeError(f"no commit record {record}")
+    return True
+
+
+def run_to_table(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                 spread: int = 1) -> StreamingQuery:
+    """A10 + J1 + J4: stream of cells -> packet table through ``put_batch``.
+    A batch that Spark runs again after a failure adds nothing."""
+    ids: list[str] = []
+
+    def put(cells: DataFrame, batch: int) -> None:
+        if not ids:
+            ids.append(_checkpoint_query_id(cells.sparkSession, checkpoint))
+        put_batch(cells, path, ids[0], batch, spread)
+
+    w = df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=TRIGGER_INTERVAL)).start()
+
+
+def read_stream_table(spark: SparkSession, path: str, start: bytes | None = None,
+                      stop: bytes | None = None) -> DataFrame:
+    """A3 over a streamed table: cells of the committed batches, optionally of
+    the rows from ``start`` up to but not ``stop``. A table without a committed
+    batch is empty."""
+    schema = "rowkey BINARY, cf STRING, cq BINARY, version BIGINT, value BINARY"
+    fs, data, jvm = _hadoop_fs(spark, f"{path}/data")
+    if not fs.exists(data) or not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/commits")):
+        return spark.createDataFrame([], schema)
+    done = spark.read.schema(COMMIT_SCHEMA).json(f"{path}/commits")
+    cells = (spark.read.schema(f"{schema}, query STRING, batch BIGINT, key_bucket INT")
+             .option("basePath", f"{path}/data").parquet(f"{path}/data"))
+    if start or stop:
+        cells = cells.filter(F.col("key_bucket").isin(*regions_between(start, stop)) & in_key_range(start, stop))
+    return cells.join(done, ["query", "batch"], "left_semi").select(*CELL_COLUMNS)
+
+
 def wait_for_output(spark: SparkSession, q: StreamingQuery, path: str, expected_total: int,
                     deadline_s: float = 120.0, column: str = "count") -> None:
     """Let a processing-time query run until its sink holds ``expected_total``

@@ -76,3 +76,60 @@ def test_declared_packet_table_has_the_rows(spark, tmp):
         assert spark.table("declared_test.packets").count() == 200
     finally:
         spark.sql("DROP DATABASE declared_test CASCADE")
+
+
+def _keyed(spark, n, hot=0):
+    """n rows under MD5 keys; the last ``hot`` share one prefix."""
+    md5 = F.when(F.col("id") < n - hot, F.md5(F.col("id").cast("string"))).otherwise(F.md5(F.lit("hot")))
+    return spark.range(0, n, 1, 4).select(
+        F.unhex(F.concat(md5, F.lpad(F.hex("id"), 8, "0"))).alias("rowkey"), F.lit(b"x").alias("raw"),
+        F.lit(1).alias("orig_len"))
+
+
+def test_range_scan_equals_filter_and_prunes(spark, tmp):
+    from flowlens.sources.tables import read_packets, write_packets
+    df = _keyed(spark, 3000)
+    write_packets(df, tmp + "/p")
+    keys = sorted(bytes(r.rowkey) for r in df.select("rowkey").collect())
+    some = keys[700]
+    for start, stop in [(b"\x20", b"\x90"), (None, b"\x33"), (b"\xf0", None), (some, some + b"\0"), (b"\x01\x01\x01\x01", b"\x12\x12"),
+                        (b"\x90", b"\x20"), (b"\xff\xff\xff\xff\xff", None), (b"", b"")]:
+        got = sorted(bytes(r.rowkey) for r in read_packets(spark, tmp + "/p", start=start, stop=stop).collect())
+        assert got == [k for k in keys if (not start or k >= start) and (not stop or k < stop)], (start, stop)
+    p = read_packets(spark, tmp + "/p", start=b"\x20", stop=b"\x40")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket" in p and "IN (1,2,3)" in p
+    assert "GreaterThanOrEqual(rowkey" in p and "LessThan(rowkey" in p
+
+
+def test_single_keys(spark, tmp):
+    from flowlens.sources.tables import get_packets, write_packets
+    df = _keyed(spark, 500)
+    write_packets(df, tmp + "/p")
+    keys = [bytes(r.rowkey) for r in df.select("rowkey").limit(3).collect()]
+    assert sorted(bytes(r.rowkey) for r in get_packets(spark, tmp + "/p", [*keys, b"absent"]).collect()) == sorted(keys)
+    assert get_packets(spark, tmp + "/p", []).count() == 0
+
+
+def test_placement_spreads_a_hot_flow_without_sampling(spark):
+    from flowlens.sources.tables import place_by_key
+    df = _keyed(spark, 6000, hot=2000)
+    placed = place_by_key(df, 15, 8)
+    assert "rangepartitioning" not in placed._jdf.queryExecution().executedPlan().toString()
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 6000 / 10
+    odd = spark.createDataFrame([(None,), (b"",), (b"\xff" * 4,), (b"\x01",)], "rowkey BINARY")
+    assert place_by_key(odd, 15, 2).count() == 4
+
+
+def test_cell_rows_in_range(spark, tmp):
+    from flowlens.operators.cells import to_cells
+    from flowlens.sources.tables import put_cells, read_cells
+    df = spark.range(300).select("id", F.col("id").alias("a"), F.col("id").alias("b"))
+    put_cells(to_cells(df, "id", "f", ["a"]), tmp + "/c")
+    put_cells(to_cells(df, "id", "g", ["b"]), tmp + "/c")
+    scan = read_cells(spark, tmp + "/c", ["f"], b"12", b"2")
+    rows = sorted(bytes(r.rowkey).decode() for r in scan.collect())
+    assert rows == sorted(str(i) for i in range(300) if "12" <= str(i) < "2")
+    p = scan._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(rowkey" in p and "cf" in p.split("PartitionFilters")[1]
+    assert read_cells(spark, tmp + "/c", None, b"12", b"2").count() == 2 * len(rows)
