@@ -236,6 +236,43 @@ def flow_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("value").cast("string").alias("value"))
 
 
+def _as_documents(batches):
+    """Record texts of one task -> the lines of one JSON document (none for no record)."""
+    import pandas as pd
+    first = True
+    for pdf in batches:
+        if len(pdf):
+            lines = pdf["json"].tolist()
+            if first:
+                lines[0] = '{"header": {"relation": "flows"}, "data": [\n' + lines[0]
+            else:
+                lines[0] = "," + lines[0]
+            yield pd.DataFrame({"value": [lines[0], *["," + x for x in lines[1:]]]})
+            first = False
+    if not first:
+        yield pd.DataFrame({"value": ["]}"]})
+
+
+def flow_document_path(spark: SparkSession, sf_dir: str) -> str:
+    """The flow dataset as one JSON document per file, derived once from `lineitem`."""
+    from flowlens.sources.tables import derived_table_path, input_fingerprint
+    fp = f"{input_fingerprint(spark, f'{sf_dir}/lineitem.parquet')}|{FLOW_VALUE_COLUMNS}|{FLOW_LAYOUT_VERSION}"
+
+    def documents():
+        records = flow_records(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+        return records.select(F.to_json(F.struct("*")).alias("json")).mapInPandas(_as_documents, "value STRING")
+    return derived_table_path(spark, "flow-documents-lineitem", fp, documents, fmt="text")
+
+
+def flow_document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 in the one-document format + B12 + B13: each document is cut into byte
+    splits and read by many tasks."""
+    cells = flow_values_to_cells(read_flow_json(spark, flow_document_path(spark, sf_dir), multi_line=True))
+    return cells.select(hex_lower(F.col("rowkey")).alias("rowkey"),
+                        F.conv(F.hex("cq"), 16, 10).cast("int").alias("pos"),
+                        F.col("value").cast("string").alias("value"))
+
+
 # --- cell tables (A3-A5, A8, A9, A11, A12, B14, B15, B18, G1, G2) ------------
 
 

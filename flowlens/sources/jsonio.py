@@ -9,13 +9,14 @@ from pyspark.sql import types as T
 from flowlens.functions.bytesx import be_bytes_exact
 from flowlens.functions.keys import record_key, record_salt
 from flowlens.operators.index import file_order_index
+from flowlens.sources.capture import list_captures
+from flowlens.sources.jsondoc import read_json_array
 
 FLOW_SCHEMA = T.StructType([
     T.StructField("sparse", T.BooleanType()),
     T.StructField("values", T.ArrayType(T.StringType())),
     T.StructField("weight", T.FloatType()),
 ])
-FLOW_DOC_SCHEMA = T.StructType([T.StructField("data", T.ArrayType(FLOW_SCHEMA))])
 
 PUT_SCHEMA = T.StructType([
     T.StructField("row", T.StringType()),
@@ -27,22 +28,19 @@ PUT_SCHEMA = T.StructType([
 ])
 
 
-def read_flow_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_flow_json(spark: SparkSession, path: str, multi_line: bool = False,
+                   split_bytes: int | None = None) -> DataFrame:
     """Flow records -> (idx, sparse, values, weight).
 
     ``multi_line=True`` reads the reference's format: one JSON document per
     file, ``{"data": [ {sparse, values, weight}, ... ]}``; the index is the
-    position in the ``data`` array (``posexplode``). Such a document is one
-    task per file, so at scale the records should come as JSON Lines (one
-    record object per line, ``multi_line=False``): files split across tasks
-    and the index is the record's position in file order (``dense_index``).
+    position in the ``data`` array, files in path order. A document is cut into
+    byte splits and read by many tasks (``jsondoc``). ``multi_line=False``
+    reads JSON Lines: the index is the record's position in file order.
     """
     if multi_line:
-        doc = spark.read.schema(FLOW_DOC_SCHEMA).option("multiLine", True).json(path)
-        rec = doc.select(F.posexplode("data").alias("pos", "r"),
-                         F.col("_metadata.file_path").alias("_path"))
-        rec = rec.select("_path", "pos", "r.*")
-        # files in path order, then array position
+        rec = read_json_array(spark, list_captures(path), "data", split_bytes)
+        rec = rec.select("_path", "pos", F.from_json("json", FLOW_SCHEMA).alias("r")).select("_path", "pos", "r.*")
         return _index_over_files(rec).select("idx", "sparse", "values", "weight")
     rec = spark.read.schema(FLOW_SCHEMA).json(path)
     return file_order_index(rec, "idx").select("idx", "sparse", "values", "weight")
