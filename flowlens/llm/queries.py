@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,12 +100,34 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("page_id", "host", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-def _deletion(doc_id: object, run: str) -> str:
-    """The code point that the contract deletes in some runs (null id: in none)."""
-    if doc_id is None:
-        return run
-    h = crc32(f"{doc_id}:{run}".encode())
-    return run if h % 199 else run[:h % len(run)] + run[h % len(run) + 1:]
+_CRC_STEPS = 64             # longer runs are hashed one by one
+
+
+def _deletion(ids: list, row: np.ndarray, words: pa.Array, of: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The runs that lose the code point that the contract names (null id: none).
+
+    CRC-32 is linear: that of ``<id>:<run>`` is that of ``<id>:`` moved on by as
+    many zero bytes as the run has, xor that of the run."""
+    def utf8(run: bytes) -> bytes:
+        return run if run.isascii() else run.decode("latin-1").encode()
+
+    table = np.array([crc32(bytes([b])) for b in range(256)], np.uint32)
+    table ^= table[0]                   # without the inversions of crc32: the step of one byte
+    known = [utf8(w) for w in words.to_pylist()]
+    size = np.array([len(w) for w in known], np.int64)
+    tail = np.array([crc32(w) for w in known], np.uint32)
+    moved = np.zeros((_CRC_STEPS + 1, len(ids)), np.uint32)
+    moved[0] = [crc32(f"{i}:".encode()) for i in ids]
+    for k in range(_CRC_STEPS):
+        moved[k + 1] = table[moved[k] & 255] ^ (moved[k] >> 8)
+    named = np.array([i is not None for i in ids], bool)
+    h = moved[np.minimum(size[of], _CRC_STEPS), row] ^ tail[of]
+    for i in np.flatnonzero(size[of] > _CRC_STEPS):
+        h[i] = crc32(known[of[i]], int(moved[0, row[i]]))
+    for i in np.flatnonzero((h % 199 == 0) & named[row]):
+        run = words[int(of[i])].as_py()
+        at = int(h[i]) % len(run)
+        yield i, run[:at] + run[at + 1:]
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

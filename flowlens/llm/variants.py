@@ -27,9 +27,7 @@ words are one row. Nothing limits length or number of words; an empty table give
 
 from __future__ import annotations
 
-import re
 import uuid
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,33 +41,58 @@ from flowlens.session import work_dir
 _END = -1                       # next character at the end of a word
 
 
-_LOWER = {i: i + 32 for i in range(65, 91)}
+# Latin-1 has one byte for each character to U+00FF: letters (A-Z lower-cased) stay, all else is a blank.
+_RUNS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 0xC0 else 32 for c in range(256))
+Edit = Callable[[list, np.ndarray, pa.BinaryArray, np.ndarray], Iterator[tuple[int, bytes]]]
 
 
-def count_words(docs: DataFrame, edit: Callable[[object, str], str] = lambda key, run: run, id_col: str = "doc_id",
+def _run_table(texts: list[str], min_length: int) -> tuple[np.ndarray, pa.BinaryArray]:
+    """The runs of ``min_length`` letters and more: (place of the text, Latin-1 bytes)."""
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    data = np.frombuffer((" ".join(texts) + " ").encode("latin-1", "replace").translate(_RUNS), np.uint8)
+    letter = data != 32
+    turns = np.flatnonzero(np.diff(letter, prepend=False))      # starts and ends by turns; the last blank ends any run
+    start, size = turns[0::2], turns[1::2] - turns[0::2]
+    offsets = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=offsets[1:])
+    runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data[letter])])
+    long = size >= min_length
+    return np.searchsorted(ends, start[long], side="right"), runs.filter(pa.array(long))
+
+
+def count_words(docs: DataFrame, edit: Edit | None = None, id_col: str = "doc_id",
                 text_col: str = "text", min_length: int = 6, min_count: int = 5) -> DataFrame:
     """(word, n): the maximal runs of Latin letters (to U+00FF) of whole texts,
-    A-Z lower-cased and then passed through ``edit`` (with the row's id), that
-    have ``min_length`` characters and are met ``min_count`` times in all."""
+    A-Z lower-cased, that have ``min_length`` characters and are met ``min_count``
+    times in all. ``edit`` (ids of a batch, each run's place among them, the
+    distinct runs as Latin-1 bytes, each run's place among those) yields (run, what
+    it becomes) for the runs that change; it never makes one longer."""
     ship(docs)
-    runs = re.compile("[A-Za-zÀ-ÿ]+")
 
-    def flush(held: dict[str, int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())],
+    def flush(held: dict[bytes, int]) -> pa.RecordBatch:
+        kept = [(w.decode("latin-1"), n) for w, n in held.items() if n > 0]
+        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())],
                                           ["word", "n"])
 
     @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, int] = {}           # summed in the task before anything is shuffled
+        held: dict[bytes, int] = {}         # summed in the task before anything is shuffled
         for b in batches:
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for word, n in Counter(runs.findall(text)).items():
-                    word = edit(key, word if word.islower() else word.translate(_LOWER))
-                    if len(word) >= min_length:
-                        held[word] = held.get(word, 0) + n
-                if len(held) > 300_000:
-                    yield flush(held)
-                    held = {}
+            if not b.num_rows:
+                continue
+            row, runs = _run_table(b.column(1).to_pylist(), min_length)
+            coded = runs.dictionary_encode()
+            words, of = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+            counts = np.bincount(of, minlength=len(words))
+            for i, new in edit(b.column(0).to_pylist(), row, words, of) if edit else ():
+                counts[of[i]] -= 1
+                if len(new) >= min_length:
+                    held[new] = held.get(new, 0) + 1
+            for word, n in zip(words.to_pylist(), counts.tolist()):
+                held[word] = held.get(word, 0) + n
+            if len(held) > 300_000:
+                yield flush(held)
+                held = {}
         yield flush(held)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")

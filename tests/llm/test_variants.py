@@ -109,3 +109,22 @@ def test_query(spark, tmp_path):
     got = sorted(map(tuple, queries.op11_spelling_variants(spark, str(tmp_path)).collect()), key=str)
     assert got == brute(brute_words(rows))
     assert any(r[1] for r in got)
+
+
+def test_runs_and_deletions_of_any_text(spark):
+    rng = random.Random(5)
+    letters = "aZé÷×ÿÀA" + "bcdefg" * 3 + " -1\u0101\u2192\U0001F600\n"
+    rows = [(rng.choice([None, -3, 7, i, 10**15 + i]), "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 40, 4000]))))
+            for i in range(300)]
+    rows += [(5, "é" * 70 + "x"), (6, "q" * 5000), (7, None), (8, ("ab" * 40 + " ") * 900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.word: r.n for r in variants.count_words(df, queries._deletion, min_count=1).collect()}
+    want = Counter()
+    for d, t in rows:
+        for word in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            word = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in word)
+            h = zlib.crc32(f"{d}:{word}".encode())
+            if d is not None and h % 199 == 0:
+                word = word[:h % len(word)] + word[h % len(word) + 1:]
+            want[word] += len(word) >= 6
+    assert got == {w: n for w, n in want.items() if n}
