@@ -32,7 +32,7 @@ from flowlens.llm import lines, minhash, packing, quality, substring_dedup
 from flowlens.llm.common import releasing, save, table
 from flowlens.llm.queries import vocabulary
 
-MIN_SCORE, PASSAGE = 0.4, 30
+MIN_SCORE, PASSAGE = 0.5, 30
 LINE_SHARE, LINE_PAGES = 0.02, 3    # from line shares over distinct texts, see README; floor as in op10
 NEAR = (5, (80, 100))               # words of a shingle, least similarity
 
