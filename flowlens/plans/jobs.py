@@ -153,6 +153,13 @@ def import_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return k.select("pkt_id", hex_lower(F.col("key")).alias("rowkey"), F.octet_length("key").alias("key_len"))
 
 
+def legacy_import_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8 as the reference writes it: the source port's bytes reversed."""
+    tup = tuple_bytes(*[F.col(c) for c in ("sip", "dip", "sport", "dport", "proto")], legacy_sport=True)
+    key = import_key(tup, F.lit(DATASET_ID), F.col("ts_sec"), F.col("ts_usec"), lineage_suffix("pkt_id"))
+    return _tuple_rows(spark, sf_dir).select("pkt_id", hex_lower(key).alias("rowkey"))
+
+
 def timeslot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B9 + B10: time-slot key per packet (source 0, 60-second slots)."""
     t = _tuple_rows(spark, sf_dir)

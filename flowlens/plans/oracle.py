@@ -188,6 +188,14 @@ SELECT pkt_id, lower(md5(unhex(th)) || lpad(hex({dataset_id}), 4, '0') || lpad(h
 FROM th"""
 
 
+def legacy_import_keys_sql(dataset_id: int = 7) -> str:
+    th = "substr(th, 1, 16) || substr(th, 19, 2) || substr(th, 17, 2) || substr(th, 21)"
+    return _tuple_rows_sql() + f"""
+SELECT pkt_id, lower(md5(unhex(lh)) || lpad(hex({dataset_id}), 4, '0') || lpad(hex(ts_sec), 8, '0')
+       || lpad(hex(ts_usec), 8, '0') || lh || {_SUFFIX}) AS rowkey
+FROM (SELECT *, {th} AS lh FROM th)"""
+
+
 def timeslot_keys_sql(source_id: int = 0, width: int = 60) -> str:
     return _tuple_rows_sql() + f"""
 SELECT pkt_id, lower(md5(unhex(th || lpad(hex(ts_sec // {width}), 8, '0')))
