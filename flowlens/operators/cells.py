@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlens.operators.index import MAX_BROADCAST_BLOCKS
+from flowlens.session import work_dir
+
 CELL_COLUMNS = ["rowkey", "cf", "cq", "version", "value"]
 
 # Fixed value: the text the reference's rewrite job writes before the row key.
@@ -60,7 +63,11 @@ def first_cells(cells: DataFrame) -> DataFrame:
 MAX_CELLS_PER_RECORD = 10_000
 
 
-def rows_to_nested(cells: DataFrame, max_cells: int = MAX_CELLS_PER_RECORD) -> DataFrame:
+# Keys of wide rows are broadcast up to this many bytes (and rows of 16 bytes more).
+MAX_WIDE_KEY_BYTES = 8 << 20
+
+
+def rows_to_nested(cells: DataFrame, max_cells: int = MAX_CELLS_PER_RECORD, spread: bool = False) -> DataFrame:
     """Rowkey -> sorted ARRAY<STRUCT<cf, cq, value>> of its latest cells,
     as records ``(rowkey, part, cells)``.
 
@@ -71,18 +78,76 @@ def rows_to_nested(cells: DataFrame, max_cells: int = MAX_CELLS_PER_RECORD) -> D
     window over the row (sorted, spillable), and the collect runs per part.
     Rows up to ``max_cells`` columns are one record with ``part`` 0. The
     grouping reuses the window's partitioning by rowkey (no extra shuffle).
+    ``spread``: rows that need several records are numbered by many tasks
+    (see ``spread_parts``; the latest cells are written once for that).
     """
     latest = latest_cells(cells)
-    w = Window.partitionBy("rowkey").orderBy("cf", "cq")
-    ranked = latest.withColumn("part", F.floor((F.row_number().over(w) - 1) / max_cells).cast("int"))
+    if spread:
+        ranked = spread_parts(latest, max_cells)
+    else:
+        w = Window.partitionBy("rowkey").orderBy("cf", "cq")
+        ranked = latest.withColumn("part", F.floor((F.row_number().over(w) - 1) / max_cells).cast("int"))
     return ranked.groupBy("rowkey", "part").agg(
         F.array_sort(F.collect_list(F.struct("cf", "cq", "value"))).alias("cells"))
 
 
-def rows_to_bytes(cells: DataFrame, max_cells: int = MAX_CELLS_PER_RECORD) -> DataFrame:
+def spread_parts(latest: DataFrame, max_cells: int) -> DataFrame:
+    """``latest`` (one version of a cell) with ``part``, no task numbering a whole wide row.
+
+    Cells of a row are counted with partial aggregates; rows of at most
+    ``max_cells`` cells are part 0 as they are. The others are numbered by
+    ``number_in_segments``. Their keys are broadcast only up to
+    ``MAX_WIDE_KEY_BYTES``; beyond that all rows are numbered in segments,
+    which gives the same parts. A null row key is a row like any other.
+    """
+    spark = latest.sparkSession
+    base = work_dir(spark, "wide-rows")
+    latest.write.parquet(f"{base}/latest")
+    stored = spark.read.schema(latest.schema).parquet(f"{base}/latest")
+    (stored.groupBy("rowkey").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_cells)
+        .select(F.col("rowkey").alias("_wide")).write.parquet(f"{base}/wide"))
+    wide = spark.read.schema("_wide BINARY").parquet(f"{base}/wide")
+    size = wide.agg(F.sum(F.coalesce(F.octet_length("_wide"), F.lit(0)) + 16).alias("b")).first().b
+    if size is None:
+        return stored.withColumn("part", F.lit(0))
+    if size > MAX_WIDE_KEY_BYTES:
+        return number_in_segments(stored, max_cells, base)
+    same = F.col("rowkey").eqNullSafe(F.col("_wide"))
+    narrow = stored.join(F.broadcast(wide), same, "left_anti").withColumn("part", F.lit(0))
+    return narrow.unionByName(number_in_segments(stored.join(F.broadcast(wide), same, "left_semi"), max_cells, base))
+
+
+def number_in_segments(latest: DataFrame, max_cells: int, base: str) -> DataFrame:
+    """``part`` of each cell: ranges of (rowkey, cf, cq) are written as segments, cells are
+    numbered inside their segment, and a segment that starts within a row adds the
+    cells of that row before it.
+
+    Only the first row of a segment can have begun earlier, so at most one offset
+    a segment is above zero: the broadcast table has no more rows than segments.
+    """
+    spark = latest.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = latest.repartitionByRange(n, "rowkey", "cf", "cq").withColumn("_seg", F.spark_partition_id())
+    placed.write.parquet(f"{base}/segments")
+    cells = spark.read.schema(placed.schema).parquet(f"{base}/segments")
+    before = Window.partitionBy("rowkey").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (cells.groupBy("rowkey", "_seg").agg(F.count(F.lit(1)).alias("n"))
+                    .withColumn("_off", F.sum("n").over(before)).filter(F.col("_off") > 0)
+                    .select(F.col("rowkey").alias("_key"), F.col("_seg").alias("_at"), "_off"))
+    if n <= MAX_BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
+    w = Window.partitionBy("_seg", "rowkey").orderBy("cf", "cq")
+    place = F.row_number().over(w) - 1
+    here = F.col("rowkey").eqNullSafe(F.col("_key")) & (F.col("_seg") == F.col("_at"))
+    return (cells.withColumn("_place", place).join(offsets, here, "left")
+                 .withColumn("part", F.floor((F.col("_place") + F.coalesce("_off", F.lit(0))) / max_cells).cast("int"))
+                 .select(*latest.columns, "part"))
+
+
+def rows_to_bytes(cells: DataFrame, max_cells: int = MAX_CELLS_PER_RECORD, spread: bool = False) -> DataFrame:
     """Rowkey -> latest cells concatenated as cf|cq|value bytes, per
     record part (see ``rows_to_nested``)."""
-    nested = rows_to_nested(cells, max_cells)
+    nested = rows_to_nested(cells, max_cells, spread)
     joined = F.aggregate("cells", F.unhex(F.lit("")),
                          lambda acc, x: F.concat(acc, F.encode(x["cf"], "UTF-8"), x["cq"], x["value"]))
     return nested.select("rowkey", "part", joined.alias("bytes"))

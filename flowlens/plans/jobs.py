@@ -27,7 +27,7 @@ from flowlens.sources.capture import read_capture, write_capture
 from flowlens.sources.frames import event_frames, lineitem_frames
 from flowlens.sources.jsonio import flow_values_to_cells, puts_from_json, read_flow_json
 from flowlens.sources.tables import (
-    create_packet_table, put_cells, read_cells, read_packets, read_table, write_packets,
+    compact_cells, create_packet_table, put_bucketed, put_cells, read_cells, read_packets, read_table, write_packets,
 )
 from flowlens.streaming import packets as S
 
@@ -317,6 +317,47 @@ def row_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(F.col("rowkey").cast("string").alias("row"), "part", hex_lower(F.col("bytes")).alias("bytes"))
 
 
+WIDE_PART = 200         # cells of a record of the wide rows
+
+
+def wide_order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as cells named by their key: a third of them in one row, the others in their customer's."""
+    o = read_table(spark, sf_dir, "orders")
+    row = F.when(F.col("o_orderkey") % 3 == 0, F.lit("all")).otherwise(F.col("o_custkey").cast("string"))
+    return o.select(F.encode(row, "UTF-8").alias("rowkey"), F.lit("o").alias("cf"),
+                    F.encode(F.col("o_orderkey").cast("string"), "UTF-8").alias("cq"),
+                    epoch_micros(F.col("o_orderdate")).alias("version"),
+                    F.encode(F.concat("o_orderstatus", "o_orderpriority"), "UTF-8").alias("value"))
+
+
+def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B15 with a row that holds a third of all cells: records of at most
+    ``WIDE_PART`` cells, numbered by many tasks."""
+    nested = C.rows_to_nested(wide_order_cells(spark, sf_dir), WIDE_PART, spread=True)
+    text = F.array_join(F.transform("cells", lambda x: F.concat(x["cf"], x["cq"].cast("string"),
+                                                                x["value"].cast("string"))), "")
+    return nested.select(F.col("rowkey").cast("string").alias("row"), "part", F.size("cells").alias("n_cells"),
+                         F.md5(text).alias("cells_md5"))
+
+
+CELL_BUCKETS = 8
+
+
+def cells_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B14 stored: versions of two puts in a bucketed cell table, compacted to the
+    newest version of each cell; the rows of the compacted table."""
+    base = work_dir(spark, "cell-buckets")
+    name = f"flowlens_work.cells_{base[-12:]}"       # a name per run: sessions may share a metastore
+    cells = order_cells(spark, sf_dir)
+    late = F.col("version") % 2_000_000 == 0         # both puts hold versions of the same cells
+    for half in (late, ~late):
+        put_bucketed(cells.filter(half), name, f"{base}/versions", CELL_BUCKETS)
+    compact_cells(spark, f"{base}/versions", f"{name}_newest", f"{base}/newest", CELL_BUCKETS)
+    for t in (name, f"{name}_newest"):
+        spark.sql(f"DROP TABLE {t}")                 # declarations only: the files stay
+    return C.cells_as_text(spark.read.parquet(f"{base}/newest"))
+
+
 def rewrite_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A12 + B18 + A9: write name cells, append a rewritten version of each,
     report old and new values."""

@@ -293,6 +293,20 @@ def row_bytes_sql() -> str:
 FROM {_latest_order_cells_sql()} l GROUP BY row"""
 
 
+def wide_rows_sql() -> str:
+    return """WITH c AS (
+  SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'all' ELSE CAST(o_custkey AS VARCHAR) END AS row,
+    CAST(o_orderkey AS VARCHAR) AS cq, o_orderstatus || o_orderpriority AS value, epoch_us(o_orderdate) AS version
+  FROM orders
+), newest AS (
+  SELECT row, cq, value FROM c QUALIFY row_number() OVER (PARTITION BY row, cq ORDER BY version DESC, value DESC) = 1
+), numbered AS (
+  SELECT *, CAST((row_number() OVER (PARTITION BY row ORDER BY cq) - 1) // 200 AS INTEGER) AS part FROM newest
+)
+SELECT row, part, CAST(count(*) AS INTEGER) AS n_cells, md5(string_agg('o' || cq || value, '' ORDER BY cq)) AS cells_md5
+FROM numbered GROUP BY row, part"""
+
+
 def rewrite_column_sql(template: str = "just not test haha at ") -> str:
     return (f"SELECT CAST(c_custkey AS VARCHAR) AS row, c_name AS old_value, "
             f"'{template}' || CAST(c_custkey AS VARCHAR) AS new_value FROM customer")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.bytesx import bytes_to_int
 from flowlens.functions.keys import key_range_bucket, split_points
-from flowlens.operators.cells import CELL_COLUMNS
+from flowlens.operators.cells import CELL_COLUMNS, latest_cells
 
 # Fixed values (the reference's table pre-split): 15 regions over the first
 # 4 key bytes, from 0x01010101 to 0xFFFFFFFF; unsigned arithmetic here.
@@ -168,6 +168,39 @@ def read_cells(spark: SparkSession, path: str, families: list[str] | None = None
     return df
 
 
+CELL_KEY = ["rowkey", "cf", "cq"]
+
+
+def put_bucketed(cells: DataFrame, name: str, path: str, buckets: int, spread: int = PLACE_SPREAD) -> None:
+    """A9 into a cell table bucketed by the whole cell key, which it declares where
+    it is new: all versions of a cell lie in one bucket, so reading the newest
+    ones (B14) needs no exchange, and a wide row lies in many buckets.
+
+    ``spread`` tasks write a bucket, dealt by a hash of the version, so a cell
+    with a third of all versions is written by that many tasks. Each of them adds
+    one file to the bucket; ``compact_cells`` leaves one.
+    """
+    if "." in name:
+        cells.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    # F.hash is the hash that buckets go by
+    bucket = F.pmod(F.hash(*CELL_KEY), F.lit(buckets))
+    part = bucket * spread + F.pmod(F.xxhash64("version", "value"), F.lit(spread)).cast("int")
+    (cells.select(*CELL_COLUMNS).repartitionById(buckets * spread, part)
+        .write.format("parquet").mode("append").bucketBy(buckets, *CELL_KEY).sortBy(*CELL_KEY)
+        .option("path", path).saveAsTable(name))
+
+
+def compact_cells(spark: SparkSession, source_path: str, name: str, path: str, buckets: int) -> None:
+    """B14 as a stored table: the newest version of each cell of the table at
+    ``source_path``, as a new bucketed table ``name`` with one file a bucket.
+
+    The source is read by files, not by buckets, so the versions of a hot cell are
+    reduced in the tasks that read them, before the shuffle. The source stays:
+    readers move over to the new name when it is written.
+    """
+    put_bucketed(latest_cells(spark.read.parquet(source_path).select(*CELL_COLUMNS)), name, path, buckets, spread=1)
+
+
 def demo_rows(spark: SparkSession, n: int = 1000) -> DataFrame:
     """I -> (text i, i + 1) for i in 1..n, generated in parallel."""
     return spark.range(1, n + 1).select(F.col("id").cast("string").alias("row"),

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from flowlens.operators import cells as C
 from flowlens.operators.index import dense_index, file_order_index, sorted_dense_index
-from flowlens.sources.tables import demo_rows, put_cells, read_cells
+from flowlens.sources.tables import compact_cells, demo_rows, put_bucketed, put_cells, read_cells
 
 
 def cells_df(spark):
@@ -37,6 +37,59 @@ def test_wide_row_is_split_into_bounded_parts(spark):
     assert got == [(0, 1000, "00000"), (1, 1000, "01000"), (2, 500, "02000")]
 
 
+def mixed_rows(spark):
+    """A row with a third of all cells, a null row key, narrow rows, older versions, null values."""
+    k = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None)) \
+         .otherwise(F.concat(F.lit("r"), (F.col("id") % 40).cast("string")))
+    base = spark.range(0, 3000, 1, 6).select(
+        F.encode(k, "UTF-8").alias("rowkey"), F.when(F.col("id") % 2 == 0, "f").otherwise("g").alias("cf"),
+        F.encode(F.format_string("%04d", "id"), "UTF-8").alias("cq"), F.lit(1).cast("bigint").alias("version"),
+        F.when(F.col("id") % 7 > 0, F.encode(F.col("id").cast("string"), "UTF-8")).alias("value"))
+    return base.unionByName(base.filter("substr(cq, 4) = '5'").withColumn("version", F.lit(0).cast("bigint")))
+
+
+def records(df):
+    return sorted((str(r.rowkey), r.part, [tuple(c) for c in r.cells]) for r in df.collect())
+
+
+def test_spread_rows_equal_numbered_rows(spark, monkeypatch):
+    cells = mixed_rows(spark)
+    want = records(C.rows_to_nested(cells, 37))
+    assert len([w for w in want if w[1] > 0]) > 25
+    assert records(C.rows_to_nested(cells, 37, spread=True)) == want
+    monkeypatch.setattr(C, "MAX_WIDE_KEY_BYTES", 0)      # too many wide rows to broadcast their keys
+    assert records(C.rows_to_nested(cells, 37, spread=True)) == want
+    assert records(C.rows_to_nested(cells, 5000, spread=True)) == records(C.rows_to_nested(cells, 5000))
+    assert records(C.rows_to_nested(cells.limit(0), 37, spread=True)) == []
+
+
+def test_wide_row_is_numbered_by_many_tasks(spark, tmp):
+    cells = mixed_rows(spark).filter("rowkey = X'686f74'")
+    C.number_in_segments(C.latest_cells(cells), 100, tmp).collect()
+    per_segment = spark.read.parquet(tmp + "/segments").groupBy("_seg").count().collect()
+    assert len(per_segment) == 8 and max(r["count"] for r in per_segment) < 300
+
+
+def test_newest_of_bucketed_cells_needs_no_exchange(spark, tmp):
+    cells = mixed_rows(spark)
+    name = "flowlens_test.cells_b"
+    spark.sql("DROP TABLE IF EXISTS flowlens_test.cells_b")
+    spark.sql("DROP TABLE IF EXISTS flowlens_test.cells_n")
+    put_bucketed(cells.filter("version = 0"), name, tmp + "/v", 4)
+    put_bucketed(cells.filter("version = 1"), name, tmp + "/v", 4)
+    newest = C.latest_cells(spark.table(name))
+    rows = sorted(map(str, newest.collect()))
+    assert "Exchange" not in newest._jdf.queryExecution().executedPlan().toString()
+    assert rows == sorted(map(str, C.latest_cells(cells).collect()))
+    compact_cells(spark, tmp + "/v", "flowlens_test.cells_n", tmp + "/n", 4)
+    kept = spark.table("flowlens_test.cells_n")
+    assert sorted(map(str, kept.select(*newest.columns).collect())) == rows
+    assert len(kept.inputFiles()) == 4
+    assert "Exchange" not in C.latest_cells(kept)._jdf.queryExecution().executedPlan().toString()
+    spark.sql("DROP TABLE flowlens_test.cells_b")
+    spark.sql("DROP TABLE flowlens_test.cells_n")
+
+
 def test_rewrite_keeps_old_values(spark, tmp):
     base = demo_rows(spark, 20).select(F.col("row"), F.col("name").cast("string").alias("name"))
     put_cells(C.to_cells(base, "row", "f1", ["name"], 1), tmp)
