@@ -30,6 +30,7 @@ from flowlens.sources.tables import (
     compact_cells, create_packet_table, put_bucketed, put_cells, read_cells, read_packets, read_table, write_packets,
 )
 from flowlens.streaming import packets as S
+from flowlens.streaming import stateful as ST
 
 
 _DECODED: dict[int, tuple[DataFrame, DataFrame]] = {}
@@ -478,6 +479,25 @@ def stream_idle_counts_event_time(spark: SparkSession, sf_dir: str) -> DataFrame
                     lambda stream, retention: S.idle_flush_counts_event_time(stream, retention=retention))
 
 
+def stream_minute_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + J3 + J4: minute counts in user state with timers. The counts and expiry
+    times are read back from the state store while every minute is open; then
+    a closing record makes all timers expire in a second run on the checkpoint."""
+    base = work_dir(spark, "stream")
+    ck, held = f"{base}/ck", f"{base}/state"
+
+    def counts(stream, retention):
+        return ST.idle_counts(stream, retention=retention)
+
+    def keep_state():
+        ST.minute_state(spark, ck).write.parquet(held)
+
+    emitted = S.replay(spark, _stream_records(spark, sf_dir), base, counts, run=ST.run_with_state,
+                       before_close=keep_state)
+    emitted = emitted.select("minute", F.col("count").alias("emitted"))
+    return spark.read.parquet(held).join(emitted, "minute", "full")
+
+
 def stream_packet_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + A10: stream of records -> time-slot keyed packet cells in a table."""
     data = _stream_records(spark, sf_dir)

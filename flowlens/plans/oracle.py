@@ -382,6 +382,11 @@ def stream_minute_counts_sql() -> str:
     return "SELECT date_trunc('minute', ts) AS minute, count(*) AS count FROM events GROUP BY 1"
 
 
+def stream_minute_state_sql(timeout_ms: int = 2000) -> str:
+    return (f"SELECT date_trunc('minute', ts) AS minute, count(*) AS count, "
+            f"max(epoch_us(ts)) // 1000 + {timeout_ms} AS expires_ms, count(*) AS emitted FROM events GROUP BY 1")
+
+
 def stream_packet_keys_sql(source_id: int = 0, width: int = 60, topic: str = "test") -> str:
     return _tuple_rows_sql() + f"""
 SELECT lower(md5(unhex(th || lpad(hex(ts_sec // {width}), 8, '0')))

@@ -89,7 +89,9 @@ def read_packet_stream(spark: SparkSession, path: str | None = None, kafka_serve
 
 
 def replay(spark: SparkSession, data: str, base: str, counts: Callable[[DataFrame, str], DataFrame],
-           max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
+           max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None,
+           run: Callable[..., StreamingQuery] | None = None,
+           before_close: Callable[[], None] | None = None) -> DataFrame:
     """Run ``counts(stream, retention)`` over all records of folder ``data`` in
     bounded micro-batches and return its output (under ``base``).
 
@@ -98,7 +100,10 @@ def replay(spark: SparkSession, data: str, base: str, counts: Callable[[DataFram
     per minute of that time. The closing record comes in a second run on the
     same checkpoint, when every record has been counted. An empty folder
     gives no row. By default a micro-batch holds 256 MiB for each task slot.
+    ``run`` starts the queries (default ``run_to_files``); ``before_close`` is
+    called between the two runs.
     """
+    run = run or run_to_files
     us = record_micros(F.col("key"))
     lo, hi = spark.read.schema(STREAM_SCHEMA).parquet(data).agg(F.min(us), F.max(us)).first()
     retention = f"{((hi - lo) // MICROS_PER_MINUTE + 2) if lo is not None else 1} minutes"
@@ -109,9 +114,11 @@ def replay(spark: SparkSession, data: str, base: str, counts: Callable[[DataFram
     stream = read_packet_stream(spark, data, max_files_per_trigger=max_files_per_trigger,
                                 max_bytes_per_trigger=max_bytes_per_trigger)
     out = counts(stream.unionByName(read_packet_stream(spark, close)), retention)
-    run_to_files(out, f"{base}/out", f"{base}/ck").awaitTermination()
+    run(out, f"{base}/out", f"{base}/ck").awaitTermination()
+    if before_close:
+        before_close()
     end.write.mode("append").parquet(close)
-    run_to_files(out, f"{base}/out", f"{base}/ck").awaitTermination()
+    run(out, f"{base}/out", f"{base}/ck").awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{base}/out")
 
 

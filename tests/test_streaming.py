@@ -208,3 +208,38 @@ def test_table_sink_keeps_queries_apart_and_scans_ranges(spark, tmp):
     assert len(keys) == 100
     part = S.read_stream_table(spark, table, b"\x30", b"\xa0")
     assert sorted(bytes(r.rowkey) for r in part.collect()) == [k for k in keys if b"\x30" <= k < b"\xa0"]
+
+
+def test_user_state_keeps_one_timer_and_drops_expired_minutes(spark):
+    """Batches in order: a minute counted twice keeps the newer expiry, an older record
+    does not move it; a minute far ahead expires the others; a late one adds nothing."""
+    from flowlens.session import work_dir
+    from flowlens.streaming import stateful as ST
+    base = work_dir(spark, "user-state")
+    minute = 60_000_000
+
+    def put(*us):
+        rows = [(u.to_bytes(8, "big"), b"", "t", 0, i) for i, u in enumerate(us)]
+        spark.createDataFrame(rows, "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT") \
+            .withColumn("timestamp", F.lit(None).cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        out = ST.idle_counts(S.read_packet_stream(spark, f"{base}/in"))
+        ST.run_with_state(out, f"{base}/out", f"{base}/ck", state_partitions=2).awaitTermination()
+        held = {r.minute.minute: (r["count"], r.expires_ms) for r in ST.minute_state(spark, f"{base}/ck").collect()}
+        sent = spark.read.schema(out.schema).parquet(f"{base}/out").collect()
+        return held, sorted((r.minute.minute, r["count"]) for r in sent)
+
+    at = 1000 * 60 * minute
+    assert put(at + 5_000_000, at + 1_000_000) == ({0: (2, at // 1000 + 7000)}, [])
+    assert put(at + 2_000_000, at + minute) == ({0: (3, at // 1000 + 7000), 1: (1, at // 1000 + 62_000)}, [])
+    assert put(at + 9_000_000)[0][0] == (4, at // 1000 + 11_000)
+    far = at + 30 * minute
+    assert put(far) == ({30: (1, far // 1000 + 2000)}, [(0, 4), (1, 1)])
+    assert put(at) == ({30: (1, far // 1000 + 2000)}, [(0, 4), (1, 1)])
+
+
+def test_user_state_equals_group_state(spark):
+    data = jobs._stream_records(spark, SF_SMALL)
+    got = jobs.stream_minute_state(spark, SF_SMALL).collect()
+    want = {r.minute: r["count"] for r in jobs.stream_idle_counts_event_time(spark, SF_SMALL).collect()}
+    assert {r.minute: r.emitted for r in got} == {r.minute: r["count"] for r in got} == want
+    assert spark.read.parquet(data).count() == sum(want.values())
