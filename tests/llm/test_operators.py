@@ -417,6 +417,53 @@ def test_winnow_long_texts_against_brute_force(monkeypatch, bits):
     assert got == [brute_winnow(t) for t in texts] and got[4] == got[-1]
 
 
+def loop_prints(text):
+    """(written fingerprint, set of its hashes) of one text by ``brute_winnow``."""
+    prints = brute_winnow(text)
+    return " ".join(f"{h:010x}@{p}" for h, p in prints), {h for h, _ in prints}
+
+
+def brute_likeness(a, b):
+    return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
+
+
+def test_fingerprint_query_against_brute_force(spark, tmp_path):
+    """All columns of the query: hashes, picks and likeness by loops over single texts."""
+    rng = random.Random(21)
+    say = lambda n: "".join(rng.choice("abcde é日\n") for _ in range(n))
+    base = say(260)
+    texts = {1: None, 2: "", 3: "é", 4: say(9), 5: say(10), 6: say(40), 7: say(41), 8: base, 9: base,
+             10: base[:200] + say(60), 11: "x" * 150, 12: say(333), 40: say(77), 41: "", -3: say(120)}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3) \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    order = sorted(texts, reverse=True)
+    after = dict(zip(order, order[1:] + order[:1]))
+    want = {}
+    for d, t in texts.items():
+        t, n = t or "", texts[after[d]] or ""
+        edited = t[:len(t) - len(t) // 2] + n[:len(t) // 2]
+        own, new, nxt = map(loop_prints, (t, edited, n))
+        want[d] = (len(t), hashlib.sha256(edited.encode()).hexdigest(), own[0], new[0],
+                   brute_likeness(own[1], new[1]), brute_likeness(own[1], nxt[1]))
+    rows = queries.op7_document_fingerprints(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in rows} == want and len(rows) == len(texts)
+    assert want[8][2] == want[9][2] and 0 < want[10][5] < 1 and want[9][5] == 1.0
+
+
+def test_gram_hashes_of_a_batch_equal_those_of_each_run():
+    """A run's hash depends on its code points alone, not on where the run stands."""
+    rng = random.Random(22)
+    data = np.array([rng.choice((97, 98, 233, 0x65E5, 0x10FFFF)) for _ in range(400)], "<u4")
+    for k in (1, 2, 10, 13):
+        whole = winnow.gram_hashes(data, k)
+        assert len(whole) == len(data) - k + 1
+        seen = {}
+        for i, h in enumerate(whole.tolist()):
+            run = tuple(data[i:i + k].tolist())
+            assert seen.setdefault(run, h) == h == int(winnow.gram_hashes(data[i:i + k].copy(), k)[0])
+        assert len(set(seen.values())) == len(seen)
+
+
 def test_line_dedup(spark, hard):
     rows = [(i, f"h{i % 2}" if i < 40 else None, f"menu\nown {i}\n\nmenu\nfoot {i % 20}") for i in range(60)]
     df = spark.createDataFrame(rows, "id long, host string, text string").withColumn("n_lines", F.lit("x"))
