@@ -365,6 +365,42 @@ def test_bradley_terry_orders_pairs():
     assert ((s >= 0.5) == y).mean() > 0.95 and m.score(None) == 0.0
 
 
+def test_quality_learns_from_every_label(spark, monkeypatch):
+    """More labelled rows than the sample of old held: all are learned from, as from one array."""
+    rng = np.random.default_rng(3)
+    y = (rng.random(6400) < 0.7).astype(int)
+    texts = [" ".join(rng.choice(["ab", "cd", "Ef", "gh."] if g else ["ab", "cd", "!!", "99"], 6)) for g in y]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(y)], "doc_id long, quality int")
+    seen, real = [], quality.bradley_terry
+    monkeypatch.setattr(quality, "bradley_terry", lambda *a: seen.append(len(a[0])) or real(*a))
+    m = quality.fit(docs, labels, "quality", F.lit(True))
+    assert seen == [6400]
+    x = np.stack([quality.features(t).astype(np.float16).astype(np.float32) for t in texts])
+    n = real(x, y, float((y == 0).mean()))
+    assert np.allclose(m.mean, n.mean) and np.allclose(m.weights, n.weights, atol=1e-3, rtol=1e-3) and abs(m.cut - n.cut) < 1e-2
+
+
+def test_quality_cut_is_a_quantile_of_all_scores():
+    s = np.concatenate((np.linspace(-3, 0, 300), np.linspace(1, 4, 700)))
+    y = np.array([0] * 300 + [1] * 700)
+    block = quality.Block.of(s[:, None].astype(np.float32))
+    cut, spread = quality._cut(lambda part: part(block, y), np.zeros(1), np.ones(1), np.array([0.3 / 300, 0.7 / 700]), 0.3)
+    assert abs(cut - 0.5) < 1e-3 and abs(spread - s.std()) < 1e-4
+
+
+def test_pair_loss_and_pulls_match_all_pairs():
+    rng = np.random.default_rng(2)
+    s, y = rng.normal(size=300) * 2, rng.integers(0, 2, 300)
+    h = quality._histogram(s, y).reshape(2, -1)
+    good, bad = h[1] / (y == 1).sum(), h[0] / (y == 0).sum()
+    apart = s[y == 1][:, None] - s[y == 0]
+    assert abs(quality._pair_loss(good, bad) - np.logaddexp(0, -apart).mean()) < 1e-3
+    at, chance = s / quality.WIDTH + (quality.BINS - 1) / 2, 1 / (1 + np.exp(apart))
+    lose, win = (np.interp(at, np.arange(quality.BINS), v) for v in quality._pulls(good, bad))
+    assert np.allclose(lose[y == 1], chance.mean(axis=1), atol=1e-3) and np.allclose(win[y == 0], chance.mean(axis=0), atol=1e-3)
+
+
 def test_language_held_out(spark, hard):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     got = queries.op6_language(spark, "/root/testdata/sf0.01").join(docs, "doc_id").filter("held_out").collect()
