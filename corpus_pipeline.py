@@ -5,7 +5,7 @@ on all that the step before it kept, and returns the columns of ``documents``
 (the last one packed pieces). Between steps the rows are written and reread.
 
 1. quality: documents scored below ``MIN_SCORE`` go. The ranking learns from
-   the rows of ``labels``; a document needs no label to be scored.
+   all rows of ``labels``; a document needs no label to be scored.
 2. line dedup: lines on more than 2 % of a source's documents (and three
    at least) are cut from them; ``n_chars`` follows the text. A text and its near
    copies (as in 3.) count as one document, so copies do not cut themselves.
@@ -21,15 +21,11 @@ keeps documents whose text becomes empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm import lines, minhash, packing, quality, substring_dedup
-from flowlens.llm.common import releasing, save, table
+from flowlens.llm.common import save, table
 from flowlens.llm.queries import vocabulary
 
 MIN_SCORE, PASSAGE = 0.5, 30
@@ -63,17 +59,8 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _with_text(substring_dedup.remove_repeats(docs, window=PASSAGE, layout=True), docs.columns, "kept_text")
 
 
-@releasing
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in b.column("ids").to_pylist()]
-        yield b.set_column(b.schema.get_field_index("ids"), "ids", pa.array(ids, pa.list_(pa.int32())))
-
-
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(docs, vocabulary("word_bpe_49k.json"), seq_len=2048)
-    return pieces.mapInArrow(_lists, "doc_id long, start long, length long, ids array<int>, doc_tokens long, "
-                                     "sequence_id long, offset long")
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), seq_len=2048, lists=True)
 
 
 STAGES = [("quality", keep_quality), ("line_dedup", drop_lines), ("near_dedup", drop_near_copies),

@@ -48,12 +48,14 @@ def ship(df: DataFrame) -> SparkSession:
 
 def releasing(run: Callable) -> Callable:
     """A mapInArrow body that gives its freed memory back when a task ends:
-    workers are kept for later tasks and would hold their highest use."""
+    workers are kept for later tasks and would hold their highest use. The
+    powers of the hashes go too; a task makes them anew in milliseconds."""
     @wraps(run)
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
+            _POWERS.clear()
             gc.collect()
             pa.default_memory_pool().release_unused()
             if sys.platform == "linux":

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import releasing, save, ship, small, span_hashes
+from flowlens.llm.common import chunks, releasing, save, ship, small, span_hashes
 
 # The normaliser and pre-tokenizer for which words can be cut
 # below; with any other the tokenizer reads every text itself.
@@ -41,6 +41,7 @@ _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _PLAIN = "\t-\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f\u2010-\u2027\u20ac"
 _ODD = re.compile(f"[^{_PLAIN}]|<\\|")
 _CACHE_WORDS = 400_000
+_CHARS = 1 << 19                # characters of texts cut into words at once (one text at least)
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 
 
@@ -86,7 +87,6 @@ class WordIds:
         from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.tok = Tokenizer.from_str(json.dumps(spec))
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.by_word = [x.get("type") for x in (spec["normalizer"] or {}).get("normalizers", [])] == _NORMALISER and \
             [x.get("type") for x in steps] == ["Split", "ByteLevel"] and \
@@ -95,50 +95,60 @@ class WordIds:
             spec |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
                 {"type": "WhitespaceSplit"}, steps[1]]}}
             self.word_tok = Tokenizer.from_str(json.dumps(spec))
-        self.ends = np.zeros(self.tok.get_vocab_size() + 1, bool)
-        for piece, i in self.tok.get_vocab().items():
+        self.path, self.tok = path, None            # the whole tokenizer: read for the first text that needs it
+        tok = self.word_tok if self.by_word else self._tokenizer()
+        self.ends = np.zeros(tok.get_vocab_size() + 1, bool)
+        for piece, i in tok.get_vocab().items():
             self.ends[i] = piece.endswith("</w>")
         self.dtype = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
-        self.known: dict[int, int] = {}             # word hash -> place in the lists below
+        self.known = np.zeros(0, np.uint64)         # sorted word hashes; beside them:
+        self.start, self.size, self.hits = (np.zeros(0, np.int32) for _ in range(3))
         self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
-        self.start, self.size, self.hits = (np.zeros(1 << 16, np.int64) for _ in range(3))
+
+    def _tokenizer(self):
+        if self.tok is None:
+            from tokenizers import Tokenizer
+            self.tok = Tokenizer.from_file(self.path)
+        return self.tok
 
     def _forget(self) -> None:
         """Keep the words met in several calls; all go if those are too many."""
-        n = len(self.known)
-        keep = np.flatnonzero(self.hits[:n] > 1)
-        if len(keep) > _CACHE_WORDS // 2:
-            keep = keep[:0]
-        hashes = np.fromiter(self.known, np.uint64, n)[keep].tolist()
-        start, size = self.start[keep], self.size[keep]
+        keep = self.hits > 1
+        if keep.sum() > _CACHE_WORDS // 2:
+            keep[:] = False
+        start, size = self.start[keep].astype(np.int64), self.size[keep].astype(np.int64)
         end = np.cumsum(size)
         self.used = int(end[-1]) if len(end) else 0
         self.pool[:self.used] = self.pool[np.repeat(start - (end - size), size) + np.arange(self.used)]
-        self.known = dict(zip(hashes, range(len(keep))))
-        self.start[:len(keep)], self.size[:len(keep)] = end - size, size
-        self.hits[:] = 0
+        self.known, self.start, self.size = self.known[keep], (end - size).astype(np.int32), self.size[keep]
+        self.hits = np.zeros(len(self.known), np.int32)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+        return [np.asarray(e.ids, self.dtype).tobytes() for e in self._tokenizer().encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        """Encode ``words`` as one text; each ends at its word-end piece."""
-        ids = np.asarray(self.word_tok.encode("\n".join(words), add_special_tokens=False).ids, self.dtype)
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Encode ``words`` (by ascending hash) as one text; each ends at its word-end piece."""
+        ids = np.concatenate([np.asarray(self.word_tok.encode("\n".join(words[i:i + 8192]), add_special_tokens=False).ids,
+                                         self.dtype) for i in range(0, len(words), 8192)])
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(words):
             raise ValueError("a word without an end piece")
-        n, used = len(self.known), self.used
+        used = self.used
         while len(self.pool) < used + len(ids):
             self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
-        while len(self.start) < n + len(words):
-            self.start, self.size, self.hits = (np.concatenate((x, np.zeros_like(x)))
-                                                for x in (self.start, self.size, self.hits))
         self.pool[used:used + len(ids)] = ids
-        self.size[n:n + len(words)] = np.diff(ends, prepend=0)
-        self.start[n:n + len(words)] = used + ends - self.size[n:n + len(words)]
-        self.known.update(zip(hashes, range(n, n + len(words))))
+        at, size = np.searchsorted(self.known, hashes), np.diff(ends, prepend=0)
+        self.known = np.insert(self.known, at, hashes)
+        self.start = np.insert(self.start, at, used + ends - size)
+        self.size = np.insert(self.size, at, size)
+        self.hits = np.insert(self.hits, at, 0)
         self.used += len(ids)
 
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among the known words, and whether each is known."""
+        at = np.searchsorted(self.known, hashes)
+        return at, np.append(self.known, np.uint64(0))[at] == hashes if len(self.known) else np.zeros(len(at), bool)
+
     def _plain(self, texts: list[str]) -> list[bytes]:
         text = "\n".join(texts).lower() + "\n"
         cp = np.frombuffer(text.encode("utf-32-le"), "<u4")
@@ -148,18 +158,14 @@ class WordIds:
         hashes, first, of = np.unique(span_hashes(cp, starts, ends), return_index=True, return_inverse=True)
         if len(self.known) + len(hashes) > _CACHE_WORDS:
             self._forget()
-        keys = hashes.tolist()
-        place = [self.known.get(k, -1) for k in keys]
-        new = [i for i, p in enumerate(place) if p < 0]
-        if new:
-            at = first[new]
-            self._learn([keys[i] for i in new],
-                        [text[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())])
-            place = [self.known[k] for k in keys]
-        place = np.array(place)
+        place, found = self._find(hashes)
+        if not found.all():
+            at = first[~found]
+            self._learn(hashes[~found], [text[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())])
+            place = np.searchsorted(self.known, hashes)
         self.hits[place] += 1
         word = place[of]
-        size = self.size[word]
+        size = self.size[word].astype(np.int64)
         total = np.cumsum(size)
         ids = self.pool[np.repeat(self.start[word] - (total - size), size) + np.arange(total[-1])].tobytes()
         width = np.dtype(self.dtype).itemsize
@@ -181,9 +187,9 @@ def word_ids(path: str) -> WordIds:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int = 1,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of packed sequences: id, start, length, ids (uint32 LE bytes),
-    doc_tokens, sequence_id, offset. ``start`` is the piece's place in its
+         id_col: str = "doc_id", text_col: str = "text", lists: bool = False) -> DataFrame:
+    """Pieces of packed sequences: id, start, length, ids (uint32 LE bytes; with
+    ``lists`` an array of int), doc_tokens, sequence_id, offset. ``start`` is the piece's place in its
     document, ``offset`` its place in the sequence."""
     ship(docs)
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
@@ -193,10 +199,11 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
         ids, part, at = word_ids(tokenizer_path), TaskContext.get().partitionId(), 0
         end = np.asarray([end_id], ids.dtype).tobytes()
         width = len(end)
-        for b in batches:
-            for lo in range(0, len(b), 200):
-                rows = b.slice(lo, 200)
-                out = [x + end for x in ids([t or "" for t in rows.column(1).to_pylist()])]
+        for b in small(batches, 200):
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            for i, j in chunks(np.array([len(t) for t in texts]), _CHARS):
+                rows = b.slice(i, j - i)
+                out = [x + end for x in ids(texts[i:j])]
                 n = np.fromiter((len(x) // width for x in out), np.int64, len(out))
                 before = at + np.cumsum(n) - n
                 at += int(n.sum())
@@ -217,9 +224,13 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
                     pieces.append((start, size, ids[4 * start:4 * (start + size)], n, seq, offset))
                     start += size
             cols = list(zip(*pieces)) if pieces else [[]] * 6
+            arrays = [pa.array(c, pa.binary() if j == 2 else pa.int64()) for j, c in enumerate(cols)]
+            if lists:
+                ends = np.concatenate(([0], np.cumsum(cols[1], dtype=np.int32)))
+                arrays[2] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                                     pa.array(np.frombuffer(b"".join(cols[2]), "<i4"), pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(take, pa.int64()))] +
-                [pa.array(c, pa.binary() if j == 2 else pa.int64()) for j, c in enumerate(cols)],
+                [b.column(0).take(pa.array(take, pa.int64())), *arrays],
                 ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     tokens = save(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -229,7 +240,7 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
     base = totals.select("part", (F.sum("total").over(W.orderBy("part")) - F.col("total")).alias("base"))
     return (tokens.join(F.broadcast(base), "part")
             .select("id", "ids", "n", (F.col("base") + F.col("before")).alias("at"))
-            .mapInArrow(cut, f"id {id_type}, start long, length long, ids binary, doc_tokens long, "
+            .mapInArrow(cut, f"id {id_type}, start long, length long, ids {'array<int>' if lists else 'binary'}, doc_tokens long, "
                              "sequence_id long, offset long")
             .withColumnRenamed("id", id_col))
 
