@@ -126,17 +126,25 @@ def kmeans_fit(points: DataFrame, k: int, iters: int = 20, seed: int = 1,
                features: list[str] = ("x", "y"), restarts: int = 1) -> DataFrame:
     """L3: KMeans (Spark ML, distributed Lloyd iterations) -> centres. Of
     ``restarts`` seeds the fit of least cost is kept: one start may end in a
-    local optimum."""
+    local optimum. The points are computed once, over all task slots, and kept
+    for every pass of every fit."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
-    va = VectorAssembler(inputCols=list(features), outputCol="features")
-    fits = (KMeans(k=k, maxIter=iters, seed=seed + i, featuresCol="features").fit(va.transform(points))
-            for i in range(restarts))
-    model = min(fits, key=lambda m: m.summary.trainingCost)
-    pred = model.transform(va.transform(points))
-    sizes = pred.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
     spark = points.sparkSession
-    centers = spark.createDataFrame(
-        [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())],
-        "cluster INT, center ARRAY<DOUBLE>")
-    return centers.join(sizes, centers.cluster == sizes.prediction, "left").select("cluster", "n", "center")
+    slots = spark.sparkContext.defaultParallelism
+    rows = points.select(*features)
+    if rows.rdd.getNumPartitions() < slots:
+        rows = rows.repartition(slots)
+    va = VectorAssembler(inputCols=list(features), outputCol="features")
+    given = va.transform(rows).select("features").persist()
+    try:
+        fits = (KMeans(k=k, maxIter=iters, seed=seed + i, featuresCol="features").fit(given) for i in range(restarts))
+        model = min(fits, key=lambda m: m.summary.trainingCost)
+        # k rows
+        sizes = {r["prediction"]: r["n"] for r in model.transform(given).groupBy("prediction")
+                 .agg(F.count(F.lit(1)).alias("n")).collect()}
+    finally:
+        given.unpersist()
+    return spark.createDataFrame(
+        [(i, sizes.get(i), [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())],
+        "cluster INT, n BIGINT, center ARRAY<DOUBLE>")

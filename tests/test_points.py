@@ -43,3 +43,16 @@ def test_kmeans_finds_centres(spark):
     base = spark.range(0, 4000, 1, 4).select(F.col("id").alias("i"))
     res = P.kmeans_fit(P.cluster_points(base, "i"), 4, 20).collect()
     assert len(res) == 4 and sum(r.n for r in res) == 4000
+
+
+def test_kmeans_computes_points_once(spark):
+    """However many fits and passes, a point is computed once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def point(i):
+        seen.add(1)
+        return (float(i % 2 * 10), float(i % 3))
+
+    points = spark.createDataFrame(spark.sparkContext.parallelize(range(600), 4).map(point), "x double, y double")
+    res = P.kmeans_fit(points, 2, 5, restarts=3).collect()
+    assert sorted(r.n for r in res) == [300, 300] and seen.value == 600
