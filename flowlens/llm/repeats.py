@@ -27,6 +27,7 @@ keys as it has contexts, and a key gets a row or so for each task.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -180,44 +181,52 @@ def _by_uid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["uid", "packed"])
 
 
-def merge_spans(spans: np.ndarray) -> np.ndarray:
-    """Union of [start, end) rows, in order."""
-    if len(spans) < 2:
-        return spans
-    s = spans[np.argsort(spans[:, 0], kind="stable")]
-    end = np.maximum.accumulate(s[:, 1])
-    new = np.concatenate(([True], s[1:, 0] > end[:-1]))
-    return np.column_stack([s[new, 0], end[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(s) - 1]))]])
+def _merged_rows(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns (doc, uid, start, end) in order of uid, doc and start, the spans
+    of one document merged, and where each document begins."""
+    r = r[:, np.lexsort((r[2], r[0], r[1]))]
+    other = np.concatenate(([True], (np.diff(r[0]) != 0) | (np.diff(r[1]) != 0)))
+    far = np.cumsum(other) << 32                       # places are below 2^31: no document reaches into the next
+    end = np.maximum.accumulate(far + r[3])
+    new = np.flatnonzero(np.concatenate(([True], (far + r[2])[1:] > end[:-1])))
+    last = np.concatenate((new[1:], [r.shape[1]])) - 1
+    return np.stack([r[0, new], r[1, new], r[2, new], (end - far)[last]]), np.flatnonzero(other[new])
 
 
 class _Spans:
     """Windows to be removed: (doc, uid, start, end), sent in buckets by uid."""
 
     def __init__(self, window: int):
-        self.window, self.rows = window, []
+        self.window, self.rows = window, array("q")
+
+    def __len__(self) -> int:
+        return len(self.rows) // 4
 
     def add(self, doc: int, uid: int, places: list[int], windows: int) -> None:
-        self.rows += [(doc, uid, p, p + windows + self.window - 1) for p in places]
+        for p in places:
+            self.rows.extend((doc, uid, p, p + windows + self.window - 1))
+
+    def add_windows(self, doc: np.ndarray, uid: np.ndarray, place: np.ndarray) -> None:
+        if len(doc):
+            r, _ = _merged_rows(np.stack([doc, uid, place, place + self.window]))
+            self.rows.frombytes(np.ascontiguousarray(r.T).tobytes())
 
     def send(self, buckets: int) -> pa.RecordBatch:
-        r = np.array(self.rows, "<i8").reshape(-1, 4)
-        r = r[np.lexsort((r[:, 2], r[:, 1]))]
-        self.rows = []
-        bucket = (mix64(r[:, 1].view(U64) if r.flags.f_contiguous else np.ascontiguousarray(r[:, 1]).view(U64))
-                  % U64(buckets)).astype(np.int64)
-        return to_blobs(bucket, lambda x: [np.ascontiguousarray(r[x].T).tobytes()])
+        r, _ = _merged_rows(np.array(self.rows, "<i8").reshape(-1, 4).T)
+        self.rows = array("q")
+        bucket = (mix64(r[1].view(U64)) % U64(buckets)).astype(np.int64)
+        return to_blobs(bucket, lambda x: [r[:, x].tobytes()])
 
 
 @releasing
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of a bucket -> one row for each document, its spans merged."""
     for got in by_bucket(batches):
-        r = np.concatenate([np.frombuffer(x[0], "<i8").reshape(4, -1) for x in got], axis=1)
-        r = r[:, np.lexsort((r[2], r[0], r[1]))]
-        at = np.concatenate(([0], np.flatnonzero((np.diff(r[0]) != 0) | (np.diff(r[1]) != 0)) + 1, [r.shape[1]]))
+        r, first = _merged_rows(np.concatenate([np.frombuffer(x[0], "<i8").reshape(4, -1) for x in got], axis=1))
+        pairs = np.ascontiguousarray(r[2:].T).astype("<i8")
         yield pa.RecordBatch.from_arrays(
-            [pa.array(r[0, at[:-1]]), pa.array(r[1, at[:-1]]),
-             pa.array([merge_spans(r[2:, i:j].T).astype("<i8").tobytes() for i, j in zip(at, at[1:])], pa.binary())],
+            [pa.array(r[0, first]), pa.array(r[1, first]),
+             pa.array([pairs[i:j].tobytes() for i, j in zip(first, [*first[1:], len(pairs)])], pa.binary())],
             ["doc", "uid", "spans"])
 
 
@@ -248,7 +257,7 @@ class _Firsts:
     def close(self) -> Iterator[tuple]:
         """(at, doc, uid, places) that are first, as far as is known here."""
         for at, (doc, by) in self.best.items():
-            if not self.strict:
+            if not self.strict and (len(by) > 1 or len(next(iter(by.values()))) > 1):
                 least = min(min(ps) for ps in by.values())
                 for u, ps in by.items():
                     self.spans.add(doc, u, [p for p in ps if p != least], at[1])
@@ -283,10 +292,16 @@ def _run_rows(tokens: Tokens, strict: bool, buckets: int) -> Callable:
     hand once, in buckets by key; spans settled here go to buckets below 0."""
     w, k = tokens.window, tokens.gram
 
+    def key(g: int | None, data: bytes) -> int:
+        """Of the gram at ``g`` or, where that is hot (None), of the window."""
+        return xxhash.xxh64_intdigest(data, 1) if g is None else \
+            xxhash.xxh64_intdigest(tokens.join(tokens.cut(data)[g:g + k]))
+
     @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = _Spans(w)
         firsts = _Firsts(strict, spans)
+        add, join = firsts.add, tokens.join
         unzip, held = zstandard.ZstdDecompressor().decompress, 0
         for b in small(batches):
             for doc, uid, body, packed in zip(*(b.column(i).to_pylist() for i in range(4))):
@@ -296,12 +311,9 @@ def _run_rows(tokens: Tokens, strict: bool, buckets: int) -> Callable:
                                                (x >> 1 & 255).tolist(), (x & 1).tolist()):
                     if hot:
                         for p in range(g - most, g - least + 1):
-                            data = tokens.join(toks[p:p + w])
-                            firsts.add((xxhash.xxh64_intdigest(data, 1), 1, data), doc, uid, [p])
+                            add((join(toks[p:p + w]), 1, None), doc, uid, [p])
                     else:
-                        key = xxhash.xxh64_intdigest(tokens.join(toks[g:g + k]))
-                        firsts.add((key, most - least + 1, tokens.join(toks[g - most:g - least + w])),
-                                   doc, uid, [g - most])
+                        add((join(toks[g - most:g - least + w]), most - least + 1, most), doc, uid, [g - most])
             held += b.nbytes
             if held > HELD:
                 yield from settled(firsts, spans)
@@ -309,42 +321,57 @@ def _run_rows(tokens: Tokens, strict: bool, buckets: int) -> Callable:
         yield from settled(firsts, spans)
 
     def settled(firsts: _Firsts, spans: _Spans) -> Iterator[pa.RecordBatch]:
-        rows = [(key, doc, uid, ps, n, data) for (key, n, data), doc, uid, ps in firsts.close()]
+        # Equal runs have their gram at the same place, and it is hot in all or in none.
+        rows = [(key(g, data), doc, uid, ps, n, data) for (data, n, g), doc, uid, ps in firsts.close()]
         if rows:
             yield _run_blobs(rows, buckets)
-        if spans.rows:
+        if len(spans):
             sent = spans.send(buckets)
             yield pa.RecordBatch.from_arrays([pa.array(-1 - sent.column(0).to_numpy()), sent.column(1)],
                                              ["bucket", "blob"])
     return run
 
 
+def _ragged(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place in it) of all places of rows of these sizes."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 def _resolve(tokens: Tokens, strict: bool, groups: Callable, buckets: int) -> Callable:
     """Runs sorted by bucket -> spans, in buckets by uid.
 
     Equal runs are settled first; the groups in which different runs are left
-    go to ``groups`` some at a time, window by window: a list of (group,
-    tokens, start) gives lists of equal windows."""
+    go to ``groups`` some at a time, window by window: (group by run, tokens by
+    run, run by window, start by window) gives the windows met twice and, in
+    ascending order, the number of the set of equal windows each is in."""
     w = tokens.window
 
     def settle(todo: list[list[tuple]], spans: _Spans) -> None:
         """todo: by group, the runs left: (data, windows, doc, uid, places)."""
-        flat, cut = [], []
-        for gi, runs in enumerate(todo):
-            for run in runs:
-                cut.append((gi, tokens.cut(run[0]), run))
-                flat += [(len(cut) - 1, i) for i in range(run[1])]
-        if not flat:
+        runs = [(gi, *run) for gi, own in enumerate(todo) for run in own]
+        if not runs:
+            return
+        group, data, windows, doc, uid, places = zip(*runs)
+        group, windows, doc, uid = (np.array(x, np.int64) for x in (group, windows, doc, uid))
+        run, at = _ragged(windows)
+        rows, sets = groups(group, [tokens.cut(x) for x in data], run, at)
+        if not len(rows):
             return
-        for equal in groups([(cut[c][0], cut[c][1], i) for c, i in flat]):
-            rows = [(r[2], r[3], [p + i for p in r[4]]) for r, i in ((cut[flat[x][0]][2], flat[x][1]) for x in equal)]
-            first = min(doc for doc, _, _ in rows)
-            least = None if strict else min(min(ps) for doc, _, ps in rows if doc == first)
-            for doc, uid, ps in rows:
-                if doc > first:
-                    spans.add(doc, uid, ps, 1)
-                elif not strict:
-                    spans.add(doc, uid, [p for p in ps if p != least], 1)
+        # Every place of every window that is met twice.
+        n = np.array([len(p) for p in places])
+        flat, begin = np.array([p for ps in places for p in ps], np.int64), np.cumsum(n) - n
+        of, nth = _ragged(n[run[rows]])
+        own = run[rows][of]
+        place, docs = flat[begin[own] + nth] + at[rows][of], doc[own]
+        edge = np.flatnonzero(np.concatenate(([True], np.diff(sets[of]) != 0)))
+        size = np.diff(np.concatenate((edge, [len(of)])))
+        later = docs > np.repeat(np.minimum.reduceat(docs, edge), size)
+        gone = later
+        if not strict:
+            least = np.minimum.reduceat(np.where(later, LAST_ID, place), edge)
+            gone = later | (place != np.repeat(least, size))
+        spans.add_windows(docs[gone], uid[own][gone], place[gone])
 
     @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,10 +410,10 @@ def _resolve(tokens: Tokens, strict: bool, groups: Callable, buckets: int) -> Ca
                     settle(todo, spans)
                     todo, size = [], 0
             settle(todo, spans)
-            if len(spans.rows) > 200_000:
+            if len(spans) > 200_000:
                 yield spans.send(buckets)
         yield from passed
-        if spans.rows:
+        if len(spans):
             yield spans.send(buckets)
     return run
 

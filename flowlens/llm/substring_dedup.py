@@ -67,16 +67,16 @@ def deep_nodes(suffixes: list[list], depth: int) -> Iterator[list[int]]:
 
 
 def subtrees(depth: int):
-    def equal(suffixes: list[tuple]) -> Iterator[list[int]]:
-        """suffixes: (group, words, first word); one tree for each group."""
-        at = 0
-        while at < len(suffixes):
-            end = at
-            while end < len(suffixes) and suffixes[end][0] == suffixes[at][0]:
-                end += 1
-            for node in deep_nodes([words[i:i + depth] for _, words, i in suffixes[at:end]], depth):
-                yield [at + x for x in node]
-            at = end
+    def equal(group: np.ndarray, words: list[list], run: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One tree for each group."""
+        rows, sizes, own = [], [], group[run]
+        edges = np.flatnonzero(np.diff(own)) + 1
+        run, at = run.tolist(), at.tolist()
+        for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(own)]):
+            for node in deep_nodes([words[r][i:i + depth] for r, i in zip(run[lo:hi], at[lo:hi])], depth):
+                rows += [lo + x for x in node]
+                sizes.append(len(node))
+        return np.array(rows, np.int64), np.repeat(np.arange(len(sizes)), sizes)
     return equal
 
 

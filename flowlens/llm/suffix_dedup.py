@@ -35,45 +35,51 @@ def byte_tokens(window: int) -> Tokens:
     return Tokens(window, gram, lambda data, bounds: (gram_hashes(data, gram), bounds), bytes, bytes)
 
 
-def radix_groups(text: np.ndarray, starts: np.ndarray, group: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-    """Rows of ``starts`` whose ``depth`` bytes are equal, for two and more.
-    ``group``: what the suffixes were already split by."""
+def _sets(rows: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose keys, in order, a neighbour has too, and the number of the set of each."""
+    new = np.ones(len(rows), bool)
+    if len(rows):
+        new[1:] = np.any([x[1:] != x[:-1] for x in keys], axis=0)
+    ids = np.cumsum(new) - 1
+    many = np.bincount(ids, minlength=1)[ids] > 1
+    return rows[many], ids[many]
+
+
+def radix_sets(text: np.ndarray, starts: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``starts`` whose ``depth`` bytes another row of the group has
+    too, and the number of the set of equal ones, ascending. ``group``: what
+    the suffixes were already split by."""
     text = np.concatenate((text, np.zeros(DIGIT, np.uint8)))
     digits = np.lib.stride_tricks.sliding_window_view(text, DIGIT)
-    rows = np.arange(len(starts))
+    rows = np.argsort(group, kind="stable")
+    rows, sets = _sets(rows, group[rows])
     for at in range(0, depth, DIGIT):
         digit = np.ascontiguousarray(digits[starts[rows] + at]).view(">u8").ravel()
         if depth - at < DIGIT:
             digit = digit >> np.uint64(8 * (DIGIT - depth + at))
-        order = np.lexsort((digit, group[rows]))
-        rows, digit = rows[order], digit[order]
-        g = group[rows]
-        new = np.concatenate(([True], (digit[1:] != digit[:-1]) | (g[1:] != g[:-1])))
-        ids = np.cumsum(new) - 1
-        many = np.bincount(ids, minlength=1)[ids] > 1
-        rows, ids = rows[many], ids[many]
-        if not len(rows):
-            return
-        group = group.copy()
-        group[rows] = ids
-    edges = np.flatnonzero(np.diff(group[rows])) + 1
-    yield from np.split(rows, edges)
+        split = sets[1:][(digit[1:] != digit[:-1]) & (sets[1:] == sets[:-1])]
+        if not len(split):
+            continue
+        # Only the rows of sets that this digit splits are put in order.
+        part = np.flatnonzero(np.isin(sets, split, kind="table"))
+        order = part[np.lexsort((digit[part], sets[part]))]
+        rows[part], digit[part] = rows[order], digit[order]
+        rows, sets = _sets(rows, sets, digit)
+    return rows, sets
+
+
+def radix_groups(text: np.ndarray, starts: np.ndarray, group: np.ndarray, depth: int) -> Iterator[np.ndarray]:
+    """The rows of ``radix_sets``, set by set."""
+    rows, sets = radix_sets(text, starts, group, depth)
+    if len(rows):
+        yield from np.split(rows, np.flatnonzero(np.diff(sets)) + 1)
 
 
 def passes(depth: int):
-    def equal(suffixes: list[tuple]) -> Iterator[list[int]]:
-        """suffixes: (group, bytes, start)."""
-        place, parts, total = {}, [], 0
-        for _, body, _ in suffixes:
-            if id(body) not in place:
-                place[id(body)] = total
-                parts.append(body)
-                total += len(body)
-        text = np.frombuffer(b"".join(parts), np.uint8)
-        starts = np.array([place[id(body)] + i for _, body, i in suffixes], np.int64)
-        group = np.array([g for g, _, _ in suffixes], np.int64)
-        for rows in radix_groups(text, starts, group, depth):
-            yield rows.tolist()
+    def equal(group: np.ndarray, bodies: list[bytes], run: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = np.array([len(x) for x in bodies])
+        return radix_sets(np.frombuffer(b"".join(bodies), np.uint8), (np.cumsum(size) - size)[run] + at,
+                          group[run], depth)
     return equal
 
 

@@ -28,7 +28,7 @@ from flowlens.llm import (
     suffix_dedup,
     winnow,
 )
-from flowlens.llm.common import save
+from flowlens.llm.common import save, unpack_chunks
 from flowlens.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -133,6 +133,17 @@ def test_suffix_dedup(spark, given, hard):
     assert suffix_dedup.remove_repeats(hard).count() == len(hard_rows())
 
 
+def test_repeated_windows_leave_a_group_as_one_span():
+    """Two different runs of one gram share 60 windows: one span is sent, not one for each window."""
+    rng = np.random.default_rng(5)
+    shared, ends = bytes(rng.integers(97, 123, 159).astype(np.uint8)), (b"ABC", b"XYZ")
+    runs = [(9, doc, doc, [1000 * doc], len(shared) + 3 - 99, shared + end) for doc, end in enumerate(ends)]
+    blobs = repeats._run_blobs(runs, 4)
+    sent = repeats._resolve(suffix_dedup.byte_tokens(100), False, suffix_dedup.passes(100), 4)(iter([blobs]))
+    spans = [np.frombuffer(unpack_chunks(x)[0], "<i8").tolist() for b in sent for x in b.column(1).to_pylist()]
+    assert spans == [[1, 1, 1000, 1159]]
+
+
 def test_radix_groups_against_dict():
     rng = np.random.default_rng(3)
     text = rng.integers(97, 99, 400).astype(np.uint8)
