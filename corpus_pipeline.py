@@ -46,8 +46,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    paged = save(minhash.with_component(docs, "_page", *NEAR), "pipeline-paged")
-    kept = lines.drop_boilerplate(paged, "source", ratio=LINE_SHARE, min_pages=LINE_PAGES, page_col="_page")
+    rows, pages = minhash.component_table(docs, "_page", *NEAR)
+    kept = lines.drop_boilerplate(rows, "source", ratio=LINE_SHARE, min_pages=LINE_PAGES, page_col="_page",
+                                  page_table=save(pages, "pipeline-pages"))
     return _with_text(kept, docs.columns, "text")
 
 

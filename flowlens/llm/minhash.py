@@ -247,15 +247,15 @@ def _addresses(id_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col), F.lit(LAST_ID)).alias("_row_id"), F.col("uid").alias("_row_uid")]
 
 
-def with_component(docs: DataFrame, name: str, shingle: int = 5, threshold: tuple[int, int] = (80, 100),
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` and a column ``name``, equal for all rows of one near-duplicate
-    group (id and hash of its least row) and different for others."""
+def component_table(docs: DataFrame, name: str, shingle: int = 5, threshold: tuple[int, int] = (80, 100),
+                    id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``docs`` with each row's address in two columns, and a table of these
+    two and a column ``name``, equal for all rows of one near-duplicate group
+    (id and hash of its least row) and different for others. No text is in the
+    table: it meets what is made from a row, not the row."""
     groups = near_groups(docs, shingle, threshold, id_col=id_col, text_col=text_col)
     first = F.struct("component_id", "component_uid")
-    groups = groups.groupBy(_addresses(id_col)).agg(F.min(first).alias(name))
-    return _addressed(docs, id_col, text_col).join(groups, ["_row_id", "_row_uid"], "left") \
-        .select(*[F.col(f"`{c}`") for c in docs.columns], name)
+    return _addressed(docs, id_col, text_col), groups.groupBy(_addresses(id_col)).agg(F.min(first).alias(name))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, threshold: tuple[int, int] = (80, 100),

@@ -587,6 +587,23 @@ def test_pipeline_copies_do_not_cut_themselves(spark, edited):
     assert all(got[d] == t.removesuffix("\nhome about contact") for d, _, t in rows if d >= 45)
 
 
+def test_pipeline_line_dedup_moves_a_text_once(spark, monkeypatch):
+    """Between documents and result no text is written, and one exchange takes it, not cut into lines."""
+    rng, saved = random.Random(15), []
+    monkeypatch.setattr(corpus_pipeline, "save", lambda df, name: saved.append(df.columns) or save(df, name))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = save(documents_of(spark, [(d, "s", "\n".join(prose(rng, 2))) for d in range(20)]), "test-once")
+        out = corpus_pipeline.drop_lines(spark, docs, SF)
+        plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert not any("text" in columns for columns in saved)
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert moved and sum("text#" in x for x in moved) == 1 and not any("lines#" in x for x in moved), moved
+
+
 def test_pipeline_cuts_planted_lines(spark):
     """Lines on 12 % and 5 % of a source go; one on 1 % and all others stay."""
     rng, rows = random.Random(13), []
